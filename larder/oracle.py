@@ -305,3 +305,524 @@ SELECT code, src_seq,
   {size0('labels_tags')} AS labels_count,
   {size0('data_quality_errors_tags')} AS error_count
 FROM products_fx"""
+
+
+# ------------------------------------------------------------ audit queries
+
+PRODUCT_FIELDS_FX = [  # (field, is_list) present in products_fx, in audit order
+    ("code", False), ("product_name", True), ("brands", False), ("brands_tags", True),
+    ("countries_tags", True), ("categories_tags", True), ("food_groups_tags", True),
+    ("nutriscore_grade", False), ("nutriscore_score", False), ("nova_group", False),
+    ("nutriments", True), ("labels_tags", True), ("ingredients_text", True),
+    ("completeness", False), ("data_quality_warnings_tags", True),
+    ("data_quality_errors_tags", True), ("scans_n", False), ("unique_scans_n", False),
+]
+PRICE_FIELDS_FX = [
+    "id", "type", "product_code", "product_name", "category_tag", "price", "price_is_discounted",
+    "price_without_discount", "price_per", "currency", "date", "location_osm_address_country",
+    "location_osm_address_country_code", "location_osm_address_city", "location_osm_lat",
+    "location_osm_lon", "proof_type", "source",
+]
+
+
+def _count_rows(dataset: str | None, name_col: str, src: str, preds: list[tuple[str, str]],
+                zero: str = "NULL") -> str:
+    """Union of (name, present_rows, coverage_pct) rows from one aggregate."""
+    aggs = ", ".join(f"count_if({p}) AS c{i}" for i, (_, p) in enumerate(preds))
+    head = f"'{dataset}' AS dataset, " if dataset else ""
+    rows = [f"SELECT {head}'{n}' AS {name_col}, CAST(c{i} AS BIGINT) AS present_rows, "
+            f"{pct(f'c{i}', 'total', zero)} AS coverage_pct FROM (SELECT count(*) AS total, {aggs} FROM {src})"
+            for i, (n, _) in enumerate(preds)]
+    return "\nUNION ALL ".join(rows)
+
+
+def _present(f: str, is_list: bool) -> str:
+    return has_list(f) if is_list else f"{f} IS NOT NULL"
+
+
+ORACLE["field_coverage"] = _with(PRODUCTS_FX, PRICES_FX) + "\n" + _count_rows(
+    "products", "field", "products_fx", [(f, _present(f, l)) for f, l in PRODUCT_FIELDS_FX]
+) + "\nUNION ALL " + _count_rows(
+    "prices", "field", "prices_fx", [(f, f"{f} IS NOT NULL") for f in PRICE_FIELDS_FX])
+
+NUTRIENTS = ["energy-kcal", "energy-kj", "fat", "saturated-fat", "carbohydrates", "sugars", "fiber",
+             "proteins", "salt", "sodium", "nova-group", "nutrition-score-fr"]
+ORACLE["named_entry_coverage"] = _with(PRODUCTS_FX) + "\n" + _count_rows(
+    None, "nutrient", "products_fx", [(n, has_nut(n)) for n in NUTRIENTS])
+
+ORACLE["derived_quality"] = _with(PRODUCTS_FX, PRICES_FX) + "\n" + _count_rows(
+    "products", "metric", "products_fx", [
+        ("valid_nutriscore_grade_a_to_e", "nutriscore_grade IN ('a','b','c','d','e')"),
+        ("usable_nutrition_score", "(nutriscore_grade IN ('a','b','c','d','e') OR nutriscore_score IS NOT NULL)"),
+        ("has_country_and_category", f"({has_list('countries_tags')} AND {has_list('categories_tags')})"),
+        ("has_country_category_and_brand", f"({has_list('countries_tags')} AND {has_list('categories_tags')} "
+                                           f"AND (brands IS NOT NULL OR {has_list('brands_tags')}))"),
+        ("completeness_at_least_0_5", "completeness >= 0.5"),
+    ]) + "\nUNION ALL " + _count_rows(
+    "prices", "metric", "prices_fx", [
+        ("positive_price", "price > 0"),
+        ("price_currency_date_geo_ready", "(price > 0 AND currency IS NOT NULL AND date IS NOT NULL "
+                                          "AND location_osm_lat IS NOT NULL AND location_osm_lon IS NOT NULL)"),
+        ("barcode_price_ready", "(price > 0 AND currency IS NOT NULL AND date IS NOT NULL "
+                                "AND location_osm_lat IS NOT NULL AND location_osm_lon IS NOT NULL "
+                                "AND product_code IS NOT NULL)"),
+    ])
+
+
+def _nearest(v: str, q: float) -> str:
+    idx = f"CAST(floor(CAST(count({v}) - 1 AS DOUBLE) * CAST({q!r} AS DOUBLE) + 0.5) AS BIGINT) + 1"
+    return f"list_sort(list({v}) FILTER (WHERE {v} IS NOT NULL))[{idx}]"
+
+
+def _profile(dataset: str, src: str, col: str) -> str:
+    return (f"SELECT '{dataset}' AS dataset, '{col}' AS column, min(v) AS min, {med('v')} AS median, "
+            f"avg(v) AS mean, {_nearest('v', 0.95)} AS p95, {_nearest('v', 0.99)} AS p99, max(v) AS max "
+            f"FROM (SELECT CAST({col} AS DOUBLE) AS v FROM {src})")
+
+
+ORACLE["numeric_profile"] = _with(PRODUCTS_FX, PRICES_FX) + "\n" + "\nUNION ALL ".join(
+    [_profile("products", "products_fx", c)
+     for c in ["completeness", "nutriscore_score", "nova_group", "scans_n", "unique_scans_n"]]
+    + [_profile("prices", "prices_fx", c) for c in ["price", "price_without_discount"]])
+
+ORACLE["date_profile"] = _with(PRICES_FX) + """
+SELECT min(date) AS min, max(date) AS max, count(date) AS present_rows FROM prices_fx"""
+
+ORACLE["join_coverage"] = _with(PRODUCTS_FX, PRICES_FX) + f""",
+pcodes AS (SELECT DISTINCT code FROM products_fx WHERE code IS NOT NULL),
+c AS (SELECT
+  CAST((SELECT count(*) FROM pcodes) AS BIGINT) AS unique_product_codes,
+  CAST((SELECT count(DISTINCT product_code) FROM prices_fx) AS BIGINT) AS unique_price_product_codes,
+  CAST((SELECT count(DISTINCT product_code) FROM prices_fx WHERE product_code IN (SELECT code FROM pcodes)) AS BIGINT)
+    AS matched_unique_product_codes,
+  CAST((SELECT count(product_code) FROM prices_fx) AS BIGINT) AS price_rows_with_product_code,
+  CAST((SELECT count(*) FROM prices_fx WHERE product_code IN (SELECT code FROM pcodes)) AS BIGINT) AS matched_price_rows)
+SELECT *,
+  {pct('matched_unique_product_codes', 'unique_price_product_codes', 'NULL')} AS matched_unique_price_code_pct,
+  {pct('matched_price_rows', 'price_rows_with_product_code', 'NULL')} AS matched_price_rows_pct
+FROM c"""
+
+
+def _top_list(src: str, col: str, k: int, keep_null: bool, where: str = "TRUE",
+              exclude: str | None = None, head: str = "") -> str:
+    conds = [] if keep_null else ["value IS NOT NULL"]
+    if exclude:
+        conds.append(f"value NOT IN ({exclude})")
+    cond = " AND ".join(conds) or "TRUE"
+    return (f"SELECT * FROM (SELECT {head}'{col}' AS column, CAST(value AS VARCHAR) AS value, count FROM ("
+            f"SELECT value, count(*) AS count FROM (SELECT unnest({col}) AS value FROM {src} "
+            f"WHERE {where} AND {has_list(col)}) t WHERE {cond} "
+            f"GROUP BY value ORDER BY count DESC, value ASC NULLS LAST LIMIT {k}))")
+
+
+def _top_scalar(src: str, col: str, k: int, head: str = "") -> str:
+    return (f"SELECT * FROM (SELECT {head}'{col}' AS column, CAST(value AS VARCHAR) AS value, count FROM ("
+            f"SELECT {col} AS value, count(*) AS count FROM {src} WHERE {col} IS NOT NULL "
+            f"GROUP BY {col} ORDER BY count DESC, value ASC NULLS LAST LIMIT {k}))")
+
+
+STRICT = LADDER["strict_quality_ready"]
+LISTS = ["countries_tags", "categories_tags", "brands_tags"]
+
+ORACLE["top_array_values"] = _with(PRODUCTS_FX) + "\n" + "\nUNION ALL ".join(
+    _top_list("products_fx", c, 20, False, STRICT) for c in LISTS)
+ORACLE["top_array_values_nullkeep"] = _with(PRODUCTS_FX) + "\n" + "\nUNION ALL ".join(
+    _top_list("products_fx", c, 20, True) for c in LISTS)
+ORACLE["top_scalar_values"] = _with(PRODUCTS_FX, PRICES_FX) + "\n" + "\nUNION ALL ".join(
+    [_top_scalar("products_fx", c, 20, "'products' AS dataset, ") for c in ["nutriscore_grade", "nova_group"]]
+    + [_top_scalar("prices_fx", c, 20, "'prices' AS dataset, ")
+       for c in ["currency", "price_per", "location_osm_address_country_code", "proof_type"]])
+ORACLE["allow_list_selection"] = _with(PRODUCTS_FX) + "\n" + "\nUNION ALL ".join([
+    _top_list("products_fx", "countries_tags", 10, False, PRODUCT_FILTER, "'nation_0'"),
+    _top_list("products_fx", "categories_tags", 10, False, PRODUCT_FILTER)])
+
+_ladder_names = list(LADDER)
+ORACLE["filter_ladder"] = _with(PRODUCTS_FX, PRICES_FX) + ",\n" + """
+pcodes AS (SELECT DISTINCT product_code AS code FROM prices_fx WHERE product_code IS NOT NULL),
+fl AS (SELECT p.*, (pc.code IS NOT NULL) AS has_price FROM products_fx p LEFT JOIN pcodes pc ON p.code = pc.code),
+agg AS (SELECT count(*) AS total, """ + ", ".join(
+    f"count_if({LADDER[n]}) AS n{i}, count_if({LADDER[n]} AND has_price) AS p{i}"
+    for i, n in enumerate(_ladder_names)) + " FROM fl)\n" + "\nUNION ALL ".join(
+    f"SELECT {i} AS position, '{n}' AS level, CAST(n{i} AS BIGINT) AS count, {pct(f'n{i}', 'total')} AS pct, "
+    f"CAST(p{i} AS BIGINT) AS price_matched_count, {pct(f'p{i}', 'total')} AS price_matched_pct_total, "
+    f"{pct(f'p{i}', f'n{i}')} AS price_matched_pct_filter FROM agg"
+    for i, n in enumerate(_ladder_names))
+
+ORACLE["level_profile"] = _with(PRODUCTS_FX) + f"""
+SELECT count(*) AS rows,
+  CAST(count(DISTINCT code) + max(CASE WHEN code IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unique_codes,
+  {med('CAST(nutriscore_score AS DOUBLE)')} AS nutriscore_score_median,
+  {med('CAST(nova_group AS DOUBLE)')} AS nova_group_median,
+  {med('completeness')} AS completeness_median,
+  avg(completeness) AS completeness_mean
+FROM products_fx WHERE {STRICT}"""
+
+
+def _dist(src: str, source: str, col: str) -> str:
+    return (f"SELECT '{source}' AS source, '{col}' AS column, CAST({col} AS VARCHAR) AS value, "
+            f"count(*) AS count FROM {src} GROUP BY {col}")
+
+
+ORACLE["value_distribution"] = _with(*SUMMARY_CHAIN) + f""",
+strict AS (SELECT * FROM products_fx WHERE {STRICT})
+""" + "\nUNION ALL ".join([
+    _dist("strict", "strict", "nutriscore_grade"), _dist("strict", "strict", "nova_group"),
+    _dist("products_main", "products_main", "analysis_country_tag"),
+    _dist("products_main", "products_main", "analysis_category_tag"),
+    _dist("aligned", "prices_aligned", "currency"),
+    _dist("aligned", "prices_aligned", "location_osm_address_country_code")])
+
+ORACLE["price_currency_medians"] = _with(*SUMMARY_CHAIN) + f"""
+SELECT currency, count(*) AS rows, {med('price_value')} AS median_price, avg(price_value) AS mean_price
+FROM aligned GROUP BY currency"""
+
+ORACLE["alignment_counters"] = _with(*SUMMARY_CHAIN) + f""",
+a AS (SELECT
+  CAST(count(*) AS BIGINT) AS aligned_price_rows,
+  CAST(count_if(same_market_as_analysis_country) AS BIGINT) AS same_market_rows,
+  CAST(count_if(same_market_as_analysis_country AND currency IS NOT NULL) AS BIGINT) AS same_market_non_null_currency_rows,
+  CAST(count(DISTINCT CASE WHEN same_market_as_analysis_country AND currency IS NOT NULL THEN product_code END) AS BIGINT)
+    AS unique_products_with_same_market_price
+  FROM aligned),
+s AS (SELECT CAST(count(DISTINCT product_code) AS BIGINT) AS unique_products_with_price,
+             CAST(count(*) AS BIGINT) AS price_summary_rows FROM summary),
+p AS (SELECT CAST(count(*) AS BIGINT) AS product_rows FROM products_main)
+SELECT aligned_price_rows, unique_products_with_price,
+  {pct('unique_products_with_price', 'product_rows')} AS products_with_price_pct,
+  same_market_rows, {pct('same_market_rows', 'aligned_price_rows')} AS same_market_rows_pct,
+  same_market_non_null_currency_rows,
+  {pct('same_market_non_null_currency_rows', 'aligned_price_rows')} AS same_market_non_null_currency_rows_pct,
+  unique_products_with_same_market_price,
+  {pct('unique_products_with_same_market_price', 'product_rows')} AS unique_products_with_same_market_price_pct,
+  price_summary_rows
+FROM a, s, p"""
+
+ORACLE["preprocess_counters"] = _with(*SUMMARY_CHAIN) + f""",
+r AS (SELECT CAST(count(*) AS BIGINT) AS total_raw_product_rows FROM products_fx),
+k AS (SELECT CAST(count(*) AS BIGINT) AS preprocessed_product_rows FROM products_main),
+s AS (SELECT CAST(count(DISTINCT product_code) AS BIGINT) AS products_with_price FROM summary)
+SELECT total_raw_product_rows, preprocessed_product_rows,
+  {pct('preprocessed_product_rows', 'total_raw_product_rows')} AS preprocessed_product_pct_total,
+  products_with_price, {pct('products_with_price', 'preprocessed_product_rows')} AS products_with_price_pct
+FROM r, k, s"""
+
+ORACLE["selected_tag_counts"] = _with(*PM_CHAIN) + """,
+sel AS (
+  SELECT 'analysis_country_tag' AS column, CAST(row_number() OVER (ORDER BY n DESC, tag ASC) - 1 AS INTEGER) AS position, tag
+  FROM top_countries
+  UNION ALL
+  SELECT 'analysis_category_tag' AS column, CAST(row_number() OVER (ORDER BY n DESC, tag ASC) - 1 AS INTEGER) AS position, tag
+  FROM top_categories),
+cc AS (SELECT analysis_country_tag AS tag, count(*) AS rows FROM products_main GROUP BY 1),
+gc AS (SELECT analysis_category_tag AS tag, count(*) AS rows FROM products_main GROUP BY 1)
+SELECT s.column, s.position, s.tag,
+  CAST(COALESCE(CASE WHEN s.column = 'analysis_country_tag' THEN cc.rows ELSE gc.rows END, 0) AS BIGINT) AS rows
+FROM sel s LEFT JOIN cc ON s.tag = cc.tag LEFT JOIN gc ON s.tag = gc.tag"""
+
+_PRODUCT_REQ = {
+    "identity": ["code", "product_name", "brands", "brands_tags"],
+    "geography": ["countries_tags", "main_countries_tags"],
+    "category": ["categories", "categories_tags", "food_groups_tags"],
+    "health": ["nutriscore_grade", "nutriscore_score", "nova_group", "nova_groups_tags",
+               "nutrient_levels_tags", "nutriments"],
+    "label_transparency": ["labels_tags", "ingredients_text", "completeness",
+                           "data_quality_warnings_tags", "data_quality_errors_tags"],
+    "popularity": ["scans_n", "unique_scans_n", "popularity_tags"],
+}
+_PRICE_REQ = {
+    "identity": ["id", "product_code", "product_name", "category_tag"],
+    "price": ["price", "price_without_discount", "price_is_discounted", "price_per", "currency", "date"],
+    "geography": ["location_osm_lat", "location_osm_lon", "location_osm_address_country",
+                  "location_osm_address_country_code", "location_osm_address_city",
+                  "location_osm_display_name"],
+    "provenance": ["proof_type", "source", "created", "updated"],
+}
+
+
+def _schema_cols(src: str) -> str:
+    return (f"(SELECT unnest(k) AS field, CAST(unnest(range(len(k))) AS INTEGER) AS position FROM "
+            f"(SELECT json_keys(to_json(t)) AS k FROM (SELECT * FROM {src} LIMIT 1) t))")
+
+
+_spec_rows = ", ".join(f"('products', '{g}', '{f}')" for g, fs in _PRODUCT_REQ.items() for f in fs) + ", " + \
+    ", ".join(f"('prices', '{g}', '{f}')" for g, fs in _PRICE_REQ.items() for f in fs)
+ORACLE["schema_required"] = _with(PRODUCTS_FX, PRICES_FX) + f""",
+spec(dataset, "group", field) AS (VALUES {_spec_rows}),
+cols AS (SELECT 'products' AS dataset, field FROM {_schema_cols('products_fx')}
+         UNION ALL SELECT 'prices' AS dataset, field FROM {_schema_cols('prices_fx')})
+SELECT s.dataset, s."group", s.field, (c.field IS NOT NULL) AS present
+FROM spec s LEFT JOIN cols c ON s.dataset = c.dataset AND s.field = c.field"""
+
+ORACLE["schema_columns"] = _with(PRODUCTS_FX, PRICES_FX) + f"""
+SELECT 'products' AS dataset, position, field AS column FROM {_schema_cols('products_fx')}
+UNION ALL SELECT 'prices' AS dataset, position, field AS column FROM {_schema_cols('prices_fx')}"""
+
+
+# -------------------------------------------------------- row-level scalars
+
+ORACLE["energy_fallback"] = _with(PRODUCTS_FX) + f"""
+SELECT code, src_seq, kcal_raw, kj_raw, energy_raw,
+  CASE WHEN kcal_raw IS NOT NULL THEN kcal_raw WHEN kj_raw IS NOT NULL THEN kj_raw / 4.184
+       WHEN energy_raw IS NOT NULL THEN energy_raw / 4.184 END AS energy_kcal_100g,
+  CASE WHEN kj_raw IS NOT NULL THEN kj_raw WHEN kcal_raw IS NOT NULL THEN kcal_raw * 4.184
+       WHEN energy_raw IS NOT NULL THEN energy_raw END AS energy_kj_100g
+FROM (SELECT code, src_seq, {nut('energy-kcal')} AS kcal_raw, {nut('energy-kj')} AS kj_raw,
+             {nut('energy')} AS energy_raw FROM products_fx)"""
+
+ORACLE["country_code_map"] = _with(PRODUCTS_FX) + f"""
+SELECT code, src_seq, analysis_country_tag AS country_tag, {COUNTRY_CODE_CASE} AS country_code
+FROM (SELECT code, src_seq, list_filter(countries_tags, lambda t: t IS NOT NULL)[1] AS analysis_country_tag
+      FROM products_fx)"""
+
+ORACLE["present_count"] = _with(PRODUCTS_FX) + f"""
+SELECT code, src_seq, n AS nutrition_fields_present_count, CAST(n AS DOUBLE) / 8.0 AS nutrient_field_fill_rate
+FROM (SELECT code, src_seq, CAST(
+    (CASE WHEN {nut('energy-kcal')} IS NOT NULL THEN 1 ELSE 0 END)
+  + (CASE WHEN {nut('fat')} IS NOT NULL THEN 1 ELSE 0 END)
+  + (CASE WHEN {nut('saturated-fat')} IS NOT NULL THEN 1 ELSE 0 END)
+  + (CASE WHEN {nut('carbohydrates')} IS NOT NULL THEN 1 ELSE 0 END)
+  + (CASE WHEN {nut('sugars')} IS NOT NULL THEN 1 ELSE 0 END)
+  + (CASE WHEN {nut('proteins')} IS NOT NULL THEN 1 ELSE 0 END)
+  + (CASE WHEN {nut('salt')} IS NOT NULL OR {nut('sodium')} IS NOT NULL THEN 1 ELSE 0 END)
+  + (CASE WHEN {nut('fiber')} IS NOT NULL THEN 1 ELSE 0 END) AS INTEGER) AS n
+  FROM products_fx)"""
+
+ORACLE["clip_safe_div"] = _with(PRODUCTS_FX) + f"""
+SELECT *, 0.5 * COALESCE(abs(ratio), 0.0) + 0.25 * COALESCE(abs(clipped), 0.0) AS weighted
+FROM (SELECT code, src_seq,
+  CASE WHEN nova_group - 4 <> 0 THEN CAST(nutriscore_score AS DOUBLE) / CAST(nova_group - 4 AS DOUBLE) END AS ratio,
+  CASE WHEN nutriscore_score IS NOT NULL
+       THEN least(greatest(CAST(nutriscore_score AS DOUBLE) / 10.0, 0.0), 1.0) END AS clipped,
+  {pct(size0('labels_tags'), size0('data_quality_warnings_tags'), 'NULL')} AS labels_per_warning_pct,
+  {pct('unique_scans_n', 'scans_n * 3')} AS scan_pct
+  FROM products_fx)"""
+
+ORACLE["dedup_keep_first"] = _with(PRODUCTS_FX) + """
+SELECT code, src_seq, completeness, brands FROM (
+  SELECT code, src_seq, completeness, brands, row_number() OVER (PARTITION BY code ORDER BY src_seq) AS rn
+  FROM products_fx) WHERE rn = 1"""
+
+PRIMARY = """
+primary_price AS (
+  SELECT product_code, location_osm_address_country_code, currency, price_record_count, price_min,
+    price_median, price_mean, price_max, any_same_market_match, first_price_date, last_price_date
+  FROM (SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY any_same_market_match DESC,
+          price_record_count DESC, location_osm_address_country_code ASC NULLS LAST, currency ASC NULLS LAST) AS rn
+        FROM summary) WHERE rn = 1
+)"""
+
+BASE = """
+base AS (
+  SELECT pm.*,
+    pp.location_osm_address_country_code, pp.currency, pp.price_min, pp.price_median, pp.price_mean,
+    pp.price_max, pp.first_price_date, pp.last_price_date,
+    CAST(pm.nutrition_fields_present_count AS DOUBLE) / 8.0 AS nutrient_field_fill_rate,
+    COALESCE(pp.price_record_count, 0) > 0 AS has_price,
+    CAST(COALESCE(pp.price_record_count, 0) AS INTEGER) AS price_record_count,
+    COALESCE(pp.any_same_market_match, false) AS any_same_market_match,
+    COALESCE(pm.quality_warning_count > 0, false) AS has_quality_warning,
+    COALESCE(pm.quality_error_count > 0, false) AS has_quality_error,
+    -pm.nutriscore_score AS nutriscore_good_direction,
+    (CAST(pm.nova_group AS DOUBLE) - 1.0) / 3.0 AS nova_scaled,
+    CASE WHEN pm.salt_100g IS NOT NULL THEN pm.salt_100g ELSE pm.sodium_100g * 2.5 END AS salt_equivalent_100g,
+    CASE WHEN pp.price_median IS NOT NULL AND pp.price_median > 0 THEN pp.price_median END AS price_median_clean
+  FROM products_main pm LEFT JOIN primary_price pp ON pm.code = pp.product_code
+)"""
+
+BASE_CHAIN = (*SUMMARY_CHAIN, PRIMARY, BASE)
+
+ORACLE["primary_price"] = _with(*SUMMARY_CHAIN, PRIMARY) + "\nSELECT * FROM primary_price"
+ORACLE["products_left_price"] = _with(*BASE_CHAIN) + """
+SELECT code, currency, location_osm_address_country_code, price_median, price_record_count, has_price,
+  any_same_market_match, nutrient_field_fill_rate, has_quality_warning, has_quality_error, nova_scaled
+FROM base"""
+ORACLE["salt_clean_price"] = _with(*BASE_CHAIN) + """
+SELECT code, salt_equivalent_100g, price_median_clean, nutriscore_good_direction FROM base"""
+
+
+def prank(x: str, keys: str) -> str:
+    """Average rank of x among its peers' non-nulls / all peer rows."""
+    return (f"CASE WHEN ({x}) IS NOT NULL THEN (CAST(rank() OVER (PARTITION BY {keys} ORDER BY ({x}) ASC NULLS LAST) AS DOUBLE)"
+            f" + CAST(count(*) OVER (PARTITION BY {keys}, ({x})) - 1 AS DOUBLE) / 2.0)"
+            f" / CAST(count(*) OVER (PARTITION BY {keys}) AS DOUBLE) END")
+
+
+GK = "analysis_country_tag, analysis_category_tag"
+PK = "analysis_country_code, currency, analysis_category_tag"
+PEER = {
+    "nutriscore_good_percentile": "nutriscore_good_direction",
+    "nova_good_percentile": "-CAST(nova_group AS DOUBLE)",
+    "sugars_good_percentile": "-sugars_100g",
+    "salt_good_percentile": "-salt_equivalent_100g",
+    "proteins_good_percentile": "proteins_100g",
+    "sugars_percentile": "sugars_100g",
+    "salt_percentile": "salt_equivalent_100g",
+    "fat_percentile": "fat_100g",
+    "saturated_fat_percentile": "saturated_fat_100g",
+    "energy_percentile": "energy_kcal_100g",
+    "price_percentile_within_peer": "price_median_clean",
+}
+
+ORACLE["peer_percentiles"] = _with(*BASE_CHAIN) + "\nSELECT code, " + ",\n  ".join(
+    f"{prank(x, GK)} AS {n}" for n, x in PEER.items()) + "\nFROM base"
+ORACLE["price_percentile"] = _with(*BASE_CHAIN) + f"""
+SELECT code, {prank('price_median_clean', PK)} AS price_median_percentile FROM base"""
+
+
+def wmed(x: str, keys: str) -> str:
+    return (f"(0.5 * quantile_disc({x}, 0.5) OVER (PARTITION BY {keys})"
+            f" + 0.5 * (-quantile_disc(-({x}), 0.5) OVER (PARTITION BY {keys})))")
+
+
+COMPLETENESS = """CASE WHEN s IS NOT NULL THEN least(greatest(s, 0.0), 1.0) END"""
+COMPLETENESS_RAW = """(0.50 * completeness + 0.15 * nutrient_field_fill_rate
+      + 0.10 * CAST(has_ingredients_text AS DOUBLE) + 0.05 * CAST(has_labels_tags AS DOUBLE)
+      - 0.12 * least(greatest(CAST(quality_warning_count AS DOUBLE), 0.0), 5.0) / 5.0
+      - 0.08 * least(greatest(CAST(quality_error_count AS DOUBLE), 0.0), 3.0) / 3.0)"""
+SCORED = f"""
+scored AS (
+  SELECT *, CASE WHEN cs IS NOT NULL THEN least(greatest(cs, 0.0), 1.0) END AS data_completeness_score
+  FROM (SELECT *, {COMPLETENESS_RAW} AS cs FROM base)
+)"""
+
+Z = {
+    "price_robust_z": "price_median_clean",
+    "sugars_robust_z": "sugars_100g",
+    "salt_robust_z": "salt_equivalent_100g",
+    "saturated_fat_robust_z": "saturated_fat_100g",
+    "nutriscore_robust_z": "nutriscore_score",
+    "nova_robust_z": "CAST(nova_group AS DOUBLE)",
+    "data_completeness_robust_z": "data_completeness_score",
+}
+
+
+def z_ctes(src: str, out: str) -> str:
+    """Median, then MAD, then z for every measure of Z over GROUP keys."""
+    meds = ",\n    ".join(f"{wmed(x, GK)} AS {n}__med" for n, x in Z.items())
+    devs = ",\n    ".join(f"abs(({x}) - {n}__med) AS {n}__dev" for n, x in Z.items())
+    mads = ",\n    ".join(f"{wmed(f'{n}__dev', GK)} AS {n}__mad" for n in Z)
+    zs = ",\n    ".join(f"(({x}) - {n}__med) / ({n}__mad + 1e-6) AS {n}" for n, x in Z.items())
+    return f"""
+{out}_m AS (SELECT *, {meds} FROM {src}),
+{out}_d AS (SELECT *, {devs} FROM {out}_m),
+{out}_a AS (SELECT *, {mads} FROM {out}_d),
+{out} AS (SELECT *, {zs} FROM {out}_a)"""
+
+
+ORACLE["robust_z"] = _with(*BASE_CHAIN, SCORED, z_ctes("scored", "zt")) + "\nSELECT code, " + \
+    ", ".join(Z) + " FROM zt"
+ORACLE["completeness_score"] = _with(*BASE_CHAIN, SCORED) + f"""
+SELECT code, data_completeness_score, {prank('data_completeness_score', GK)} AS data_completeness_percentile
+FROM scored"""
+
+
+def analysis_ctes(design: bool = False) -> str:
+    pk = "location_osm_address_country_code, currency, analysis_category_tag" if design else PK
+    if design:
+        health = ("(0.45 * nutriscore_good_percentile + 0.25 * (1.0 - nova_scaled)"
+                  " + 0.15 * (1.0 - sugars_percentile) + 0.10 * (1.0 - salt_percentile)"
+                  " + 0.05 * proteins_good_percentile)")
+    else:
+        health = ("(0.45 * nutriscore_good_percentile + 0.25 * nova_good_percentile"
+                  " + 0.15 * sugars_good_percentile + 0.10 * salt_good_percentile"
+                  " + 0.05 * proteins_good_percentile)")
+    pcts = ",\n    ".join(f"{prank(x, GK)} AS {n}" for n, x in PEER.items())
+    return f"""
+an_p AS (SELECT *, {pcts},
+    {prank('price_median_clean', pk)} AS price_median_percentile FROM base),
+an_s AS (SELECT *, CASE WHEN hs IS NOT NULL THEN least(greatest(hs, 0.0), 1.0) END AS health_score_composite,
+    CASE WHEN cs IS NOT NULL THEN least(greatest(cs, 0.0), 1.0) END AS data_completeness_score
+  FROM (SELECT *, {health} AS hs, {COMPLETENESS_RAW} AS cs FROM an_p)),
+an_q AS (SELECT *, {prank('health_score_composite', GK)} AS health_score_percentile,
+    {prank('data_completeness_score', GK)} AS data_completeness_percentile FROM an_s),
+an_v AS (SELECT *, health_score_percentile - price_median_percentile AS price_nutrition_value_index FROM an_q),
+{z_ctes('an_v', 'an_z').strip()},
+analysis AS (
+  SELECT code, product_name, brands, primary_brand_tag, analysis_country_tag,
+    analysis_country_code, analysis_category_tag, nutriscore_grade, nutriscore_score,
+    nova_group, energy_kcal_100g, energy_kj_100g, fat_100g, saturated_fat_100g,
+    carbohydrates_100g, sugars_100g, proteins_100g, salt_100g, salt_equivalent_100g,
+    fiber_100g, completeness, has_ingredients_text, has_labels_tags, labels_count,
+    quality_warning_count, quality_error_count, nutrition_fields_present_count,
+    nutrient_field_fill_rate, data_completeness_score, data_completeness_percentile,
+    scans_n, unique_scans_n, currency, location_osm_address_country_code,
+    price_record_count, price_min, price_median, price_mean, price_max,
+    first_price_date, last_price_date, any_same_market_match, has_price,
+    nutriscore_good_percentile, nova_good_percentile, sugars_good_percentile,
+    salt_good_percentile, proteins_good_percentile, sugars_percentile, salt_percentile,
+    fat_percentile, saturated_fat_percentile, energy_percentile, price_median_percentile,
+    price_percentile_within_peer, health_score_composite, health_score_percentile,
+    price_nutrition_value_index, price_robust_z, sugars_robust_z, salt_robust_z,
+    saturated_fat_robust_z, nutriscore_robust_z, nova_robust_z,
+    data_completeness_robust_z,
+    0.20 * COALESCE(abs(price_robust_z), 0.0) + 0.20 * COALESCE(abs(sugars_robust_z), 0.0)
+      + 0.15 * COALESCE(abs(salt_robust_z), 0.0) + 0.15 * COALESCE(abs(saturated_fat_robust_z), 0.0)
+      + 0.10 * COALESCE(abs(nutriscore_robust_z), 0.0) + 0.10 * COALESCE(abs(nova_robust_z), 0.0)
+      + 0.10 * COALESCE(abs(data_completeness_robust_z), 0.0) AS peer_anomaly_score,
+    has_price AND price_median_percentile > 0.75 AND health_score_percentile < 0.25 AS flag_high_price_low_health,
+    sugars_percentile > 0.80 AND nova_group >= 4 AS flag_high_sugar_high_nova,
+    data_completeness_percentile < 0.20 AND quality_warning_count >= 2 AS flag_low_completeness_many_warnings
+  FROM an_z
+)"""
+
+
+ANALYSIS_CHAIN = (*BASE_CHAIN, analysis_ctes())
+
+ORACLE["products_analysis"] = _with(*ANALYSIS_CHAIN) + "\nSELECT * FROM analysis"
+ORACLE["health_score"] = _with(*ANALYSIS_CHAIN) + \
+    "\nSELECT code, health_score_composite, health_score_percentile FROM analysis"
+ORACLE["value_index"] = _with(*ANALYSIS_CHAIN) + \
+    "\nSELECT code, health_score_percentile, price_median_percentile, price_nutrition_value_index FROM analysis"
+ORACLE["anomaly_score"] = _with(*ANALYSIS_CHAIN) + "\nSELECT code, peer_anomaly_score FROM analysis"
+ORACLE["flags"] = _with(*ANALYSIS_CHAIN) + """
+SELECT code, flag_high_price_low_health, flag_high_sugar_high_nova, flag_low_completeness_many_warnings
+FROM analysis"""
+ORACLE["analysis_design_variant"] = _with(*BASE_CHAIN, analysis_ctes(design=True)) + """
+SELECT code, health_score_composite, price_median_percentile, price_nutrition_value_index FROM analysis"""
+
+# ----------------------------------------------------------------- rollups
+
+ORACLE["brand_concentration"] = _with(*PM_CHAIN) + """,
+pb AS (SELECT analysis_country_tag, analysis_category_tag, primary_brand_tag, count(*) AS n
+       FROM products_main WHERE primary_brand_tag IS NOT NULL GROUP BY ALL)
+SELECT analysis_country_tag, analysis_category_tag,
+  CAST(sum(n) AS BIGINT) AS branded_products, count(*) AS brands,
+  CAST(max(n) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS top_brand_share,
+  CAST(sum(n * n) AS DOUBLE) / (CAST(sum(n) AS DOUBLE) * CAST(sum(n) AS DOUBLE)) AS hhi
+FROM pb GROUP BY analysis_country_tag, analysis_category_tag"""
+
+ORACLE["country_overview"] = _with(*ANALYSIS_CHAIN) + """
+SELECT analysis_country_tag, count(code) AS products, avg(health_score_composite) AS avg_health_score,
+  avg(data_completeness_score) AS avg_data_completeness_score, avg(nutriscore_score) AS avg_nutriscore_score,
+  avg(nova_group) AS avg_nova_group
+FROM analysis GROUP BY analysis_country_tag"""
+
+_STRUCT = ["sugars_100g", "salt_equivalent_100g", "fat_100g", "energy_kcal_100g", "nutriscore_score", "nova_group"]
+
+
+def _structure(view: str, member: str) -> str:
+    parts = [f"SELECT '{view}' AS view, analysis_country_tag, {member} AS member, '{m}' AS measure, "
+             f"count(v) AS n, avg(v) AS mean, {med('v')} AS median "
+             f"FROM (SELECT analysis_country_tag, {member}, CAST({m} AS DOUBLE) AS v FROM analysis) "
+             f"GROUP BY analysis_country_tag, {member}" for m in _STRUCT]
+    return "\nUNION ALL ".join(parts)
+
+
+ORACLE["nutrition_structure"] = _with(*ANALYSIS_CHAIN) + "\n" + _structure(
+    "category", "analysis_category_tag") + "\nUNION ALL " + _structure("brand", "primary_brand_tag")
+
+ORACLE["anomaly_feed"] = _with(*ANALYSIS_CHAIN) + """
+SELECT code, analysis_country_tag, analysis_category_tag, primary_brand_tag, price_median, sugars_100g,
+  salt_equivalent_100g, health_score_composite, data_completeness_score, peer_anomaly_score,
+  price_record_count, unique_scans_n
+FROM analysis ORDER BY peer_anomaly_score DESC NULLS LAST, code ASC LIMIT 100"""
+
+ORACLE["currency_feed"] = _with(*ANALYSIS_CHAIN) + """
+SELECT currency, code, analysis_country_tag, analysis_category_tag, any_same_market_match, price_median,
+  price_median_percentile, health_score_composite, health_score_percentile, price_nutrition_value_index
+FROM analysis WHERE has_price"""
+
+ORACLE["product_detail"] = _with(*ANALYSIS_CHAIN) + """
+SELECT * FROM analysis
+WHERE code IN (SELECT code FROM analysis WHERE flag_high_price_low_health OR flag_high_sugar_high_nova
+               OR flag_low_completeness_many_warnings)"""

@@ -24,6 +24,7 @@ from larder.functions import scalars as S
 from larder.operators import scores as SC
 from larder.operators.dedup import asc, desc, top_one
 from larder.operators.peers import peer_percentiles, robust_z
+from larder.sources.io import stage
 
 GROUP_KEYS = ("analysis_country_tag", "analysis_category_tag")
 PRICE_KEYS = ("analysis_country_code", "currency", "analysis_category_tag")
@@ -57,6 +58,7 @@ class AnalysisSpec:
     method: str = "freq"           # "freq" (skew-proof) or "window"
     splits: int = 16
     health: str = "code"           # K7: "code" (default) or "design" formula
+    materialize: bool = True       # write each pass to the checkpoint folder
 
 
 def primary_price(summary: DataFrame) -> DataFrame:
@@ -96,7 +98,14 @@ def build_analysis(products: DataFrame, summary: DataFrame,
     unique per product, so the left join keeps one row per code and the
     reference's final keep-first is a no-op that costs no shuffle here."""
     keys, m, sp = list(spec.group_keys), spec.method, spec.splits
-    df = base_table(products, summary)
+
+    def cut(df: DataFrame, name: str) -> DataFrame:
+        # each pass reads its input several times (group sizes, stacked
+        # measures, join back by code): a written table keeps that from
+        # re-running the whole lineage and survives executor loss
+        return stage(df, name) if spec.materialize else df
+
+    df = cut(base_table(products, summary), "analysis-base")
 
     peer = {
         "nutriscore_good_percentile": F.col("nutriscore_good_direction"),
@@ -111,7 +120,7 @@ def build_analysis(products: DataFrame, summary: DataFrame,
         "energy_percentile": F.col("energy_kcal_100g"),
         "price_percentile_within_peer": F.col("price_median_clean"),
     }
-    df = peer_percentiles(df, peer, keys, method=m, splits=sp)
+    df = cut(peer_percentiles(df, peer, keys, method=m, splits=sp), "analysis-peer")
     price_keys = list(spec.price_keys)
     if spec.health == "design":
         # K7 design variant: value index keyed by the *location* country
@@ -127,12 +136,12 @@ def build_analysis(products: DataFrame, summary: DataFrame,
                           + F.lit(0.05) * F.col("proteins_good_percentile"))
     else:
         health = SC.health_score()
-    df = df.withColumns({"health_score_composite": health,
-                         "data_completeness_score": SC.completeness_score()})
+    df = cut(df.withColumns({"health_score_composite": health,
+                             "data_completeness_score": SC.completeness_score()}), "analysis-scores")
     df = peer_percentiles(df, {"health_score_percentile": F.col("health_score_composite"),
                                "data_completeness_percentile": F.col("data_completeness_score")},
                           keys, method=m, splits=sp)
-    df = df.withColumn("price_nutrition_value_index", SC.value_index())
+    df = cut(df.withColumn("price_nutrition_value_index", SC.value_index()), "analysis-score-pct")
     df = robust_z(df, {
         "price_robust_z": F.col("price_median_clean"),
         "sugars_robust_z": F.col("sugars_100g"),

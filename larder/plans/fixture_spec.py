@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larder.operators.align import align_prices, summarise_prices
 from larder.plans.products import ProductSpec, build_products, select_allow_lists
 from larder.sources.fixtures import FIXTURE_COUNTRY_CODES, load_fixtures
+from larder.sources.io import stage
 
 # Fixed values for the fixture run: "nation_0" plays the catch-all country
 # tag that the reference excludes ("en:world"), so the exclusion is exercised.
@@ -20,8 +22,28 @@ FIXTURE_SPEC = ProductSpec(
 )
 
 
-def fixture_products_main(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(products_fx, prices_fx, products_main) for one scale-factor dir."""
+def fixture_products_main(spark: SparkSession, sf_dir: str,
+                          materialize: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(products_fx, prices_fx, products_main) for one scale-factor dir.
+
+    ``products_main`` is written and read back (the reference sinks it too):
+    every later stage reads the table instead of re-running the filter,
+    the allow-list selection and the nested extraction."""
     raw, prices = load_fixtures(spark, sf_dir)
     countries, categories = select_allow_lists(raw, FIXTURE_SPEC)
-    return raw, prices, build_products(raw, countries, categories, FIXTURE_SPEC)
+    products = build_products(raw, countries, categories, FIXTURE_SPEC)
+    return raw, prices, (stage(products, "products-main") if materialize else products)
+
+
+def fixture_prices(spark: SparkSession, sf_dir: str, materialize: bool = True):
+    """(products_fx, prices_fx, products_main, prices_aligned, summary); the
+    aligned table is written once and the summary reads the written copy, so
+    the join is not evaluated twice."""
+    raw, prices, products = fixture_products_main(spark, sf_dir, materialize)
+    aligned = align_prices(prices, products)
+    if materialize:
+        aligned = stage(aligned, "prices-aligned")
+    summary = summarise_prices(aligned)
+    if materialize:
+        summary = stage(summary, "price-summary")
+    return raw, prices, products, aligned, summary

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from larder.functions import nested as N
 from larder.functions import predicates as P
 from larder.functions import scalars as S
-from larder.operators.align import align_prices, summarise_prices
-from larder.plans.fixture_spec import FIXTURE_SPEC, fixture_products_main
+from larder.plans.fixture_spec import FIXTURE_SPEC, fixture_prices, fixture_products_main
 from larder.sources.fixtures import load_fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,16 +30,10 @@ def query(name: str):
     return deco
 
 
-def _aligned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    _, prices, products = fixture_products_main(spark, sf_dir)
-    return products, align_prices(prices, products)
-
-
 @query("price_summary")
 def q_price_summary(spark, sf_dir):
     """B13, B17, D1, E1 (J2 -> J3)."""
-    _, aligned = _aligned(spark, sf_dir)
-    return summarise_prices(aligned)
+    return fixture_prices(spark, sf_dir)[4]
 
 
 @query("products_main")
@@ -65,3 +58,442 @@ def q_nested_extract(spark, sf_dir):
         N.size_or_zero("labels_tags").alias("labels_count"),
         N.size_or_zero("data_quality_errors_tags").alias("error_count"),
     )
+
+
+# ----------------------------------------------------------------- helpers
+
+from larder.operators import audit as A  # noqa: E402
+from larder.operators import rollups as R  # noqa: E402
+from larder.operators import scores as SC  # noqa: E402
+from larder.operators.dedup import keep_first  # noqa: E402
+from larder.operators.ladder import ladder_counts, level_profile  # noqa: E402
+from larder.operators.peers import peer_percentiles, robust_z  # noqa: E402
+from larder.plans import audits as J  # noqa: E402
+from larder.plans.analysis import AnalysisSpec, base_table, build_analysis, primary_price  # noqa: E402
+from larder.plans.products import select_allow_lists  # noqa: E402
+from larder.sources.fixtures import FIXTURE_COUNTRY_CODES  # noqa: E402
+from larder.sources.io import stage  # noqa: E402
+
+
+def _summary(spark, sf_dir):
+    return fixture_prices(spark, sf_dir)
+
+
+def _analysis(spark, sf_dir, spec: AnalysisSpec = AnalysisSpec()):
+    _, _, products, _, summary = _summary(spark, sf_dir)
+    return build_analysis(products, summary, spec)
+
+
+def _base(spark, sf_dir):
+    _, _, products, _, summary = _summary(spark, sf_dir)
+    return stage(base_table(products, summary), "base")
+
+
+def _tagged(df, **cols):
+    return df.select(*[F.lit(v).alias(k) for k, v in cols.items()], "*")
+
+
+# ----------------------------------------------------------------- audits
+
+@query("field_coverage")
+def q_field_coverage(spark, sf_dir):
+    """B1, B2, E2 over both datasets (absent fields skipped)."""
+    raw, prices = load_fixtures(spark, sf_dir)
+    return A.stack_metrics([
+        _tagged(A.field_coverage(raw, J.PRODUCT_CORE_FIELDS), dataset="products"),
+        _tagged(A.field_coverage(prices, J.PRICE_CORE_FIELDS), dataset="prices")])
+
+
+@query("named_entry_coverage")
+def q_named_entry_coverage(spark, sf_dir):
+    """B3, E3."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    return A.named_entry_coverage(raw, J.NUTRIENTS_OF_INTEREST)
+
+
+@query("numeric_profile")
+def q_numeric_profile(spark, sf_dir):
+    """Min, exact median, mean, nearest-rank p95/p99, max."""
+    raw, prices = load_fixtures(spark, sf_dir)
+    return A.stack_metrics([
+        _tagged(A.numeric_profile(raw, J.PRODUCT_NUMERIC), dataset="products"),
+        _tagged(A.numeric_profile(prices, J.PRICE_NUMERIC), dataset="prices")])
+
+
+@query("derived_quality")
+def q_derived_quality(spark, sf_dir):
+    """B15, B16, E5, E6."""
+    raw, prices = load_fixtures(spark, sf_dir)
+    return J.derived_quality(raw, prices)
+
+
+@query("date_profile")
+def q_date_profile(spark, sf_dir):
+    """E7."""
+    _, prices = load_fixtures(spark, sf_dir)
+    return A.date_profile(prices, "date")
+
+
+@query("join_coverage")
+def q_join_coverage(spark, sf_dir):
+    """D4, D5, E14, H1."""
+    raw, prices = load_fixtures(spark, sf_dir)
+    return A.join_coverage(raw, prices)
+
+
+@query("top_array_values")
+def q_top_array_values(spark, sf_dir):
+    """G1: top-20 tags (null elements dropped) of the strict level."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    strict = raw.filter(P.filter_ladder(raw.schema)["strict_quality_ready"])
+    return J.top_table(strict, J.PRODUCT_TOP_LISTS, 20, explode=True)
+
+
+@query("top_array_values_nullkeep")
+def q_top_array_values_nullkeep(spark, sf_dir):
+    """Top-20 tags with null elements kept, whole catalogue."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    return J.top_table(raw, J.PRODUCT_TOP_LISTS, 20, explode=True, keep_null=True)
+
+
+@query("top_scalar_values")
+def q_top_scalar_values(spark, sf_dir):
+    """Top-20 non-null values of scalar columns of both datasets."""
+    raw, prices = load_fixtures(spark, sf_dir)
+    return A.stack_metrics([
+        _tagged(J.top_table(raw, J.PRODUCT_TOP_SCALARS, 20, explode=False), dataset="products"),
+        _tagged(J.top_table(prices, J.PRICE_TOP_SCALARS, 20, explode=False), dataset="prices")])
+
+
+@query("allow_list_selection")
+def q_allow_list_selection(spark, sf_dir):
+    """Top countries (exclusion applied) and categories among the
+    rows passing the product filter."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    where = P.product_filter(raw.schema)
+    spec = FIXTURE_SPEC
+    return A.stack_metrics([
+        A.top_values(raw, spec.country_col, spec.top_countries, explode=True, where=where,
+                     exclude=spec.exclude_countries).select(F.lit("countries_tags").alias("column"), "*"),
+        A.top_values(raw, spec.category_col, spec.top_categories, explode=True, where=where,
+                     exclude=spec.exclude_categories).select(F.lit("categories_tags").alias("column"), "*")])
+
+
+@query("filter_ladder")
+def q_filter_ladder(spark, sf_dir):
+    """Eight levels in one pass with price matches."""
+    raw, prices = load_fixtures(spark, sf_dir)
+    return ladder_counts(raw, prices, P.filter_ladder(raw.schema))
+
+
+@query("level_profile")
+def q_level_profile(spark, sf_dir):
+    """E9 of the strict level."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    return level_profile(raw, P.filter_ladder(raw.schema)["strict_quality_ready"])
+
+
+@query("value_distribution")
+def q_value_distribution(spark, sf_dir):
+    """Value counts (null kept) of six columns across the outputs."""
+    raw, _, products, aligned, _ = _summary(spark, sf_dir)
+    strict = raw.filter(P.filter_ladder(raw.schema)["strict_quality_ready"])
+    parts = [
+        (strict, "strict", "nutriscore_grade"), (strict, "strict", "nova_group"),
+        (products, "products_main", "analysis_country_tag"),
+        (products, "products_main", "analysis_category_tag"),
+        (aligned, "prices_aligned", "currency"),
+        (aligned, "prices_aligned", "location_osm_address_country_code"),
+    ]
+    return A.stack_metrics([
+        A.value_distribution(df, col).select(F.lit(src).alias("source"), F.lit(col).alias("column"),
+                                             F.col("value").cast("string").alias("value"), "count")
+        for df, src, col in parts])
+
+
+@query("price_currency_medians")
+def q_price_currency_medians(spark, sf_dir):
+    """E11."""
+    _, _, _, aligned, _ = _summary(spark, sf_dir)
+    return R.currency_medians(aligned)
+
+
+@query("alignment_counters")
+def q_alignment_counters(spark, sf_dir):
+    """B14, E12."""
+    _, _, products, aligned, summary = _summary(spark, sf_dir)
+    return J.alignment_counters(products, aligned, summary)
+
+
+@query("preprocess_counters")
+def q_preprocess_counters(spark, sf_dir):
+    """E13 (counters)."""
+    raw, _, products, _, summary = _summary(spark, sf_dir)
+    return J.preprocess_counters(raw, products, summary)
+
+
+@query("selected_tag_counts")
+def q_selected_tag_counts(spark, sf_dir):
+    """E13 (selected tags with attributed rows, missing -> 0)."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    countries, categories = select_allow_lists(raw, FIXTURE_SPEC)
+    _, _, products = fixture_products_main(spark, sf_dir)
+    return J.selected_tag_counts(products, {"analysis_country_tag": countries,
+                                            "analysis_category_tag": categories})
+
+
+@query("schema_required")
+def q_schema_required(spark, sf_dir):
+    """A3: required-field spec against both fixture schemas."""
+    raw, prices = load_fixtures(spark, sf_dir)
+    return A.stack_metrics([
+        _tagged(A.required_field_matrix(raw, J.PRODUCT_REQUIRED), dataset="products"),
+        _tagged(A.required_field_matrix(prices, J.PRICE_REQUIRED), dataset="prices")])
+
+
+@query("schema_columns")
+def q_schema_columns(spark, sf_dir):
+    """A2 (engine-neutral part): column names in schema order."""
+    raw, prices = load_fixtures(spark, sf_dir)
+    return A.stack_metrics([
+        _tagged(A.schema_profile(raw).select("position", "column"), dataset="products"),
+        _tagged(A.schema_profile(prices).select("position", "column"), dataset="prices")])
+
+
+# ------------------------------------------------------- row-level scalars
+
+@query("energy_fallback")
+def q_energy_fallback(spark, sf_dir):
+    """C9, C10 over every catalogue row."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    x = raw.select("code", "src_seq",
+                   N.named_value("nutriments", "energy-kcal").alias("kcal_raw"),
+                   N.named_value("nutriments", "energy-kj").alias("kj_raw"),
+                   N.named_value("nutriments", "energy").alias("energy_raw"))
+    return x.withColumns({"energy_kcal_100g": S.energy_kcal("kcal_raw", "kj_raw", "energy_raw"),
+                          "energy_kj_100g": S.energy_kj("kcal_raw", "kj_raw", "energy_raw")})
+
+
+@query("country_code_map")
+def q_country_code_map(spark, sf_dir):
+    """C11: first country tag -> code through the map, unmapped -> null."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    x = raw.select("code", "src_seq", N.first_tag("countries_tags").alias("country_tag"))
+    return x.withColumn("country_code", S.map_code("country_tag", FIXTURE_COUNTRY_CODES))
+
+
+@query("present_count")
+def q_present_count(spark, sf_dir):
+    """C12, C13."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    names = {"fat_100g": "fat", "saturated_fat_100g": "saturated-fat",
+             "carbohydrates_100g": "carbohydrates", "sugars_100g": "sugars",
+             "proteins_100g": "proteins", "salt_100g": "salt", "sodium_100g": "sodium",
+             "fiber_100g": "fiber"}
+    x = raw.select("code", "src_seq",
+                   N.named_value("nutriments", "energy-kcal").alias("energy_kcal_100g"),
+                   *[N.named_value("nutriments", n).alias(c) for c, n in names.items()])
+    cnt = S.count_present(["energy_kcal_100g", "fat_100g", "saturated_fat_100g",
+                           "carbohydrates_100g", "sugars_100g", "proteins_100g",
+                           ("salt_100g", "sodium_100g"), "fiber_100g"])
+    return (x.select("code", "src_seq", cnt.alias("nutrition_fields_present_count"))
+            .withColumn("nutrient_field_fill_rate", S.fill_rate("nutrition_fields_present_count")))
+
+
+@query("clip_safe_div")
+def q_clip_safe_div(spark, sf_dir):
+    """Safe division, null-preserving clip, |x| with null -> 0,
+    weighted sum, exact half-up percentage."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    x = raw.select(
+        "code", "src_seq",
+        S.safe_div(F.col("nutriscore_score"), F.col("nova_group") - F.lit(4)).alias("ratio"),
+        S.clip(F.col("nutriscore_score") / F.lit(10.0), 0.0, 1.0).alias("clipped"),
+        S.pct(N.size_or_zero("labels_tags"), N.size_or_zero("data_quality_warnings_tags"),
+              zero=None).alias("labels_per_warning_pct"),
+        S.pct(F.col("unique_scans_n"), F.col("scans_n") * F.lit(3)).alias("scan_pct"),
+    )
+    return x.withColumn("weighted", S.weighted_abs_sum({"ratio": 0.5, "clipped": 0.25}))
+
+
+@query("dedup_keep_first")
+def q_dedup_keep_first(spark, sf_dir):
+    """One row per code, the first by src_seq."""
+    raw, _ = load_fixtures(spark, sf_dir)
+    return keep_first(raw.select("code", "src_seq", "completeness", "brands"), ["code"], ["src_seq"])
+
+
+@query("primary_price")
+def q_primary_price(spark, sf_dir):
+    """Top-1 summary row per product."""
+    _, _, _, _, summary = _summary(spark, sf_dir)
+    return primary_price(summary)
+
+
+@query("products_left_price")
+def q_products_left_price(spark, sf_dir):
+    """Every product with its primary price."""
+    return _base(spark, sf_dir).select(
+        "code", "currency", "location_osm_address_country_code", "price_median",
+        "price_record_count", "has_price", "any_same_market_match", "nutrient_field_fill_rate",
+        "has_quality_warning", "has_quality_error", "nova_scaled")
+
+
+@query("salt_clean_price")
+def q_salt_clean_price(spark, sf_dir):
+    """C14-C16."""
+    return _base(spark, sf_dir).select("code", "salt_equivalent_100g", "price_median_clean",
+                                       "nutriscore_good_direction")
+
+
+# ----------------------------------------------------------------- peers
+
+def peer_measures():
+    return {
+    "nutriscore_good_percentile": F.col("nutriscore_good_direction"),
+    "nova_good_percentile": -F.col("nova_group"),
+    "sugars_good_percentile": -F.col("sugars_100g"),
+    "salt_good_percentile": -F.col("salt_equivalent_100g"),
+    "proteins_good_percentile": F.col("proteins_100g"),
+    "sugars_percentile": F.col("sugars_100g"),
+    "salt_percentile": F.col("salt_equivalent_100g"),
+    "fat_percentile": F.col("fat_100g"),
+    "saturated_fat_percentile": F.col("saturated_fat_100g"),
+    "energy_percentile": F.col("energy_kcal_100g"),
+    "price_percentile_within_peer": F.col("price_median_clean"),
+    }
+
+
+GROUP_KEYS = ["analysis_country_tag", "analysis_category_tag"]
+
+
+@query("peer_percentiles")
+def q_peer_percentiles(spark, sf_dir):
+    """eleven average-rank percentiles per peer group."""
+    measures = peer_measures()
+    df = peer_percentiles(_base(spark, sf_dir), measures, GROUP_KEYS)
+    return df.select("code", *measures)
+
+
+@query("price_percentile")
+def q_price_percentile(spark, sf_dir):
+    """price percentile on (country code, currency, category)."""
+    df = peer_percentiles(_base(spark, sf_dir), {"price_median_percentile": F.col("price_median_clean")},
+                          ["analysis_country_code", "currency", "analysis_category_tag"])
+    return df.select("code", "price_median_percentile")
+
+
+@query("robust_z")
+def q_robust_z(spark, sf_dir):
+    """Robust z of seven measures per peer group."""
+    base = _base(spark, sf_dir).withColumn("data_completeness_score", SC.completeness_score())
+    measures = {
+        "price_robust_z": F.col("price_median_clean"),
+        "sugars_robust_z": F.col("sugars_100g"),
+        "salt_robust_z": F.col("salt_equivalent_100g"),
+        "saturated_fat_robust_z": F.col("saturated_fat_100g"),
+        "nutriscore_robust_z": F.col("nutriscore_score"),
+        "nova_robust_z": F.col("nova_group").cast("double"),
+        "data_completeness_robust_z": F.col("data_completeness_score"),
+    }
+    return robust_z(base, measures, GROUP_KEYS).select("code", *measures)
+
+
+@query("completeness_score")
+def q_completeness_score(spark, sf_dir):
+    """I2, F4."""
+    base = _base(spark, sf_dir).withColumn("data_completeness_score", SC.completeness_score())
+    df = peer_percentiles(base, {"data_completeness_percentile": F.col("data_completeness_score")}, GROUP_KEYS)
+    return df.select("code", "data_completeness_score", "data_completeness_percentile")
+
+
+# -------------------------------------------------------- analysis table
+
+@query("products_analysis")
+def q_products_analysis(spark, sf_dir):
+    """The 69-column analysis table."""
+    return _analysis(spark, sf_dir)
+
+
+@query("health_score")
+def q_health_score(spark, sf_dir):
+    """I1, F4."""
+    return _analysis(spark, sf_dir).select("code", "health_score_composite", "health_score_percentile")
+
+
+@query("value_index")
+def q_value_index(spark, sf_dir):
+    """I3."""
+    return _analysis(spark, sf_dir).select("code", "health_score_percentile", "price_median_percentile",
+                                           "price_nutrition_value_index")
+
+
+@query("anomaly_score")
+def q_anomaly_score(spark, sf_dir):
+    """I4."""
+    return _analysis(spark, sf_dir).select("code", "peer_anomaly_score")
+
+
+@query("flags")
+def q_flags(spark, sf_dir):
+    """I5-I7."""
+    return _analysis(spark, sf_dir).select("code", "flag_high_price_low_health",
+                                           "flag_high_sugar_high_nova",
+                                           "flag_low_completeness_many_warnings")
+
+
+@query("analysis_design_variant")
+def q_analysis_design_variant(spark, sf_dir):
+    """K7: the design-note formulas (1 - nova_scaled, 1 - percentile; value
+    index keyed by location country)."""
+    df = _analysis(spark, sf_dir, AnalysisSpec(health="design"))
+    return df.select("code", "health_score_composite", "price_median_percentile",
+                     "price_nutrition_value_index")
+
+
+# ---------------------------------------------------------------- rollups
+
+@query("brand_concentration")
+def q_brand_concentration(spark, sf_dir):
+    """K1 on products_main."""
+    return R.brand_concentration(fixture_products_main(spark, sf_dir)[2])
+
+
+@query("country_overview")
+def q_country_overview(spark, sf_dir):
+    """K2."""
+    return R.country_overview(_analysis(spark, sf_dir))
+
+
+@query("nutrition_structure")
+def q_nutrition_structure(spark, sf_dir):
+    """K3 by (country, category) and (country, brand)."""
+    an = _analysis(spark, sf_dir)
+    by_cat = R.nutrition_structure(an, ["analysis_country_tag", "analysis_category_tag"]).select(
+        F.lit("category").alias("view"), "analysis_country_tag",
+        F.col("analysis_category_tag").alias("member"), "measure", "n", "mean", "median")
+    by_brand = R.nutrition_structure(an, ["analysis_country_tag", "primary_brand_tag"]).select(
+        F.lit("brand").alias("view"), "analysis_country_tag",
+        F.col("primary_brand_tag").alias("member"), "measure", "n", "mean", "median")
+    return by_cat.unionByName(by_brand)
+
+
+@query("anomaly_feed")
+def q_anomaly_feed(spark, sf_dir):
+    """K4: top-100 anomalies (the limit is the feature)."""
+    return R.anomaly_feed(_analysis(spark, sf_dir), 100)
+
+
+@query("currency_feed")
+def q_currency_feed(spark, sf_dir):
+    """K5."""
+    return R.currency_feed(_analysis(spark, sf_dir))
+
+
+@query("product_detail")
+def q_product_detail(spark, sf_dir):
+    """K6: full rows of every flagged product (code list derived by Spark)."""
+    an = _analysis(spark, sf_dir)
+    codes = an.filter(F.col("flag_high_price_low_health") | F.col("flag_high_sugar_high_nova")
+                      | F.col("flag_low_completeness_many_warnings")).select("code")
+    return R.product_detail(an, codes)
