@@ -226,3 +226,67 @@ def audit_alignment(raw: DataFrame, products_main: DataFrame, aligned: DataFrame
 def join_match_tables(products: DataFrame, prices: DataFrame) -> tuple[DataFrame, DataFrame]:
     """D4 and D5 as tables (matched distinct codes, matched price rows)."""
     return matched_codes(prices, products), matched_rows(prices, products)
+
+
+# Which audited figures support which analysis task (E16).  The reference
+# attaches prose and a status word to these; only the figures are built.
+TASK_METRICS = {
+    "T1_global_nutrition_structure": [
+        ("rows", "products", "food_rows"),
+        ("derived", "products", "valid_nutriscore_grade_a_to_e"),
+        ("coverage", "products", "nutriscore_score"),
+        ("coverage", "products", "nova_group"),
+        ("nutrient", "products", "sugars"),
+        ("nutrient", "products", "salt"),
+        ("nutrient", "products", "fat"),
+    ],
+    "T2_price_health_relationship": [
+        ("rows", "prices", "price_rows"),
+        ("coverage", "prices", "price"),
+        ("coverage", "prices", "currency"),
+        ("coverage", "prices", "date"),
+        ("derived", "prices", "price_currency_date_geo_ready"),
+        ("join", "prices", "matched_price_rows_pct"),
+    ],
+    "T3_label_transparency": [
+        ("coverage", "products", "completeness"),
+        ("coverage", "products", "labels_tags"),
+        ("coverage", "products", "ingredients_text"),
+    ],
+    "T4_peer_comparison_and_anomalies": [
+        ("derived", "products", "has_country_category_and_brand"),
+        ("join", "prices", "matched_price_rows_pct"),
+    ],
+}
+
+
+def task_readiness(products: DataFrame, prices: DataFrame) -> DataFrame:
+    """(task, source, metric, value) long table of the coverage figures
+    (percentages; row counts for the ``rows`` source) behind each task."""
+    spark = products.sparkSession
+    cov = A.stack_metrics([
+        _tag(A.field_coverage(products, PRODUCT_CORE_FIELDS), dataset="products"),
+        _tag(A.field_coverage(prices, PRICE_CORE_FIELDS), dataset="prices")]).select(
+        F.lit("coverage").alias("source"), "dataset", F.col("field").alias("metric"),
+        F.col("coverage_pct").alias("value"))
+    der = derived_quality(products, prices).select(
+        F.lit("derived").alias("source"), "dataset", "metric", F.col("coverage_pct").alias("value"))
+    nut = A.named_entry_coverage(products, NUTRIENTS_OF_INTEREST).select(
+        F.lit("nutrient").alias("source"), F.lit("products").alias("dataset"),
+        F.col("nutrient").alias("metric"), F.col("coverage_pct").alias("value"))
+    join = A.join_coverage(products, prices).select(
+        F.lit("join").alias("source"), F.lit("prices").alias("dataset"),
+        F.lit("matched_price_rows_pct").alias("metric"), F.col("matched_price_rows_pct").alias("value"))
+    rows = A.stack_metrics([
+        products.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+            F.lit("rows").alias("source"), F.lit("products").alias("dataset"),
+            F.lit("food_rows").alias("metric"), "value"),
+        prices.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+            F.lit("rows").alias("source"), F.lit("prices").alias("dataset"),
+            F.lit("price_rows").alias("metric"), "value")])
+    figures = A.stack_metrics([cov, der, nut, join, rows])
+    wanted = spark.createDataFrame(
+        [(t, s, d, m, i) for t, ms in TASK_METRICS.items() for i, (s, d, m) in enumerate(ms)],
+        "task string, source string, dataset string, metric string, position int")
+    return (wanted.join(figures, on=["source", "dataset", "metric"], how="left")
+            .select("task", "position", "source", "dataset", "metric", "value"))

@@ -81,7 +81,7 @@ def _summary(spark, sf_dir):
 
 def _analysis(spark, sf_dir, spec: AnalysisSpec = AnalysisSpec()):
     _, _, products, _, summary = _summary(spark, sf_dir)
-    return build_analysis(products, summary, spec)
+    return stage(build_analysis(products, summary, spec), "analysis")
 
 
 def _base(spark, sf_dir):
@@ -497,3 +497,10 @@ def q_product_detail(spark, sf_dir):
     codes = an.filter(F.col("flag_high_price_low_health") | F.col("flag_high_sugar_high_nova")
                       | F.col("flag_low_completeness_many_warnings")).select("code")
     return R.product_detail(an, codes)
+
+
+@query("task_readiness")
+def q_task_readiness(spark, sf_dir):
+    """The audited figures behind each analysis task."""
+    raw, prices = load_fixtures(spark, sf_dir)
+    return J.task_readiness(raw, prices)
