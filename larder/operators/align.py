@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.predicates import same_market
-from larder.operators.ranks import DEFAULT_SPLITS, GROUP, group_median, value_counts, with_group
+from larder.operators.ranks import GROUP, group_median, value_counts, with_group
+from larder.operators.strategy import resolve
 
 # Product columns brought to each price row (key + 18 attributes).
 PRODUCT_JOIN_COLS = [
@@ -70,15 +71,17 @@ def align_prices(prices: DataFrame, products: DataFrame,
 
 
 def summarise_prices(aligned: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
-                     median: str = "freq", splits: int = DEFAULT_SPLITS) -> DataFrame:
+                     median: str = "auto", splits: int | None = None) -> DataFrame:
     """Per key tuple: count, min, exact median, mean, max, any
     same-market match (all-null gives false), first and last date.
 
     ``median="freq"`` computes the median from a frequency table with split
     prefix sums (no task holds a whole group); ``"builtin"`` uses Spark's
     exact ``median`` aggregate, whose final merge buffers every distinct
-    price of a group in one task."""
+    price of a group in one task, so ``"auto"`` uses it only when the
+    input provably fits one task."""
     keys = list(keys)
+    median = resolve(median, aligned, "builtin", "freq")
     base = with_group(aligned, keys)
     aggs = [
         F.count(F.lit(1)).cast("int").alias("price_record_count"),

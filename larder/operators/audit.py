@@ -50,7 +50,7 @@ def named_entry_coverage(df: DataFrame, names: Sequence[str], col: str = "nutrim
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str], qs: Mapping[str, float] | None = None,
-                    splits: int = 16) -> DataFrame:
+                    splits: int | None = None) -> DataFrame:
     """(column, min, median, mean, p95, p99, max) per numeric column,
     quantiles by nearest rank, median interpolated; all exact.
 
@@ -106,6 +106,24 @@ def allow_list(df: DataFrame, column: str, limit: int, where: Column | None = No
     return [r["value"] for r in rows]
 
 
+def allow_lists(df: DataFrame, specs: Mapping[str, tuple[int, Sequence[str]]],
+                where: Column | None = None) -> dict[str, list[str]]:
+    """G4 for several list columns in one job: ``specs`` maps a column to
+    (limit, exclusions).  The per-column top-k's are unioned and collected
+    together: at most sum(limit) short strings reach the driver."""
+    for limit, _ in specs.values():
+        if limit > 10000:
+            raise ValueError("allow-lists are literals in the plan; keep them small")
+    parts = [top_values(df, col, limit, explode=True, where=where, exclude=excl)
+             .select(F.lit(col).alias("column"), "value", "count")
+             for col, (limit, excl) in specs.items()]
+    rows = stack_metrics(parts).collect()
+    out: dict[str, list[tuple[int, str]]] = {c: [] for c in specs}
+    for r in rows:
+        out[r["column"]].append((-r["count"], r["value"]))
+    return {c: [v for _, v in sorted(vals)] for c, vals in out.items()}
+
+
 def value_distribution(df: DataFrame, column: str, by_count: bool = True) -> DataFrame:
     """(value, count) for every value, null kept as its own group."""
     return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("count"))

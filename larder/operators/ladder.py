@@ -47,7 +47,7 @@ def ladder_counts(products: DataFrame, prices: DataFrame, levels: Mapping[str, C
     )
 
 
-def level_profile(products: DataFrame, level: Column, splits: int = 16) -> DataFrame:
+def level_profile(products: DataFrame, level: Column, splits: int | None = None) -> DataFrame:
     """Rows, distinct codes (null counted as a value), exact medians of
     nutriscore_score, nova_group and completeness, mean completeness."""
     rows = products.filter(level).select("code", "nutriscore_score", "nova_group", "completeness")

@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.scalars import safe_div
-from larder.operators.ranks import (DEFAULT_SPLITS, GROUP, median_and_mad, prefix_counts,
-                                    value_counts, with_group)
+from larder.operators.ranks import GROUP, median_and_mad, prefix_counts, value_counts, with_group
+from larder.operators.strategy import resolve
 
 MEASURE = "_m"
 VALUE = "_v"
@@ -43,13 +43,15 @@ def _stack(df: DataFrame, id_col: str, measures: Mapping[str, Column | str]) ->
 
 
 def peer_percentiles(df: DataFrame, measures: Mapping[str, Column | str], keys: Sequence[str],
-                     id_col: str = "code", method: str = "freq",
-                     splits: int = DEFAULT_SPLITS) -> DataFrame:
+                     id_col: str = "code", method: str = "auto",
+                     splits: int | None = None) -> DataFrame:
     """add one column per measure holding the average rank of
     the row's value among the non-null values of its peer group divided by
     the number of *all* rows in the group (nulls included); null values get
-    null.  ``id_col`` must be unique per row (method ``freq``)."""
+    null.  ``id_col`` must be unique per row (method ``freq``).  ``auto``
+    takes ``window`` only when the input provably fits one task."""
     keys = list(keys)
+    method = resolve(method, df, "window", "freq")
     if method == "window":
         return _percentiles_window(df, measures, keys)
     if method != "freq":
@@ -84,7 +86,7 @@ def _percentiles_window(df: DataFrame, measures: Mapping[str, Column | str],
 
 
 def group_median_mad(df: DataFrame, measures: Mapping[str, Column | str], keys: Sequence[str],
-                     splits: int = DEFAULT_SPLITS) -> DataFrame:
+                     splits: int | None = None) -> DataFrame:
     """one row per peer group with ``<m>__median`` and ``<m>__mad``
     for every measure (exact, from frequency tables)."""
     keys = list(keys)
@@ -103,13 +105,14 @@ MAD_EPSILON = 1e-6
 
 
 def robust_z(df: DataFrame, measures: Mapping[str, Column | str], keys: Sequence[str],
-             method: str = "freq", splits: int = DEFAULT_SPLITS,
+             method: str = "auto", splits: int | None = None,
              mad_floor: float | None = None, z_cap: float | None = None) -> DataFrame:
     """``(x - median) / (MAD + 1e-6)`` per peer group, null only when
     x is null (or the whole group is null).  ``mad_floor`` / ``z_cap`` are
     opt-in guards against zero-MAD groups; the defaults keep the
     reference's behaviour."""
     keys = list(keys)
+    method = resolve(method, df, "window", "freq")
     if method == "window":
         return _robust_z_window(df, measures, keys, mad_floor, z_cap)
     stats = group_median_mad(df, measures, keys, splits)

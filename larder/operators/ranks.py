@@ -20,6 +20,11 @@ group in one task).  Instead:
 
 Groups are carried as one non-null struct column ``_g`` so that null keys
 form a group of their own and joins stay plain equi-joins on one column.
+
+``splits=None`` (the default everywhere) applies the size check of
+:mod:`larder.operators.strategy`: an input that provably fits one task uses
+one split (a plain window over the frequency table) or Spark's exact
+weighted ``percentile``; larger inputs always take the split plan.
 """
 
 from __future__ import annotations
@@ -29,10 +34,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.operators.strategy import fits_one_task
+
 GROUP = "_g"
 DEFAULT_SPLITS = 16
 
 
+def resolve_splits(freq: DataFrame, splits: int | None) -> int:
+    """``None`` means: one split when the input provably fits one task,
+    else ``DEFAULT_SPLITS`` (see :mod:`larder.operators.strategy`)."""
+    if splits is not None:
+        return splits
+    return 1 if fits_one_task(freq) else DEFAULT_SPLITS
+
+
 def with_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the group struct ``_g`` (an empty struct-free constant when there
     are no keys, so that global statistics use the same code path)."""
@@ -49,10 +64,11 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = (GROUP,),
 
 
 def prefix_counts(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
-                  splits: int = DEFAULT_SPLITS, accuracy: int = 10000) -> DataFrame:
+                  splits: int | None = None, accuracy: int = 1000) -> DataFrame:
     """Add ``below``: total ``c`` of the strictly smaller values of the same
     ``by`` group.  ``freq`` must hold one row per (by, value)."""
     by = list(by)
+    splits = resolve_splits(freq, splits)
     if splits <= 1:
         w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
         return freq.withColumn("below", F.coalesce(F.sum("c").over(w), F.lit(0)).cast("long"))
@@ -108,15 +124,23 @@ def _median_from(lo: Column, hi: Column) -> Column:
 
 
 def group_median(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
-                 splits: int = DEFAULT_SPLITS, out: str = "median") -> DataFrame:
-    """Exact median of each group from its frequency table -> (by..., out)."""
+                 splits: int | None = None, out: str = "median") -> DataFrame:
+    """Exact median of each group from its frequency table -> (by..., out).
+
+    When the input provably fits one task (and ``splits`` is not forced),
+    Spark's exact weighted ``percentile`` does it in one aggregate: its
+    buffer holds the distinct values of a group.  Otherwise the split
+    prefix sums are used."""
+    by = list(by)
+    if splits is None and fits_one_task(freq):
+        return freq.groupBy(*by).agg(F.percentile(value, 0.5, F.col("c")).alias(out))
     pref = prefix_counts(freq, value, by, splits)
     at = values_at(pref, value, _median_positions(), by)
     return at.select(*by, _median_from(F.col("_lo"), F.col("_hi")).alias(out))
 
 
 def nearest_rank(freq: DataFrame, value: str, qs: Mapping[str, float],
-                 by: Sequence[str] = (GROUP,), splits: int = DEFAULT_SPLITS,
+                 by: Sequence[str] = (GROUP,), splits: int | None = None,
                  median: str | None = None) -> DataFrame:
     """Nearest-rank quantiles: the value at 0-based sorted index
     ``floor((n - 1) * q + 0.5)`` among the non-nulls, per group; optionally
@@ -134,7 +158,7 @@ def nearest_rank(freq: DataFrame, value: str, qs: Mapping[str, float],
 
 
 def median_and_mad(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
-                   splits: int = DEFAULT_SPLITS) -> DataFrame:
+                   splits: int | None = None) -> DataFrame:
     """(by..., median, mad): exact median and median absolute deviation
     (no consistency factor) per group, both from frequency tables."""
     by = list(by)

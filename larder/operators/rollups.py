@@ -17,7 +17,7 @@ from larder.operators.ranks import GROUP, group_median, value_counts, with_group
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column | str],
-                splits: int = 16) -> DataFrame:
+                splits: int | None = None) -> DataFrame:
     """(keys..., measure, n, mean, median): per group and measure the non-null
     count, mean and exact median; measures are stacked long so one pass
     serves all of them."""
@@ -36,7 +36,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Colum
             .select(*keys, "measure", "n", "mean", "median"))
 
 
-def currency_medians(aligned: DataFrame, splits: int = 16) -> DataFrame:
+def currency_medians(aligned: DataFrame, splits: int | None = None) -> DataFrame:
     """Per currency (null kept): rows, exact median and mean price."""
     base = with_group(aligned, ["currency"])
     basic = base.groupBy(GROUP).agg(F.first("currency").alias("currency"),
@@ -110,7 +110,7 @@ STRUCTURE_MEASURES = {
 
 
 def nutrition_structure(analysis: DataFrame, keys: Sequence[str] = ("analysis_country_tag", "analysis_category_tag"),
-                        splits: int = 16) -> DataFrame:
+                        splits: int | None = None) -> DataFrame:
     """K3: per (country, category) or (country, brand): n, mean and exact
     median of the six nutrition measures, long format."""
     return group_stats(analysis, keys, STRUCTURE_MEASURES, splits)

@@ -1,0 +1,51 @@
+"""Size-checked choice between single-task and split group statistics.
+
+Exact group statistics (percentiles, medians, MADs, quantiles) have two
+plans with identical results:
+
+* a *single-task* plan (windows over the group, Spark's exact
+  ``percentile`` aggregate): fewest stages, but one task sees a whole group;
+* a *split* plan (frequency tables and split prefix sums, see
+  :mod:`larder.operators.ranks`): more stages, no task ever sees a whole
+  group.
+
+The single-task plan is only used behind a size check, the way a broadcast
+is: when the optimizer's size estimate of the *whole input* is at most
+``larder.singleTaskBytes`` (default 512 MiB), no group can be larger than
+that, so one task per group is safe.  Anything larger, or an input whose
+size cannot be estimated, takes the split plan.  The setting is read from
+the session, so a job can force either plan (0 forces the split plan).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SINGLE_TASK_BYTES_CONF = "larder.singleTaskBytes"
+DEFAULT_SINGLE_TASK_BYTES = 512 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (no job is run), or None."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - no JVM plan (e.g. Spark Connect): unknown size
+        return None
+
+
+def single_task_limit(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(SINGLE_TASK_BYTES_CONF, None)
+    return DEFAULT_SINGLE_TASK_BYTES if value is None else int(value)
+
+
+def fits_one_task(df: DataFrame) -> bool:
+    """True when the whole input is provably small enough for one task."""
+    size = estimated_bytes(df)
+    return size is not None and size <= single_task_limit(df)
+
+
+def resolve(method: str, df: DataFrame, small: str, large: str) -> str:
+    """Map ``"auto"`` to ``small`` or ``large`` by the size check."""
+    if method != "auto":
+        return method
+    return small if fits_one_task(df) else large

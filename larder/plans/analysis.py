@@ -55,8 +55,8 @@ ANALYSIS_COLS = [
 class AnalysisSpec:
     group_keys: Sequence[str] = GROUP_KEYS
     price_keys: Sequence[str] = PRICE_KEYS
-    method: str = "freq"           # "freq" (skew-proof) or "window"
-    splits: int = 16
+    method: str = "auto"           # "freq" (skew-proof), "window", or size-checked "auto"
+    splits: int | None = None      # None: 1 if the input fits one task, else 16
     health: str = "code"           # K7: "code" (default) or "design" formula
     materialize: bool = True       # write each pass to the checkpoint folder
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from larder.functions import nested as N
 from larder.functions import predicates as P
 from larder.functions import scalars as S
-from larder.operators.audit import allow_list
+from larder.operators.audit import allow_lists
 from larder.operators.dedup import keep_first
 
 # The reference's country-tag -> ISO code map (11 entries).
@@ -78,9 +78,9 @@ def select_allow_lists(raw: DataFrame, spec: ProductSpec = ProductSpec()) -> tup
     """G4 x 2: the top countries (exclusions applied) and top categories
     among rows that pass the product filter."""
     where = P.product_filter(raw.schema)
-    countries = allow_list(raw, spec.country_col, spec.top_countries, where, spec.exclude_countries)
-    categories = allow_list(raw, spec.category_col, spec.top_categories, where, spec.exclude_categories)
-    return countries, categories
+    lists = allow_lists(raw, {spec.country_col: (spec.top_countries, spec.exclude_countries),
+                              spec.category_col: (spec.top_categories, spec.exclude_categories)}, where)
+    return lists[spec.country_col], lists[spec.category_col]
 
 
 def build_products(raw: DataFrame, countries: Sequence[str], categories: Sequence[str],

@@ -83,3 +83,28 @@ def test_zero_mad_group(spark):
     assert abs(z["out"] - 1e6) < 1e-3
     capped = {r.code: r.z for r in robust_z(df, {"z": F.col("x")}, ["g"], z_cap=10.0).collect()}
     assert capped["out"] == 10.0
+
+
+def test_analysis_split_plan_equals_window_plan(spark):
+    from larder.plans.analysis import AnalysisSpec, build_analysis
+    from larder.plans.fixture_spec import fixture_prices
+    from conftest import SF_SMALL
+    _, _, products, _, summary = fixture_prices(spark, SF_SMALL)
+    cols = ["code", "nutriscore_good_percentile", "price_median_percentile", "health_score_percentile",
+            "data_completeness_percentile", "price_robust_z", "nova_robust_z", "peer_anomaly_score"]
+    a = {r.code: r for r in build_analysis(products, summary, AnalysisSpec(method="freq", splits=4))
+         .select(*cols).collect()}
+    b = {r.code: r for r in build_analysis(products, summary, AnalysisSpec(method="window"))
+         .select(*cols).collect()}
+    assert a == b and len(a) > 0
+
+
+def test_auto_strategy_respects_size_check(spark):
+    from larder.operators.strategy import fits_one_task
+    df = spark.range(10)
+    assert fits_one_task(df)
+    spark.conf.set("larder.singleTaskBytes", "0")
+    try:
+        assert not fits_one_task(df)
+    finally:
+        spark.conf.unset("larder.singleTaskBytes")
