@@ -137,6 +137,12 @@ def currency_feed(analysis: DataFrame) -> DataFrame:
         "health_score_composite", "health_score_percentile", "price_nutrition_value_index")
 
 
+def write_currency_feed(analysis: DataFrame, path: str) -> None:
+    """K5 sink: one folder per currency, so a reader filtering on one currency
+    lists only its folder (partition pruning)."""
+    currency_feed(analysis).write.mode("overwrite").partitionBy("currency").parquet(path)
+
+
 def product_detail(analysis: DataFrame, codes: DataFrame, key: str = "code") -> DataFrame:
     """K6: all fields of the products whose code is in ``codes`` (semi-join;
     the code list may be as large as the table)."""

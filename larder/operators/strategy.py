@@ -28,7 +28,7 @@ DEFAULT_SINGLE_TASK_BYTES = 512 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (no job is run), or None."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no JVM plan (e.g. Spark Connect): unknown size
         return None
 

@@ -47,3 +47,33 @@ def test_sinks_roundtrip(spark):
     sizes = io.file_sizes(spark.read.parquet(f"{SF_SMALL}/part.parquet")).collect()
     assert len(sizes) == 1 and sizes[0].file_size > 0
     assert io.optional_row_count(spark, os.path.join(root, "missing")).first().rows is None
+
+
+def test_narrow_nested_read_prunes_struct_fields(spark):
+    root = tempfile.mkdtemp(prefix="larder-narrow-")
+    path = os.path.join(root, "p")
+    spark.createDataFrame(
+        [("1", [{"name": "fat", "100g": 1.0, "unit": "g", "serving": 2.0}])],
+        "code string, nutriments array<struct<name:string,`100g`:double,unit:string,serving:double>>"
+    ).write.parquet(path)
+    narrow = f"code string, nutriments {io.NARROW_NUTRIMENTS}"
+    df = io.read_table(spark, path, schema=narrow)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "unit" not in plan and "serving" not in plan
+    from larder.functions.nested import named_value
+    assert df.select(named_value("nutriments", "fat")).first()[0] == 1.0
+
+
+def test_clustered_and_partitioned_writes(spark):
+    from larder.operators.rollups import write_currency_feed
+    _, _, products = fixture_products_main(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="larder-cluster-")
+    io.write_clustered(products, os.path.join(root, "by_code"), "code")
+    assert spark.read.parquet(os.path.join(root, "by_code")).count() == products.count()
+    fake = products.select("code", "analysis_country_tag", "analysis_category_tag").withColumns({
+        "has_price": F.lit(True), "currency": F.lit("A"), "any_same_market_match": F.lit(False),
+        "price_median": F.lit(1.0), "price_median_percentile": F.lit(0.5),
+        "health_score_composite": F.lit(0.5), "health_score_percentile": F.lit(0.5),
+        "price_nutrition_value_index": F.lit(0.0)})
+    write_currency_feed(fake, os.path.join(root, "feed"))
+    assert os.path.isdir(os.path.join(root, "feed", "currency=A"))
