@@ -24,6 +24,7 @@ from larder.functions import scalars as S
 from larder.operators import scores as SC
 from larder.operators.dedup import asc, desc, top_one
 from larder.operators.peers import peer_percentiles, robust_z
+from larder.operators.strategy import resolve
 from larder.sources.io import stage
 
 GROUP_KEYS = ("analysis_country_tag", "analysis_category_tag")
@@ -97,15 +98,22 @@ def build_analysis(products: DataFrame, summary: DataFrame,
     ``products`` is unique per code (J1 dedups) and the primary price is
     unique per product, so the left join keeps one row per code and the
     reference's final keep-first is a no-op that costs no shuffle here."""
-    keys, m, sp = list(spec.group_keys), spec.method, spec.splits
+    keys, sp = list(spec.group_keys), spec.splits
+    df = base_table(products, summary)
+    # one size check for the whole job.  It is made on the product table:
+    # the base table has exactly its rows (left join on a unique key), while
+    # Catalyst, lacking key statistics, estimates any join as the product of
+    # its inputs.
+    m = resolve(spec.method, products, "window", "freq")
 
     def cut(df: DataFrame, name: str) -> DataFrame:
-        # each pass reads its input several times (group sizes, stacked
+        # a split pass reads its input several times (group sizes, stacked
         # measures, join back by code): a written table keeps that from
-        # re-running the whole lineage and survives executor loss
-        return stage(df, name) if spec.materialize else df
+        # re-running the whole lineage and survives executor loss.  The
+        # window plan reads its input once and needs no cut.
+        return stage(df, name) if spec.materialize and m == "freq" else df
 
-    df = cut(base_table(products, summary), "analysis-base")
+    df = cut(df, "analysis-base")
 
     peer = {
         "nutriscore_good_percentile": F.col("nutriscore_good_direction"),

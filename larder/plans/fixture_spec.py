@@ -35,15 +35,17 @@ def fixture_products_main(spark: SparkSession, sf_dir: str,
     return raw, prices, (stage(products, "products-main") if materialize else products)
 
 
-def fixture_prices(spark: SparkSession, sf_dir: str, materialize: bool = True):
+def fixture_prices(spark: SparkSession, sf_dir: str, materialize: bool = True,
+                   stage_summary: bool = True):
     """(products_fx, prices_fx, products_main, prices_aligned, summary); the
     aligned table is written once and the summary reads the written copy, so
-    the join is not evaluated twice."""
+    the join is not evaluated twice.  ``stage_summary=False`` leaves the
+    summary as a plan (for a caller that reads it once)."""
     raw, prices, products = fixture_products_main(spark, sf_dir, materialize)
     aligned = align_prices(prices, products)
     if materialize:
         aligned = stage(aligned, "prices-aligned")
     summary = summarise_prices(aligned)
-    if materialize:
+    if materialize and stage_summary:
         summary = stage(summary, "price-summary")
     return raw, prices, products, aligned, summary

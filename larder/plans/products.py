@@ -63,7 +63,9 @@ PRODUCTS_MAIN_COLS = [
 @dataclass(frozen=True)
 class ProductSpec:
     """Parameters of J1.  ``order_by`` defines "first" for the per-code
-    dedup (the reference relies on file order, which Spark lacks)."""
+    dedup (the reference relies on file order, which Spark lacks); columns
+    missing from the input are ignored, and with none left a hash of the
+    output row decides."""
     country_col: str = "countries_tags"
     category_col: str = "categories_tags"
     top_countries: int = 10
@@ -127,6 +129,8 @@ def build_products(raw: DataFrame, countries: Sequence[str], categories: Sequenc
         "energy_kcal_100g", "fat_100g", "saturated_fat_100g", "carbohydrates_100g",
         "sugars_100g", "proteins_100g", ("salt_100g", "sodium_100g"), "fiber_100g"]))
     if dedup:
-        order = order_cols or ["code"]
+        # without an order column, a hash of the whole output row is the
+        # tie-break: deterministic whatever the file and partition order
+        order = order_cols or [F.xxhash64(*PRODUCTS_MAIN_COLS)]
         shaped = keep_first(shaped, ["code"], order)
     return shaped.select(*PRODUCTS_MAIN_COLS)

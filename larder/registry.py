@@ -33,13 +33,13 @@ def query(name: str):
 @query("price_summary")
 def q_price_summary(spark, sf_dir):
     """B13, B17, D1, E1 (J2 -> J3)."""
-    return fixture_prices(spark, sf_dir)[4]
+    return fixture_prices(spark, sf_dir, stage_summary=False)[4]
 
 
 @query("products_main")
 def q_products_main(spark, sf_dir):
     """J1 (B10, B11, G4, C1-C12, G7)."""
-    return fixture_products_main(spark, sf_dir)[2]
+    return fixture_products_main(spark, sf_dir, materialize=False)[2]
 
 
 @query("nested_extract")
@@ -72,6 +72,7 @@ from larder.plans import audits as J  # noqa: E402
 from larder.plans.analysis import AnalysisSpec, base_table, build_analysis, primary_price  # noqa: E402
 from larder.plans.products import select_allow_lists  # noqa: E402
 from larder.sources.fixtures import FIXTURE_COUNTRY_CODES  # noqa: E402
+from larder.operators.strategy import fits_one_task  # noqa: E402
 from larder.sources.io import stage  # noqa: E402
 
 
@@ -79,14 +80,28 @@ def _summary(spark, sf_dir):
     return fixture_prices(spark, sf_dir)
 
 
-def _analysis(spark, sf_dir, spec: AnalysisSpec = AnalysisSpec()):
+def _analysis(spark, sf_dir, spec: AnalysisSpec = AnalysisSpec(), reused: bool = False):
+    """The analysis table; written once when the caller reads it more than
+    once (roll-ups with several aggregates over it)."""
     _, _, products, _, summary = _summary(spark, sf_dir)
-    return stage(build_analysis(products, summary, spec), "analysis")
+    an = build_analysis(products, summary, spec)
+    return stage(an, "analysis") if reused else an
 
 
-def _base(spark, sf_dir):
+def _base_and_method(spark, sf_dir):
+    """The base table and the peer-statistics plan for it.  The base table
+    has the product table's rows (left join on a unique key), so the product
+    table is what the size check measures; the split plans read their input
+    several times, so for them the base table is written once."""
     _, _, products, _, summary = _summary(spark, sf_dir)
-    return stage(base_table(products, summary), "base")
+    base = base_table(products, summary)
+    if fits_one_task(products):
+        return base, "window"
+    return stage(base, "base"), "freq"
+
+
+def _base(spark, sf_dir):
+    return _base_and_method(spark, sf_dir)[0]
 
 
 def _tagged(df, **cols):
@@ -371,22 +386,25 @@ GROUP_KEYS = ["analysis_country_tag", "analysis_category_tag"]
 def q_peer_percentiles(spark, sf_dir):
     """eleven average-rank percentiles per peer group."""
     measures = peer_measures()
-    df = peer_percentiles(_base(spark, sf_dir), measures, GROUP_KEYS)
+    base, method = _base_and_method(spark, sf_dir)
+    df = peer_percentiles(base, measures, GROUP_KEYS, method=method)
     return df.select("code", *measures)
 
 
 @query("price_percentile")
 def q_price_percentile(spark, sf_dir):
     """price percentile on (country code, currency, category)."""
-    df = peer_percentiles(_base(spark, sf_dir), {"price_median_percentile": F.col("price_median_clean")},
-                          ["analysis_country_code", "currency", "analysis_category_tag"])
+    base, method = _base_and_method(spark, sf_dir)
+    df = peer_percentiles(base, {"price_median_percentile": F.col("price_median_clean")},
+                          ["analysis_country_code", "currency", "analysis_category_tag"], method=method)
     return df.select("code", "price_median_percentile")
 
 
 @query("robust_z")
 def q_robust_z(spark, sf_dir):
     """Robust z of seven measures per peer group."""
-    base = _base(spark, sf_dir).withColumn("data_completeness_score", SC.completeness_score())
+    base, method = _base_and_method(spark, sf_dir)
+    base = base.withColumn("data_completeness_score", SC.completeness_score())
     measures = {
         "price_robust_z": F.col("price_median_clean"),
         "sugars_robust_z": F.col("sugars_100g"),
@@ -396,14 +414,16 @@ def q_robust_z(spark, sf_dir):
         "nova_robust_z": F.col("nova_group").cast("double"),
         "data_completeness_robust_z": F.col("data_completeness_score"),
     }
-    return robust_z(base, measures, GROUP_KEYS).select("code", *measures)
+    return robust_z(base, measures, GROUP_KEYS, method=method).select("code", *measures)
 
 
 @query("completeness_score")
 def q_completeness_score(spark, sf_dir):
     """I2, F4."""
-    base = _base(spark, sf_dir).withColumn("data_completeness_score", SC.completeness_score())
-    df = peer_percentiles(base, {"data_completeness_percentile": F.col("data_completeness_score")}, GROUP_KEYS)
+    base, method = _base_and_method(spark, sf_dir)
+    base = base.withColumn("data_completeness_score", SC.completeness_score())
+    df = peer_percentiles(base, {"data_completeness_percentile": F.col("data_completeness_score")},
+                          GROUP_KEYS, method=method)
     return df.select("code", "data_completeness_score", "data_completeness_percentile")
 
 
@@ -468,7 +488,7 @@ def q_country_overview(spark, sf_dir):
 @query("nutrition_structure")
 def q_nutrition_structure(spark, sf_dir):
     """K3 by (country, category) and (country, brand)."""
-    an = _analysis(spark, sf_dir)
+    an = _analysis(spark, sf_dir, reused=True)
     by_cat = R.nutrition_structure(an, ["analysis_country_tag", "analysis_category_tag"]).select(
         F.lit("category").alias("view"), "analysis_country_tag",
         F.col("analysis_category_tag").alias("member"), "measure", "n", "mean", "median")
@@ -493,7 +513,7 @@ def q_currency_feed(spark, sf_dir):
 @query("product_detail")
 def q_product_detail(spark, sf_dir):
     """K6: full rows of every flagged product (code list derived by Spark)."""
-    an = _analysis(spark, sf_dir)
+    an = _analysis(spark, sf_dir, reused=True)
     codes = an.filter(F.col("flag_high_price_low_health") | F.col("flag_high_sugar_high_nova")
                       | F.col("flag_low_completeness_many_warnings")).select("code")
     return R.product_detail(an, codes)

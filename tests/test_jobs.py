@@ -100,3 +100,28 @@ def test_audit_jobs_write_reports(spark, chain):
     assert req[("identity", "code")] and not req[("geography", "main_countries_tags")]
     sel = tables["selected_tags"].collect()
     assert sum(r.rows for r in sel if r.column == "analysis_country_tag") == products.count()
+
+
+def test_file_jobs_end_to_end(spark):
+    from larder.plans import jobs
+    from larder.sources.fixtures import load_fixtures
+    raw, prices = load_fixtures(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="larder-jobs-")
+    cat, pr = os.path.join(root, "catalogue"), os.path.join(root, "prices")
+    raw.write.parquet(cat)
+    prices.write.parquet(pr)
+    out = jobs.preprocess(spark, cat, pr, os.path.join(root, "pre"), FIXTURE_SPEC)
+    n = out.products_main.count()
+    assert n > 0 and out.price_summary.count() > 0
+    an = jobs.analysis_table(spark, os.path.join(root, "pre", "products_main"),
+                             os.path.join(root, "pre", "price_summary_by_product"),
+                             os.path.join(root, "analysis"))
+    assert an.count() == n and len(an.columns) == 69
+    jobs.export_analysis_csv(spark, os.path.join(root, "analysis"), os.path.join(root, "csv"))
+    assert spark.read.option("header", True).csv(os.path.join(root, "csv")).count() == n
+    audit = jobs.dataset_audit(spark, cat, pr, os.path.join(root, "audit"))
+    assert audit["join_coverage"].count() == 1
+    fa = jobs.filter_audit(spark, cat, pr, os.path.join(root, "filters"))
+    assert fa["ladder"].count() == 8
+    # the narrow read keeps only name and 100g of the nutriment structs
+    assert "src_seq" not in jobs.read_catalogue(spark, cat).columns
