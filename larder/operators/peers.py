@@ -35,50 +35,81 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _stack(df: DataFrame, id_col: str, measures: Mapping[str, Column | str]) -> DataFrame:
-    """(id, _g, _m, _v) with one row per input row and measure."""
-    entries = [F.struct(F.lit(name).alias(MEASURE), _c(expr).cast("double").alias(VALUE))
-               for name, expr in measures.items()]
-    return df.select(id_col, GROUP, F.inline(F.array(*entries)))
+MeasureSpec = Column | str | tuple[Column | str, Sequence[str]]
+
+
+def _split_spec(measures: Mapping[str, MeasureSpec], keys: Sequence[str]) -> dict[str, tuple[Column, list[str]]]:
+    """Normalise measures to name -> (expression, peer keys); a bare
+    expression uses the default ``keys``."""
+    out = {}
+    for name, spec in measures.items():
+        if isinstance(spec, tuple):
+            expr, own = spec
+            out[name] = (_c(expr), list(own))
+        else:
+            out[name] = (_c(spec), list(keys))
+    return out
+
+
+def _stack(df: DataFrame, id_col: str, measures: Mapping[str, tuple[Column, list[str]]]) -> DataFrame:
+    """(id, _g, _m, _v) with one row per input row and measure.
+
+    ``_g`` is a struct over the union of all measures' key columns in which
+    the keys a measure does not use are null; since ``_m`` is part of every
+    grouping, measures with different peer keys share one pass."""
+    union: list[str] = []
+    for _, ks in measures.values():
+        union += [k for k in ks if k not in union]
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def group_of(ks: list[str]) -> Column:
+        if not union:
+            return F.struct(F.lit(0).alias("all"))
+        return F.struct(*[(F.col(k) if k in ks else F.lit(None).cast(types[k])).alias(k) for k in union])
+
+    entries = [F.struct(F.lit(name).alias(MEASURE), group_of(ks).alias(GROUP),
+                        expr.cast("double").alias(VALUE))
+               for name, (expr, ks) in measures.items()]
+    return df.select(id_col, F.inline(F.array(*entries)))
 
 
-def peer_percentiles(df: DataFrame, measures: Mapping[str, Column | str], keys: Sequence[str],
+def peer_percentiles(df: DataFrame, measures: Mapping[str, MeasureSpec], keys: Sequence[str],
                      id_col: str = "code", method: str = "auto",
                      splits: int | None = None) -> DataFrame:
     """add one column per measure holding the average rank of
     the row's value among the non-null values of its peer group divided by
     the number of *all* rows in the group (nulls included); null values get
-    null.  ``id_col`` must be unique per row (method ``freq``).  ``auto``
-    takes ``window`` only when the input provably fits one task."""
-    keys = list(keys)
+    null.  A measure given as ``(expr, keys)`` uses its own peer keys (F3),
+    in the same pass.  ``id_col`` must be unique per row (method ``freq``).
+    ``auto`` takes ``window`` only when the input provably fits one task."""
+    spec = _split_spec(measures, keys)
     method = resolve(method, df, "window", "freq")
     if method == "window":
-        return _percentiles_window(df, measures, keys)
+        return _percentiles_window(df, spec)
     if method != "freq":
         raise ValueError(f"unknown method {method!r}")
 
-    base = with_group(df, keys)
-    sizes = base.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_n"))
-    long = _stack(base, id_col, measures)
+    long = _stack(df, id_col, spec)
+    # all rows count in the denominator, null values included
+    sizes = long.groupBy(GROUP, MEASURE).agg(F.count(F.lit(1)).alias("_n"))
     freq = value_counts(long, VALUE, by=[GROUP, MEASURE])
     pref = prefix_counts(freq, VALUE, by=[GROUP, MEASURE], splits=splits)
-    ranked = (pref.join(sizes, on=GROUP, how="inner")
+    ranked = (pref.join(sizes, on=[GROUP, MEASURE], how="inner")
               .select(GROUP, MEASURE, VALUE,
                       ((F.col("below") + (F.col("c") + F.lit(1)) / F.lit(2.0)) / F.col("_n")).alias("_pct")))
     per_row = (long.filter(F.col(VALUE).isNotNull())
                .join(ranked, on=[GROUP, MEASURE, VALUE], how="inner"))
     wide = per_row.groupBy(id_col).agg(
-        *[F.max(F.when(F.col(MEASURE) == F.lit(name), F.col("_pct"))).alias(name) for name in measures])
+        *[F.max(F.when(F.col(MEASURE) == F.lit(name), F.col("_pct"))).alias(name) for name in spec])
     return df.join(wide, on=id_col, how="left")
 
 
-def _percentiles_window(df: DataFrame, measures: Mapping[str, Column | str],
-                        keys: Sequence[str]) -> DataFrame:
-    part = Window.partitionBy(*keys)
-    n = F.count(F.lit(1)).over(part)
+def _percentiles_window(df: DataFrame, spec: Mapping[str, tuple[Column, list[str]]]) -> DataFrame:
     cols = {}
-    for name, expr in measures.items():
-        x = _c(expr).cast("double")
+    for name, (expr, keys) in spec.items():
+        part = Window.partitionBy(*keys)
+        n = F.count(F.lit(1)).over(part)
+        x = expr.cast("double")
         first = F.rank().over(part.orderBy(x.asc_nulls_last()))
         ties = F.count(F.lit(1)).over(Window.partitionBy(*keys, x))
         cols[name] = F.when(x.isNotNull(), (first + (ties - F.lit(1)) / F.lit(2.0)) / n)
@@ -89,9 +120,7 @@ def group_median_mad(df: DataFrame, measures: Mapping[str, Column | str], keys:
                      splits: int | None = None) -> DataFrame:
     """one row per peer group with ``<m>__median`` and ``<m>__mad``
     for every measure (exact, from frequency tables)."""
-    keys = list(keys)
-    base = with_group(df, keys)
-    long = _stack(base.withColumn("_id", F.lit(0)), "_id", measures)
+    long = _stack(df.withColumn("_id", F.lit(0)), "_id", _split_spec(measures, keys))
     freq = value_counts(long, VALUE, by=[GROUP, MEASURE])
     stats = median_and_mad(freq, VALUE, by=[GROUP, MEASURE], splits=splits)
     return stats.groupBy(GROUP).agg(*[

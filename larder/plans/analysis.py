@@ -128,13 +128,13 @@ def build_analysis(products: DataFrame, summary: DataFrame,
         "energy_percentile": F.col("energy_kcal_100g"),
         "price_percentile_within_peer": F.col("price_median_clean"),
     }
-    df = cut(peer_percentiles(df, peer, keys, method=m, splits=sp), "analysis-peer")
     price_keys = list(spec.price_keys)
     if spec.health == "design":
         # K7 design variant: value index keyed by the *location* country
         price_keys = ["location_osm_address_country_code", "currency", "analysis_category_tag"]
-    df = peer_percentiles(df, {"price_median_percentile": F.col("price_median_clean")},
-                          price_keys, method=m, splits=sp)
+    # F3 has its own peer keys but shares the pass (one stacked table)
+    peer["price_median_percentile"] = (F.col("price_median_clean"), price_keys)
+    df = peer_percentiles(df, peer, keys, method=m, splits=sp)
 
     if spec.health == "design":
         health = S.clip01(F.lit(0.45) * F.col("nutriscore_good_percentile")

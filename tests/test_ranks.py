@@ -108,3 +108,13 @@ def test_auto_strategy_respects_size_check(spark):
         assert not fits_one_task(df)
     finally:
         spark.conf.unset("larder.singleTaskBytes")
+
+
+def test_per_measure_keys_share_one_pass(spark):
+    rows = [(f"c{i}", "a" if i % 3 else None, "u" if i % 2 else "v", float(i % 7) if i % 5 else None)
+            for i in range(120)]
+    df = spark.createDataFrame(rows, "code string, g string, h string, x double")
+    m = {"by_g": F.col("x"), "by_gh": (F.col("x"), ["g", "h"]), "by_h": (-F.col("x"), ["h"])}
+    a = {r.code: r for r in peer_percentiles(df, m, ["g"], method="freq", splits=3).collect()}
+    b = {r.code: r for r in peer_percentiles(df, m, ["g"], method="window").collect()}
+    assert a == b
