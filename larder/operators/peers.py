@@ -110,8 +110,11 @@ def _percentiles_window(df: DataFrame, spec: Mapping[str, tuple[Column, list[str
         part = Window.partitionBy(*keys)
         n = F.count(F.lit(1)).over(part)
         x = expr.cast("double")
-        first = F.rank().over(part.orderBy(x.asc_nulls_last()))
-        ties = F.count(F.lit(1)).over(Window.partitionBy(*keys, x))
+        ordered = part.orderBy(x.asc_nulls_last())
+        first = F.rank().over(ordered)
+        # ties = the value's peers: same ordering, RANGE frame on the current
+        # value, so rank and tie count share one sort
+        ties = F.count(F.lit(1)).over(ordered.rangeBetween(Window.currentRow, Window.currentRow))
         cols[name] = F.when(x.isNotNull(), (first + (ties - F.lit(1)) / F.lit(2.0)) / n)
     return df.withColumns(cols)
 

@@ -13,11 +13,12 @@ The single-task plan is only used behind a size check, the way a broadcast
 is: when the optimizer's size estimate of the *whole input* is at most
 ``larder.singleTaskBytes`` (default 128 MiB; for a Parquet scan the estimate
 is the compressed file size), no group can be larger than that, so one task
-per group is safe.  Catalyst estimates a join without key statistics as the
-product of its inputs, so joined inputs are conservatively sent to the split
-plan unless the caller sizes a table with the same rows instead.  Anything larger, or an input whose
-size cannot be estimated, takes the split plan.  The setting is read from
-the session, so a job can force either plan (0 forces the split plan).
+per group is safe.  Anything larger, or an input whose size cannot be
+estimated, takes the split plan.  Catalyst estimates a join without key
+statistics as the product of its inputs, so joined inputs go to the split
+plan unless the caller sizes a table with the same rows instead.  The
+setting is read from the session, so a job can force either plan (0 forces
+the split plan).
 """
 
 from __future__ import annotations

@@ -109,4 +109,5 @@ def stage(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     root = base or ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: reading it back needs no footer-scanning job
+    return spark.read.schema(df.schema).parquet(path)
