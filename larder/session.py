@@ -52,13 +52,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc_dir = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, conf only
+        sc = None
+    sc_dir = sc.getCheckpointDir() if sc is not None else None
     if sc_dir:
         return sc_dir
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+        if sc is not None:
+            sc.setCheckpointDir(conf_dir)
         return conf_dir
     local_dir = tempfile.mkdtemp(prefix="larder-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local_dir)
-    spark.sparkContext.setCheckpointDir(local_dir)
+    if sc is not None:
+        sc.setCheckpointDir(local_dir)
     return local_dir
