@@ -11,9 +11,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, NumericType
 
 from larder.functions.predicates import has_list, has_named_entry, not_in, present_flags
 from larder.functions.scalars import pct
@@ -96,28 +96,74 @@ def top_values(df: DataFrame, column: str, limit: int = 20, explode: bool = Fals
     return counts.orderBy(F.col("count").desc(), F.col("value").asc_nulls_last()).limit(limit)
 
 
+def _pair_builder(column: str, is_num: bool):
+    """element -> struct(column, value as string, numeric sort key)."""
+    def entry(v: Column) -> Column:
+        num = v.cast("double") if is_num else F.lit(None).cast("double")
+        return F.struct(F.lit(column).alias("column"), v.cast("string").alias("value"), num.alias("num"))
+    return entry
+
+
+def top_values_multi(df: DataFrame, specs: Mapping[str, tuple[int, Sequence[str]]],
+                     explode: bool = False, keep_null: bool = False,
+                     where: Column | None = None) -> DataFrame:
+    """G1-G4 for several columns in **one scan**: ``specs`` maps a column to
+    (limit, exclusions); the result is (column, value as string, count).
+
+    Every row emits one (column, value) pair per element / column (an
+    ``inline`` over the concatenated arrays), one partially aggregated count
+    serves all columns, and the per-column cut is ``row_number() <= k``,
+    which Spark evaluates as a group limit before and after the shuffle, so
+    no task holds more than k candidates per column.  Ties are broken by the
+    typed value (numbers numerically), nulls last."""
+    src = df if where is None else df.filter(where)
+    types = {f.name: f.dataType for f in src.schema.fields}
+    pair = "struct<column:string,value:string,num:double>"
+    arrays = []
+    for c in specs:
+        dt = types[c].elementType if explode else types[c]
+        entry = _pair_builder(c, isinstance(dt, NumericType))
+        if explode:
+            arr = F.when(has_list(c), F.transform(F.col(c), entry))
+        else:
+            arr = F.array(entry(F.col(c)))
+        arrays.append(F.coalesce(arr, F.array().cast(f"array<{pair}>")))
+    pairs = src.select(F.inline(F.concat(*arrays) if len(arrays) > 1 else arrays[0]))
+    if not keep_null:
+        pairs = pairs.filter(F.col("value").isNotNull())
+    for c, (_, excl) in specs.items():
+        if excl:
+            pairs = pairs.filter(~((F.col("column") == F.lit(c)) & F.col("value").isin(list(excl))))
+    counts = pairs.groupBy("column", "value", "num").agg(F.count(F.lit(1)).alias("count"))
+    order = Window.partitionBy("column").orderBy(
+        F.col("count").desc(), F.col("num").asc_nulls_last(), F.col("value").asc_nulls_last())
+    limit = None
+    for c, (k, _) in specs.items():
+        limit = (F.when(F.col("column") == F.lit(c), F.lit(k)) if limit is None
+                 else limit.when(F.col("column") == F.lit(c), F.lit(k)))
+    top_k = max(k for k, _ in specs.values())
+    return (counts.withColumn("_rn", F.row_number().over(order))
+            .filter(F.col("_rn") <= F.lit(top_k))
+            .filter(F.col("_rn") <= limit)
+            .select("column", "value", "count"))
+
+
 def allow_list(df: DataFrame, column: str, limit: int, where: Column | None = None,
                exclude: Sequence[str] = ()) -> list[str]:
     """The top tags as a Python list (``limit`` values, bounded by
     design) for use as a literal allow-list."""
-    if limit > 10000:
-        raise ValueError("allow-lists are literals in the plan; keep them small")
-    rows = top_values(df, column, limit, explode=True, where=where, exclude=exclude).collect()
-    return [r["value"] for r in rows]
+    return allow_lists(df, {column: (limit, exclude)}, where)[column]
 
 
 def allow_lists(df: DataFrame, specs: Mapping[str, tuple[int, Sequence[str]]],
                 where: Column | None = None) -> dict[str, list[str]]:
-    """G4 for several list columns in one job: ``specs`` maps a column to
-    (limit, exclusions).  The per-column top-k's are unioned and collected
-    together: at most sum(limit) short strings reach the driver."""
+    """G4 for several list columns in one scan and one job: ``specs`` maps a
+    column to (limit, exclusions); at most sum(limit) short strings reach
+    the driver."""
     for limit, _ in specs.values():
         if limit > 10000:
             raise ValueError("allow-lists are literals in the plan; keep them small")
-    parts = [top_values(df, col, limit, explode=True, where=where, exclude=excl)
-             .select(F.lit(col).alias("column"), "value", "count")
-             for col, (limit, excl) in specs.items()]
-    rows = stack_metrics(parts).collect()
+    rows = top_values_multi(df, specs, explode=True, where=where).collect()
     out: dict[str, list[tuple[int, str]]] = {c: [] for c in specs}
     for r in rows:
         out[r["column"]].append((-r["count"], r["value"]))

@@ -74,11 +74,9 @@ def _tag(df: DataFrame, **cols) -> DataFrame:
 
 def top_table(df: DataFrame, columns: Sequence[str], limit: int, explode: bool,
               keep_null: bool = False) -> DataFrame:
-    """G1/G2/G3 for several columns -> (column, value string, count)."""
-    parts = [A.top_values(df, c, limit, explode=explode, keep_null=keep_null)
-             .select(F.lit(c).alias("column"), F.col("value").cast("string").alias("value"), "count")
-             for c in columns]
-    return A.stack_metrics(parts)
+    """G1/G2/G3 for several columns in one scan -> (column, value string, count)."""
+    return A.top_values_multi(df, {c: (limit, ()) for c in columns}, explode=explode,
+                              keep_null=keep_null)
 
 
 def audit_datasets(products: DataFrame, prices: DataFrame) -> dict[str, DataFrame]:

@@ -187,11 +187,9 @@ def q_allow_list_selection(spark, sf_dir):
     raw, _ = load_fixtures(spark, sf_dir)
     where = P.product_filter(raw.schema)
     spec = FIXTURE_SPEC
-    return A.stack_metrics([
-        A.top_values(raw, spec.country_col, spec.top_countries, explode=True, where=where,
-                     exclude=spec.exclude_countries).select(F.lit("countries_tags").alias("column"), "*"),
-        A.top_values(raw, spec.category_col, spec.top_categories, explode=True, where=where,
-                     exclude=spec.exclude_categories).select(F.lit("categories_tags").alias("column"), "*")])
+    return A.top_values_multi(raw, {spec.country_col: (spec.top_countries, spec.exclude_countries),
+                                    spec.category_col: (spec.top_categories, spec.exclude_categories)},
+                              explode=True, where=where)
 
 
 @query("filter_ladder")
