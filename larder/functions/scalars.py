@@ -166,3 +166,17 @@ def int_div(a: Column, b: Column) -> Column:
     ``a - pmod(a, b)`` is an exact multiple of ``b``; the double quotient is
     within far less than 0.5 of that integer, so rounding recovers it."""
     return F.round((a - F.pmod(a, b)) / b).cast("long")
+
+
+# Scale of the exact sums behind :func:`exact_mean` (values are rounded to
+# this many decimals before summing).
+MEAN_SCALE = 10
+
+
+def exact_mean(col: ColumnOrName, scale: int = MEAN_SCALE) -> Column:
+    """Mean of the non-null values as an exact decimal sum divided by the
+    count.  A double ``avg`` depends on the order in which partitions are
+    added; an exact sum does not, so the mean is the same for any
+    partitioning, cluster size or engine."""
+    x = _c(col).cast(f"decimal(38,{scale})")
+    return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.predicates import same_market
+from larder.functions.scalars import exact_mean
 from larder.operators.ranks import GROUP, group_median, value_counts, with_group
 from larder.operators.strategy import resolve
 
@@ -86,7 +87,7 @@ def summarise_prices(aligned: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
     aggs = [
         F.count(F.lit(1)).cast("int").alias("price_record_count"),
         F.min("price_value").alias("price_min"),
-        F.avg("price_value").alias("price_mean"),
+        exact_mean("price_value").alias("price_mean"),
         F.max("price_value").alias("price_max"),
         F.coalesce(F.bool_or("same_market_as_analysis_country"), F.lit(False)).alias("any_same_market_match"),
         F.min("date").alias("first_price_date"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType
 
 from larder.functions.predicates import has_list, has_named_entry, not_in, present_flags
-from larder.functions.scalars import pct
+from larder.functions.scalars import exact_mean, pct
 from larder.operators.ranks import GROUP, nearest_rank, value_counts, with_group
 
 
@@ -60,7 +60,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], qs: Mapping[str, floa
     cols = [c for c in columns if c in df.columns]
     entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols]
     long = df.select(F.inline(F.array(*entries)))
-    basic = long.groupBy("column").agg(F.min("_v").alias("min"), F.avg("_v").alias("mean"),
+    basic = long.groupBy("column").agg(F.min("_v").alias("min"), exact_mean("_v").alias("mean"),
                                        F.max("_v").alias("max"))
     freq = value_counts(long, "_v", by=["column"])
     q = nearest_rank(freq, "_v", qs, by=["column"], splits=splits, median="median")

@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.scalars import pct
+from larder.functions.scalars import exact_mean, pct
 from larder.operators.align import with_price_flag
 from larder.operators.ranks import GROUP, group_median, value_counts
 
@@ -54,7 +54,7 @@ def level_profile(products: DataFrame, level: Column, splits: int | None = None)
     basic = rows.agg(
         F.count(F.lit(1)).alias("rows"),
         (F.count_distinct("code") + F.max(F.col("code").isNull().cast("int"))).cast("long").alias("unique_codes"),
-        F.avg("completeness").alias("completeness_mean"),
+        exact_mean("completeness").alias("completeness_mean"),
     ).withColumn(GROUP, F.struct(F.lit(0).alias("all")))
     measures = {"nutriscore_score_median": "nutriscore_score", "nova_group_median": "nova_group",
                 "completeness_median": "completeness"}

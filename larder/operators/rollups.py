@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.scalars import exact_mean
 from larder.operators.ranks import GROUP, group_median, value_counts, with_group
 
 
@@ -29,7 +30,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Colum
     long = base.select(GROUP, *keys, F.inline(F.array(*entries)))
     basic = long.groupBy(GROUP, "measure").agg(
         *[F.first(k).alias(k) for k in keys],
-        F.count("_v").alias("n"), F.avg("_v").alias("mean"))
+        F.count("_v").alias("n"), exact_mean("_v").alias("mean"))
     med = group_median(value_counts(long, "_v", by=[GROUP, "measure"]), "_v",
                        by=[GROUP, "measure"], splits=splits, out="median")
     return (basic.join(med, on=[GROUP, "measure"], how="left")
@@ -41,7 +42,7 @@ def currency_medians(aligned: DataFrame, splits: int | None = None) -> DataFrame
     base = with_group(aligned, ["currency"])
     basic = base.groupBy(GROUP).agg(F.first("currency").alias("currency"),
                                     F.count(F.lit(1)).alias("rows"),
-                                    F.avg("price_value").alias("mean_price"))
+                                    exact_mean("price_value").alias("mean_price"))
     med = group_median(value_counts(base, "price_value"), "price_value", splits=splits,
                        out="median_price")
     return (basic.join(med, on=GROUP, how="left")
@@ -91,10 +92,10 @@ def country_overview(analysis: DataFrame, key: str = "analysis_country_tag") ->
     score, mean Nutri-Score and mean NOVA group."""
     return analysis.groupBy(key).agg(
         F.count("code").alias("products"),
-        F.avg("health_score_composite").alias("avg_health_score"),
-        F.avg("data_completeness_score").alias("avg_data_completeness_score"),
-        F.avg("nutriscore_score").alias("avg_nutriscore_score"),
-        F.avg("nova_group").alias("avg_nova_group"),
+        exact_mean("health_score_composite").alias("avg_health_score"),
+        exact_mean("data_completeness_score").alias("avg_data_completeness_score"),
+        exact_mean("nutriscore_score").alias("avg_nutriscore_score"),
+        exact_mean("nova_group").alias("avg_nova_group"),
     )
 
 

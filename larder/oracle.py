@@ -97,6 +97,14 @@ def med(x: str) -> str:
     return f"(0.5 * quantile_disc({x}, 0.5) + 0.5 * (-quantile_disc(-({x}), 0.5)))"
 
 
+def mean(x: str) -> str:
+    """Exact decimal sum / count (same as the Spark side's exact_mean): the
+    decimal prints exactly and the text parses to the correctly rounded
+    double."""
+    return (f"(CAST(CAST(sum(CAST({x} AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE)"
+            f" / CAST(count({x}) AS DOUBLE))")
+
+
 def pct(part: str, whole: str, zero: str = "0.0") -> str:
     """Exact half-up percentage with 2 decimals (integer arithmetic)."""
     return (f"COALESCE(CASE WHEN ({whole}) <> 0 THEN "
@@ -277,7 +285,7 @@ summary AS (
     CAST(count(*) AS INTEGER) AS price_record_count,
     min(price_value) AS price_min,
     {med('price_value')} AS price_median,
-    avg(price_value) AS price_mean,
+    {mean('price_value')} AS price_mean,
     max(price_value) AS price_max,
     COALESCE(bool_or(same_market_as_analysis_country), false) AS any_same_market_match,
     min(date) AS first_price_date,
@@ -376,7 +384,7 @@ def _nearest(v: str, q: float) -> str:
 
 def _profile(dataset: str, src: str, col: str) -> str:
     return (f"SELECT '{dataset}' AS dataset, '{col}' AS column, min(v) AS min, {med('v')} AS median, "
-            f"avg(v) AS mean, {_nearest('v', 0.95)} AS p95, {_nearest('v', 0.99)} AS p99, max(v) AS max "
+            f"{mean('v')} AS mean, {_nearest('v', 0.95)} AS p95, {_nearest('v', 0.99)} AS p99, max(v) AS max "
             f"FROM (SELECT CAST({col} AS DOUBLE) AS v FROM {src})")
 
 
@@ -454,7 +462,7 @@ SELECT count(*) AS rows,
   {med('CAST(nutriscore_score AS DOUBLE)')} AS nutriscore_score_median,
   {med('CAST(nova_group AS DOUBLE)')} AS nova_group_median,
   {med('completeness')} AS completeness_median,
-  avg(completeness) AS completeness_mean
+  {mean('completeness')} AS completeness_mean
 FROM products_fx WHERE {STRICT}"""
 
 
@@ -473,7 +481,7 @@ strict AS (SELECT * FROM products_fx WHERE {STRICT})
     _dist("aligned", "prices_aligned", "location_osm_address_country_code")])
 
 ORACLE["price_currency_medians"] = _with(*SUMMARY_CHAIN) + f"""
-SELECT currency, count(*) AS rows, {med('price_value')} AS median_price, avg(price_value) AS mean_price
+SELECT currency, count(*) AS rows, {med('price_value')} AS median_price, {mean('price_value')} AS mean_price
 FROM aligned GROUP BY currency"""
 
 ORACLE["alignment_counters"] = _with(*SUMMARY_CHAIN) + f""",
@@ -791,10 +799,10 @@ SELECT analysis_country_tag, analysis_category_tag,
   CAST(sum(n * n) AS DOUBLE) / (CAST(sum(n) AS DOUBLE) * CAST(sum(n) AS DOUBLE)) AS hhi
 FROM pb GROUP BY analysis_country_tag, analysis_category_tag"""
 
-ORACLE["country_overview"] = _with(*ANALYSIS_CHAIN) + """
-SELECT analysis_country_tag, count(code) AS products, avg(health_score_composite) AS avg_health_score,
-  avg(data_completeness_score) AS avg_data_completeness_score, avg(nutriscore_score) AS avg_nutriscore_score,
-  avg(nova_group) AS avg_nova_group
+ORACLE["country_overview"] = _with(*ANALYSIS_CHAIN) + f"""
+SELECT analysis_country_tag, count(code) AS products, {mean('health_score_composite')} AS avg_health_score,
+  {mean('data_completeness_score')} AS avg_data_completeness_score,
+  {mean('nutriscore_score')} AS avg_nutriscore_score, {mean('nova_group')} AS avg_nova_group
 FROM analysis GROUP BY analysis_country_tag"""
 
 _STRUCT = ["sugars_100g", "salt_equivalent_100g", "fat_100g", "energy_kcal_100g", "nutriscore_score", "nova_group"]
@@ -802,7 +810,7 @@ _STRUCT = ["sugars_100g", "salt_equivalent_100g", "fat_100g", "energy_kcal_100g"
 
 def _structure(view: str, member: str) -> str:
     parts = [f"SELECT '{view}' AS view, analysis_country_tag, {member} AS member, '{m}' AS measure, "
-             f"count(v) AS n, avg(v) AS mean, {med('v')} AS median "
+             f"count(v) AS n, {mean('v')} AS mean, {med('v')} AS median "
              f"FROM (SELECT analysis_country_tag, {member}, CAST({m} AS DOUBLE) AS v FROM analysis) "
              f"GROUP BY analysis_country_tag, {member}" for m in _STRUCT]
     return "\nUNION ALL ".join(parts)
