@@ -224,20 +224,32 @@ def join_coverage(products: DataFrame, prices: DataFrame, product_key: str = "co
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """A2 (re-aimed): one row per column with its Spark type and whether it is
-    a list; built from the schema, no data read."""
-    spark = df.sparkSession
-    rows = [(f.name, f.dataType.simpleString(), isinstance(f.dataType, ArrayType), i)
-            for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "column string, type string, is_list boolean, position int")
+    """A2 (re-aimed): one row per column with its Spark type, whether it is a
+    list, the table's row count and the column's non-null count.
+
+    The names and types are literals from the schema; the counts are one
+    ``agg`` over the scan (an array of per-column structs, then ``inline``),
+    so the data is read once whatever the number of columns."""
+    entries = [F.struct(F.lit(f.name).alias("column"),
+                        F.lit(f.dataType.simpleString()).alias("type"),
+                        F.lit(isinstance(f.dataType, ArrayType)).alias("is_list"),
+                        F.lit(i).alias("position"),
+                        F.count(F.col(f"`{f.name}`")).alias("non_null_rows"))
+               for i, f in enumerate(df.schema.fields)]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*entries).alias("_cols"))
+    return row.select("rows", F.inline("_cols")).select(
+        "column", "type", "is_list", "position", "rows", "non_null_rows")
 
 
 def required_field_matrix(df: DataFrame, required: Mapping[str, Sequence[str]]) -> DataFrame:
-    """A3: (group, field, present) for a required-field spec against the
-    schema of ``df``."""
-    spark = df.sparkSession
-    spec = spark.createDataFrame([(g, f) for g, fs in required.items() for f in fs],
-                                 "group string, field string")
-    cols = schema_profile(df).select(F.col("column").alias("field"), F.lit(True).alias("present"))
-    return (spec.join(cols, on="field", how="left")
-            .select("group", "field", F.coalesce(F.col("present"), F.lit(False)).alias("present")))
+    """A3: (group, field, present, present_rows) for a required-field spec
+    against ``df``: whether the schema has the field and, if so, on how many
+    rows it is non-null (null for an absent field).  One ``agg`` over the
+    scan serves every field."""
+    names = set(df.columns)
+    entries = [F.struct(F.lit(g).alias("group"), F.lit(f).alias("field"),
+                        F.lit(f in names).alias("present"),
+                        (F.count(F.col(f"`{f}`")) if f in names
+                         else F.lit(None).cast("long")).alias("present_rows"))
+               for g, fs in required.items() for f in fs]
+    return df.agg(F.array(*entries).alias("_spec")).select(F.inline("_spec"))

@@ -554,16 +554,28 @@ def _schema_cols(src: str) -> str:
 
 _spec_rows = ", ".join(f"('products', '{g}', '{f}')" for g, fs in _PRODUCT_REQ.items() for f in fs) + ", " + \
     ", ".join(f"('prices', '{g}', '{f}')" for g, fs in _PRICE_REQ.items() for f in fs)
+def _non_null(src: str) -> str:
+    """(field, non_null_rows) for every column of ``src``."""
+    return (f"(UNPIVOT (SELECT count(COLUMNS(*)) FROM {src}) "
+            f"ON COLUMNS(*) INTO NAME field VALUE non_null_rows)")
+
+
 ORACLE["schema_required"] = _with(PRODUCTS_FX, PRICES_FX) + f""",
 spec(dataset, "group", field) AS (VALUES {_spec_rows}),
-cols AS (SELECT 'products' AS dataset, field FROM {_schema_cols('products_fx')}
-         UNION ALL SELECT 'prices' AS dataset, field FROM {_schema_cols('prices_fx')})
-SELECT s.dataset, s."group", s.field, (c.field IS NOT NULL) AS present
+cols AS (SELECT 'products' AS dataset, field, non_null_rows FROM {_non_null('products_fx')}
+         UNION ALL SELECT 'prices' AS dataset, field, non_null_rows FROM {_non_null('prices_fx')})
+SELECT s.dataset, s."group", s.field, (c.field IS NOT NULL) AS present,
+       CAST(c.non_null_rows AS BIGINT) AS present_rows
 FROM spec s LEFT JOIN cols c ON s.dataset = c.dataset AND s.field = c.field"""
 
 ORACLE["schema_columns"] = _with(PRODUCTS_FX, PRICES_FX) + f"""
-SELECT 'products' AS dataset, position, field AS column FROM {_schema_cols('products_fx')}
-UNION ALL SELECT 'prices' AS dataset, position, field AS column FROM {_schema_cols('prices_fx')}"""
+SELECT 'products' AS dataset, p.position, p.field AS column,
+       (SELECT count(*) FROM products_fx) AS rows, CAST(n.non_null_rows AS BIGINT) AS non_null_rows
+FROM {_schema_cols('products_fx')} p JOIN {_non_null('products_fx')} n ON p.field = n.field
+UNION ALL
+SELECT 'prices' AS dataset, p.position, p.field AS column,
+       (SELECT count(*) FROM prices_fx) AS rows, CAST(n.non_null_rows AS BIGINT) AS non_null_rows
+FROM {_schema_cols('prices_fx')} p JOIN {_non_null('prices_fx')} n ON p.field = n.field"""
 
 
 # -------------------------------------------------------- row-level scalars

@@ -257,7 +257,8 @@ def q_selected_tag_counts(spark, sf_dir):
 
 @query("schema_required")
 def q_schema_required(spark, sf_dir):
-    """A3: required-field spec against both fixture schemas."""
+    """A3: required-field spec against both fixture tables (presence in the
+    schema and non-null rows)."""
     raw, prices = load_fixtures(spark, sf_dir)
     return A.stack_metrics([
         _tagged(A.required_field_matrix(raw, J.PRODUCT_REQUIRED), dataset="products"),
@@ -266,11 +267,13 @@ def q_schema_required(spark, sf_dir):
 
 @query("schema_columns")
 def q_schema_columns(spark, sf_dir):
-    """A2 (engine-neutral part): column names in schema order."""
+    """A2 (engine-neutral part): column names in schema order with the row
+    count and each column's non-null count."""
     raw, prices = load_fixtures(spark, sf_dir)
+    cols = ["position", "column", "rows", "non_null_rows"]
     return A.stack_metrics([
-        _tagged(A.schema_profile(raw).select("position", "column"), dataset="products"),
-        _tagged(A.schema_profile(prices).select("position", "column"), dataset="prices")])
+        _tagged(A.schema_profile(raw).select(*cols), dataset="products"),
+        _tagged(A.schema_profile(prices).select(*cols), dataset="prices")])
 
 
 # ------------------------------------------------------- row-level scalars

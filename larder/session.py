@@ -44,12 +44,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", None)
+    if master is None:
+        try:
+            master = spark.sparkContext.master
+        except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
+            master = ""
+    return str(master).startswith("local")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only a session without one (local tests) gets a fresh scratch
-    folder.
+    as is; a cluster session without one is an error, since a folder on one
+    machine would be lost with that machine.  Only a local-mode session
+    without one (tests, the bench) gets a fresh scratch folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -63,6 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not _is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: staged tables and "
+                           "stream checkpoints are written there")
     local_dir = tempfile.mkdtemp(prefix="larder-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local_dir)
     if sc is not None:

@@ -48,3 +48,16 @@ def test_join_coverage(spark):
     assert r["price_rows_with_product_code"] == 3
     assert r["matched_price_rows"] == 2
     assert r["matched_price_rows_pct"] == 66.67
+
+
+def test_schema_profile_and_required_fields_count_rows(spark):
+    rows = [(1, None, ["a"]), (2, "x", None), (3, "y", [])]
+    df = spark.createDataFrame(rows, "id int, name string, tags array<string>")
+    prof = {r.column: r for r in A.schema_profile(df).collect()}
+    assert [prof[c].position for c in ("id", "name", "tags")] == [0, 1, 2]
+    assert {c: (r.rows, r.non_null_rows) for c, r in prof.items()} == {
+        "id": (3, 3), "name": (3, 2), "tags": (3, 2)}
+    assert prof["tags"].is_list and not prof["name"].is_list
+    req = {(r.group, r.field): (r.present, r.present_rows)
+           for r in A.required_field_matrix(df, {"g": ["name", "missing"]}).collect()}
+    assert req == {("g", "name"): (True, 2), ("g", "missing"): (False, None)}
