@@ -34,18 +34,27 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.strategy import fits_one_task
+from larder.operators.strategy import estimated_bytes, fits_one_task, single_task_limit
 
 GROUP = "_g"
 DEFAULT_SPLITS = 16
+MAX_SPLITS = 1024
 
 
 def resolve_splits(freq: DataFrame, splits: int | None) -> int:
-    """``None`` means: one split when the input provably fits one task,
-    else ``DEFAULT_SPLITS`` (see :mod:`larder.operators.strategy`)."""
+    """``None`` means: one split when the input provably fits one task;
+    otherwise enough splits that even a group holding the whole input is
+    cut into ranges of about the single-task size (``estimated size /
+    larder.singleTaskBytes``), at least ``DEFAULT_SPLITS`` and at most
+    ``MAX_SPLITS``.  An input of unknown size gets ``DEFAULT_SPLITS``."""
     if splits is not None:
         return splits
-    return 1 if fits_one_task(freq) else DEFAULT_SPLITS
+    if fits_one_task(freq):
+        return 1
+    size, limit = estimated_bytes(freq), single_task_limit(freq)
+    if size is None or limit <= 0:
+        return DEFAULT_SPLITS
+    return int(min(MAX_SPLITS, max(DEFAULT_SPLITS, -(-size // limit))))
 
 
 def with_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,8 +72,29 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = (GROUP,),
             .groupBy(*by, value).agg(agg.cast("long").alias("c")))
 
 
+def _stride(splits: int) -> int:
+    """Coarse step of the two-level bound lookup: about sqrt(splits)."""
+    return max(2, int(round((splits - 1) ** 0.5)))
+
+
+def _with_coarse(bounds: DataFrame, splits: int) -> DataFrame:
+    """Add ``_coarse``: every ``k``-th split bound (once per group)."""
+    k = _stride(splits)
+    return bounds.withColumn("_coarse", F.filter("_bounds", lambda b, i: (i + 1) % k == 0))
+
+
+def _count_below(bounds: str, coarse: str, v: Column, k: int) -> Column:
+    """Number of (sorted) ``bounds`` strictly below ``v``, in about 2k
+    comparisons instead of one per bound: ``j`` coarse bounds below ``v``
+    put ``j*k`` bounds below it for sure, and only the ``k - 1`` bounds
+    after them are undecided."""
+    j = F.size(F.filter(coarse, lambda b: b < v))
+    window = F.slice(bounds, j * k + 1, F.lit(k - 1))
+    return j * k + F.size(F.filter(window, lambda b: b < v))
+
+
 def prefix_counts(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
-                  splits: int | None = None, accuracy: int = 1000) -> DataFrame:
+                  splits: int | None = None, accuracy: int | None = None) -> DataFrame:
     """Add ``below``: total ``c`` of the strictly smaller values of the same
     ``by`` group.  ``freq`` must hold one row per (by, value)."""
     by = list(by)
@@ -74,11 +104,13 @@ def prefix_counts(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
         return freq.withColumn("below", F.coalesce(F.sum("c").over(w), F.lit(0)).cast("long"))
 
     fractions = [i / splits for i in range(1, splits)]
+    # the sketch only places the cuts; finer cuts need a finer sketch
+    accuracy = accuracy or max(1000, 10 * splits)
     bounds = freq.groupBy(*by).agg(
         F.percentile_approx(value, fractions, accuracy).alias("_bounds"))
-    t = (freq.join(bounds, on=by, how="inner")
-         .withColumn("_split", F.size(F.filter("_bounds", lambda b: b < F.col(value))))
-         .drop("_bounds"))
+    t = (freq.join(_with_coarse(bounds, splits), on=by, how="inner")
+         .withColumn("_split", _count_below("_bounds", "_coarse", F.col(value), _stride(splits)))
+         .drop("_bounds", "_coarse"))
     inner = Window.partitionBy(*by, "_split").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     t = t.withColumn("_in", F.coalesce(F.sum("c").over(inner), F.lit(0)))
     totals = t.groupBy(*by, "_split").agg(F.sum("c").alias("_tot"))

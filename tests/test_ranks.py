@@ -118,3 +118,36 @@ def test_per_measure_keys_share_one_pass(spark):
     a = {r.code: r for r in peer_percentiles(df, m, ["g"], method="freq", splits=3).collect()}
     b = {r.code: r for r in peer_percentiles(df, m, ["g"], method="window").collect()}
     assert a == b
+
+
+def test_two_level_bound_lookup_matches_linear_count(spark):
+    from larder.operators.ranks import _count_below, _stride, _with_coarse
+    bounds = [1.0, 2.0, 2.0, 2.0, 5.0, 7.5, 9.0, 9.0, 11.0, 12.0, 20.0, 20.0, 30.0, 31.0, 40.0]
+    values = [-1.0, 0.0, 1.0, 1.5, 2.0, 2.5, 5.0, 8.0, 9.0, 10.0, 12.0, 19.0, 20.0, 25.0,
+              30.5, 31.0, 39.0, 40.0, 41.0, 1e9]
+    for splits in (2, 3, 4, 5, 8, 16):
+        b = bounds[:splits - 1]
+        df = spark.createDataFrame([(v, b) for v in values], "v double, _bounds array<double>")
+        k = _stride(splits)
+        got = (_with_coarse(df, splits)
+               .select("v", _count_below("_bounds", "_coarse", F.col("v"), k).alias("n"))
+               .collect())
+        assert {r.v: r.n for r in got} == {v: sum(1 for x in b if x < v) for v in values}, splits
+
+
+def test_split_count_grows_with_input_size(spark):
+    from larder.operators.ranks import DEFAULT_SPLITS, MAX_SPLITS, resolve_splits
+    from larder.operators.strategy import estimated_bytes
+    df = spark.range(200000).select((F.col("id") % 977).alias("v"), F.lit(1).alias("c"))
+    size = estimated_bytes(df)
+    try:
+        spark.conf.set("larder.singleTaskBytes", str(size // 40))
+        assert resolve_splits(df, None) == 40
+        spark.conf.set("larder.singleTaskBytes", str(max(1, size // 5)))
+        assert resolve_splits(df, None) == DEFAULT_SPLITS
+        spark.conf.set("larder.singleTaskBytes", "1")
+        assert resolve_splits(df, None) == MAX_SPLITS
+        spark.conf.set("larder.singleTaskBytes", str(size))
+        assert resolve_splits(df, None) == 1
+    finally:
+        spark.conf.unset("larder.singleTaskBytes")
