@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators.strategy import estimated_bytes, fits_one_task, single_task_limit
+from larder.sources.io import is_staged, stage
 
 GROUP = "_g"
 DEFAULT_SPLITS = 16
@@ -93,6 +94,14 @@ def _count_below(bounds: str, coarse: str, v: Column, k: int) -> Column:
     return j * k + F.size(F.filter(window, lambda b: b < v))
 
 
+def written(freq: DataFrame) -> DataFrame:
+    """The split plan reads a frequency table several times (cut points,
+    the join, the totals, the group sizes); it is written once to the
+    checkpoint folder so that its source is scanned once, not once per
+    read."""
+    return freq if is_staged(freq) else stage(freq, "freq")
+
+
 def prefix_counts(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
                   splits: int | None = None, accuracy: int | None = None) -> DataFrame:
     """Add ``below``: total ``c`` of the strictly smaller values of the same
@@ -103,6 +112,8 @@ def prefix_counts(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
         w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
         return freq.withColumn("below", F.coalesce(F.sum("c").over(w), F.lit(0)).cast("long"))
 
+    freq = written(freq)
+
     fractions = [i / splits for i in range(1, splits)]
     # the sketch only places the cuts; finer cuts need a finer sketch
     accuracy = accuracy or max(1000, 10 * splits)
@@ -194,6 +205,8 @@ def median_and_mad(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
     """(by..., median, mad): exact median and median absolute deviation
     (no consistency factor) per group, both from frequency tables."""
     by = list(by)
+    if not (splits is None and fits_one_task(freq)) and (splits is None or splits > 1):
+        freq = written(freq)  # read by both medians
     med = group_median(freq, value, by, splits, out="median")
     dev = (freq.join(med, on=by, how="inner")
            .select(*by, F.abs(F.col(value) - F.col("median")).alias("_dev"), "c")

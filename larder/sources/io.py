@@ -110,4 +110,12 @@ def stage(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     path = f"{root.rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     # the schema is known: reading it back needs no footer-scanning job
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_larder_staged"] = True
+    return out
+
+
+def is_staged(df: DataFrame) -> bool:
+    """True for the DataFrame returned by :func:`stage` itself (not for
+    frames derived from it)."""
+    return bool(df.__dict__.get("_larder_staged", False))
