@@ -50,9 +50,11 @@ def resolve_splits(freq: DataFrame, splits: int | None) -> int:
     ``MAX_SPLITS``.  An input of unknown size gets ``DEFAULT_SPLITS``."""
     if splits is not None:
         return splits
-    if fits_one_task(freq):
-        return 1
+    # one estimate (an optimizer run on the driver) serves both decisions;
+    # the first is the same test as ``fits_one_task``
     size, limit = estimated_bytes(freq), single_task_limit(freq)
+    if size is not None and size <= limit:
+        return 1
     if size is None or limit <= 0:
         return DEFAULT_SPLITS
     return int(min(MAX_SPLITS, max(DEFAULT_SPLITS, -(-size // limit))))
