@@ -26,11 +26,10 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from larder.llm import blocks as B
-from larder.llm.frames import id_and_text
+from larder.llm.frames import WordNumbers, id_and_text
 
 #: Production parameters.
 ORDER, MIN_COUNT, BACKOFF, SCALE = 2, 2, 0.4, 1_000_000
-MEMO_WORDS = 400_000
 #: Bytes of a key within its bucket and of a count.
 KEY_BYTES, COUNT_BYTES = 6, 5
 LOW = np.uint64((1 << 48) - 1)
@@ -38,19 +37,6 @@ TOTAL = np.uint64(0)
 SCHEMA = "doc_id long, n_words long, n_backed_off long, score_millionths long"
 
 
-class WordKeys:
-    def __init__(self) -> None:
-        self.memo: dict[bytes, int] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.encode().split()
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        for w in set(words) - self.memo.keys():
-            self.memo[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
-
-
 def gram_keys(words: np.ndarray, order: int) -> list[np.ndarray]:
     """64-bit keys of the n-grams of 1 to ``order`` words, by last word."""
     out = [words]
@@ -64,8 +50,8 @@ def gram_keys(words: np.ndarray, order: int) -> list[np.ndarray]:
 
 def block_grams(table: pa.Table, order: int) -> list[list[np.ndarray]]:
     """Per document, its keys by order."""
-    keys = WordKeys()
-    return [gram_keys(keys(t.as_py() or ""), order) for t in table.column("text")]
+    keys = WordNumbers(xxhash.xxh3_64_intdigest)
+    return [gram_keys(keys.of((t.as_py() or "").encode().split()), order) for t in table.column("text")]
 
 
 def distinct(docs: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:

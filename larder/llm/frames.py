@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,3 +56,21 @@ def tokenizer_path(name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+class WordNumbers(dict):
+    """Numbers of words by a hash function; the ones seen lately are
+    remembered, at most ``most`` of them besides one text's own."""
+
+    def __init__(self, number: Callable[[bytes], int], most: int = 400_000):
+        super().__init__()
+        self.number, self.most = number, most
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = self.number(word)
+        return n
+
+    def of(self, words: list[bytes], kind: type = np.uint64) -> np.ndarray:
+        if len(self) > self.most:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), kind, len(words))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.components import components
-from larder.llm.frames import id_and_text, slices, stage
+from larder.llm.frames import WordNumbers, id_and_text, slices, stage
 
 #: Production parameters.
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9999
@@ -46,7 +46,6 @@ BRANCH, DEPTH, BUCKET_ROWS, BLOCK_ROWS = 2, 3, 96, 512
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Columns of a dense block of comparisons, products held at once.
 COLUMNS, PRODUCTS = 1 << 13, 1 << 19
-MEMO_WORDS = 400_000
 
 
 def recall_of_run(similarity: float, branch: int, depth: int) -> float:
@@ -72,17 +71,13 @@ class Shingles:
     """Sorted 64-bit hashes of a text's shingles."""
 
     def __init__(self, words: int):
-        self.words, self.memo = words, {}
+        self.words, self.numbers = words, WordNumbers(xxhash.xxh3_64_intdigest)
 
     def __call__(self, text: str | None) -> np.ndarray:
         found = text.encode().split() if text else []
         if not found:
             return np.zeros(0, np.uint64)
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        for w in set(found) - self.memo.keys():
-            self.memo[w] = xxhash.xxh3_64_intdigest(w)
-        ids = np.fromiter(map(self.memo.__getitem__, found), np.uint64, len(found))
+        ids = self.numbers.of(found)
         n = max(1, len(ids) - self.words + 1)
         key = np.full(n, len(ids) if len(ids) < self.words else self.words, np.uint64)
         for k in range(min(self.words, len(ids))):

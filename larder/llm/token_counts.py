@@ -81,8 +81,7 @@ class PieceCounter:
                 queue.append((k, PIECE.findall(s)))
         new: set[str] = set()
         for _, pieces in queue:
-            new.update(pieces)
-        new -= self.memo.keys()
+            new.update(p for p in pieces if p not in self.memo)
         if len(self.memo) + len(new) > self.memo_pieces and self.memo:
             self.memo.clear()
             new = set().union(*(pieces for _, pieces in queue))
