@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.frames import id_and_text
+from larder.llm.frames import id_and_text, stage
 
 #: The characters stripped from a line's ends.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -62,7 +62,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10,
     rows = id_and_text(docs, id_col, text_col).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
     lines = keyed_lines(rows, min_chars)
-    dropped = (lines.join(repeated_keys(lines, min_docs), ["h1", "h2"])
+    # written once: a join of two plain exchanges is one that Spark can split
+    # where a key is very frequent
+    repeated = stage(repeated_keys(lines, min_docs), "repeated")
+    dropped = (lines.join(repeated, ["h1", "h2"])
                .where(F.col("doc_id") != F.col("first_doc"))
                .groupBy("doc_id", "t").agg(F.collect_set("pos").alias("gone")))
     parts = F.split(F.col("text"), "\n")
