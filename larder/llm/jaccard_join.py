@@ -42,10 +42,12 @@ from larder.llm.frames import WordNumbers, id_and_text, slices, stage
 
 #: Production parameters.
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9999
-BRANCH, DEPTH, BUCKET_ROWS, BLOCK_ROWS = 2, 3, 96, 512
+BRANCH, DEPTH, BUCKET_ROWS = 2, 3, 96
+#: Sets, and shingles in all, that a part of a bucket holds at most about.
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 18
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Columns of a dense block of comparisons, products held at once.
-COLUMNS, PRODUCTS = 1 << 13, 1 << 19
+COLUMNS, PRODUCTS = 1 << 12, 1 << 19
 
 
 def recall_of_run(similarity: float, branch: int, depth: int) -> float:
@@ -133,37 +135,50 @@ def sets_of(rows: DataFrame, words: int, runs: int, branch: int, depth: int) ->
 
 
 def buckets(sets: DataFrame, runs: int, branch: int, depth: int, bucket_rows: int) -> DataFrame:
-    """(path, rep, n) of the sets in every bucket of two or more, from rows
-    (rep, paths)."""
+    """(path, rep, n, shingles) of the sets in every bucket of two or more,
+    with the bucket's number of sets and of shingles, from rows (rep, size,
+    paths)."""
     begin = level_places(runs, branch, depth)
-    here = sets.select("rep", F.posexplode(F.slice("paths", 1, begin[1])).alias("place", "path"))
+    here = sets.select("rep", "size", F.posexplode(F.slice("paths", 1, begin[1])).alias("place", "path"))
     out = None
     for d in range(depth):
-        sizes = stage(here.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "paths")
+        sizes = stage(here.groupBy("path").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
+                      .where("n > 1"), "paths")
         done = sizes if d == depth - 1 else sizes.where(F.col("n") <= bucket_rows)
-        part = here.join(done, "path").select("path", "rep", "n")
+        part = here.join(done, "path").select("path", "rep", "n", "shingles")
         out = part if out is None else out.unionByName(part)
         if d < depth - 1:
             # only sets on a path that is still large take the next step
             open_nodes = here.join(sizes.where(F.col("n") > bucket_rows), "path").select("rep", "place")
             children = (open_nodes.join(sets, "rep")
-                        .select("rep", F.col("place").alias("above"), F.posexplode(F.slice(
+                        .select("rep", "size", F.col("place").alias("above"), F.posexplode(F.slice(
                             "paths", F.lit(begin[d + 1] + 1) + F.col("place") * branch, F.lit(branch)))
                             .alias("k", "path")))
-            here = stage(children.select("rep", (F.col("above") * branch + F.col("k")).alias("place"), "path"),
+            here = stage(children.select("rep", "size", (F.col("above") * branch + F.col("k")).alias("place"), "path"),
                          "nodes")
     return out
 
 
+def without_twins(members: DataFrame) -> DataFrame:
+    """One bucket of those with exactly the same sets: two similar texts meet
+    on most of their paths, and once is enough.  A bucket's sets are told by
+    two independent hashes over them."""
+    marks = members.groupBy("path").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"),
+        F.bit_xor(F.xxhash64("rep", F.lit("second"))).alias("y"))
+    first = marks.groupBy("n", "x", "y").agg(F.min("path").alias("path")).select("path")
+    return members.join(first, "path", "left_semi")
+
+
 def intersections(members: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairs' intersections, over shingles that two or more
     members hold, a bounded number of them at a time."""
     flat = np.concatenate(members)
-    who = np.repeat(np.arange(len(members)), [len(m) for m in members])
+    who = np.repeat(np.arange(len(members), dtype=np.int32), [len(m) for m in members])
     order = np.argsort(flat, kind="stable")
     keys, who = flat[order], who[order]
     new = np.append(True, keys[1:] != keys[:-1])
-    column = np.cumsum(new) - 1
+    column = np.cumsum(new, dtype=np.int32) - 1
     shared = (np.bincount(column) > 1)[column]
     column, who = column[shared], who[shared]
     out = np.zeros((len(members), len(members)), np.float32)
@@ -197,16 +212,16 @@ def compare(block: dict[str, list], threshold: float) -> list[tuple[int, int, in
             if p < path:
                 smaller.setdefault(p, []).append(k)
     both = [v for v in smaller.values() if len(v) > 1]
-    if both:
-        seen = np.zeros((m, len(both)), np.float32)
-        for c, v in enumerate(both):
+    for a in range(0, len(both), COLUMNS):
+        seen = np.zeros((m, min(COLUMNS, len(both) - a)), np.float32)
+        for c, v in enumerate(both[a:a + COLUMNS]):
             seen[v, c] = 1
         pairs &= (seen @ seen.T) == 0
     if not pairs.any():
         return []
     size = np.array([len(s) for s in sets], np.float64)
     busy = np.flatnonzero(pairs.any(0) | pairs.any(1))
-    common = np.zeros((m, m))
+    common = np.zeros((m, m), np.float32)
     common[np.ix_(busy, busy)] = intersections([sets[k] for k in busy])
     union = size[:, None] + size[None, :] - common
     linked = pairs & (common >= threshold * union - 1e-9)
@@ -263,10 +278,10 @@ def digest(shingles: np.ndarray) -> tuple[int, int]:
 
 def links_of(members: DataFrame, rows: DataFrame, words: int, threshold: float, block_rows: int) -> DataFrame:
     """(rep, links, neighbour) rows from the buckets' members (path, rep, n,
-    copies, low, high) and the texts (doc_id, text)."""
+    shingles, copies, low, high) and the texts (doc_id, text)."""
     # a set is in at most runs x branch ^ depth buckets, so its list is short
     lists = members.groupBy("rep", "copies", "low", "high").agg(
-        F.sort_array(F.collect_list(F.struct("path", "n"))).alias("in"))
+        F.sort_array(F.collect_list(F.struct("path", "n", F.col("shingles").alias("held")))).alias("in"))
 
     def shingle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingles(words)
@@ -286,12 +301,12 @@ def links_of(members: DataFrame, rows: DataFrame, words: int, threshold: float,
 
     held = (lists.join(rows.withColumnRenamed("doc_id", "rep"), "rep")
             .select("rep", "copies", "in", "low", "high", "text")
-            .mapInArrow(shingle, "rep long, copies long, in array<struct<path:long,n:long>>, shingles binary"))
+            .mapInArrow(shingle, "rep long, copies long, in array<struct<path:long,n:long,held:long>>, shingles binary"))
     # a bucket of n sets is parts x parts blocks of comparisons; a set goes
     # to the blocks of its part, which hold at most two parts' rows
-    parts = F.ceil(F.col("n") / block_rows).cast("int")
+    parts = F.ceil(F.greatest(F.col("n") / block_rows, F.col("held") / BLOCK_SHINGLES)).cast("int")
     placed = (held.select("rep", "copies", "shingles", F.col("in.path").alias("paths"), F.explode("in").alias("b"))
-              .select("rep", "copies", "shingles", "paths", "b.path", "b.n")
+              .select("rep", "copies", "shingles", "paths", "b.path", "b.n", "b.held")
               .withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
               .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
@@ -317,8 +332,9 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WOR
     distinct = stage(owned.groupBy("low", "high").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")),
                      "distinct")
     sets = stage(named.withColumnRenamed("doc_id", "rep").join(distinct, ["rep", "low", "high"], "left_semi")
-                 .select("rep", "paths").dropDuplicates(["rep"]), "reps")
-    members = stage(buckets(sets, runs, branch, depth, bucket_rows), "members")
+                 .select("rep", "size", "paths").dropDuplicates(["rep"]), "reps")
+    members = stage(buckets(sets, runs, branch, depth, bucket_rows), "buckets")
+    members = stage(without_twins(members), "members")
     links = stage(links_of(members.join(distinct, "rep"), rows, words, threshold, block_rows), "links")
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(links.select(F.col("rep").alias("a"), F.col("neighbour").alias("b")))
