@@ -5,8 +5,10 @@ columns of documents; the last returns the packed pieces.  Between stages the
 documents are written as Parquet in the session's checkpoint folder and read
 again.
 
-A row with a null id is judged by the quality rules like any other; the
-stages that compare documents pass it on unchanged.
+A row with a null id is judged by the quality rules like any other (all such
+rows stay if one of them does); the stages that compare documents pass it on
+unchanged.  A document that loses its last word to line or substring dedup
+goes.  Rows that share an id stay or go together.
 """
 
 from __future__ import annotations
@@ -17,43 +19,38 @@ from pyspark.sql import functions as F
 from larder.llm import best_fit, chunk_dedup, jaccard_join, line_dedup, quality_ratio
 from larder.llm.frames import stage
 
-BARE = ("doc_id", "text")
 
-
-def with_texts(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``docs`` with the texts of rows (doc_id, text); its other columns stay
-    as they are, and a document whose text is left blank goes."""
-    names = docs.columns
-    fresh = texts.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("__id"), F.col("text").alias("__text")).dropDuplicates(["__id"])
-    old = docs.drop("text")
-    found = old.join(fresh, old["doc_id"].eqNullSafe(F.col("__id")))
-    return found.withColumn("text", F.col("__text")).withColumn(
-        "n_chars", F.length("text").cast("long")).select(*names)
+def with_texts(docs: DataFrame, found: DataFrame, dropped: str) -> DataFrame:
+    """The columns of ``docs`` from an operator's rows (doc_id, text, rest):
+    the text is the operator's, ``n_chars`` its length, the rest as it was.  A
+    document of which the operator left no word goes."""
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    emptied = (F.col(dropped) > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return found.where(~emptied).select(*(new.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the ratio keep."""
     verdicts = quality_ratio.quality_verdicts(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
-    kept = verdicts.where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
+    kept = verdicts.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
 def line_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier document holds."""
-    return with_texts(docs, line_dedup.dedup_lines(docs).select(*BARE))
+    return with_texts(docs, line_dedup.dedup_lines(docs, carry=True), "n_dropped")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id."""
     classes = jaccard_join.jaccard_join(docs)
-    gone = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("__id"))
-    return docs.join(gone, docs["doc_id"] == F.col("__id"), "left_anti")
+    gone = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("gone_id"))
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document holds."""
-    return with_texts(docs, chunk_dedup.dedup_substrings(docs).select(*BARE))
+    return with_texts(docs, chunk_dedup.dedup_substrings(docs, carry=True), "n_dropped_chunks")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,11 +124,12 @@ def smaller_elsewhere(table: pa.Table) -> pa.Table:
 
 
 def dedup_substrings(docs: DataFrame, rate: int = RATE, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
+                     text_col: str = "text", carry: bool = False) -> DataFrame:
     """(doc_id, text, n_chunks, n_dropped_chunks, n_dropped_words, dropped)
     for every row: ``text`` without its repeated passages and the byte spans
-    that went."""
-    rows = id_and_text(docs, id_col, text_col)
+    that went.  ``carry`` adds the other columns as a struct."""
+    rows = id_and_text(docs, id_col, text_col, carry)
+    rest = f", rest {rows.schema['rest'].dataType.simpleString()}" if carry else ""
     n_blocks, n_buckets = B.sizes(rows, BLOCK_BYTES)
 
     def ask(table: pa.Table) -> pa.Table:
@@ -158,7 +159,8 @@ def dedup_substrings(docs: DataFrame, rate: int = RATE, min_words: int = MIN_WOR
                         [{"begin": a, "end": b} for a, b in spans]))
         cols = list(zip(*out)) or [[]] * 6
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(SPAN)]
-        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)],
+        done = pa.table([pa.array(c, k) for c, k in zip(cols, kinds)],
                         names=["doc_id", "text", "n_chunks", "n_dropped_chunks", "n_dropped_words", "dropped"])
+        return done.append_column("rest", left.column("rest")) if rest else done
 
-    return B.exchanged(B.dealt(rows, n_blocks), ask, smaller_elsewhere, settle, SCHEMA)
+    return B.exchanged(B.dealt(rows, n_blocks), ask, smaller_elsewhere, settle, SCHEMA + rest)

@@ -16,11 +16,15 @@ from larder.sources.io import stage  # noqa: F401  (re-exported for the operator
 SLICE_BYTES = 4 << 20
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                carry: bool = False) -> DataFrame:
     """Only the two columns an operator reads, so nothing else reaches Python
-    and no other column's name can clash with what the operator adds."""
+    and no other column's name can clash with what the operator adds.  With
+    ``carry`` the other columns come along as one struct, ``rest``."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                       F.col(f"`{text_col}`").cast("string").alias("text"))
+                       F.col(f"`{text_col}`").cast("string").alias("text"),
+                       *([F.struct(*(rest or [F.lit(0).alias("none")])).alias("rest")] if carry else []))
 
 
 def slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES

@@ -54,13 +54,14 @@ def repeated_keys(lines: DataFrame, min_docs: int) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped) for every row of ``docs``; ``text``
     is what stays, joined by ``\\n``.  A key of at least ``min_chars`` code
     points in at least ``min_docs`` documents stays only in the document with
-    the smallest id."""
-    rows = id_and_text(docs, id_col, text_col).select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
+    the smallest id.  ``carry`` adds the other columns as a struct."""
+    rows = id_and_text(docs, id_col, text_col, carry).withColumn(
+        "text", F.coalesce("text", F.lit(""))).withColumn("t", F.xxhash64("text"))
+    rest = ["rest"] if carry else []
     lines = keyed_lines(rows, min_chars)
     # written once: a join of two plain exchanges is one that Spark can split
     # where a key is very frequent
@@ -71,11 +72,11 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10,
     parts = F.split(F.col("text"), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
     return (rows.join(dropped, ["doc_id", "t"], "left")
-            .select("doc_id", "text", "gone", parts.alias("parts"), stay.alias("stay"))
+            .select("doc_id", "text", "gone", parts.alias("parts"), stay.alias("stay"), *rest)
             .select("doc_id",
                     F.when(F.col("gone").isNull(), F.col("text"))
                     .otherwise(F.array_join(F.transform("stay", lambda i: F.get(F.col("parts"), i)),
                                             "\n")).alias("text"),
                     F.size("parts").cast("long").alias("n_lines"),
                     F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone"))
-                    .cast("long").alias("n_dropped")))
+                    .cast("long").alias("n_dropped"), *rest))

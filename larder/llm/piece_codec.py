@@ -205,14 +205,9 @@ class Codec:
         cuts = np.concatenate([[0], np.cumsum(width)])
         if cuts[-1] != len(flat):
             raise ValueError(f"pieces cover {cuts[-1]} of {len(flat)} normalised bytes")
-        # a cut inside what one source place became belongs to that place's
-        # begin for the next piece and to the following place's for this one
-        begin, end = source[cuts[:-1]], source[cuts[1:]]
-        inside = (end == begin) & (width > 0)
-        if inside.any():
-            after = np.searchsorted(source, end[inside], side="right")
-            end[inside] = source[np.minimum(after, len(source) - 1)]
-        return ids, begin, end
+        # where one source place became several pieces, the last of them has
+        # its bytes and those before are empty, as in the library
+        return ids, source[cuts[:-1]], source[cuts[1:]]
 
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids)
