@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from larder.functions.predicates import same_market
 from larder.functions.scalars import exact_mean
 from larder.operators.ranks import GROUP, group_median, value_counts, with_group
-from larder.operators.strategy import resolve
 
 # Product columns brought to each price row (key + 18 attributes).
 PRODUCT_JOIN_COLS = [
@@ -72,17 +71,11 @@ def align_prices(prices: DataFrame, products: DataFrame,
 
 
 def summarise_prices(aligned: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
-                     median: str = "auto", splits: int | None = None) -> DataFrame:
+                     splits: int | None = None) -> DataFrame:
     """Per key tuple: count, min, exact median, mean, max, any
-    same-market match (all-null gives false), first and last date.
-
-    ``median="freq"`` computes the median from a frequency table with split
-    prefix sums (no task holds a whole group); ``"builtin"`` uses Spark's
-    exact ``median`` aggregate, whose final merge buffers every distinct
-    price of a group in one task, so ``"auto"`` uses it only when the
-    input provably fits one task."""
+    same-market match (all-null gives false), first and last date.  The median
+    comes from a frequency table, so no task holds a whole group."""
     keys = list(keys)
-    median = resolve(median, aligned, "builtin", "freq")
     base = with_group(aligned, keys)
     aggs = [
         F.count(F.lit(1)).cast("int").alias("price_record_count"),
@@ -93,15 +86,9 @@ def summarise_prices(aligned: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
         F.min("date").alias("first_price_date"),
         F.max("date").alias("last_price_date"),
     ]
-    if median == "builtin":
-        out = aligned.groupBy(*keys).agg(*aggs, F.median("price_value").alias("price_median"))
-    elif median == "freq":
-        stats = base.groupBy(GROUP).agg(*[F.first(k).alias(k) for k in keys], *aggs)
-        med = group_median(value_counts(base, "price_value"), "price_value",
-                           splits=splits, out="price_median")
-        out = stats.join(med, on=GROUP, how="left").drop(GROUP)
-    else:
-        raise ValueError(f"unknown median strategy {median!r}")
+    stats = base.groupBy(GROUP).agg(*[F.first(k).alias(k) for k in keys], *aggs)
+    med = group_median(value_counts(base, "price_value"), "price_value", splits=splits, out="price_median")
+    out = stats.join(med, on=GROUP, how="left").drop(GROUP)
     return out.select(*keys, "price_record_count", "price_min", "price_median", "price_mean",
                       "price_max", "any_same_market_match", "first_price_date", "last_price_date")
 

@@ -1,31 +1,22 @@
 """Peer-group statistics: average-rank percentiles and robust z-scores (F1-F8).
 
-Two strategies with identical results:
-
-``method="freq"`` (default, skew-proof)
-    Measures are stacked long ``(id, group, measure, value)``, counted per
-    distinct value, ranked with split prefix sums (``ranks.prefix_counts``)
-    and pivoted back by ``id``.  No task ever holds a whole peer group, so a
-    group with a third of all rows costs the same as a hundred small ones.
-    Robust z needs only per-group medians and MADs, which are small tables
-    (groups x measures) joined back by the group key.
-
-``method="window"``
-    The textbook window form.  One shuffle, but every row of a peer group is
-    sorted in one task per distinct ordering: fine for small or evenly sized
-    groups, and kept as the cross-check in the tests.
+Measures are stacked long ``(id, group, measure, value)``, counted per
+distinct value, ranked with range prefix sums (``ranks.prefix_counts``) and
+pivoted back by ``id``.  No task ever holds a whole peer group, so a group
+with a third of all rows costs the same as a hundred small ones.  Robust z
+needs only per-group medians and MADs, which are small tables (groups x
+measures) joined back by the group key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.scalars import safe_div
 from larder.operators.ranks import GROUP, median_and_mad, prefix_counts, value_counts, with_group
-from larder.operators.strategy import resolve
 
 MEASURE = "_m"
 VALUE = "_v"
@@ -74,21 +65,13 @@ def _stack(df: DataFrame, id_col: str, measures: Mapping[str, tuple[Column, list
 
 
 def peer_percentiles(df: DataFrame, measures: Mapping[str, MeasureSpec], keys: Sequence[str],
-                     id_col: str = "code", method: str = "auto",
-                     splits: int | None = None) -> DataFrame:
+                     id_col: str = "code", splits: int | None = None) -> DataFrame:
     """add one column per measure holding the average rank of
     the row's value among the non-null values of its peer group divided by
     the number of *all* rows in the group (nulls included); null values get
     null.  A measure given as ``(expr, keys)`` uses its own peer keys (F3),
-    in the same pass.  ``id_col`` must be unique per row (method ``freq``).
-    ``auto`` takes ``window`` only when the input provably fits one task."""
+    in the same pass.  ``id_col`` must be unique per row."""
     spec = _split_spec(measures, keys)
-    method = resolve(method, df, "window", "freq")
-    if method == "window":
-        return _percentiles_window(df, spec)
-    if method != "freq":
-        raise ValueError(f"unknown method {method!r}")
-
     long = _stack(df, id_col, spec)
     # all rows count in the denominator, null values included
     sizes = long.groupBy(GROUP, MEASURE).agg(F.count(F.lit(1)).alias("_n"))
@@ -104,21 +87,6 @@ def peer_percentiles(df: DataFrame, measures: Mapping[str, MeasureSpec], keys: S
     return df.join(wide, on=id_col, how="left")
 
 
-def _percentiles_window(df: DataFrame, spec: Mapping[str, tuple[Column, list[str]]]) -> DataFrame:
-    cols = {}
-    for name, (expr, keys) in spec.items():
-        part = Window.partitionBy(*keys)
-        n = F.count(F.lit(1)).over(part)
-        x = expr.cast("double")
-        ordered = part.orderBy(x.asc_nulls_last())
-        first = F.rank().over(ordered)
-        # ties = the value's peers: same ordering, RANGE frame on the current
-        # value, so rank and tie count share one sort
-        ties = F.count(F.lit(1)).over(ordered.rangeBetween(Window.currentRow, Window.currentRow))
-        cols[name] = F.when(x.isNotNull(), (first + (ties - F.lit(1)) / F.lit(2.0)) / n)
-    return df.withColumns(cols)
-
-
 def group_median_mad(df: DataFrame, measures: Mapping[str, Column | str], keys: Sequence[str],
                      splits: int | None = None) -> DataFrame:
     """one row per peer group with ``<m>__median`` and ``<m>__mad``
@@ -137,16 +105,13 @@ MAD_EPSILON = 1e-6
 
 
 def robust_z(df: DataFrame, measures: Mapping[str, Column | str], keys: Sequence[str],
-             method: str = "auto", splits: int | None = None,
+             splits: int | None = None,
              mad_floor: float | None = None, z_cap: float | None = None) -> DataFrame:
     """``(x - median) / (MAD + 1e-6)`` per peer group, null only when
     x is null (or the whole group is null).  ``mad_floor`` / ``z_cap`` are
     opt-in guards against zero-MAD groups; the defaults keep the
     reference's behaviour."""
     keys = list(keys)
-    method = resolve(method, df, "window", "freq")
-    if method == "window":
-        return _robust_z_window(df, measures, keys, mad_floor, z_cap)
     stats = group_median_mad(df, measures, keys, splits)
     joined = with_group(df, keys).join(stats, on=GROUP, how="left")
     cols = {name: _z(_c(expr).cast("double"), F.col(f"{name}__median"), F.col(f"{name}__mad"),
@@ -163,16 +128,3 @@ def _z(x: Column, median: Column, mad: Column, mad_floor, z_cap) -> Column:
     if z_cap is not None:
         z = F.when(z.isNotNull(), F.least(F.greatest(z, F.lit(-float(z_cap))), F.lit(float(z_cap))))
     return z
-
-
-def _robust_z_window(df, measures, keys, mad_floor, z_cap) -> DataFrame:
-    part = Window.partitionBy(*keys)
-    out = df
-    for name, expr in measures.items():
-        x = _c(expr).cast("double")
-        med_col, dev_col = f"_{name}__med", f"_{name}__dev"
-        out = out.withColumn(med_col, F.median(x).over(part))
-        out = out.withColumn(dev_col, F.abs(x - F.col(med_col)))
-        out = out.withColumn(name, _z(x, F.col(med_col), F.median(F.col(dev_col)).over(part),
-                                      mad_floor, z_cap)).drop(med_col, dev_col)
-    return out

