@@ -146,15 +146,17 @@ def weighted_abs_sum(weights: Mapping[str, float]) -> Column:
 def pct(part: ColumnOrName, whole: ColumnOrName, zero: float | None = 0.0) -> Column:
     """Part / whole * 100 rounded to 2 decimals.
 
-    The exact ratio is rounded half-up in integer arithmetic, as
-    ``(20000 * part + whole) div (2 * whole)`` hundredths, so the result does
-    not depend on how a binary double happens to round.  A zero or null whole
+    The exact ratio is rounded in integer arithmetic, ties to the even
+    hundredth (1 of 800 is 0.12, 1 of 32 is 3.12), so the result does not
+    depend on how a binary double happens to round.  A zero or null whole
     gives ``zero`` (0.0 in two of the reference's scripts, None in the third).
     """
     p = _c(part).cast("long")
     w = _c(whole).cast("long")
-    r = F.when(w.isNotNull() & (w != F.lit(0)),
-               int_div(p * F.lit(20000) + w, w * F.lit(2)) / F.lit(100.0))
+    twice = p * F.lit(20000) + w
+    up = int_div(twice, w * F.lit(2))
+    tie_to_odd = (F.pmod(twice, w * F.lit(2)) == F.lit(0)) & (up % F.lit(2) == F.lit(1))
+    r = F.when(w.isNotNull() & (w != F.lit(0)), (up - tie_to_odd.cast("long")) / F.lit(100.0))
     if zero is None:
         return r
     return F.coalesce(r, F.lit(float(zero)))

@@ -133,7 +133,8 @@ def top_values_multi(df: DataFrame, specs: Mapping[str, tuple[int, Sequence[str]
         pairs = pairs.filter(F.col("value").isNotNull())
     for c, (_, excl) in specs.items():
         if excl:
-            pairs = pairs.filter(~((F.col("column") == F.lit(c)) & F.col("value").isin(list(excl))))
+            pairs = pairs.filter(~((F.col("column") == F.lit(c))
+                                   & F.coalesce(F.col("value").isin(list(excl)), F.lit(False))))
     counts = pairs.groupBy("column", "value", "num").agg(F.count(F.lit(1)).alias("count"))
     order = Window.partitionBy("column").orderBy(
         F.col("count").desc(), F.col("num").asc_nulls_last(), F.col("value").asc_nulls_last())

@@ -14,14 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.scalars import exact_mean
-from larder.operators.ranks import GROUP, group_median, value_counts, with_group
+from larder.operators.ranks import GROUP, group_median, nearest_rank, value_counts, with_group
+
+
+# Quantiles of the nutrition-structure view.
+STRUCTURE_QUANTILES = {"p25": 0.25, "p75": 0.75, "p95": 0.95}
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column | str],
                 splits: int | None = None) -> DataFrame:
-    """(keys..., measure, n, mean, median): per group and measure the non-null
-    count, mean and exact median; measures are stacked long so one pass
-    serves all of them."""
+    """(keys..., measure, n, mean, median, p25, p75, p95): per group and
+    measure the non-null count, mean, exact median and nearest-rank quantiles;
+    measures are stacked long so one pass serves all of them."""
     keys = list(keys)
     base = with_group(df, keys)
     entries = [F.struct(F.lit(m).alias("measure"),
@@ -31,10 +35,10 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Colum
     basic = long.groupBy(GROUP, "measure").agg(
         *[F.first(k).alias(k) for k in keys],
         F.count("_v").alias("n"), exact_mean("_v").alias("mean"))
-    med = group_median(value_counts(long, "_v", by=[GROUP, "measure"]), "_v",
-                       by=[GROUP, "measure"], splits=splits, out="median")
-    return (basic.join(med, on=[GROUP, "measure"], how="left")
-            .select(*keys, "measure", "n", "mean", "median"))
+    ranks = nearest_rank(value_counts(long, "_v", by=[GROUP, "measure"]), "_v", STRUCTURE_QUANTILES,
+                         by=[GROUP, "measure"], splits=splits, median="median")
+    return (basic.join(ranks, on=[GROUP, "measure"], how="left")
+            .select(*keys, "measure", "n", "mean", "median", *STRUCTURE_QUANTILES))
 
 
 def currency_medians(aligned: DataFrame, splits: int | None = None) -> DataFrame:
@@ -112,8 +116,8 @@ STRUCTURE_MEASURES = {
 
 def nutrition_structure(analysis: DataFrame, keys: Sequence[str] = ("analysis_country_tag", "analysis_category_tag"),
                         splits: int | None = None) -> DataFrame:
-    """K3: per (country, category) or (country, brand): n, mean and exact
-    median of the six nutrition measures, long format."""
+    """K3: per (country, category) or (country, brand): n, mean, exact
+    median and quantiles of the six nutrition measures, long format."""
     return group_stats(analysis, keys, STRUCTURE_MEASURES, splits)
 
 

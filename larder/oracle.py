@@ -106,10 +106,11 @@ def mean(x: str) -> str:
 
 
 def pct(part: str, whole: str, zero: str = "0.0") -> str:
-    """Exact half-up percentage with 2 decimals (integer arithmetic)."""
-    return (f"COALESCE(CASE WHEN ({whole}) <> 0 THEN "
-            f"CAST((20000 * CAST({part} AS BIGINT) + CAST({whole} AS BIGINT)) // (2 * CAST({whole} AS BIGINT)) AS DOUBLE) / 100.0 "
-            f"END, {zero})")
+    """Percentage with 2 decimals, exact ties to the even hundredth."""
+    p, w = f"CAST({part} AS HUGEINT)", f"CAST({whole} AS HUGEINT)"
+    floor, rest = f"(10000 * {p}) // {w}", f"(10000 * {p}) % {w}"
+    up = f"CASE WHEN 2 * ({rest}) > {w} OR (2 * ({rest}) = {w} AND ({floor}) % 2 = 1) THEN 1 ELSE 0 END"
+    return f"COALESCE(CASE WHEN ({whole}) <> 0 THEN CAST(({floor}) + {up} AS DOUBLE) / 100.0 END, {zero})"
 
 
 # ---------------------------------------------------------------- fragments
@@ -480,6 +481,9 @@ strict AS (SELECT * FROM products_fx WHERE {STRICT})
     _dist("aligned", "prices_aligned", "currency"),
     _dist("aligned", "prices_aligned", "location_osm_address_country_code")])
 
+ORACLE["prices_aligned"] = _with(PRODUCTS_FX, PRICES_FX, PRODUCTS_MAIN, ALIGNED) + """
+SELECT * FROM aligned"""
+
 ORACLE["price_currency_medians"] = _with(*SUMMARY_CHAIN) + f"""
 SELECT currency, count(*) AS rows, {med('price_value')} AS median_price, {mean('price_value')} AS mean_price
 FROM aligned GROUP BY currency"""
@@ -811,6 +815,12 @@ SELECT analysis_country_tag, analysis_category_tag,
   CAST(sum(n * n) AS DOUBLE) / (CAST(sum(n) AS DOUBLE) * CAST(sum(n) AS DOUBLE)) AS hhi
 FROM pb GROUP BY analysis_country_tag, analysis_category_tag"""
 
+ORACLE["brand_shares"] = _with(*PM_CHAIN) + """
+SELECT analysis_country_tag, analysis_category_tag, primary_brand_tag, count(*) AS n,
+  CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY analysis_country_tag, analysis_category_tag) AS share
+FROM products_main WHERE primary_brand_tag IS NOT NULL
+GROUP BY analysis_country_tag, analysis_category_tag, primary_brand_tag"""
+
 ORACLE["country_overview"] = _with(*ANALYSIS_CHAIN) + f"""
 SELECT analysis_country_tag, count(code) AS products, {mean('health_score_composite')} AS avg_health_score,
   {mean('data_completeness_score')} AS avg_data_completeness_score,
@@ -822,7 +832,8 @@ _STRUCT = ["sugars_100g", "salt_equivalent_100g", "fat_100g", "energy_kcal_100g"
 
 def _structure(view: str, member: str) -> str:
     parts = [f"SELECT '{view}' AS view, analysis_country_tag, {member} AS member, '{m}' AS measure, "
-             f"count(v) AS n, {mean('v')} AS mean, {med('v')} AS median "
+             f"count(v) AS n, {mean('v')} AS mean, {med('v')} AS median, {_nearest('v', 0.25)} AS p25, "
+             f"{_nearest('v', 0.75)} AS p75, {_nearest('v', 0.95)} AS p95 "
              f"FROM (SELECT analysis_country_tag, {member}, CAST({m} AS DOUBLE) AS v FROM analysis) "
              f"GROUP BY analysis_country_tag, {member}" for m in _STRUCT]
     return "\nUNION ALL ".join(parts)

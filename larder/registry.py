@@ -36,6 +36,12 @@ def q_price_summary(spark, sf_dir):
     return fixture_prices(spark, sf_dir, stage_summary=False)[4]
 
 
+@query("prices_aligned")
+def q_prices_aligned(spark, sf_dir):
+    """Every aligned price row, all 31 columns."""
+    return fixture_prices(spark, sf_dir, stage_summary=False)[3]
+
+
 @query("products_main")
 def q_products_main(spark, sf_dir):
     """J1 (B10, B11, G4, C1-C12, G7)."""
@@ -469,6 +475,12 @@ def q_brand_concentration(spark, sf_dir):
     return R.brand_concentration(fixture_products_main(spark, sf_dir)[2])
 
 
+@query("brand_shares")
+def q_brand_shares(spark, sf_dir):
+    """K1 detail: every brand's share of its market."""
+    return R.brand_shares(fixture_products_main(spark, sf_dir)[2])
+
+
 @query("country_overview")
 def q_country_overview(spark, sf_dir):
     """K2."""
@@ -481,10 +493,10 @@ def q_nutrition_structure(spark, sf_dir):
     an = _analysis(spark, sf_dir, reused=True)
     by_cat = R.nutrition_structure(an, ["analysis_country_tag", "analysis_category_tag"]).select(
         F.lit("category").alias("view"), "analysis_country_tag",
-        F.col("analysis_category_tag").alias("member"), "measure", "n", "mean", "median")
+        F.col("analysis_category_tag").alias("member"), "measure", "n", "mean", "median", "p25", "p75", "p95")
     by_brand = R.nutrition_structure(an, ["analysis_country_tag", "primary_brand_tag"]).select(
         F.lit("brand").alias("view"), "analysis_country_tag",
-        F.col("primary_brand_tag").alias("member"), "measure", "n", "mean", "median")
+        F.col("primary_brand_tag").alias("member"), "measure", "n", "mean", "median", "p25", "p75", "p95")
     return by_cat.unionByName(by_brand)
 
 

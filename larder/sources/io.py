@@ -16,6 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -47,9 +48,12 @@ def row_count(df: DataFrame | None) -> DataFrame:
 def optional_row_count(spark: SparkSession, path: str) -> DataFrame:
     """A4 for an optional input: null rows when the path does not exist."""
     try:
-        return row_count(spark.read.parquet(path))
-    except Exception:  # AnalysisException: path does not exist
+        found = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([(None,)], "rows bigint")
+    return row_count(found)
 
 
 def file_sizes(df: DataFrame) -> DataFrame:

@@ -50,9 +50,11 @@ def test_clip_safe_div_pct(spark):
     rows = df.select(S.clip("x", 0.0, 1.0).alias("c"), S.safe_div(F.lit(1.0), F.col("d")).alias("q")).collect()
     assert [r.c for r in rows] == [0.0, 0.5, 1.0, None]
     assert [r.q for r in rows] == [None, 0.5, None, None]
+    ties = spark.createDataFrame([(1, 800), (1, 32), (3, 800)], "n long, t long")
+    assert [r[0] for r in ties.select(S.pct("n", "t")).collect()] == [0.12, 3.12, 0.38]
     p = spark.createDataFrame([(1, 8), (3, 600), (203, 20000), (0, 0)], "n long, t long")
     got = [r[0] for r in p.select(S.pct("n", "t", zero=None)).collect()]
-    # exact half-up: 12.5, 0.5, 1.015 -> 1.02 (a binary double would give 1.01), 0 -> None
+    # exact ratios, ties to even: 12.5, 0.5, 1.015 -> 1.02 (a binary double would give 1.01), 0 -> None
     assert got == [12.5, 0.5, 1.02, None]
 
 
