@@ -27,7 +27,7 @@ grams AS (
 trusted AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND coalesce(toxic, 0) = 0),
 counted AS (
   SELECT bucket, count(*) + 1.0::DOUBLE AS raw, count(t.doc_id) + 1.0::DOUBLE AS target
-  FROM grams g LEFT JOIN trusted t ON g.doc_id = t.doc_id GROUP BY bucket),
+  FROM grams g LEFT JOIN trusted t ON g.doc_id = t.doc_id AND t.doc_id % 4 <> 3 GROUP BY bucket),
 totals AS (SELECT sum(raw) + 65536 - count(*) AS raw_total, sum(target) + 65536 - count(*) AS target_total FROM counted),
 ratios AS (
   SELECT bucket, round((ln(target / target_total) - ln(raw / raw_total)) * 1000000)::BIGINT AS ratio
@@ -48,13 +48,18 @@ base AS (
          coalesce(list_sum(list_transform(l.words, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(l.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          coalesce(c.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
-  FROM word_lists l LEFT JOIN line_counts c ON l.row_id = c.row_id LEFT JOIN repeats r ON l.row_id = r.row_id)
+  FROM word_lists l LEFT JOIN line_counts c ON l.row_id = c.row_id LEFT JOIN repeats r ON l.row_id = r.row_id),
+held_out AS (
+  SELECT floor(total / n_grams)::BIGINT AS mean FROM base JOIN trusted USING (doc_id) JOIN scores USING (row_id)
+  WHERE doc_id % 4 = 3 AND NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)),
+lowest AS (
+  SELECT coalesce(list_sort(list(mean))[floor(0.001 * (count(*) - 1))::BIGINT + 1], -120000) AS threshold FROM held_out)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND coalesce(total, 0) >= -120000 * coalesce(n_grams, 0) AS kept,
+         AND coalesce(total, 0) >= threshold * coalesce(n_grams, 0) AS kept,
        coalesce(n_grams, 0)::BIGINT AS n_grams, coalesce(total, 0)::BIGINT AS log_ratio_millionths
-FROM base LEFT JOIN scores USING (row_id)
+FROM base LEFT JOIN scores USING (row_id) CROSS JOIN lowest
 """
 
 OP2 = r"""
