@@ -1,9 +1,12 @@
 """Array and list-of-struct extraction.
 
-All are higher-order built-ins evaluated in the projection right after the
-scan, so the nested columns are read once and everything downstream is
-scalar.  ``get`` / ``try_element_at`` are used instead of ``arr[i]`` /
-``element_at`` because those throw under ANSI mode on an empty list.
+All are built-ins evaluated in the projection right after the scan, so the
+nested columns are read once and everything downstream is scalar.  Set
+functions (``array_intersect``, ``array_except``) keep the first list's order,
+so they find first and last elements inside whole-stage codegen; the only
+lambda is :func:`with_values`, once per row.  ``get`` is used instead of
+``arr[i]`` / ``element_at`` because those throw under ANSI mode on an empty
+list.
 """
 
 from __future__ import annotations
@@ -20,37 +23,44 @@ def _c(col: ColumnOrName) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def named_value(col: ColumnOrName, name: str, key_field: str = "name",
+def with_values(col: ColumnOrName, value_field: str = "100g") -> Column:
+    """The list's elements that have a value: one pass that every
+    :func:`named_value` of a row shares when it is a column of its own."""
+    return F.filter(_c(col), lambda e: e[value_field].isNotNull())
+
+
+def named_value(valued: ColumnOrName, name: str, key_field: str = "name",
                 value_field: str = "100g") -> Column:
-    """First non-null ``value_field`` among elements whose ``key_field``
-    equals ``name``, as double; null when none."""
-    hits = F.filter(_c(col), lambda e: (e[key_field] == F.lit(name)) & e[value_field].isNotNull())
-    return F.get(hits, 0)[value_field].cast("double")
+    """``value_field`` of the first element whose ``key_field`` equals
+    ``name``, as double; null when none.  ``valued`` is the list of
+    :func:`with_values`, so the value is the first non-null one."""
+    c = _c(valued)
+    place = F.array_position(c[key_field], F.lit(name)).cast("int")
+    return F.get(c[value_field], place - 1).cast("double")
 
 
 def first_match(col: ColumnOrName, allowed: Sequence[str]) -> Column:
     """First list element (list order) that is in the allow-list."""
     if not allowed:
         return F.lit(None).cast("string")
-    return F.get(F.filter(_c(col), lambda t: t.isin(list(allowed))), 0)
+    return F.get(F.array_intersect(_c(col), F.array(*map(F.lit, allowed))), 0)
 
 
 def last_match(col: ColumnOrName, allowed: Sequence[str]) -> Column:
     """Last list element that is in the allow-list."""
     if not allowed:
         return F.lit(None).cast("string")
-    return F.try_element_at(F.filter(_c(col), lambda t: t.isin(list(allowed))), F.lit(-1))
+    return first_match(F.reverse(_c(col)), allowed)
 
 
 def first_text(col: ColumnOrName, text_field: str = "text") -> Column:
     """C4: first non-null ``text`` of a list of {lang, text}, any language."""
-    texts = F.transform(_c(col), lambda e: e[text_field])
-    return F.get(F.filter(texts, lambda t: t.isNotNull()), 0)
+    return first_tag(_c(col)[text_field])
 
 
 def first_tag(col: ColumnOrName) -> Column:
     """First non-null element."""
-    return F.get(F.array_compact(_c(col)), 0)
+    return F.get(F.array_except(_c(col), F.array(F.lit(None).cast("string"))), 0)
 
 
 def size_or_zero(col: ColumnOrName) -> Column:

@@ -1,8 +1,8 @@
 """Boolean column builders (filters and presence tests).
 
-Everything here returns a ``Column`` made of built-in expressions, so it
-stays inside whole-stage codegen and predicate pushdown applies wherever
-Spark can push the expression (scalar null tests and comparisons).
+Everything here returns a ``Column`` of built-in expressions without lambdas,
+so it stays inside whole-stage codegen, and predicate pushdown applies
+wherever Spark can push the expression (scalar null tests and comparisons).
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ def has_named_entry(name: str, col: ColumnOrName = "nutriments",
                     key_field: str = "name") -> Column:
     """Some struct element has ``key_field == name`` (its value may be
     null); false on a null or empty list."""
-    return F.coalesce(F.exists(_c(col), lambda e: e[key_field] == F.lit(name)), F.lit(False))
+    return F.coalesce(F.array_contains(_c(col)[key_field], F.lit(name)), F.lit(False))
 
 
 def any_in(col: ColumnOrName, allowed: Sequence[str]) -> Column:
@@ -61,7 +61,7 @@ def any_in(col: ColumnOrName, allowed: Sequence[str]) -> Column:
     per-row array test, not a join."""
     if not allowed:
         return F.lit(False)
-    return F.coalesce(F.exists(_c(col), lambda t: t.isin(list(allowed))), F.lit(False))
+    return F.coalesce(F.arrays_overlap(_c(col), F.array(*map(F.lit, allowed))), F.lit(False))
 
 
 def is_in(col: ColumnOrName, values: Sequence) -> Column:
@@ -76,11 +76,6 @@ def not_in(col: ColumnOrName, values: Sequence) -> Column:
     return ~_c(col).isin(list(values))
 
 
-def positive(col: ColumnOrName) -> Column:
-    """Value cast to double is > 0 (null is not positive)."""
-    return _c(col).cast("double") > F.lit(0.0)
-
-
 def same_market(left: ColumnOrName, right: ColumnOrName) -> Column:
     """Plain equality; null when either side is null."""
     return _c(left) == _c(right)

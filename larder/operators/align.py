@@ -93,22 +93,6 @@ def summarise_prices(aligned: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
                       "price_max", "any_same_market_match", "first_price_date", "last_price_date")
 
 
-def matched_rows(prices: DataFrame, products: DataFrame, price_key: str = "product_code",
-                 product_key: str = "code") -> DataFrame:
-    """Price rows whose code exists in the catalogue (semi-join, so a
-    duplicated catalogue code never multiplies a price row)."""
-    codes = products.select(F.col(product_key).alias(price_key)).filter(F.col(price_key).isNotNull())
-    return prices.filter(F.col(price_key).isNotNull()).join(codes, on=price_key, how="left_semi")
-
-
-def matched_codes(prices: DataFrame, products: DataFrame, price_key: str = "product_code",
-                  product_key: str = "code") -> DataFrame:
-    """Distinct price codes that exist in the catalogue."""
-    price_codes = prices.select(price_key).filter(F.col(price_key).isNotNull()).distinct()
-    codes = products.select(F.col(product_key).alias(price_key))
-    return price_codes.join(codes, on=price_key, how="left_semi")
-
-
 def with_price_flag(products: DataFrame, prices: DataFrame, flag: str = "_has_price",
                     product_key: str = "code", price_key: str = "product_code") -> DataFrame:
     """D3 as one pass: every product row with a boolean telling whether its

@@ -1,8 +1,8 @@
 """Data audits: coverage, profiles, value tops, join coverage.
 
-Every audit is one ``agg`` over one scan (all fields' counts in a single
-pass), reshaped into a long table with ``stack``; nothing is collected
-except the k tags of an allow-list.  Percentages use the exact half-up rule
+The counts of a table are one ``agg`` over one scan (all fields in a single
+pass), reshaped into a long table; profiles and join coverage take their own
+scans.  Nothing is collected except the k tags of an allow-list.  Percentages use the exact rule
 of :func:`larder.functions.scalars.pct`.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType
 
-from larder.functions.predicates import has_list, has_named_entry, not_in, present_flags
+from larder.functions.predicates import has_list, has_named_entry, present_flags
 from larder.functions.scalars import exact_mean, pct
 from larder.operators.ranks import GROUP, nearest_rank, value_counts, with_group
 
@@ -38,6 +38,16 @@ def count_table(df: DataFrame, preds: Mapping[str, Column], name_col: str = "fie
                        pct("present_rows", "_rows", zero=zero).alias("coverage_pct"))
 
 
+def figures(df: DataFrame, groups: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+    """(rows, source, metric, present_rows): every predicate of every group
+    counted by one aggregate over one scan, next to the number of rows."""
+    entries = [F.struct(F.lit(source).alias("source"), F.lit(metric).alias("metric"),
+                        F.count_if(p).alias("present_rows"))
+               for source, preds in groups.items() for metric, p in preds.items()]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*entries).alias("_figures"))
+    return row.select("rows", F.inline("_figures"))
+
+
 def field_coverage(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Per field, rows where it is present (B2) and the share of rows;
     fields missing from the schema are skipped."""
@@ -74,28 +84,6 @@ def date_profile(df: DataFrame, column: str) -> DataFrame:
                   F.count(column).alias("present_rows"))
 
 
-def top_values(df: DataFrame, column: str, limit: int = 20, explode: bool = False,
-               keep_null: bool = False, where: Column | None = None,
-               exclude: Sequence[str] = ()) -> DataFrame:
-    """The ``limit`` most frequent values -> (value, count).
-
-    Lists are exploded after keeping non-empty ones; null elements are kept
-    only with ``keep_null`` (G2).  Ties are broken by value (nulls last) so
-    the cut is deterministic.  ``where`` filters rows first, ``exclude``
-    drops values (B6)."""
-    src = df if where is None else df.filter(where)
-    if explode:
-        src = src.filter(has_list(column)).select(F.explode(column).alias("value"))
-    else:
-        src = src.select(F.col(column).alias("value"))
-    if not keep_null:
-        src = src.filter(F.col("value").isNotNull())
-    if exclude:
-        src = src.filter(not_in("value", exclude))
-    counts = src.groupBy("value").agg(F.count(F.lit(1)).alias("count"))
-    return counts.orderBy(F.col("count").desc(), F.col("value").asc_nulls_last()).limit(limit)
-
-
 def _pair_builder(column: str, is_num: bool):
     """element -> struct(column, value as string, numeric sort key)."""
     def entry(v: Column) -> Column:
@@ -149,13 +137,6 @@ def top_values_multi(df: DataFrame, specs: Mapping[str, tuple[int, Sequence[str]
             .select("column", "value", "count"))
 
 
-def allow_list(df: DataFrame, column: str, limit: int, where: Column | None = None,
-               exclude: Sequence[str] = ()) -> list[str]:
-    """The top tags as a Python list (``limit`` values, bounded by
-    design) for use as a literal allow-list."""
-    return allow_lists(df, {column: (limit, exclude)}, where)[column]
-
-
 def allow_lists(df: DataFrame, specs: Mapping[str, tuple[int, Sequence[str]]],
                 where: Column | None = None) -> dict[str, list[str]]:
     """G4 for several list columns in one scan and one job: ``specs`` maps a
@@ -171,7 +152,7 @@ def allow_lists(df: DataFrame, specs: Mapping[str, tuple[int, Sequence[str]]],
     return {c: [v for _, v in sorted(vals)] for c, vals in out.items()}
 
 
-def value_distribution(df: DataFrame, column: str, by_count: bool = True) -> DataFrame:
+def value_distribution(df: DataFrame, column: str) -> DataFrame:
     """(value, count) for every value, null kept as its own group."""
     return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("count"))
 
@@ -194,27 +175,24 @@ def join_coverage(products: DataFrame, prices: DataFrame, product_key: str = "co
     matched unique codes, price rows with a code, matched price rows, and
     the two match percentages (null when the denominator is 0).
 
-    Two aggregates, one per table: the price side is flagged against the
-    distinct catalogue codes by one left join."""
-    codes = (products.select(F.col(product_key).alias(price_key))
-             .filter(F.col(price_key).isNotNull()).distinct())
-    product_side = codes.agg(F.count(F.lit(1)).alias("value")).withColumn(
-        "metric", F.lit("unique_product_codes"))
-    flagged = (prices.select(price_key).filter(F.col(price_key).isNotNull())
-               .join(codes.withColumn("_m", F.lit(True)), on=price_key, how="left"))
-    k = F.col(price_key)
-    price_row = flagged.agg(
-        F.count_distinct(k).alias("unique_price_product_codes"),
-        F.count_distinct(F.when(F.col("_m"), k)).alias("matched_unique_product_codes"),
-        F.count(F.lit(1)).alias("price_rows_with_product_code"),
-        F.count_if(F.col("_m")).alias("matched_price_rows"),
-    )
+    Each table becomes one row per code by a partially aggregated count, so a
+    code with a third of all price rows is one row per map task; the two key
+    tables meet in one full join and one aggregate gives every figure."""
+    def per_code(df: DataFrame, key: str, rows: str) -> DataFrame:
+        return (df.select(F.col(key).alias("_key")).filter(F.col("_key").isNotNull())
+                .groupBy("_key").agg(F.count(F.lit(1)).alias(rows)))
+
+    both = per_code(products, product_key, "_n").join(per_code(prices, price_key, "_m"), on="_key", how="full")
+    matched = F.col("_n").isNotNull() & F.col("_m").isNotNull()
     names = ["unique_price_product_codes", "matched_unique_product_codes",
              "price_rows_with_product_code", "matched_price_rows"]
-    price_side = price_row.unpivot([], names, "metric", "value")
-    long = stack_metrics([product_side.select("metric", F.col("value").cast("long")),
-                          price_side.select("metric", F.col("value").cast("long"))])
-    wide = wide_from_metrics(long, ["unique_product_codes", *names])
+    wide = both.agg(
+        F.count("_n").alias("unique_product_codes"),
+        F.count("_m").alias(names[0]),
+        F.count_if(matched).alias(names[1]),
+        F.sum("_m").alias(names[2]),
+        F.sum(F.when(matched, F.col("_m"))).alias(names[3]),
+    )
     for n in ["unique_product_codes", *names]:
         wide = wide.withColumn(n, F.coalesce(F.col(n), F.lit(0)).cast("long"))
     return wide.withColumns({

@@ -1,4 +1,4 @@
-"""Keep-first dedup, top-1 per group and distinct.
+"""Keep-first dedup and top-1 per group.
 
 Both keep-first and top-1 are written as ``groupBy(key).agg(min_by(row,
 order))``: an aggregate, so each map task keeps one candidate per key before
@@ -55,12 +55,3 @@ def top_one(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]
     """The best row per key under ``order_by`` (built with :func:`asc` /
     :func:`desc` components), helper columns dropped."""
     return keep_first(df, keys, order_by).drop(*drop)
-
-
-def distinct_keys(df: DataFrame, cols: Sequence[str], drop_null: bool = True) -> DataFrame:
-    """E15 (+B17): unique values of ``cols``, null keys removed first."""
-    out = df.select(*cols)
-    if drop_null:
-        for c in cols:
-            out = out.filter(F.col(c).isNotNull())
-    return out.distinct()

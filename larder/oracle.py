@@ -857,3 +857,35 @@ ORACLE["product_detail"] = _with(*ANALYSIS_CHAIN) + """
 SELECT * FROM analysis
 WHERE code IN (SELECT code FROM analysis WHERE flag_high_price_low_health OR flag_high_sugar_high_nova
                OR flag_low_completeness_many_warnings)"""
+
+
+# (task, position, source, dataset, metric), written out.
+_TASKS = [
+    ("T1_global_nutrition_structure", [
+        ("rows", "products", "food_rows"), ("derived", "products", "valid_nutriscore_grade_a_to_e"),
+        ("coverage", "products", "nutriscore_score"), ("coverage", "products", "nova_group"),
+        ("nutrient", "products", "sugars"), ("nutrient", "products", "salt"), ("nutrient", "products", "fat")]),
+    ("T2_price_health_relationship", [
+        ("rows", "prices", "price_rows"), ("coverage", "prices", "price"), ("coverage", "prices", "currency"),
+        ("coverage", "prices", "date"), ("derived", "prices", "price_currency_date_geo_ready"),
+        ("join", "prices", "matched_price_rows_pct")]),
+    ("T3_label_transparency", [
+        ("coverage", "products", "completeness"), ("coverage", "products", "labels_tags"),
+        ("coverage", "products", "ingredients_text")]),
+    ("T4_peer_comparison_and_anomalies", [
+        ("derived", "products", "has_country_category_and_brand"), ("join", "prices", "matched_price_rows_pct")]),
+]
+_TASK_VALUES = ", ".join(f"('{t}', {i}, '{s}', '{d}', '{m}')"
+                         for t, ms in _TASKS for i, (s, d, m) in enumerate(ms))
+ORACLE["task_readiness"] = _with(PRODUCTS_FX, PRICES_FX) + f""",
+found AS (
+  SELECT 'coverage' AS source, dataset, field AS metric, coverage_pct AS value FROM ({ORACLE["field_coverage"]})
+  UNION ALL SELECT 'derived', dataset, metric, coverage_pct FROM ({ORACLE["derived_quality"]})
+  UNION ALL SELECT 'nutrient', 'products', nutrient, coverage_pct FROM ({ORACLE["named_entry_coverage"]})
+  UNION ALL SELECT 'join', 'prices', 'matched_price_rows_pct', matched_price_rows_pct FROM ({ORACLE["join_coverage"]})
+  UNION ALL SELECT 'rows', 'products', 'food_rows', CAST(count(*) AS DOUBLE) FROM products_fx
+  UNION ALL SELECT 'rows', 'prices', 'price_rows', CAST(count(*) AS DOUBLE) FROM prices_fx
+)
+SELECT w.task, CAST(w.position AS INTEGER) AS position, w.source, w.dataset, w.metric, f.value
+FROM (VALUES {_TASK_VALUES}) w(task, position, source, dataset, metric)
+LEFT JOIN found f ON f.source = w.source AND f.dataset = w.dataset AND f.metric = w.metric"""

@@ -12,12 +12,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from larder.functions import predicates as P
 from larder.functions.scalars import pct
 from larder.operators import audit as A
-from larder.operators.align import matched_codes, matched_rows
 from larder.operators.ladder import ladder_counts, level_profile
+from larder.sources.io import stage
 
 # The reference's required-field spec per dataset.
 PRODUCT_REQUIRED = {
@@ -61,6 +62,7 @@ PRICE_CORE_FIELDS = [
     "location_osm_display_name", "proof_type", "source",
 ]
 
+# Fields profiled and tallied per dataset.
 PRODUCT_NUMERIC = ["completeness", "nutriscore_score", "nova_group", "scans_n", "unique_scans_n"]
 PRICE_NUMERIC = ["price", "price_without_discount"]
 PRODUCT_TOP_LISTS = ["countries_tags", "categories_tags", "brands_tags"]
@@ -79,17 +81,78 @@ def top_table(df: DataFrame, columns: Sequence[str], limit: int, explode: bool,
                               keep_null=keep_null)
 
 
+def product_figures(products: DataFrame) -> DataFrame:
+    """All counts of the catalogue (A3, A4, E2, E3, E5) from one scan."""
+    return A.figures(products, {
+        "rows": {"food_rows": F.lit(True)},
+        "required": _required(products, PRODUCT_REQUIRED),
+        "coverage": P.present_flags(products.schema, PRODUCT_CORE_FIELDS),
+        "derived": P.product_usability(products.schema),
+        "nutrient": {n: P.has_named_entry(n) for n in NUTRIENTS_OF_INTEREST},
+    })
+
+
+def price_figures(prices: DataFrame) -> DataFrame:
+    """All counts of the price table (A3, A4, E2, E6, E7) from one scan."""
+    return A.figures(prices, {
+        "rows": {"price_rows": F.lit(True)},
+        "required": _required(prices, PRICE_REQUIRED),
+        "coverage": P.present_flags(prices.schema, PRICE_CORE_FIELDS),
+        "derived": P.price_readiness(),
+    })
+
+
+def _required(df: DataFrame, spec: Mapping[str, Sequence[str]]) -> dict:
+    return {f: F.col(f).isNotNull() for fields in spec.values() for f in fields if f in df.columns}
+
+
+def _group(figures: DataFrame, source: str, name: str, **tags) -> DataFrame:
+    """One group of a figures table as (name, present_rows, coverage_pct)."""
+    rows = figures.filter(F.col("source") == source).select(
+        F.col("metric").alias(name), "present_rows",
+        pct("present_rows", "rows", zero=None).alias("coverage_pct"))
+    return _tag(rows, **tags)
+
+
+def _required_table(figures: DataFrame, spec: Mapping[str, Sequence[str]]) -> DataFrame:
+    """A3 from a figures table: (group, field, present, present_rows)."""
+    wanted = figures.sparkSession.createDataFrame(
+        [(g, f) for g, fields in spec.items() for f in fields], "group string, field string")
+    found = figures.filter(F.col("source") == "required").select(F.col("metric").alias("field"), "present_rows")
+    return wanted.join(found, on="field", how="left").select(
+        "group", "field", F.col("present_rows").isNotNull().alias("present"), "present_rows")
+
+
+def schema_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """A2 without a scan: (dataset, position, column, type, is_list)."""
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(
+        [(d, i, f.name, f.dataType.simpleString(), isinstance(f.dataType, ArrayType))
+         for d, df in tables.items() for i, f in enumerate(df.schema.fields)],
+        "dataset string, position int, column string, type string, is_list boolean")
+
+
 def audit_datasets(products: DataFrame, prices: DataFrame) -> dict[str, DataFrame]:
-    """Schema, coverage, derived quality, nutrient coverage, numeric and
-    date profiles, value tops and join coverage."""
+    """Schema, row counts, coverage, derived quality, nutrient coverage,
+    numeric and date profiles, value tops, join coverage and task readiness.
+
+    The counts of each table are taken once and written (a few dozen rows);
+    every report table of counts is cut from there."""
+    of_products = stage(product_figures(products), "product-figures")
+    of_prices = stage(price_figures(prices), "price-figures")
+    joined = stage(A.join_coverage(products, prices), "join-coverage")
     return {
-        "product_required_fields": A.required_field_matrix(products, PRODUCT_REQUIRED),
-        "price_required_fields": A.required_field_matrix(prices, PRICE_REQUIRED),
-        "field_coverage": A.stack_metrics([
-            _tag(A.field_coverage(products, PRODUCT_CORE_FIELDS), dataset="products"),
-            _tag(A.field_coverage(prices, PRICE_CORE_FIELDS), dataset="prices")]),
-        "derived_quality": derived_quality(products, prices),
-        "nutrient_coverage": A.named_entry_coverage(products, NUTRIENTS_OF_INTEREST),
+        "schema_columns": schema_columns({"products": products, "prices": prices}),
+        "row_counts": A.stack_metrics([
+            _tag(f.filter(F.col("source") == "rows").select("rows"), dataset=d)
+            for d, f in (("products", of_products), ("prices", of_prices))]),
+        "product_required_fields": _required_table(of_products, PRODUCT_REQUIRED),
+        "price_required_fields": _required_table(of_prices, PRICE_REQUIRED),
+        "field_coverage": A.stack_metrics([_group(of_products, "coverage", "field", dataset="products"),
+                                           _group(of_prices, "coverage", "field", dataset="prices")]),
+        "derived_quality": A.stack_metrics([_group(of_products, "derived", "metric", dataset="products"),
+                                            _group(of_prices, "derived", "metric", dataset="prices")]),
+        "nutrient_coverage": _group(of_products, "nutrient", "nutrient"),
         "numeric_profile": A.stack_metrics([
             _tag(A.numeric_profile(products, PRODUCT_NUMERIC), dataset="products"),
             _tag(A.numeric_profile(prices, PRICE_NUMERIC), dataset="prices")]),
@@ -98,7 +161,8 @@ def audit_datasets(products: DataFrame, prices: DataFrame) -> dict[str, DataFram
         "top_scalars": A.stack_metrics([
             _tag(top_table(products, PRODUCT_TOP_SCALARS, 20, explode=False), dataset="products"),
             _tag(top_table(prices, PRICE_TOP_SCALARS, 20, explode=False), dataset="prices")]),
-        "join_coverage": A.join_coverage(products, prices),
+        "join_coverage": joined,
+        "task_readiness": _readiness(of_products, of_prices, joined),
     }
 
 
@@ -221,13 +285,9 @@ def audit_alignment(raw: DataFrame, products_main: DataFrame, aligned: DataFrame
     }
 
 
-def join_match_tables(products: DataFrame, prices: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """D4 and D5 as tables (matched distinct codes, matched price rows)."""
-    return matched_codes(prices, products), matched_rows(prices, products)
-
-
 # Which audited figures support which analysis task (E16).  The reference
-# attaches prose and a status word to these; only the figures are built.
+# attaches prose and a status word to these; only the figures are built.  It
+# names none for T4; those two are an addition.
 TASK_METRICS = {
     "T1_global_nutrition_structure": [
         ("rows", "products", "food_rows"),
@@ -258,33 +318,24 @@ TASK_METRICS = {
 }
 
 
-def task_readiness(products: DataFrame, prices: DataFrame) -> DataFrame:
-    """(task, source, metric, value) long table of the coverage figures
-    (percentages; row counts for the ``rows`` source) behind each task."""
-    spark = products.sparkSession
-    cov = A.stack_metrics([
-        _tag(A.field_coverage(products, PRODUCT_CORE_FIELDS), dataset="products"),
-        _tag(A.field_coverage(prices, PRICE_CORE_FIELDS), dataset="prices")]).select(
-        F.lit("coverage").alias("source"), "dataset", F.col("field").alias("metric"),
-        F.col("coverage_pct").alias("value"))
-    der = derived_quality(products, prices).select(
-        F.lit("derived").alias("source"), "dataset", "metric", F.col("coverage_pct").alias("value"))
-    nut = A.named_entry_coverage(products, NUTRIENTS_OF_INTEREST).select(
-        F.lit("nutrient").alias("source"), F.lit("products").alias("dataset"),
-        F.col("nutrient").alias("metric"), F.col("coverage_pct").alias("value"))
-    join = A.join_coverage(products, prices).select(
-        F.lit("join").alias("source"), F.lit("prices").alias("dataset"),
-        F.lit("matched_price_rows_pct").alias("metric"), F.col("matched_price_rows_pct").alias("value"))
-    rows = A.stack_metrics([
-        products.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-            F.lit("rows").alias("source"), F.lit("products").alias("dataset"),
-            F.lit("food_rows").alias("metric"), "value"),
-        prices.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-            F.lit("rows").alias("source"), F.lit("prices").alias("dataset"),
-            F.lit("price_rows").alias("metric"), "value")])
-    figures = A.stack_metrics([cov, der, nut, join, rows])
-    wanted = spark.createDataFrame(
+def _readiness(of_products: DataFrame, of_prices: DataFrame, joined: DataFrame) -> DataFrame:
+    value = F.when(F.col("source") == "rows", F.col("present_rows").cast("double")).otherwise(
+        pct("present_rows", "rows", zero=None))
+    found = A.stack_metrics([
+        *[f.select("source", F.lit(d).alias("dataset"), "metric", value.alias("value"))
+          for d, f in (("products", of_products), ("prices", of_prices))],
+        joined.select(F.lit("join").alias("source"), F.lit("prices").alias("dataset"),
+                      F.lit("matched_price_rows_pct").alias("metric"),
+                      F.col("matched_price_rows_pct").alias("value"))])
+    wanted = joined.sparkSession.createDataFrame(
         [(t, s, d, m, i) for t, ms in TASK_METRICS.items() for i, (s, d, m) in enumerate(ms)],
         "task string, source string, dataset string, metric string, position int")
-    return (wanted.join(figures, on=["source", "dataset", "metric"], how="left")
+    return (wanted.join(found, on=["source", "dataset", "metric"], how="left")
             .select("task", "position", "source", "dataset", "metric", "value"))
+
+
+def task_readiness(products: DataFrame, prices: DataFrame) -> DataFrame:
+    """(task, position, source, dataset, metric, value): the audited
+    figures (percentages; row counts for the ``rows`` source) behind each
+    task, from one scan of counts and one of codes per table."""
+    return _readiness(product_figures(products), price_figures(prices), A.join_coverage(products, prices))

@@ -9,9 +9,11 @@ the given output folder and returns the written tables' DataFrames.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from larder.operators.align import align_prices, summarise_prices
@@ -31,17 +33,19 @@ CATALOGUE_COLUMNS = [
 NARROW_STRUCTS = {"nutriments": ("name", "100g")}
 
 
-def catalogue_schema(available: StructType, extra: tuple[str, ...] = ()) -> StructType:
+def catalogue_schema(available: StructType, extra: tuple[str, ...] = (),
+                     columns: Sequence[str] = CATALOGUE_COLUMNS,
+                     structs: Mapping[str, Sequence[str]] = NARROW_STRUCTS) -> StructType:
     """The narrow read schema: the needed columns (plus ``extra``, e.g. the
     dedup order columns) with the file's own types, list-of-struct columns
     trimmed to the fields that are read; columns absent from the file are
     skipped (as the reference's audits do)."""
     fields = []
-    for name in [*CATALOGUE_COLUMNS, *[e for e in extra if e not in CATALOGUE_COLUMNS]]:
+    for name in dict.fromkeys([*columns, *extra]):
         if name not in available.fieldNames():
             continue
         f = available[name]
-        keep = NARROW_STRUCTS.get(name)
+        keep = structs.get(name)
         if keep and isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, StructType):
             elem = StructType([e for e in f.dataType.elementType.fields if e.name in keep])
             f = StructField(f.name, ArrayType(elem, f.dataType.containsNull), f.nullable)
@@ -95,10 +99,30 @@ def analysis_table(spark: SparkSession, products_path: str, summary_path: str, o
     return spark.read.parquet(out_path)
 
 
-def dataset_audit(spark: SparkSession, catalogue_path: str, prices_path: str,
-                  out_dir: str) -> dict[str, DataFrame]:
-    """J5 (reads the full schemas: coverage is about every audited field)."""
-    tables = J.audit_datasets(spark.read.parquet(catalogue_path), spark.read.parquet(prices_path))
+# Columns that J5 reads of each table; of the nutriment structs only the name.
+AUDITED = {
+    "products": [*J.PRODUCT_CORE_FIELDS, *J.PRODUCT_NUMERIC, *J.PRODUCT_TOP_LISTS, *J.PRODUCT_TOP_SCALARS,
+                 *[f for fields in J.PRODUCT_REQUIRED.values() for f in fields]],
+    "prices": [*J.PRICE_CORE_FIELDS, *J.PRICE_NUMERIC, *J.PRICE_TOP_SCALARS,
+               *[f for fields in J.PRICE_REQUIRED.values() for f in fields]],
+}
+
+
+def dataset_audit(spark: SparkSession, catalogue_path: str, prices_path: str, out_dir: str,
+                  optional_path: str | None = None) -> dict[str, DataFrame]:
+    """J5 over the audited columns of both files, with the files' whole
+    schemas and sizes, and the row count of an optional third input."""
+    paths = {"products": catalogue_path, "prices": prices_path}
+    whole = {d: spark.read.parquet(p) for d, p in paths.items()}
+    read = {d: io.read_table(spark, p, catalogue_schema(whole[d].schema, columns=AUDITED[d],
+                                                        structs={"nutriments": ("name",)}))
+            for d, p in paths.items()}
+    tables = J.audit_datasets(read["products"], read["prices"])
+    tables["schema_columns"] = J.schema_columns(whole)
+    tables["file_sizes"] = J.A.stack_metrics([
+        io.file_sizes(df).select(F.lit(d).alias("dataset"), "*") for d, df in whole.items()])
+    if optional_path is not None:
+        tables["optional_rows"] = io.optional_row_count(spark, optional_path)
     io.write_report(tables, out_dir)
     return tables
 

@@ -48,6 +48,8 @@ NUTRIENT_COLUMNS = {
     "fiber_100g": "fiber",
 }
 
+VALUED = "_valued"
+
 PRODUCTS_MAIN_COLS = [
     "code", "product_name", "brands", "brands_tags", "primary_brand_tag", "countries_tags",
     "categories_tags", "food_groups_tags", "analysis_country_tag", "analysis_category_tag",
@@ -92,7 +94,7 @@ def build_products(raw: DataFrame, countries: Sequence[str], categories: Sequenc
             & P.any_in(spec.country_col, countries)
             & P.any_in(spec.category_col, categories))
     order_cols = [c for c in spec.order_by if c in raw.columns]
-    extracted = raw.filter(cond).select(
+    extracted = raw.filter(cond).withColumn(VALUED, N.with_values("nutriments")).select(
         "code",
         N.first_text("product_name").alias("product_name"),
         "brands",
@@ -115,10 +117,10 @@ def build_products(raw: DataFrame, countries: Sequence[str], categories: Sequenc
         S.flag(P.has_list("labels_tags")).alias("has_labels_tags"),
         S.as_int("scans_n").alias("scans_n"),
         S.as_int("unique_scans_n").alias("unique_scans_n"),
-        N.named_value("nutriments", "energy-kcal").alias("_kcal"),
-        N.named_value("nutriments", "energy-kj").alias("_kj"),
-        N.named_value("nutriments", "energy").alias("_energy"),
-        *[N.named_value("nutriments", name).alias(out) for out, name in NUTRIENT_COLUMNS.items()],
+        N.named_value(VALUED, "energy-kcal").alias("_kcal"),
+        N.named_value(VALUED, "energy-kj").alias("_kj"),
+        N.named_value(VALUED, "energy").alias("_energy"),
+        *[N.named_value(VALUED, name).alias(out) for out, name in NUTRIENT_COLUMNS.items()],
         *order_cols,
     )
     shaped = extracted.withColumns({

@@ -53,10 +53,10 @@ def q_nested_extract(spark, sf_dir):
     """C1-C6 over every catalogue row (no filter)."""
     raw, _ = load_fixtures(spark, sf_dir)
     allowed = ["nation_1", "nation_3", "nation_7"]
-    return raw.select(
+    return raw.withColumn("_valued", N.with_values("nutriments")).select(
         "code", "src_seq",
-        N.named_value("nutriments", "fat").alias("fat_100g"),
-        N.named_value("nutriments", "sodium").alias("sodium_100g"),
+        N.named_value("_valued", "fat").alias("fat_100g"),
+        N.named_value("_valued", "sodium").alias("sodium_100g"),
         N.first_match("countries_tags", allowed).alias("first_country"),
         N.last_match("countries_tags", allowed).alias("last_country"),
         N.first_text("product_name").alias("first_name"),
@@ -277,10 +277,11 @@ def q_schema_columns(spark, sf_dir):
 def q_energy_fallback(spark, sf_dir):
     """C9, C10 over every catalogue row."""
     raw, _ = load_fixtures(spark, sf_dir)
+    raw = raw.withColumn("_valued", N.with_values("nutriments"))
     x = raw.select("code", "src_seq",
-                   N.named_value("nutriments", "energy-kcal").alias("kcal_raw"),
-                   N.named_value("nutriments", "energy-kj").alias("kj_raw"),
-                   N.named_value("nutriments", "energy").alias("energy_raw"))
+                   N.named_value("_valued", "energy-kcal").alias("kcal_raw"),
+                   N.named_value("_valued", "energy-kj").alias("kj_raw"),
+                   N.named_value("_valued", "energy").alias("energy_raw"))
     return x.withColumns({"energy_kcal_100g": S.energy_kcal("kcal_raw", "kj_raw", "energy_raw"),
                           "energy_kj_100g": S.energy_kj("kcal_raw", "kj_raw", "energy_raw")})
 
@@ -301,9 +302,10 @@ def q_present_count(spark, sf_dir):
              "carbohydrates_100g": "carbohydrates", "sugars_100g": "sugars",
              "proteins_100g": "proteins", "salt_100g": "salt", "sodium_100g": "sodium",
              "fiber_100g": "fiber"}
+    raw = raw.withColumn("_valued", N.with_values("nutriments"))
     x = raw.select("code", "src_seq",
-                   N.named_value("nutriments", "energy-kcal").alias("energy_kcal_100g"),
-                   *[N.named_value("nutriments", n).alias(c) for c, n in names.items()])
+                   N.named_value("_valued", "energy-kcal").alias("energy_kcal_100g"),
+                   *[N.named_value("_valued", n).alias(c) for c, n in names.items()])
     cnt = S.count_present(["energy_kcal_100g", "fat_100g", "saturated_fat_100g",
                            "carbohydrates_100g", "sugars_100g", "proteins_100g",
                            ("salt_100g", "sodium_100g"), "fiber_100g"])

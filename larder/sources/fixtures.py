@@ -42,11 +42,9 @@ def _nutrient(name: Column, value: Column) -> Column:
 def products_view(part: DataFrame) -> DataFrame:
     """``products_fx``: one catalogue row per part, plus a second copy of every
     50th part (``dup = 1``) so that keep-first dedup has work to do."""
-    base = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    src = base.withColumn("dup", F.lit(0)).unionByName(
-        base.filter(F.col("p_partkey") % 50 == 0).withColumn("dup", F.lit(1))
-    )
     p = F.col("p_partkey")
+    copies = F.when(p % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    src = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", F.explode(copies).alias("dup"))
     size = F.col("p_size")
 
     energy_name = (

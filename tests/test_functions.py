@@ -26,7 +26,7 @@ def test_named_value_first_non_null(spark):
         [(1, [{"name": "fat", "100g": None}, {"name": "fat", "100g": 5.0}]),
          (2, [{"name": "salt", "100g": 1.0}]), (3, None), (4, [])],
         f"id int, nut {NUT}")
-    got = {r.id: r.v for r in df.select("id", N.named_value("nut", "fat").alias("v")).collect()}
+    got = {r.id: r.v for r in df.select("id", N.named_value(N.with_values("nut"), "fat").alias("v")).collect()}
     assert got == {1: 5.0, 2: None, 3: None, 4: None}
 
 

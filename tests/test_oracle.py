@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 
 TABLES = ["part", "lineitem"]
 CHECKED = ["products_main", "price_summary", "filter_ladder", "numeric_profile", "join_coverage",
-           "peer_percentiles", "robust_z", "primary_price", "anomaly_feed", "nutrition_structure", "products_analysis", "brand_concentration", "top_array_values"]
+           "peer_percentiles", "robust_z", "primary_price", "anomaly_feed", "nutrition_structure", "products_analysis", "brand_concentration", "top_array_values", "task_readiness", "nested_extract"]
 
 
 def _norm(v):

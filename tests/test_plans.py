@@ -27,13 +27,28 @@ def test_plans_have_no_whole_group_step(spark, name):
 
 def test_plan_scans_each_source_once_per_pass(spark):
     # numeric profile: one scan for min/mean/max and one for the frequency
-    # table (written once, then read by every later step); products_fx is
-    # a union of two reads of `part`
+    # table (written once, then read by every later step)
     plan = _plan(REGISTRY["numeric_profile"](spark, SF_SMALL), run=True)
     scans = collections.Counter(SOURCE.findall(plan))
-    assert scans["part"] <= 4 and scans["lineitem"] <= 2, scans
+    assert scans["part"] <= 2 and scans["lineitem"] <= 2, scans
 
 
 def test_coverage_audit_is_one_scan_per_table(spark):
     plan = _plan(REGISTRY["field_coverage"](spark, SF_SMALL))
-    assert collections.Counter(SOURCE.findall(plan)) == {"part": 2, "lineitem": 1}
+    assert collections.Counter(SOURCE.findall(plan)) == {"part": 1, "lineitem": 1}
+
+
+def test_readiness_takes_counts_and_codes_in_one_scan_each(spark):
+    plan = _plan(REGISTRY["task_readiness"](spark, SF_SMALL))
+    assert collections.Counter(SOURCE.findall(plan)) == {"part": 2, "lineitem": 2}
+    assert "Expand" not in plan
+
+
+@pytest.mark.parametrize("name", ["filter_ladder", "products_main"])
+def test_presence_tests_stay_in_codegen(spark, name):
+    assert "exists(" not in _plan(REGISTRY[name](spark, SF_SMALL))
+
+
+def test_named_values_share_one_list_pass(spark):
+    plan = _plan(REGISTRY["products_main"](spark, SF_SMALL))
+    assert plan.count("filter(") == 1, plan.count("filter(")

@@ -60,8 +60,8 @@ def test_narrow_nested_read_prunes_struct_fields(spark):
     df = io.read_table(spark, path, schema=narrow)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "unit" not in plan and "serving" not in plan
-    from larder.functions.nested import named_value
-    assert df.select(named_value("nutriments", "fat")).first()[0] == 1.0
+    from larder.functions.nested import named_value, with_values
+    assert df.select(named_value(with_values("nutriments"), "fat")).first()[0] == 1.0
 
 
 def test_clustered_and_partitioned_writes(spark):
