@@ -6,6 +6,11 @@ faster (tests/llm compare the two over every code point and over random
 texts).  Where a ``.json`` vocabulary has such a twin beside it, the twin
 encodes; any other file is encoded by its own library.  Special strings inside
 a text become their special id, as ``tokenizers`` does by default.
+
+The twin's pattern runs out of stack on about a million white space characters
+in a row.  Long texts are therefore cut at the safe boundaries of
+:mod:`larder.llm.token_counts`, and a segment that the twin refuses is encoded
+by ``tokenizers`` itself.
 """
 
 from __future__ import annotations
@@ -16,6 +21,8 @@ from collections.abc import Callable
 
 import numpy as np
 
+from larder.llm.token_counts import segments
+
 
 def encoder(path: str) -> Callable[[str], np.ndarray]:
     """text -> ids as an array of '<u4', without begin, end or added tokens."""
@@ -27,15 +34,27 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
 
         with open(twin, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        library = tokenizers_encoder(path)
         special = {t.content: i for i, t in Tokenizer.from_file(path).get_added_tokens_decoder().items()}
         own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                 special_tokens=special)
-        return lambda text: np.array(own.encode(text, allowed_special="all"), dtype="<u4")
+
+        def segment_ids(segment: str) -> np.ndarray:
+            try:
+                return np.array(own.encode(segment, allowed_special="all"), dtype="<u4")
+            except ValueError:
+                return library(segment)
+
+        return lambda text: np.concatenate([segment_ids(s) for s in segments(text)])
     if path.endswith(".model"):
         import sentencepiece
 
         pieces = sentencepiece.SentencePieceProcessor(model_file=path)
         return lambda text: np.array(pieces.encode(text), dtype="<u4")
+    return tokenizers_encoder(path)
+
+
+def tokenizers_encoder(path: str) -> Callable[[str], np.ndarray]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 

@@ -39,6 +39,23 @@ def test_twin_vocabulary_gives_the_same_ids(library):
         assert to_ids(t).tolist() == e.ids, t
 
 
+def test_runs_of_white_space_that_the_twin_refuses(spark, library):
+    texts = ["a" + " " * 1_500_000 + "b", "\n" * 1_500_000, "word " * 30_000 + "\n" * 1_500_000 + "<|endoftext|> end"]
+    want = [np.array(e.ids, "<u4") for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    to_ids = encoder(BYTES)
+    for t, ids in zip(texts, want):
+        assert np.array_equal(to_ids(t), ids)
+    rows = frame(spark, [*enumerate(texts), (3, "short")])
+    lengths = {}
+    for r in best_fit.pack(rows).collect():
+        lengths[r["doc_id"]] = lengths.get(r["doc_id"], 0) + r["length"]
+    assert [lengths[i] for i in range(3)] == [len(ids) + 1 for ids in want] and 3 in lengths
+    folder = orc_tokens.new_folder(spark, "white-orc")
+    written = by_id(orc_tokens.read_back(spark, orc_tokens.write_tokens(rows, folder)))
+    assert [r["ids_crc32"] for r in written[:3]] == [
+        zlib.crc32(np.append(ids, np.uint32(0)).tobytes()) for ids in want]
+
+
 def test_counts_at_safe_boundaries(library):
     texts = noise(2000, 2) + ["x" * 70_000 + " y", "word " * 40_000, "\n" * 70_000]
     assert token_counts.PieceCounter(BYTES, 500).counts(texts) == [
