@@ -2,18 +2,21 @@
 
 A gear rolling hash over the last 16 bytes decides, at every start of a word,
 whether a chunk ends there, so cut points depend on nearby bytes only and an
-insertion moves none of the cuts after it.  Chunks of about four words are
-deduplicated by a 64-bit digest: a chunk is a repeat in a document if a
-document with a smaller id holds it.  Repeats are taken out in runs: only
-adjacent repeated chunks that together reach ``min_words`` go, which leaves
-chance repeats of short phrases alone (and makes a digest collision harmless,
-since a run needs several).  The document with the smallest id keeps every
-chunk, so one copy of each passage always stays.
+insertion moves none of the cuts after it.  Chunks have about four words, so
+many recur by chance; what is compared is the ``min_words`` words from a cut
+on: such a window is a repeat in a document if a document with a smaller id
+holds the same words at one place, and the words of its repeated windows go.
+So whatever goes stood together, ``min_words`` words at least, in one earlier
+document, however often its short phrases recur elsewhere.  White space doesn't
+count in the comparison.  Windows are compared by 64-bit digests: among n
+windows about n^2 / 2^65 pairs agree by chance.  The document with the smallest
+id keeps every word, so one copy of each passage always stays.
 
 Defined cases: a null or empty text is returned as it is, with no chunks; rows
 that share an id count as one document; a row with a null id takes no part and
 is returned whole; other columns are ignored; a text of any length is chunked
-whole, and no chunk has more than ``MOST_WORDS`` words.
+whole, and no chunk has more than ``MOST_WORDS`` words; ``n_dropped_chunks``
+counts the chunks that lost a word.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from larder.llm import blocks as B
 from larder.llm.frames import id_and_text
 
 #: Production parameters: one word start in RATE ends a chunk; a chunk's most
-#: words; words of a run of repeated chunks that goes.
+#: words; words of a window.
 RATE, MOST_WORDS, MIN_WORDS = 4, 64, 28
 BLOCK_BYTES = 4 << 20
 #: The gear table comes from a rule: the hash of each byte's number.
@@ -50,16 +53,14 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunks(text: bytes, rate: int = RATE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first byte, end of the last word, words, digest) of every chunk; the
-    white space after a chunk belongs to it but not to its digest."""
+def word_chunks(text: bytes, rate: int = RATE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte of every word, end of every word, words of every chunk)."""
     data = np.frombuffer(text, np.uint8)
     blank = BLANK[data]
     edge = np.diff(blank.astype(np.int8), prepend=1, append=1)
     first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if not len(first):
-        none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64)
+        return first, last, np.zeros(0, np.int64)
     h = gear_hashes(data)
     starts = np.zeros(len(first), bool)
     starts[0] = True
@@ -69,25 +70,48 @@ def chunks(text: bytes, rate: int = RATE) -> tuple[np.ndarray, np.ndarray, np.nd
     if words.max() > MOST_WORDS:
         cut = np.concatenate([np.arange(c, c + n, MOST_WORDS) for c, n in zip(cut, words)])
         words = np.diff(cut, append=len(first))
-    begin, end = first[cut], last[np.append(cut[1:], len(first)) - 1]
+    return first, last, words
+
+
+def chunks(text: bytes, rate: int = RATE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, end of the last word, words, digest) of every chunk; the
+    white space after a chunk belongs to it but not to its digest."""
+    first, last, words = word_chunks(text, rate)
+    ends = np.cumsum(words)
+    begin, end = first[ends - words], last[ends - 1]
     digest = np.fromiter((xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(begin.tolist(), end.tolist())),
                          np.uint64, len(begin))
     return begin, end, words, digest
 
 
-def runs(repeat: np.ndarray, words: np.ndarray, min_words: int) -> list[tuple[int, int]]:
-    """[from, to) of adjacent repeated chunks with at least ``min_words``."""
-    edge = np.flatnonzero(np.diff(repeat.astype(np.int8), prepend=0, append=0))
-    total = np.concatenate([[0], np.cumsum(words)])
-    return [(a, b) for a, b in zip(edge[::2], edge[1::2]) if total[b] - total[a] >= min_words]
+def windows(text: bytes, chunk_words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, digest) of the windows of ``min_words`` words that start at
+    a cut."""
+    plain = b" ".join(text.split())
+    first = np.append(0, np.flatnonzero(np.frombuffer(plain, np.uint8) == 32) + 1)
+    cut = np.cumsum(chunk_words) - chunk_words
+    at = cut[cut + min_words <= len(first)]
+    last = np.append(first[1:] - 1, len(plain))[at + min_words - 1]
+    return at, np.fromiter((xxhash.xxh3_64_intdigest(plain[a:b]) for a, b in zip(first[at].tolist(), last.tolist())),
+                           np.uint64, len(at))
+
 
+def runs(at: np.ndarray, n_words: int, min_words: int) -> list[tuple[int, int]]:
+    """[from, to) of the words that the windows starting ``at`` cover."""
+    steps = np.zeros(n_words + 1, np.int64)
+    np.add.at(steps, at, 1)
+    np.add.at(steps, at + min_words, -1)
+    edge = np.flatnonzero(np.diff((np.cumsum(steps) > 0).astype(np.int8), prepend=0, append=0))
+    return list(zip(edge[::2].tolist(), edge[1::2].tolist()))
 
-def first_docs(table: pa.Table, rate: int) -> tuple[np.ndarray, np.ndarray]:
-    """A block's distinct digests, sorted, and the smallest id with each."""
+
+def first_docs(table: pa.Table, rate: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """A block's distinct digests of windows, sorted, and the smallest id with each."""
     digests, owners = [], []
     for i, t in zip(table.column("doc_id").to_pylist(), table.column("text")):
         if i is not None and (t := t.as_py()):
-            d = np.unique(chunks(t.encode(), rate)[3])
+            data = t.encode()
+            d = np.unique(windows(data, word_chunks(data, rate)[2], min_words)[1])
             digests.append(d)
             owners.append(np.full(len(d), i, np.int64))
     if not digests:
@@ -133,11 +157,11 @@ def dedup_substrings(docs: DataFrame, rate: int = RATE, min_words: int = MIN_WOR
     n_blocks, n_buckets = B.sizes(rows, BLOCK_BYTES)
 
     def ask(table: pa.Table) -> pa.Table:
-        keys, ids = first_docs(table, rate)
+        keys, ids = first_docs(table, rate, min_words)
         return B.requests(table.column("block")[0].as_py(), keys, ids, n_buckets, 8, 8)
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, ids = first_docs(left, rate)
+        keys, ids = first_docs(left, rate, min_words)
         for k, p in zip(right.column("keys"), right.column("payload")):
             ids[np.searchsorted(keys, B.unpacked(k.as_py(), 8))] = B.unpacked(p.as_py(), 8)
         out = []
@@ -147,15 +171,20 @@ def dedup_substrings(docs: DataFrame, rate: int = RATE, min_words: int = MIN_WOR
                 out.append((i, t, 0, 0, 0, []))
                 continue
             data = t.encode()
-            begin, _, words, digest = chunks(data, rate)
+            first, _, words = word_chunks(data, rate)
+            at, digest = windows(data, words, min_words)
             own = np.array([i], np.int64).view(np.uint64)[0] ^ np.uint64(1 << 63)
-            gone = runs(ids[np.searchsorted(keys, digest)] < own, words, min_words) if len(digest) else []
-            ends = np.append(begin[1:], len(data))
-            spans = [(int(begin[a]), int(ends[b - 1])) for a, b in gone]
+            again = at[ids[np.searchsorted(keys, digest)] < own] if len(at) else at
+            gone = runs(again, len(first), min_words)
+            starts, ends = np.append(first, len(data)), np.cumsum(words)
+            spans = [(int(starts[a]), int(starts[b])) for a, b in gone]
             cuts = [0, *(x for s in spans for x in s), len(data)]
             kept = b"".join(data[a:b] for a, b in zip(cuts[::2], cuts[1::2])).decode() if spans else t
-            out.append((i, kept, len(digest), sum(b - a for a, b in gone),
-                        int(sum(words[a:b].sum() for a, b in gone)),
+            lost = np.zeros(len(first) + 1, np.int64)
+            for a, b in gone:
+                lost[a + 1:b + 1] = 1
+            lost = np.cumsum(lost)
+            out.append((i, kept, len(words), int((lost[ends] > lost[ends - words]).sum()), int(lost[-1]),
                         [{"begin": a, "end": b} for a, b in spans]))
         cols = list(zip(*out)) or [[]] * 6
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(SPAN)]

@@ -170,6 +170,23 @@ def test_long_passages_go_and_short_ones_stay(spark):
         assert (kept + data[cut:]).decode() == r["text"]
 
 
+def test_repeated_phrases_of_no_common_passage_stay(spark):
+    rnd = random.Random(8)
+    phrase = lambda n: " ".join(rnd.choice(["ab", "cde", "f", "ghij", "kl", "mno"]) for _ in range(n))
+    texts = [phrase(2000) for _ in range(40)]
+    passage = "one place where sixty words of an earlier document stand again ".split() + phrase(49).split()
+    texts += [" ".join([phrase(500), *passage, phrase(500)]) for _ in range(2)]
+    owner, recur = set(), 0
+    for t in texts[:40]:                                   # by chunks alone, much of this recurs
+        digests = chunk_dedup.chunks(t.encode())[3].tolist()
+        recur += sum(d in owner for d in digests)
+        owner.update(digests)
+    assert recur > 10_000
+    got = by_id(chunk_dedup.dedup_substrings(frame(spark, list(enumerate(texts)))))
+    assert all(r["text"] == texts[r["doc_id"]] and not r["dropped"] for r in got[:41])
+    assert 28 <= got[41]["n_dropped_words"] <= 62
+
+
 def test_cut_points_resist_insertions():
     text = " ".join(f"w{(i * 7919) % 1009}" for i in range(3000)).encode()
     moved = b"some inserted words " + text
