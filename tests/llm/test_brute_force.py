@@ -170,6 +170,18 @@ def test_long_passages_go_and_short_ones_stay(spark):
         assert (kept + data[cut:]).decode() == r["text"]
 
 
+def test_passages_of_51_words_go(spark):
+    rnd = random.Random(13)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9)))
+    fresh = lambda n: " ".join(word() for _ in range(n))
+    passages = [fresh(51) for _ in range(2000)]
+    texts = [f"{fresh(rnd.randint(5, 40))} {p} {fresh(rnd.randint(5, 40))}" for p in passages for _ in range(2)]
+    got = by_id(chunk_dedup.dedup_substrings(frame(spark, list(enumerate(texts)))))
+    for first, later in zip(got[::2], got[1::2]):
+        assert not first["dropped"] and later["n_dropped_words"] >= 28
+        assert later["n_dropped_words"] <= 53 and later["n_dropped_chunks"] <= later["n_chunks"]
+
+
 def test_repeated_phrases_of_no_common_passage_stay(spark):
     rnd = random.Random(8)
     phrase = lambda n: " ".join(rnd.choice(["ab", "cde", "f", "ghij", "kl", "mno"]) for _ in range(n))
