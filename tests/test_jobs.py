@@ -14,7 +14,7 @@ from larder.plans.fixture_spec import FIXTURE_SPEC, fixture_prices
 from larder.plans.products import select_allow_lists
 from larder.sources.io import write_report
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -8,7 +8,7 @@ import pytest
 
 from __spark_entry__ import oracle_sql, queries
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 TABLES = ["part", "lineitem"]
 CHECKED = ["products_main", "price_summary", "filter_ladder", "numeric_profile", "join_coverage",

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from larder.registry import REGISTRY
 
 SOURCE = re.compile(r"Location: InMemoryFileIndex\([0-9]+ paths\)\[file:[^\],]*/([a-z_]+)\.parquet")

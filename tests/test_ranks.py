@@ -90,7 +90,7 @@ def test_zero_mad_group(spark):
 def test_analysis_does_not_depend_on_the_ranges(spark):
     from larder.plans.analysis import AnalysisSpec, build_analysis
     from larder.plans.fixture_spec import fixture_prices
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     _, _, products, _, summary = fixture_prices(spark, SF_SMALL)
     cols = ["code", "nutriscore_good_percentile", "price_median_percentile", "health_score_percentile",
             "data_completeness_percentile", "price_robust_z", "nova_robust_z", "peer_anomaly_score"]

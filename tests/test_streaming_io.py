@@ -10,7 +10,7 @@ from larder.plans.fixture_spec import fixture_products_main
 from larder.sources import io
 from larder.streaming.prices import price_stream, start_alignment, summary_of_sink
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _sorted(df, cols):
