@@ -8,10 +8,10 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from helpers import oracle_rows
-from larder.llm import chunk_dedup
 from larder.llm.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
@@ -73,24 +73,41 @@ def test_near_duplicates(tables):
     assert texts(tables[3]) == {i: t for i, t in texts(tables[2]).items() if group[i] == i}
 
 
+def plain_windows(text, n=28, most=64):
+    """(first word, words) of the windows of n words that start or end at a cut
+    or end with the text, by a rolling hash that goes byte by byte."""
+    gear = [xxhash.xxh32_intdigest(bytes([b]), seed=7) for b in range(256)]
+    data, h, state = text.encode(), 0, []
+    for b in data:
+        h = ((h << 2) + gear[b]) % 2 ** 32
+        state.append(h)
+    spots = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    cuts = [0]
+    for k, (begin, _) in enumerate(spots):
+        if k and (state[begin - 1] < 2 ** 30 or k - cuts[-1] == most):
+            cuts.append(k)
+    cuts.append(len(spots))
+    at = sorted({c for c in cuts if c + n <= len(spots)} | {c - n for c in cuts if c >= n})
+    words = [data[a:b] for a, b in spots]
+    return spots, [(k, tuple(words[k:k + n])) for k in at]
+
+
 def test_repeated_passages(tables):
-    owner, cut = {}, {}
-    for i, t in sorted(texts(tables[3]).items()):
-        begin, end, words, _ = chunk_dedup.chunks(t.encode())
-        cut[i] = [(int(b), t.encode()[b:e], int(n)) for b, e, n in zip(begin, end, words)]
-        for _, chunk, _ in cut[i]:
-            owner.setdefault(chunk, i)
+    given, owner = texts(tables[3]), {}
+    found = {i: plain_windows(t) for i, t in given.items()}
+    for i in sorted(given):
+        for _, words in found[i][1]:
+            owner.setdefault(words, i)
     expected = {}
-    for i, t in texts(tables[3]).items():
-        data, kept, at = t.encode(), b"", 0
-        places = [b for b, _, _ in cut[i]] + [len(t.encode())]
-        for again, run in itertools.groupby(range(len(cut[i])), lambda k: owner[cut[i][k][1]] < i):
-            run = list(run)
-            if again and sum(cut[i][k][2] for k in run) >= chunk_dedup.MIN_WORDS:
-                kept, at = kept + data[at:places[run[0]]], places[run[-1] + 1]
-        expected[i] = (kept + data[at:]).decode()
-    assert texts(tables[4]) == {i: t for i, t in expected.items()
-                                if t == texts(tables[3])[i] or A_WORD.search(t)}
+    for i, t in given.items():
+        spots, windows = found[i]
+        gone = {k + d for k, words in windows if owner[words] < i for d in range(28)}
+        data = t.encode()
+        ends = [b for b, _ in spots[1:]] + [len(data)]
+        kept = data[:spots[0][0]] if spots else data
+        kept += b"".join(data[spots[k][0]:ends[k]] for k in range(len(spots)) if k not in gone)
+        expected[i] = kept.decode()
+    assert texts(tables[4]) == {i: t for i, t in expected.items() if t == given[i] or A_WORD.search(t)}
 
 
 def test_packing(tables):
