@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import (backoff_lm, best_fit, chunk_dedup, cross_polytope, jaccard_join, line_dedup, orc_tokens,
-                        piece_codec, quality_ratio, token_counts)
+                        piece_codec, quality_ratio, token_counts, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality,
     "op2_lm_scoring": lm,
@@ -71,5 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": lines,
     "op9_token_ids_orc": orc,
     "op10_nearest_neighbours": neighbours,
+    "op11_embedding_whitening": whitened,
 }
 
