@@ -129,9 +129,38 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER
 FROM judged GROUP BY row_id
 """
 
+OP13 = r"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+lists AS (
+  SELECT row_id, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM lowered),
+counted AS (
+  SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(terms) AS term FROM lists) GROUP BY row_id, term),
+totals AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM lists),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted CROSS JOIN totals GROUP BY term, n_docs),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+parts AS (
+  SELECT row_id, doc_id, 50 + (50 * len(terms) * n_docs) // n_terms AS m FROM lists CROSS JOIN totals
+  WHERE len(terms) > 0),
+scored AS (
+  SELECT item_id, row_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counted USING (term) JOIN parts USING (row_id)
+  GROUP BY item_id, row_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 AND doc_id IS NOT NULL AND item_id IS NOT NULL
+QUALIFY rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op2_lm_scoring": OP2,
     "op4_ngram_jaccard_join": OP4,
     "op8_line_dedup": OP8,
+    "op13_ranked_search": OP13,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import (backoff_lm, best_fit, chunk_dedup, cross_polytope, jaccard_join, line_dedup, orc_tokens,
-                        piece_codec, quality_ratio, token_counts, whitening)
+                        piece_codec, pipelined_search, quality_ratio, token_counts, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipelined_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality,
     "op2_lm_scoring": lm,
@@ -76,5 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_ids_orc": orc,
     "op10_nearest_neighbours": neighbours,
     "op11_embedding_whitening": whitened,
+    "op13_ranked_search": search,
 }
 

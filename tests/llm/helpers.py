@@ -15,15 +15,15 @@ def given(sf=SF, table="documents", columns="doc_id, text"):
 
 def oracle_rows(sql, sf=SF):
     con = duckdb.connect()
-    for t in ("documents", "labels"):
+    for t in ("documents", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     out = con.execute(sql)
     names = [d[0] for d in out.description]
-    return sorted((dict(zip(names, r)) for r in out.fetchall()), key=lambda r: r["doc_id"])
+    return sorted((dict(zip(names, r)) for r in out.fetchall()), key=lambda r: (r.get("item_id", 0), r.get("rank", 0), r["doc_id"]))
 
 
 def by_id(df):
-    return sorted((r.asDict() for r in df.collect()), key=lambda r: r["doc_id"])
+    return sorted((r.asDict() for r in df.collect()), key=lambda r: (r.get("item_id", 0), r.get("rank", 0), r["doc_id"]))
 
 
 #: Nulls, empty and blank texts, one giant word, repeated rows, ties.
