@@ -129,6 +129,33 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER
 FROM judged GROUP BY row_id
 """
 
+OP12 = r"""
+WITH RECURSIVE word_lists AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS words FROM documents),
+sets AS (
+  SELECT row_id, doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+           range(1, greatest(len(words) - 1, 1) + 1), lambda i: array_to_string(words[i:i + 1], ' ')))) END AS shingles
+  FROM word_lists),
+classes AS (
+  SELECT shingles, min(row_id) AS rep, min(doc_id) AS least, len(shingles) AS size FROM sets
+  WHERE len(shingles) > 0 GROUP BY shingles),
+tokens AS (SELECT rep, size, unnest(shingles) AS shingle FROM classes),
+pairs AS (
+  SELECT a.rep AS a, b.rep AS b FROM tokens a JOIN tokens b
+    ON a.shingle = b.shingle AND a.rep <> b.rep AND 100 * least(a.size, b.size) >= 80 * greatest(a.size, b.size)
+  GROUP BY a.rep, b.rep, a.size, b.size HAVING 100 * count(*) >= 80 * (a.size + b.size - count(*))),
+reach AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+roots AS (
+  SELECT rep, min(least) AS component_id FROM (
+    SELECT rep, least FROM classes UNION ALL SELECT a, least FROM reach JOIN classes ON b = rep) GROUP BY rep)
+SELECT doc_id, len(s.shingles)::BIGINT AS n_shingles,
+       CASE WHEN len(s.shingles) = 0 THEN doc_id ELSE component_id END AS component_id,
+       doc_id IS NOT DISTINCT FROM CASE WHEN len(s.shingles) = 0 THEN doc_id ELSE component_id END AS kept
+FROM sets s LEFT JOIN classes c ON s.shingles = c.shingles LEFT JOIN roots r USING (rep)
+"""
+
 OP13 = r"""
 WITH lowered AS (
   SELECT row_number() OVER () AS row_id, doc_id,
@@ -162,5 +189,6 @@ ORACLE: dict[str, str] = {
     "op2_lm_scoring": OP2,
     "op4_ngram_jaccard_join": OP4,
     "op8_line_dedup": OP8,
+    "op12_minhash_near_dedup": OP12,
     "op13_ranked_search": OP13,
 }

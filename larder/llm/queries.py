@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their SQL."""
+"""The registered queries of the operators, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import (backoff_lm, best_fit, chunk_dedup, cross_polytope, jaccard_join, line_dedup, orc_tokens,
-                        piece_codec, pipelined_search, quality_ratio, token_counts, whitening)
+from larder.llm import (backoff_lm, best_fit, chunk_dedup, circulant_minhash, cross_polytope, jaccard_join, line_dedup,
+                        orc_tokens, piece_codec, pipelined_search, quality_ratio, token_counts, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelined_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_ids_orc": orc,
     "op10_nearest_neighbours": neighbours,
     "op11_embedding_whitening": whitened,
+    "op12_minhash_near_dedup": minhash,
     "op13_ranked_search": search,
 }
 
