@@ -16,10 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.predicates import same_market
-from larder.functions.scalars import exact_mean
-from larder.operators.ranks import GROUP, group_median, value_counts, with_group
+from larder.operators.ranks import Carried, describe, group_columns, value_counts, with_group
 
-# Product columns brought to each price row (key + 18 attributes).
+# Product columns brought to each price row (key + 18 attributes).
 PRODUCT_JOIN_COLS = [
     "code", "product_name", "analysis_country_tag", "analysis_country_code",
     "analysis_category_tag", "nutriscore_grade", "nutriscore_score", "nova_group",
@@ -28,7 +27,7 @@ PRODUCT_JOIN_COLS = [
     "proteins_100g", "salt_100g", "fiber_100g",
 ]
 
-# Output columns of the aligned price table, in order.
+# Output columns of the aligned price table, in order.
 ALIGNED_COLS = [
     "id", "product_code", "product_name", "analysis_country_tag", "analysis_country_code",
     "analysis_category_tag", "location_osm_address_country_code", "location_osm_address_country",
@@ -40,6 +39,7 @@ ALIGNED_COLS = [
     "salt_100g", "fiber_100g",
 ]
 
+# The keys of the price summary.
 SUMMARY_KEYS = [
     "product_code", "analysis_country_tag", "analysis_country_code",
     "analysis_category_tag", "location_osm_address_country_code", "currency",
@@ -70,27 +70,38 @@ def align_prices(prices: DataFrame, products: DataFrame,
             .select(*out_cols))
 
 
+def price_carried() -> Carried:
+    """What a price table's frequency table carries per (keys, price), and how
+    two of them are merged."""
+    return {"any_same_market_match": (F.bool_or("same_market_as_analysis_country"), F.bool_or),
+            "first_price_date": (F.min("date"), F.min), "last_price_date": (F.max("date"), F.max)}
+
+
+def price_counts(aligned: DataFrame, keys: Sequence[str] = SUMMARY_KEYS) -> DataFrame:
+    """The frequency table ``(_g, price_value, c, _sum, ...)`` that holds all
+    that a price summary needs: the only shuffle of the aligned rows.  Tables
+    of several batches add up (:func:`larder.operators.ranks.add_counts`)."""
+    return value_counts(with_group(aligned, list(keys)), "price_value", carry=price_carried(), mean=True)
+
+
+def summary_of_counts(counts: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
+                      range_rows: int | None = None) -> DataFrame:
+    """The price summary cut from its frequency table."""
+    out = describe(counts, "price_value", median="price_median", mean="price_mean", carry=price_carried(),
+                   range_rows=range_rows)
+    return out.select(*group_columns(keys), F.col("n").cast("int").alias("price_record_count"),
+                      F.col("min").alias("price_min"), "price_median", "price_mean", F.col("max").alias("price_max"),
+                      F.coalesce("any_same_market_match", F.lit(False)).alias("any_same_market_match"),
+                      "first_price_date", "last_price_date")
+
+
 def summarise_prices(aligned: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
-                     splits: int | None = None) -> DataFrame:
+                     range_rows: int | None = None) -> DataFrame:
     """Per key tuple: count, min, exact median, mean, max, any
-    same-market match (all-null gives false), first and last date.  The median
-    comes from a frequency table, so no task holds a whole group."""
-    keys = list(keys)
-    base = with_group(aligned, keys)
-    aggs = [
-        F.count(F.lit(1)).cast("int").alias("price_record_count"),
-        F.min("price_value").alias("price_min"),
-        exact_mean("price_value").alias("price_mean"),
-        F.max("price_value").alias("price_max"),
-        F.coalesce(F.bool_or("same_market_as_analysis_country"), F.lit(False)).alias("any_same_market_match"),
-        F.min("date").alias("first_price_date"),
-        F.max("date").alias("last_price_date"),
-    ]
-    stats = base.groupBy(GROUP).agg(*[F.first(k).alias(k) for k in keys], *aggs)
-    med = group_median(value_counts(base, "price_value"), "price_value", splits=splits, out="price_median")
-    out = stats.join(med, on=GROUP, how="left").drop(GROUP)
-    return out.select(*keys, "price_record_count", "price_min", "price_median", "price_mean",
-                      "price_max", "any_same_market_match", "first_price_date", "last_price_date")
+    same-market match (all-null gives false), first and last date, all eight
+    from one weighted ``(keys, price)`` frequency table, so no task holds a
+    whole group."""
+    return summary_of_counts(price_counts(aligned, keys), keys, range_rows)
 
 
 def with_price_flag(products: DataFrame, prices: DataFrame, flag: str = "_has_price",

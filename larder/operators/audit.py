@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType
 
 from larder.functions.predicates import has_list, has_named_entry, present_flags
-from larder.functions.scalars import exact_mean, pct
-from larder.operators.ranks import GROUP, nearest_rank, value_counts, with_group
+from larder.functions.scalars import pct
+from larder.operators.ranks import describe, value_counts
 
 
 def _unpivot(one_row: DataFrame, names: Sequence[str], name_col: str, value_col: str) -> DataFrame:
@@ -60,21 +60,17 @@ def named_entry_coverage(df: DataFrame, names: Sequence[str], col: str = "nutrim
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str], qs: Mapping[str, float] | None = None,
-                    splits: int | None = None) -> DataFrame:
+                    range_rows: int | None = None) -> DataFrame:
     """(column, min, median, mean, p95, p99, max) per numeric column,
     quantiles by nearest rank, median interpolated; all exact.
 
-    Columns are stacked long, so one frequency table and one set of prefix
-    sums serve every column."""
+    Columns are stacked long, and one frequency table gives every figure, so
+    the data is scanned once."""
     qs = dict(qs or {"p95": 0.95, "p99": 0.99})
     cols = [c for c in columns if c in df.columns]
     entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols]
-    long = df.select(F.inline(F.array(*entries)))
-    basic = long.groupBy("column").agg(F.min("_v").alias("min"), exact_mean("_v").alias("mean"),
-                                       F.max("_v").alias("max"))
-    freq = value_counts(long, "_v", by=["column"])
-    q = nearest_rank(freq, "_v", qs, by=["column"], splits=splits, median="median")
-    out = basic.join(q, on="column", how="left")
+    freq = value_counts(df.select(F.inline(F.array(*entries))), "_v", by=["column"], mean=True)
+    out = describe(freq, "_v", by=["column"], median="median", mean="mean", qs=qs, range_rows=range_rows)
     return out.select("column", "min", "median", "mean", *qs.keys(), "max")
 
 

@@ -47,7 +47,7 @@ def ladder_counts(products: DataFrame, prices: DataFrame, levels: Mapping[str, C
     )
 
 
-def level_profile(products: DataFrame, level: Column, splits: int | None = None) -> DataFrame:
+def level_profile(products: DataFrame, level: Column, range_rows: int | None = None) -> DataFrame:
     """Rows, distinct codes (null counted as a value), exact medians of
     nutriscore_score, nova_group and completeness, mean completeness."""
     rows = products.filter(level).select("code", "nutriscore_score", "nova_group", "completeness")
@@ -62,7 +62,7 @@ def level_profile(products: DataFrame, level: Column, splits: int | None = None)
                for out, src in measures.items()]
     long = rows.select(F.struct(F.lit(0).alias("all")).alias(GROUP), F.inline(F.array(*entries)))
     med = group_median(value_counts(long, "_v", by=[GROUP, "_m"]), "_v", by=[GROUP, "_m"],
-                       splits=splits, out="median")
+                       range_rows=range_rows, out="median")
     wide = med.groupBy(GROUP).agg(*[F.max(F.when(F.col("_m") == F.lit(o), F.col("median"))).alias(o)
                                     for o in measures])
     return (basic.join(wide, on=GROUP, how="left")

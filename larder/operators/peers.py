@@ -1,22 +1,23 @@
 """Peer-group statistics: average-rank percentiles and robust z-scores (F1-F8).
 
-Measures are stacked long ``(id, group, measure, value)``, counted per
-distinct value, ranked with range prefix sums (``ranks.prefix_counts``) and
-pivoted back by ``id``.  No task ever holds a whole peer group, so a group
-with a third of all rows costs the same as a hundred small ones.  Robust z
-needs only per-group medians and MADs, which are small tables (groups x
-measures) joined back by the group key.
+Measures are stacked long ``(id, group, measure, value)``, ranked by windows
+after one exchange, and pivoted back by ``id``.  A large peer group is cut into
+ranges of values, so no task ever holds a third of all rows.  Robust z
+needs only per-group medians and MADs, which come from frequency tables and are
+small (groups x measures), joined back by the group key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.scalars import safe_div
-from larder.operators.ranks import GROUP, median_and_mad, prefix_counts, value_counts, with_group
+from larder.operators.ranks import (CUTS, GROUP, RANGE, cuts_below, median_and_mad, range_offsets, split_points,
+                                    value_counts, with_group)
+from larder.sources.io import stage
 
 MEASURE = "_m"
 VALUE = "_v"
@@ -65,35 +66,72 @@ def _stack(df: DataFrame, id_col: str, measures: Mapping[str, tuple[Column, list
 
 
 def peer_percentiles(df: DataFrame, measures: Mapping[str, MeasureSpec], keys: Sequence[str],
-                     id_col: str = "code", splits: int | None = None) -> DataFrame:
+                     id_col: str = "code", range_rows: int | None = None) -> DataFrame:
     """add one column per measure holding the average rank of
     the row's value among the non-null values of its peer group divided by
     the number of *all* rows in the group (nulls included); null values get
     null.  A measure given as ``(expr, keys)`` uses its own peer keys (F3),
     in the same pass.  ``id_col`` must be unique per row."""
     spec = _split_spec(measures, keys)
-    long = _stack(df, id_col, spec)
-    # all rows count in the denominator, null values included
-    sizes = long.groupBy(GROUP, MEASURE).agg(F.count(F.lit(1)).alias("_n"))
-    freq = value_counts(long, VALUE, by=[GROUP, MEASURE])
-    pref = prefix_counts(freq, VALUE, by=[GROUP, MEASURE], splits=splits)
-    ranked = (pref.join(sizes, on=[GROUP, MEASURE], how="inner")
-              .select(GROUP, MEASURE, VALUE,
-                      ((F.col("below") + (F.col("c") + F.lit(1)) / F.lit(2.0)) / F.col("_n")).alias("_pct")))
-    per_row = (long.filter(F.col(VALUE).isNotNull())
-               .join(ranked, on=[GROUP, MEASURE, VALUE], how="inner"))
-    wide = per_row.groupBy(id_col).agg(
+    ranked = _ranked(_stack(df, id_col, spec), id_col, range_rows)
+    wide = ranked.groupBy(id_col).agg(
         *[F.max(F.when(F.col(MEASURE) == F.lit(name), F.col("_pct"))).alias(name) for name in spec])
     return df.join(wide, on=id_col, how="left")
 
 
+# Tasks that the rows of one very frequent value (or the nulls) of a group
+# that was cut are dealt to.
+SALTS = 256
+
+
+def _ranked(long: DataFrame, id_col: str, range_rows: int | None) -> DataFrame:
+    """(id, _m, _pct) of stacked rows, which are ranked where they lie: one
+    exchange by group and measure, sorted by value, and three windows on it
+    (smaller rows, equal rows, all rows).
+
+    A group with more than about ``ranks.RANGE_ROWS`` rows is cut into ranges
+    of values that go to different tasks.  A value that spans several cuts is a
+    range of its own: its rows all have one rank, which the ranges' totals
+    tell, so they (and the nulls) are salted and no task holds them all."""
+    by = [GROUP, MEASURE]
+    cuts = split_points(long, VALUE, by, [id_col, MEASURE], range_rows)
+    v = F.col(VALUE)
+    part = by
+    if cuts is not None:
+        part = [*by, RANGE, "_salt"]
+        below = cuts_below(VALUE)
+        frequent = F.coalesce(F.size(F.filter(F.col(CUTS), lambda c: c == v)) > 1, F.lit(False))
+        cut, alone = F.col(CUTS).isNotNull(), F.col("_alone")
+        long = (long.join(cuts, on=by, how="left").withColumn("_alone", cut & frequent)
+                .withColumn(RANGE, F.when(cut & v.isNull(), F.lit(-1)).otherwise(2 * below + alone.cast("int")))
+                .withColumn("_salt", F.when(cut & (v.isNull() | alone), F.pmod(F.xxhash64(id_col), F.lit(SALTS)))
+                            .otherwise(F.lit(0))))
+        totals = long.filter(cut).groupBy(*by, RANGE).agg(F.count(F.lit(1)).alias("_total"))
+        nulls = F.when(F.col(RANGE) < 0, F.col("_total")).otherwise(F.lit(0))
+        offsets = stage(range_offsets(totals, by, "_total").join(totals, on=[*by, RANGE])
+                        .withColumn("_lower", F.col("_lower") - F.sum(nulls).over(Window.partitionBy(*by))), "offsets")
+        long = long.drop(CUTS)
+    group = Window.partitionBy(*part)
+    smaller = F.rank().over(group.orderBy(v.asc_nulls_last())) - F.lit(1)
+    equal = F.count(F.lit(1)).over(Window.partitionBy(*part, VALUE))
+    rows = F.count(F.lit(1)).over(group)
+    ranked = long.withColumns({"_below": smaller, "_c": equal, "_n": rows})
+    if cuts is not None:
+        ranked = ranked.join(offsets, on=[*by, RANGE], how="left").withColumns({
+            "_below": F.coalesce("_lower", F.lit(0)) + F.when(F.col("_alone"), F.lit(0)).otherwise(F.col("_below")),
+            "_c": F.when(F.col("_alone"), F.col("_total")).otherwise(F.col("_c")),
+            "_n": F.coalesce("_all", "_n")})
+    pct = (F.col("_below") + (F.col("_c") + F.lit(1)) / F.lit(2.0)) / F.col("_n")
+    return ranked.select(id_col, MEASURE, F.when(v.isNotNull(), pct).alias("_pct"))
+
+
 def group_median_mad(df: DataFrame, measures: Mapping[str, Column | str], keys: Sequence[str],
-                     splits: int | None = None) -> DataFrame:
+                     range_rows: int | None = None) -> DataFrame:
     """one row per peer group with ``<m>__median`` and ``<m>__mad``
     for every measure (exact, from frequency tables)."""
     long = _stack(df.withColumn("_id", F.lit(0)), "_id", _split_spec(measures, keys))
     freq = value_counts(long, VALUE, by=[GROUP, MEASURE])
-    stats = median_and_mad(freq, VALUE, by=[GROUP, MEASURE], splits=splits)
+    stats = median_and_mad(freq, VALUE, by=[GROUP, MEASURE], range_rows=range_rows)
     return stats.groupBy(GROUP).agg(*[
         agg for name in measures for agg in (
             F.max(F.when(F.col(MEASURE) == F.lit(name), F.col("median"))).alias(f"{name}__median"),
@@ -105,14 +143,14 @@ MAD_EPSILON = 1e-6
 
 
 def robust_z(df: DataFrame, measures: Mapping[str, Column | str], keys: Sequence[str],
-             splits: int | None = None,
+             range_rows: int | None = None,
              mad_floor: float | None = None, z_cap: float | None = None) -> DataFrame:
     """``(x - median) / (MAD + 1e-6)`` per peer group, null only when
     x is null (or the whole group is null).  ``mad_floor`` / ``z_cap`` are
     opt-in guards against zero-MAD groups; the defaults keep the
     reference's behaviour."""
     keys = list(keys)
-    stats = group_median_mad(df, measures, keys, splits)
+    stats = group_median_mad(df, measures, keys, range_rows)
     joined = with_group(df, keys).join(stats, on=GROUP, how="left")
     cols = {name: _z(_c(expr).cast("double"), F.col(f"{name}__median"), F.col(f"{name}__mad"),
                      mad_floor, z_cap)

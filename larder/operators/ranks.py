@@ -1,25 +1,22 @@
-"""Exact order statistics per group without whole-group windows or buffers.
-
-A peer group may hold a third of all rows, so nothing here puts a whole
-group into one task: no ``Window.partitionBy(group)`` over rows and no exact
-``percentile`` buffer (whose final merge holds every distinct value of the
-group in one task).  Instead:
-
-1. **Frequency table** ``(g, v, c)``: ``groupBy(g, v).count()``.  Partial
-   aggregation collapses repeated values before the shuffle, and the shuffle
-   is keyed by the value as well, so a hot group spreads over many tasks.
-2. **Range prefix sums**: the frequency table is dealt by ranges of
-   ``(g, v)`` over the session's shuffle partitions and written once with its
-   range number.  A group that fills many ranges is cut by itself, small
-   groups share one; the running count *inside* a range is a window over
-   ``(range, g)``, and the count of all lower ranges comes from a table with
-   one row per (range, g).  The cuts only balance the work: the counts are
-   exact wherever they fall.
-3. Ranks, medians, MADs and nearest-rank quantiles are then read off the
-   ``(g, v, c, below, n)`` table, and group statistics are small tables joined
-   back by key (AQE broadcasts them once their real size is known).
-
-This is the plan at every input size.
+"""Exact order statistics per group without whole-group buffers.
+
+A peer group may hold a third of all rows, so nothing here puts the rows of a
+whole group into one task.  Instead:
+
+1. **Frequency table** ``(g, v, c, ...)``: one row per group and value, with
+   its multiplicity and whatever else a caller carries per value (sums, first
+   and last dates, flags).  Partial aggregation collapses repeated values
+   before the shuffle, and the shuffle is keyed by the value as well, so a hot
+   group spreads over many tasks.  Tables of several batches add up to the
+   table of all of them (:func:`add_counts`).
+2. **Running counts**: one exchange of the frequency table by group, sorted by
+   value; windows give the number of smaller values and the group's total, and
+   the statistics are an aggregate on the same partitioning.
+3. A group with more than about ``RANGE_ROWS`` *distinct* values is cut into
+   ranges of values at quantiles of a hashed share of its rows, its ranges are
+   dealt to different tasks, and the counts of lower ranges come from a table
+   with one row per range.  The cuts only balance the work: every count covers
+   all rows and is exact wherever the cuts fall.
 
 Groups are carried as one non-null struct column ``_g`` so that null keys
 form a group of their own and joins stay plain equi-joins on one column.
@@ -27,14 +24,29 @@ form a group of their own and joins stay plain equi-joins on one column.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.functions.scalars import MEAN_SCALE
 from larder.sources.io import is_staged, stage
 
 GROUP = "_g"
+RANGE = "_range"
+CUTS = "_cuts"
+
+#: Rows that a group may have before it is cut into ranges, and the number of
+#: ranges that a group is cut into.
+RANGE_ROWS = 1_000_000
+RANGES = 256
+#: The cuts are quantiles of one row in so many, but of SAMPLE_ROWS at least
+#: where a group is just large enough to be cut.
+SAMPLE_ROWS = 1024
+
+#: name -> (aggregate over rows, function that merges it): what a frequency
+#: table carries per value besides the multiplicity.
+Carried = Mapping[str, tuple[Column, Callable[[str], Column]]]
 
 
 def with_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,12 +56,30 @@ def with_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn(GROUP, g)
 
 
-def value_counts(df: DataFrame, value: str, by: Sequence[str] = (GROUP,),
-                 weight: str | None = None) -> DataFrame:
-    """(by..., value, c): multiplicity of every non-null value."""
-    agg = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return (df.filter(F.col(value).isNotNull())
-            .groupBy(*by, value).agg(agg.cast("long").alias("c")))
+def group_columns(keys: Sequence[str]) -> list[Column]:
+    """The key columns back from the group struct."""
+    return [F.col(f"{GROUP}.{k}").alias(k) for k in keys]
+
+
+def value_counts(df: DataFrame, value: str, by: Sequence[str] = (GROUP,), carry: Carried | None = None,
+                 mean: bool = False) -> DataFrame:
+    """(by..., value, c, ...): multiplicity of every value, nulls included;
+    ``mean`` adds the exact sum ``_sum`` that a mean is cut from."""
+    aggs = [F.count(F.lit(1)).alias("c")]
+    if mean:
+        aggs.append(F.sum(F.col(value).cast(f"decimal(38,{MEAN_SCALE})")).alias("_sum"))
+    aggs += [agg.alias(name) for name, (agg, _) in (carry or {}).items()]
+    return df.groupBy(*by, value).agg(*aggs)
+
+
+def add_counts(tables: Sequence[DataFrame], value: str, by: Sequence[str] = (GROUP,),
+               carry: Carried | None = None) -> DataFrame:
+    """The frequency table of all rows from those of parts of them."""
+    both = tables[0]
+    for t in tables[1:]:
+        both = both.unionByName(t)
+    sums = [F.sum(c).alias(c) for c in ("c", "_sum") if c in both.columns]
+    return both.groupBy(*by, value).agg(*sums, *[merge(name).alias(name) for name, (_, merge) in (carry or {}).items()])
 
 
 def written(freq: DataFrame) -> DataFrame:
@@ -58,93 +88,135 @@ def written(freq: DataFrame) -> DataFrame:
     return freq if is_staged(freq) else stage(freq, "freq")
 
 
+def split_points(rows: DataFrame, value: str, by: Sequence[str], sample_by: Sequence[str],
+                 range_rows: int | None = None) -> DataFrame | None:
+    """(by..., _cuts): ascending cut values of the groups that have more than
+    about ``range_rows`` rows; None if there is none.  ``sample_by`` tells the
+    rows apart: the share that the cuts are taken from is drawn by its hash."""
+    range_rows = range_rows or RANGE_ROWS
+    every = max(1, range_rows // SAMPLE_ROWS)
+    share = rows.filter(F.col(value).isNotNull())
+    if every > 1:
+        share = share.filter(F.pmod(F.xxhash64(*sample_by), F.lit(every)) == 0)
+    large = share.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") * every > range_rows)
+    if not large.limit(1).count():
+        return None
+    points = [k / RANGES for k in range(1, RANGES)]
+    return stage(share.join(large, on=list(by), how="left_semi").groupBy(*by)
+                 .agg(F.percentile_approx(value, F.array(*map(F.lit, points)), F.lit(10 * RANGES)).alias(CUTS)), "cuts")
+
+
+def cuts_below(value: str) -> Column:
+    """How many of the group's cuts are below the value; 0 without cuts."""
+    below = F.size(F.filter(F.col(CUTS), lambda c: c < F.col(value)))
+    return F.when(F.col(CUTS).isNotNull() & F.col(value).isNotNull(), below).otherwise(F.lit(0))
+
+
+def range_offsets(counts: DataFrame, by: Sequence[str], total: str) -> DataFrame:
+    """(by..., _range, _lower, _all) from the totals of the ranges of the
+    groups that were cut: one row per range, at most 2 x RANGES of a group."""
+    lower = Window.partitionBy(*by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(*by, RANGE, F.coalesce(F.sum(total).over(lower), F.lit(0)).alias("_lower"),
+                         F.sum(total).over(Window.partitionBy(*by)).alias("_all"))
+
+
 def prefix_counts(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
-                  splits: int | None = None) -> DataFrame:
+                  range_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``below``, the total ``c`` of the strictly smaller values of the
-    same ``by`` group, and ``n``, the group's total.  ``freq`` must hold one
-    row per (by, value).  ``splits`` is the number of ranges (default: the
-    session's shuffle partitions)."""
+    same ``by`` group, and ``n``, the group's total of non-null values; and
+    tell whether a group was cut.  ``freq`` must hold one row per (by, value).
+    Without a cut the result is partitioned by ``by``."""
     by = list(by)
-    cut = [*by, value]
-    dealt = freq.repartitionByRange(splits, *cut) if splits else freq.repartitionByRange(*cut)
-    t = stage(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
-    inside = Window.partitionBy("_range", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    lower = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (t.groupBy("_range", *by).agg(F.sum("c").alias("_total"))
-               .select("_range", *by, F.coalesce(F.sum("_total").over(lower), F.lit(0)).alias("_lower"),
-                       F.sum("_total").over(Window.partitionBy(*by)).alias("n")))
-    return (t.withColumn("_in", F.coalesce(F.sum("c").over(inside), F.lit(0)))
-            .join(offsets, on=["_range", *by], how="inner")
-            .withColumn("below", (F.col("_lower") + F.col("_in")).cast("long"))
-            .drop("_lower", "_in", "_range"))
-
-
-def values_at(pref: DataFrame, value: str, positions: Mapping[str, Column],
-              by: Sequence[str] = (GROUP,)) -> DataFrame:
-    """Per group, the value found at each 1-based sorted position.
-
-    ``positions`` maps an output name to a Column over ``n`` (the group's
-    non-null count).  Only the few rows that contain a wanted position reach
-    the final (tiny) aggregation."""
-    by = list(by)
-    hit = {name: (F.col("below") < pos) & (pos <= F.col("below") + F.col("c"))
-           for name, pos in positions.items()}
-    any_hit = None
-    for h in hit.values():
-        any_hit = h if any_hit is None else (any_hit | h)
-    return pref.filter(any_hit).groupBy(*by).agg(
-        F.first("n").alias("n"),
-        *[F.max(F.when(h, F.col(value))).alias(name) for name, h in hit.items()])
-
-
-def _median_positions() -> dict[str, Column]:
+    t = written(freq)
+    cuts = split_points(t, value, by, [*by, value], range_rows)
+    part = by
+    if cuts is not None:
+        part = [*by, RANGE]
+        t = t.join(cuts, on=by, how="left").withColumn(RANGE, cuts_below(value))
+        totals = (t.filter(F.col(CUTS).isNotNull()).groupBy(*part)
+                  .agg(F.sum(F.when(F.col(value).isNotNull(), F.col("c")).otherwise(F.lit(0))).alias("_total")))
+        offsets = range_offsets(totals, by, "_total")
+    smaller = Window.partitionBy(*part).orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    counted = F.when(F.col(value).isNotNull(), F.col("c")).otherwise(F.lit(0))
+    t = t.withColumns({"below": F.coalesce(F.sum("c").over(smaller), F.lit(0)),
+                       "n": F.sum(counted).over(Window.partitionBy(*part))})
+    if cuts is not None:
+        t = (t.join(offsets, on=part, how="left")
+             .withColumns({"below": F.col("below") + F.coalesce("_lower", F.lit(0)), "n": F.coalesce("_all", "n")})
+             .drop(CUTS, RANGE, "_lower", "_all"))
+    return t, cuts is not None
+
+
+def _at(position: Column, value: Column, before: str = "below") -> Column:
+    """The value at a 1-based position: an aggregate over a group's rows."""
+    return F.max(F.when((F.col(before) < position) & (position <= F.col(before) + F.col("c")), value))
+
+
+def _median(value: Column, over: Callable[[Column], Column] = lambda c: c, before: str = "below") -> Column:
+    """Median of a group's rows; same interpolation as Spark's
+    percentile(x, 0.5): 0.5*lo + 0.5*hi."""
     n = F.col("n")
     # 1-based middle positions; equal when n is odd
-    return {"_lo": F.floor((n + 1) / 2), "_hi": F.floor(n / 2) + 1}
-
-
-def _median_from(lo: Column, hi: Column) -> Column:
-    # same interpolation as Spark's percentile(x, 0.5): 0.5*lo + 0.5*hi
-    return F.when(lo == hi, lo.cast("double")).otherwise(
-        F.lit(0.5) * lo.cast("double") + F.lit(0.5) * hi.cast("double"))
+    lo, hi = (over(_at(p, value, before)).cast("double") for p in (F.floor((n + 1) / 2), F.floor(n / 2) + 1))
+    return F.when(lo == hi, lo).otherwise(F.lit(0.5) * lo + F.lit(0.5) * hi)
+
+
+def describe(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,), median: str | None = None,
+             mean: str | None = None, qs: Mapping[str, float] | None = None, carry: Carried | None = None,
+             range_rows: int | None = None) -> DataFrame:
+    """(by..., n, min, max, ...): per group the non-null values' number,
+    least and largest, optionally the exact interpolated median, the exact
+    mean (``freq`` needs ``_sum``), nearest-rank quantiles (the value at
+    0-based sorted index ``floor((n - 1) * q + 0.5)``) and the carried
+    aggregates, all from one frequency table."""
+    pref, _ = prefix_counts(freq, value, by, range_rows)
+    v, n = F.col(value), F.col("n")
+    aggs = [F.max("n").alias("n"), F.min(value).alias("min"), F.max(value).alias("max")]
+    if median:
+        aggs.append(_median(v).alias(median))
+    if mean:
+        aggs.append(F.try_divide(F.sum("_sum").cast("double"), F.max("n").cast("double")).alias(mean))
+    for name, q in (qs or {}).items():
+        aggs.append(_at(F.floor((n - 1) * F.lit(float(q)) + F.lit(0.5)) + 1, v).alias(name))
+    return pref.groupBy(*by).agg(*aggs, *[merge(name).alias(name) for name, (_, merge) in (carry or {}).items()])
 
 
 def group_median(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
-                 splits: int | None = None, out: str = "median") -> DataFrame:
+                 range_rows: int | None = None, out: str = "median") -> DataFrame:
     """Exact median of each group from its frequency table -> (by..., out)."""
-    by = list(by)
-    pref = prefix_counts(freq, value, by, splits)
-    at = values_at(pref, value, _median_positions(), by)
-    return at.select(*by, _median_from(F.col("_lo"), F.col("_hi")).alias(out))
+    return describe(freq, value, by, median=out, range_rows=range_rows).select(*by, out)
 
 
 def nearest_rank(freq: DataFrame, value: str, qs: Mapping[str, float],
-                 by: Sequence[str] = (GROUP,), splits: int | None = None,
+                 by: Sequence[str] = (GROUP,), range_rows: int | None = None,
                  median: str | None = None) -> DataFrame:
-    """Nearest-rank quantiles: the value at 0-based sorted index
-    ``floor((n - 1) * q + 0.5)`` among the non-nulls, per group; optionally
-    also the interpolated median."""
-    pref = prefix_counts(freq, value, by, splits)
-    n = F.col("n")
-    positions = {name: F.floor((n - 1) * F.lit(float(q)) + F.lit(0.5)) + 1 for name, q in qs.items()}
-    if median:
-        positions.update(_median_positions())
-    at = values_at(pref, value, positions, by)
-    cols = [*by, *[F.col(name) for name in qs]]
-    if median:
-        cols.append(_median_from(F.col("_lo"), F.col("_hi")).alias(median))
-    return at.select(*cols)
+    """Nearest-rank quantiles per group, optionally also the median."""
+    out = describe(freq, value, by, median=median, qs=qs, range_rows=range_rows)
+    return out.select(*by, *qs, *([median] if median else []))
 
 
 def median_and_mad(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
-                   splits: int | None = None) -> DataFrame:
+                   range_rows: int | None = None) -> DataFrame:
     """(by..., median, mad): exact median and median absolute deviation
-    (no consistency factor) per group, both from frequency tables."""
+    (no consistency factor) per group.
+
+    Both come from one table and one exchange: the median is a window over the
+    group's running counts, and a second running count, in the order of the
+    distance from it, counts on both sides of the median at once.  Only if some
+    group was cut into ranges, the distances get a frequency table of their
+    own."""
     by = list(by)
-    freq = written(freq)  # read by both medians
-    med = group_median(freq, value, by, splits, out="median")
-    dev = (freq.join(med, on=by, how="inner")
-           .select(*by, F.abs(F.col(value) - F.col("median")).alias("_dev"), "c")
-           .groupBy(*by, "_dev").agg(F.sum("c").alias("c")))
-    mad = group_median(dev, "_dev", by, splits, out="mad")
-    return med.join(mad, on=by, how="inner")
+    freq = written(freq)
+    pref, cut = prefix_counts(freq, value, by, range_rows)
+    if cut:
+        med = stage(pref.groupBy(*by).agg(_median(F.col(value)).alias("median")), "medians")
+        far = (freq.join(med, on=by, how="inner")
+               .select(*by, F.abs(F.col(value) - F.col("median")).alias("_far"), "c")
+               .groupBy(*by, "_far").agg(F.sum("c").alias("c")))
+        return med.join(group_median(far, "_far", by, range_rows, out="mad"), on=by, how="inner")
+    whole = Window.partitionBy(*by)
+    nearer = whole.orderBy(F.col("_far").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    t = pref.withColumn("median", _median(F.col(value), lambda c: c.over(whole)))
+    t = t.withColumn("_far", F.abs(F.col(value) - F.col("median")))
+    t = t.withColumn("_nearer", F.coalesce(F.sum("c").over(nearer), F.lit(0)))
+    return t.groupBy(*by).agg(F.max("median").alias("median"), _median(F.col("_far"), before="_nearer").alias("mad"))

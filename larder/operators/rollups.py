@@ -14,43 +14,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.scalars import exact_mean
-from larder.operators.ranks import GROUP, group_median, nearest_rank, value_counts, with_group
+from larder.operators.ranks import GROUP, describe, group_columns, value_counts, with_group
 
 
 # Quantiles of the nutrition-structure view.
 STRUCTURE_QUANTILES = {"p25": 0.25, "p75": 0.75, "p95": 0.95}
 
 
-def group_stats(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column | str],
-                splits: int | None = None) -> DataFrame:
-    """(keys..., measure, n, mean, median, p25, p75, p95): per group and
-    measure the non-null count, mean, exact median and nearest-rank quantiles;
-    measures are stacked long so one pass serves all of them."""
-    keys = list(keys)
-    base = with_group(df, keys)
-    entries = [F.struct(F.lit(m).alias("measure"),
+def group_stats(df: DataFrame, views: Mapping[str, Sequence[str]], measures: Mapping[str, Column | str],
+                range_rows: int | None = None) -> DataFrame:
+    """(view, _g, measure, n, mean, median, p25, p75, p95): per view, group
+    of its keys and measure the non-null count, mean, exact median and
+    nearest-rank quantiles.  Views and measures are stacked long, so one
+    frequency table serves all of them; ``_g`` is a struct over the keys of all
+    views in which those that a view does not use are null."""
+    keys = list(dict.fromkeys(k for own in views.values() for k in own))
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def group(own: Sequence[str]) -> Column:
+        return F.struct(*[(F.col(k) if k in own else F.lit(None).cast(types[k])).alias(k) for k in keys])
+
+    entries = [F.struct(F.lit(view).alias("view"), group(own).alias(GROUP), F.lit(m).alias("measure"),
                         (F.col(e) if isinstance(e, str) else e).cast("double").alias("_v"))
-               for m, e in measures.items()]
-    long = base.select(GROUP, *keys, F.inline(F.array(*entries)))
-    basic = long.groupBy(GROUP, "measure").agg(
-        *[F.first(k).alias(k) for k in keys],
-        F.count("_v").alias("n"), exact_mean("_v").alias("mean"))
-    ranks = nearest_rank(value_counts(long, "_v", by=[GROUP, "measure"]), "_v", STRUCTURE_QUANTILES,
-                         by=[GROUP, "measure"], splits=splits, median="median")
-    return (basic.join(ranks, on=[GROUP, "measure"], how="left")
-            .select(*keys, "measure", "n", "mean", "median", *STRUCTURE_QUANTILES))
-
-
-def currency_medians(aligned: DataFrame, splits: int | None = None) -> DataFrame:
-    """Per currency (null kept): rows, exact median and mean price."""
-    base = with_group(aligned, ["currency"])
-    basic = base.groupBy(GROUP).agg(F.first("currency").alias("currency"),
-                                    F.count(F.lit(1)).alias("rows"),
-                                    exact_mean("price_value").alias("mean_price"))
-    med = group_median(value_counts(base, "price_value"), "price_value", splits=splits,
-                       out="median_price")
-    return (basic.join(med, on=GROUP, how="left")
-            .select("currency", "rows", "median_price", "mean_price"))
+               for view, own in views.items() for m, e in measures.items()]
+    by = ["view", GROUP, "measure"]
+    freq = value_counts(df.select(F.inline(F.array(*entries))), "_v", by=by, mean=True)
+    return (describe(freq, "_v", by=by, median="median", mean="mean", qs=STRUCTURE_QUANTILES, range_rows=range_rows)
+            .select(*by, "n", "mean", "median", *STRUCTURE_QUANTILES))
+
+
+def currency_medians(aligned: DataFrame, range_rows: int | None = None) -> DataFrame:
+    """Per currency (null kept): rows, exact median and mean price, from
+    one frequency table."""
+    freq = value_counts(with_group(aligned, ["currency"]), "price_value", mean=True)
+    return (describe(freq, "price_value", median="median_price", mean="mean_price", range_rows=range_rows)
+            .select(*group_columns(["currency"]), F.col("n").alias("rows"), "median_price", "mean_price"))
 
 
 def brand_concentration(df: DataFrame, keys: Sequence[str] = ("analysis_country_tag", "analysis_category_tag"),
@@ -114,11 +112,24 @@ STRUCTURE_MEASURES = {
 }
 
 
-def nutrition_structure(analysis: DataFrame, keys: Sequence[str] = ("analysis_country_tag", "analysis_category_tag"),
-                        splits: int | None = None) -> DataFrame:
-    """K3: per (country, category) or (country, brand): n, mean, exact
-    median and quantiles of the six nutrition measures, long format."""
-    return group_stats(analysis, keys, STRUCTURE_MEASURES, splits)
+# Keys of the two nutrition-structure views.
+STRUCTURE_VIEWS = {
+    "category": ["analysis_country_tag", "analysis_category_tag"],
+    "brand": ["analysis_country_tag", "primary_brand_tag"],
+}
+
+
+def nutrition_structure(analysis: DataFrame, views: Mapping[str, Sequence[str]] = STRUCTURE_VIEWS,
+                        range_rows: int | None = None) -> DataFrame:
+    """K3: (view, analysis_country_tag, member, measure, n, ...): per
+    (country, category) and per (country, brand), in one pass, n, mean, exact
+    median and quantiles of the six nutrition measures, long format.  A view
+    is a country key and a member key."""
+    member = F.coalesce(*[F.when(F.col("view") == F.lit(v), F.col(f"{GROUP}.{own[1]}")) for v, own in views.items()])
+    country = F.coalesce(*[F.when(F.col("view") == F.lit(v), F.col(f"{GROUP}.{own[0]}")) for v, own in views.items()])
+    return (group_stats(analysis, views, STRUCTURE_MEASURES, range_rows)
+            .select("view", country.alias("analysis_country_tag"), member.alias("member"), "measure", "n", "mean",
+                    "median", *STRUCTURE_QUANTILES))
 
 
 def anomaly_feed(analysis: DataFrame, limit: int | None = None) -> DataFrame:

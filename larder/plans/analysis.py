@@ -6,10 +6,9 @@ anomaly score -> flags.
 
 Plan shape: the primary price per product is a partial aggregate (``min_by``)
 and one left join by code.  Percentiles and robust z use
-:mod:`larder.operators.peers`: per-value
-frequency tables, range prefix sums, and small per-group statistics; the
-wide table is only ever joined by ``code`` (unique), never gathered by peer
-group.
+:mod:`larder.operators.peers`: ranks of stacked rows where they lie and small
+per-group statistics from frequency tables; the wide table is only ever joined
+by ``code`` (unique), never gathered by peer group.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ from larder.sources.io import stage
 GROUP_KEYS = ("analysis_country_tag", "analysis_category_tag")
 PRICE_KEYS = ("analysis_country_code", "currency", "analysis_category_tag")
 
+# Output columns of the analysis table, in order.
 ANALYSIS_COLS = [
     "code", "product_name", "brands", "primary_brand_tag", "analysis_country_tag",
     "analysis_country_code", "analysis_category_tag", "nutriscore_grade", "nutriscore_score",
@@ -59,7 +59,7 @@ SAME_MARKET_PRIORITY = 100_000
 class AnalysisSpec:
     group_keys: Sequence[str] = GROUP_KEYS
     price_keys: Sequence[str] = PRICE_KEYS
-    splits: int | None = None      # ranges of a frequency table; None: the session's shuffle partitions
+    range_rows: int | None = None  # rows of a group that isn't cut into ranges; None: ranks.RANGE_ROWS
     health: str = "code"           # K7: "code" (default) or "design" formula
     materialize: bool = True       # write each pass to the checkpoint folder
 
@@ -104,7 +104,7 @@ def build_analysis(products: DataFrame, summary: DataFrame,
     ``products`` is unique per code (J1 dedups) and the primary price is
     unique per product, so the left join keeps one row per code and the
     reference's final keep-first is a no-op that costs no shuffle here."""
-    keys, sp = list(spec.group_keys), spec.splits
+    keys, limit = list(spec.group_keys), spec.range_rows
     df = base_table(products, summary)
     def cut(df: DataFrame, name: str) -> DataFrame:
         # a pass reads its input several times (group sizes, stacked
@@ -133,7 +133,7 @@ def build_analysis(products: DataFrame, summary: DataFrame,
         price_keys = ["location_osm_address_country_code", "currency", "analysis_category_tag"]
     # F3 has its own peer keys but shares the pass (one stacked table)
     peer["price_median_percentile"] = (F.col("price_median_clean"), price_keys)
-    df = peer_percentiles(df, peer, keys, splits=sp)
+    df = peer_percentiles(df, peer, keys, range_rows=limit)
 
     if spec.health == "design":
         health = S.clip01(F.lit(0.45) * F.col("nutriscore_good_percentile")
@@ -147,7 +147,7 @@ def build_analysis(products: DataFrame, summary: DataFrame,
                              "data_completeness_score": SC.completeness_score()}), "analysis-scores")
     df = peer_percentiles(df, {"health_score_percentile": F.col("health_score_composite"),
                                "data_completeness_percentile": F.col("data_completeness_score")},
-                          keys, splits=sp)
+                          keys, range_rows=limit)
     df = cut(df.withColumn("price_nutrition_value_index", SC.value_index()), "analysis-score-pct")
     df = robust_z(df, {
         "price_robust_z": F.col("price_median_clean"),
@@ -157,7 +157,7 @@ def build_analysis(products: DataFrame, summary: DataFrame,
         "nutriscore_robust_z": F.col("nutriscore_score"),
         "nova_robust_z": F.col("nova_group").cast("double"),
         "data_completeness_robust_z": F.col("data_completeness_score"),
-    }, keys, splits=sp)
+    }, keys, range_rows=limit)
     df = df.withColumn("peer_anomaly_score", SC.anomaly_score())
     df = df.withColumns(SC.flags())
     return df.select(*ANALYSIS_COLS)

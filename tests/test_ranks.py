@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from larder.operators.peers import peer_percentiles, robust_z
 from window_checks import peer_percentiles_window, robust_z_window
 
-from larder.operators.ranks import group_median, nearest_rank, value_counts, with_group
+from larder.operators.ranks import describe, group_median, median_and_mad, nearest_rank, value_counts, with_group
 
 
 def _rows(seed=7, n=600):
@@ -29,7 +29,7 @@ def _rows(seed=7, n=600):
 def test_percentiles_freq_equals_window(spark):
     df = spark.createDataFrame(_rows(), "code string, g string, x double, y double")
     m = {"px": F.col("x"), "pneg": -F.col("x"), "py": F.col("y")}
-    a = {r.code: r for r in peer_percentiles(df, m, ["g"], splits=4).collect()}
+    a = {r.code: r for r in peer_percentiles(df, m, ["g"], range_rows=4).collect()}
     b = {r.code: r for r in peer_percentiles_window(df, m, ["g"]).collect()}
     assert a.keys() == b.keys()
     for k in a:
@@ -40,12 +40,12 @@ def test_percentiles_freq_equals_window(spark):
     assert a["n1"]["px"] is None
 
 
-def test_split_count_does_not_change_result(spark):
+def test_cutting_groups_does_not_change_the_result(spark):
     df = spark.createDataFrame(_rows(3), "code string, g string, x double, y double")
     m = {"py": F.col("y")}
-    base = {r.code: r.py for r in peer_percentiles(df, m, ["g"], splits=1).collect()}
-    for s in (2, 5, 32):
-        got = {r.code: r.py for r in peer_percentiles(df, m, ["g"], splits=s).collect()}
+    base = {r.code: r.py for r in peer_percentiles(df, m, ["g"], range_rows=10_000).collect()}
+    for s in (1, 5, 32, 300):
+        got = {r.code: r.py for r in peer_percentiles(df, m, ["g"], range_rows=s).collect()}
         assert got == base
 
 
@@ -53,15 +53,15 @@ def test_median_matches_builtin(spark):
     df = spark.createDataFrame(_rows(11), "code string, g string, x double, y double")
     base = with_group(df, ["g"])
     for col in ("x", "y"):
-        got = {r["_g"]["g"]: r["median"] for r in group_median(value_counts(base, col), col, splits=4).collect()}
-        exp = {r.g: r.m for r in df.groupBy("g").agg(F.median(col).alias("m")).collect() if r.m is not None}
+        got = {r["_g"]["g"]: r["median"] for r in group_median(value_counts(base, col), col, range_rows=4).collect()}
+        exp = {r.g: r.m for r in df.groupBy("g").agg(F.median(col).alias("m")).collect() }
         assert got == exp
 
 
 def test_nearest_rank(spark):
     df = spark.createDataFrame([(float(v),) for v in range(1, 13)], "v double")
     base = with_group(df, [])
-    r = nearest_rank(value_counts(base, "v"), "v", {"p95": 0.95, "p50": 0.5}, splits=3).first()
+    r = nearest_rank(value_counts(base, "v"), "v", {"p95": 0.95, "p50": 0.5}, range_rows=3).first()
     # 0-based index floor((n-1)q + .5): n=12 -> 11 (value 12)?  (11*0.95=10.45 -> 10 -> value 11)
     assert r.p95 == 11.0
     assert r.p50 == 7.0   # 11*0.5 = 5.5 -> 6 -> value 7
@@ -70,7 +70,7 @@ def test_nearest_rank(spark):
 def test_robust_z_freq_equals_window(spark):
     df = spark.createDataFrame(_rows(5), "code string, g string, x double, y double")
     m = {"zx": F.col("x"), "zy": F.col("y")}
-    a = {r.code: r for r in robust_z(df, m, ["g"], splits=4).collect()}
+    a = {r.code: r for r in robust_z(df, m, ["g"], range_rows=4).collect()}
     b = {r.code: r for r in robust_z_window(df, m, ["g"]).collect()}
     for k in a:
         for c in m:
@@ -94,9 +94,9 @@ def test_analysis_does_not_depend_on_the_ranges(spark):
     _, _, products, _, summary = fixture_prices(spark, SF_SMALL)
     cols = ["code", "nutriscore_good_percentile", "price_median_percentile", "health_score_percentile",
             "data_completeness_percentile", "price_robust_z", "nova_robust_z", "peer_anomaly_score"]
-    a = {r.code: r for r in build_analysis(products, summary, AnalysisSpec(splits=4))
+    a = {r.code: r for r in build_analysis(products, summary, AnalysisSpec(range_rows=4))
          .select(*cols).collect()}
-    b = {r.code: r for r in build_analysis(products, summary, AnalysisSpec(splits=1))
+    b = {r.code: r for r in build_analysis(products, summary, AnalysisSpec())
          .select(*cols).collect()}
     assert a == b and len(a) > 0
 
@@ -106,7 +106,7 @@ def test_per_measure_keys_share_one_pass(spark):
             for i in range(120)]
     df = spark.createDataFrame(rows, "code string, g string, h string, x double")
     m = {"by_g": F.col("x"), "by_gh": (F.col("x"), ["g", "h"]), "by_h": (-F.col("x"), ["h"])}
-    a = {r.code: r for r in peer_percentiles(df, m, ["g"], splits=3).collect()}
+    a = {r.code: r for r in peer_percentiles(df, m, ["g"], range_rows=3).collect()}
     b = {r.code: r for r in peer_percentiles_window(df, m, ["g"]).collect()}
     assert a == b
 
@@ -114,10 +114,57 @@ def test_per_measure_keys_share_one_pass(spark):
 def test_prefix_counts_of_a_hot_group(spark):
     from larder.operators.ranks import prefix_counts
     rows = [("hot", float(i % 997)) for i in range(5000)] + [(f"g{i}", float(i)) for i in range(300)]
+    rows += [("hot", None)] * 40
     freq = value_counts(with_group(spark.createDataFrame(rows, "g string, v double"), ["g"]), "v")
     exp = {}
     for g, v in rows:
         exp.setdefault(g, []).append(v)
-    for r in prefix_counts(freq, "v", splits=13).collect():
-        own = exp[r["_g"]["g"]]
-        assert (r["below"], r["n"], r["c"]) == (sum(x < r["v"] for x in own), len(own), own.count(r["v"]))
+    for limit, cut in ((None, False), (50, True), (900, True), (5000, False)):
+        pref, was_cut = prefix_counts(freq, "v", range_rows=limit)
+        assert was_cut == cut
+        for r in pref.collect():
+            own = [x for x in exp[r["_g"]["g"]] if x is not None]
+            if r["v"] is not None:
+                assert (r["below"], r["n"], r["c"]) == (sum(x < r["v"] for x in own), len(own), own.count(r["v"]))
+
+
+def test_one_value_with_a_third_of_all_rows(spark):
+    """A very frequent value of a group that is cut is a range of its own."""
+    rnd = random.Random(2)
+    rows = [(f"c{i}", "hot" if i % 5 else "b", 4.0 if i % 3 == 0 else None if i % 11 == 0 else float(rnd.randint(0, 9)))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "code string, g string, x double")
+    m = {"p": F.col("x"), "q": -F.col("x")}
+    b = {r.code: r for r in peer_percentiles_window(df, m, ["g"]).collect()}
+    for limit in (None, 100, 5):
+        assert {r.code: r for r in peer_percentiles(df, m, ["g"], range_rows=limit).collect()} == b
+
+
+def test_ranks_take_one_exchange_of_the_stacked_rows(spark):
+    df = spark.createDataFrame(_rows(), "code string, g string, x double, y double")
+    out = peer_percentiles(df, {"px": F.col("x"), "py": F.col("y")}, ["g"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # by (group, measure), and back by id; the other one is the wide side of the last join
+    assert plan.count("Exchange hashpartitioning") == 3, plan
+    assert plan.count("Exchange hashpartitioning(_g") == 1
+
+
+def test_median_and_mad_read_one_written_table(spark):
+    df = with_group(spark.createDataFrame(_rows(9), "code string, g string, x double, y double"), ["g"])
+    stats = median_and_mad(value_counts(df, "y"), "y")
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1, plan
+    cut = median_and_mad(value_counts(df, "y"), "y", range_rows=7)
+    assert sorted(stats.collect(), key=str) == sorted(cut.collect(), key=str) != []
+
+
+def test_counts_of_batches_add_up(spark):
+    from larder.operators.ranks import add_counts
+    df = with_group(spark.createDataFrame(_rows(13), "code string, g string, x double, y double"), ["g"])
+    carry = {"least": (F.min("code"), F.min), "some": (F.bool_or(F.col("y") > 90), F.bool_or)}
+    def out(freq):
+        got = describe(freq, "x", median="median", mean="mean", qs={"p9": 0.9}, carry=carry)
+        return sorted(got.collect(), key=str)
+    whole = out(value_counts(df, "x", carry=carry, mean=True))
+    parts = [value_counts(df.filter(F.col("code").rlike(p)), "x", carry=carry, mean=True) for p in ("[0-4]$", "[^0-4]$")]
+    assert out(add_counts(parts, "x", carry=carry)) == whole
