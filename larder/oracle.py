@@ -889,3 +889,81 @@ found AS (
 SELECT w.task, CAST(w.position AS INTEGER) AS position, w.source, w.dataset, w.metric, f.value
 FROM (VALUES {_TASK_VALUES}) w(task, position, source, dataset, metric)
 LEFT JOIN found f ON f.source = w.source AND f.dataset = w.dataset AND f.metric = w.metric"""
+
+
+# ------------------------------------------------------------------- jobs
+
+def _tidy(report: str, source: str, keys: list[str], figures: list[str]) -> str:
+    """One report as (report, item, figure, value) rows."""
+    item = " || '/' || ".join(f"COALESCE(CAST(\"{k}\" AS VARCHAR), 'null')" for k in keys) or "''"
+    return "\nUNION ALL\n".join(
+        f"SELECT '{report}' AS report, {item} AS item, '{f}' AS figure, CAST(\"{f}\" AS DOUBLE) AS value FROM ({source})"
+        for f in figures)
+
+
+def _report(*parts: tuple[str, str, list[str], list[str]]) -> str:
+    return "\nUNION ALL\n".join(_tidy(*p) for p in parts)
+
+
+def _column_dist(chain: tuple[str, ...], src: str, col: str, where: str = "TRUE") -> str:
+    return _with(*chain) + f"\nSELECT {col} AS value, count(*) AS count FROM {src} WHERE {where} GROUP BY 1"
+
+
+_JOINED = ["unique_product_codes", "unique_price_product_codes", "matched_unique_product_codes",
+           "price_rows_with_product_code", "matched_price_rows", "matched_unique_price_code_pct",
+           "matched_price_rows_pct"]
+_COUNTERS = ["aligned_price_rows", "unique_products_with_price", "products_with_price_pct", "same_market_rows",
+             "same_market_rows_pct", "same_market_non_null_currency_rows", "same_market_non_null_currency_rows_pct",
+             "unique_products_with_same_market_price", "unique_products_with_same_market_price_pct",
+             "price_summary_rows"]
+_KEPT = ["total_raw_product_rows", "preprocessed_product_rows", "preprocessed_product_pct_total",
+         "products_with_price", "products_with_price_pct"]
+
+ORACLE["row_counts"] = _with(PRODUCTS_FX, PRICES_FX) + """
+SELECT 'products' AS dataset, count(*) AS rows FROM products_fx
+UNION ALL SELECT 'prices', count(*) FROM prices_fx
+UNION ALL SELECT 'absent', NULL"""
+
+ORACLE["parquet_round_trip"] = _with(*PM_CHAIN) + """
+SELECT code, brands_tags, fat_100g, labels_count FROM products_main"""
+
+ORACLE["job_dataset_audit"] = _report(
+    ("row_counts", f"SELECT * FROM ({ORACLE['row_counts']}) WHERE dataset <> 'absent'", ["dataset"], ["rows"]),
+    ("field_coverage", ORACLE["field_coverage"], ["dataset", "field"], ["present_rows", "coverage_pct"]),
+    ("derived_quality", ORACLE["derived_quality"], ["dataset", "metric"], ["present_rows", "coverage_pct"]),
+    ("nutrient_coverage", ORACLE["named_entry_coverage"], ["nutrient"], ["present_rows", "coverage_pct"]),
+    ("product_required_fields", f"SELECT * FROM ({ORACLE['schema_required']}) WHERE dataset = 'products'",
+     ["group", "field"], ["present", "present_rows"]),
+    ("price_required_fields", f"SELECT * FROM ({ORACLE['schema_required']}) WHERE dataset = 'prices'",
+     ["group", "field"], ["present", "present_rows"]),
+    ("numeric_profile", ORACLE["numeric_profile"], ["dataset", "column"], ["min", "median", "mean", "p95", "p99", "max"]),
+    ("date_profile", ORACLE["date_profile"], ["min", "max"], ["present_rows"]),
+    ("top_product_lists", ORACLE["top_array_values_nullkeep"], ["column", "value"], ["count"]),
+    ("top_scalars", ORACLE["top_scalar_values"], ["dataset", "column", "value"], ["count"]),
+    ("join_coverage", ORACLE["join_coverage"], [], _JOINED),
+    ("task_readiness", ORACLE["task_readiness"], ["task", "source", "dataset", "metric"], ["position", "value"]),
+    ("optional_rows", f"SELECT * FROM ({ORACLE['row_counts']}) WHERE dataset = 'absent'", [], ["rows"]))
+
+ORACLE["job_filter_audit"] = _report(
+    ("ladder", ORACLE["filter_ladder"], ["level"],
+     ["count", "pct", "price_matched_count", "price_matched_pct_total", "price_matched_pct_filter"]),
+    ("level_profile", ORACLE["level_profile"], [],
+     ["rows", "unique_codes", "nutriscore_score_median", "nova_group_median", "completeness_median",
+      "completeness_mean"]),
+    ("level_top_lists", ORACLE["top_array_values"], ["column", "value"], ["count"]),
+    ("level_nutriscore_dist", _column_dist((PRODUCTS_FX,), "products_fx", "nutriscore_grade", STRICT), ["value"], ["count"]),
+    ("level_nova_dist", _column_dist((PRODUCTS_FX,), "products_fx", "nova_group", STRICT), ["value"], ["count"]))
+
+ORACLE["job_preprocess"] = _report(
+    ("preprocess_counters", ORACLE["preprocess_counters"], [], _KEPT),
+    ("selected_tags", ORACLE["selected_tag_counts"], ["column", "tag"], ["position", "rows"]),
+    ("alignment_counters", ORACLE["alignment_counters"], [], _COUNTERS),
+    ("aligned_currencies", _column_dist(SUMMARY_CHAIN, "aligned", "currency"), ["value"], ["count"]),
+    ("aligned_price_countries", _column_dist(SUMMARY_CHAIN, "aligned", "location_osm_address_country_code"),
+     ["value"], ["count"]),
+    ("product_countries", _column_dist(PM_CHAIN, "products_main", "analysis_country_tag"), ["value"], ["count"]),
+    ("product_categories", _column_dist(PM_CHAIN, "products_main", "analysis_category_tag"), ["value"], ["count"]),
+    ("median_price_by_currency", ORACLE["price_currency_medians"], ["currency"], ["rows", "median_price", "mean_price"]))
+
+ORACLE["job_analysis_csv"] = f"""
+SELECT row_number() OVER (ORDER BY code) - 1 AS index, * FROM ({ORACLE['products_analysis']})"""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -188,35 +188,49 @@ def audit_filters(products: DataFrame, prices: DataFrame, level: str = "strict_q
     }
 
 
-def alignment_counters(products_main: DataFrame, aligned: DataFrame, summary: DataFrame) -> DataFrame:
+def aligned_metrics() -> dict[str, Column]:
+    """What a job counts of the aligned table while it writes it."""
+    same = F.coalesce(F.col("same_market_as_analysis_country"), F.lit(False))
+    return {"aligned_price_rows": F.count(F.lit(1)), "same_market_rows": F.count_if(same),
+            "same_market_non_null_currency_rows": F.count_if(same & F.col("currency").isNotNull())}
+
+
+def row_metrics(name: str) -> dict[str, Column]:
+    """The row count of a table that is being written."""
+    return {name: F.count(F.lit(1))}
+
+
+def _counts(df: DataFrame, metrics: Mapping[str, Column], known: Mapping[str, int]) -> dict[str, int]:
+    """The metrics of a table: those taken while it was written, or else from
+    one scan (one row of numbers)."""
+    if all(name in known for name in metrics):
+        return {name: known[name] for name in metrics}
+    return df.agg(*[agg.alias(name) for name, agg in metrics.items()]).first().asDict()
+
+
+def _priced_products(summary: DataFrame) -> DataFrame:
+    """One row: products with a price, and with a same-market price in a known
+    currency.  The currency is a key of the summary, so both distinct counts
+    come from it, by one row per product."""
+    same = F.col("any_same_market_match") & F.col("currency").isNotNull()
+    per_code = summary.groupBy("product_code").agg(F.max(same.cast("int")).alias("_same"))
+    return per_code.agg(F.count(F.lit(1)).alias("unique_products_with_price"),
+                        F.coalesce(F.sum("_same"), F.lit(0)).cast("long").alias("unique_products_with_same_market_price"))
+
+
+def alignment_counters(products_main: DataFrame, aligned: DataFrame, summary: DataFrame,
+                       known: Mapping[str, int] | None = None) -> DataFrame:
     """E12 (B14): one row of alignment counters and percentages.
 
-    Three one-row aggregates (one per table) are stacked long (H1) and
-    pivoted back, so no cross join is needed."""
-    same = F.coalesce(F.col("same_market_as_analysis_country"), F.lit(False))
-    same_cur = same & F.col("currency").isNotNull()
-    a = aligned.agg(
-        F.count(F.lit(1)).alias("aligned_price_rows"),
-        F.count_if(same).alias("same_market_rows"),
-        F.count_if(same_cur).alias("same_market_non_null_currency_rows"),
-        F.count_distinct(F.when(same_cur, F.col("product_code"))).alias("unique_products_with_same_market_price"),
-    )
-    s = summary.agg(
-        (F.count_distinct("product_code") + F.max(F.col("product_code").isNull().cast("int"))).alias(
-            "unique_products_with_price"),
-        F.count(F.lit(1)).alias("price_summary_rows"),
-    )
-    p = products_main.agg(F.count(F.lit(1)).alias("product_rows"))
-    names = {"aligned": ["aligned_price_rows", "same_market_rows", "same_market_non_null_currency_rows",
-                         "unique_products_with_same_market_price"],
-             "summary": ["unique_products_with_price", "price_summary_rows"],
-             "products": ["product_rows"]}
-    long = A.stack_metrics([
-        df.unpivot([], cols, "metric", "value").select("metric", F.col("value").cast("long"))
-        for df, cols in ((a, names["aligned"]), (s, names["summary"]), (p, names["products"]))])
-    all_names = [n for v in names.values() for n in v]
-    wide = A.wide_from_metrics(long, all_names)
-    wide = wide.select(*[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in all_names])
+    ``known`` holds the counts that were taken while the tables were written
+    (``product_rows``, ``price_summary_rows`` and :func:`aligned_metrics`); what
+    it lacks costs one scan of its table.  The distinct counts are an aggregate
+    over the summary."""
+    known = known or {}
+    found = {**_counts(products_main, row_metrics("product_rows"), known),
+             **_counts(aligned, aligned_metrics(), known),
+             **_counts(summary, row_metrics("price_summary_rows"), known)}
+    wide = _priced_products(summary).select("*", *[F.lit(int(v)).cast("long").alias(n) for n, v in found.items()])
     return wide.select(
         "aligned_price_rows",
         "unique_products_with_price",
@@ -233,17 +247,17 @@ def alignment_counters(products_main: DataFrame, aligned: DataFrame, summary: Da
     )
 
 
-def preprocess_counters(raw: DataFrame, products_main: DataFrame, summary: DataFrame) -> DataFrame:
-    """Raw rows, kept rows and share, products with a price and share."""
-    r = raw.agg(F.count(F.lit(1)).alias("total_raw_product_rows"))
-    k = products_main.agg(F.count(F.lit(1)).alias("preprocessed_product_rows"))
-    s = summary.agg((F.count_distinct("product_code")
-                     + F.max(F.col("product_code").isNull().cast("int"))).alias("products_with_price"))
-    cols = ["total_raw_product_rows", "preprocessed_product_rows", "products_with_price"]
-    long = A.stack_metrics([df.unpivot([], [c], "metric", "value").select("metric", F.col("value").cast("long"))
-                            for df, c in zip((r, k, s), cols)])
-    wide = A.wide_from_metrics(long, cols).select(
-        *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols])
+def preprocess_counters(raw: DataFrame, products_main: DataFrame, summary: DataFrame,
+                        known: Mapping[str, int] | None = None) -> DataFrame:
+    """Raw rows, kept rows and share, products with a price and share.
+    ``known`` as in :func:`alignment_counters`; the raw rows are counted from
+    the scan, which reads no column for it."""
+    found = _counts(products_main, row_metrics("product_rows"), known or {})
+    total = raw.agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
+    wide = _priced_products(summary).select(
+        F.lit(total).cast("long").alias("total_raw_product_rows"),
+        F.lit(found["product_rows"]).cast("long").alias("preprocessed_product_rows"),
+        F.col("unique_products_with_price").alias("products_with_price"))
     return wide.select(
         "total_raw_product_rows", "preprocessed_product_rows",
         pct("preprocessed_product_rows", "total_raw_product_rows").alias("preprocessed_product_pct_total"),
@@ -269,14 +283,16 @@ def selected_tag_counts(products_main: DataFrame, selected: Mapping[str, Sequenc
 
 
 def audit_alignment(raw: DataFrame, products_main: DataFrame, aligned: DataFrame,
-                    summary: DataFrame, selected: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
+                    summary: DataFrame, selected: Mapping[str, Sequence[str]],
+                    known: Mapping[str, int] | None = None) -> dict[str, DataFrame]:
     """Preprocessing counters, selected tags, alignment counters, value
-    distributions and per-currency price medians."""
+    distributions and per-currency price medians.  ``known``: counts taken while
+    the tables were written."""
     from larder.operators.rollups import currency_medians
     return {
-        "preprocess_counters": preprocess_counters(raw, products_main, summary),
+        "preprocess_counters": preprocess_counters(raw, products_main, summary, known),
         "selected_tags": selected_tag_counts(products_main, selected),
-        "alignment_counters": alignment_counters(products_main, aligned, summary),
+        "alignment_counters": alignment_counters(products_main, aligned, summary, known),
         "aligned_currencies": A.value_distribution(aligned, "currency"),
         "aligned_price_countries": A.value_distribution(aligned, "location_osm_address_country_code"),
         "product_countries": A.value_distribution(products_main, "analysis_country_tag"),

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
@@ -72,19 +72,25 @@ def preprocess(spark: SparkSession, catalogue_path: str, prices_path: str, out_d
                spec: ProductSpec = ProductSpec()) -> PreprocessOutputs:
     """J1 -> J2 -> J3 (+ J7 reports).  Each table is written and the next
     stage reads the written copy (the summary reads the aligned table, so
-    the join runs once)."""
+    the join runs once).  What the reports count of them is counted while they
+    are written."""
     out = out_dir.rstrip("/")
+    known: dict[str, int] = {}
+
+    def written(df: DataFrame, name: str, metrics: Mapping[str, Column]) -> DataFrame:
+        df, seen = io.observed(df, metrics)
+        io.write_table(df, f"{out}/{name}")
+        known.update(seen.get)
+        return spark.read.parquet(f"{out}/{name}")
+
     raw = read_catalogue(spark, catalogue_path, tuple(spec.order_by))
     prices = spark.read.parquet(prices_path)
     countries, categories = select_allow_lists(raw, spec)
-    io.write_table(build_products(raw, countries, categories, spec), f"{out}/products_main")
-    products = spark.read.parquet(f"{out}/products_main")
-    io.write_table(align_prices(prices, products), f"{out}/prices_aligned")
-    aligned = spark.read.parquet(f"{out}/prices_aligned")
-    io.write_table(summarise_prices(aligned), f"{out}/price_summary_by_product")
-    summary = spark.read.parquet(f"{out}/price_summary_by_product")
+    products = written(build_products(raw, countries, categories, spec), "products_main", J.row_metrics("product_rows"))
+    aligned = written(align_prices(prices, products), "prices_aligned", J.aligned_metrics())
+    summary = written(summarise_prices(aligned), "price_summary_by_product", J.row_metrics("price_summary_rows"))
     reports = J.audit_alignment(raw, products, aligned, summary,
-                                {"analysis_country_tag": countries, "analysis_category_tag": categories})
+                                {"analysis_country_tag": countries, "analysis_category_tag": categories}, known)
     io.write_report(reports, f"{out}/reports/preprocessing")
     return PreprocessOutputs(products, aligned, summary, reports)
 
@@ -135,6 +141,58 @@ def filter_audit(spark: SparkSession, catalogue_path: str, prices_path: str,
     return tables
 
 
-def export_analysis_csv(spark: SparkSession, analysis_path: str, out_path: str) -> None:
-    """A6 for the analysis table."""
-    io.export_csv(spark.read.parquet(analysis_path), out_path)
+def export_analysis_csv(spark: SparkSession, analysis_path: str, out_path: str, index: bool = False) -> None:
+    """A6 for the analysis table, optionally with a first column of row
+    numbers in order of the code."""
+    io.export_csv(spark.read.parquet(analysis_path), out_path, index="code" if index else None)
+
+
+# Key columns and figures of the jobs' reports, for one table of them all.
+DATASET_AUDIT_LAYOUT = {
+    "row_counts": (["dataset"], ["rows"]),
+    "field_coverage": (["dataset", "field"], ["present_rows", "coverage_pct"]),
+    "derived_quality": (["dataset", "metric"], ["present_rows", "coverage_pct"]),
+    "nutrient_coverage": (["nutrient"], ["present_rows", "coverage_pct"]),
+    "product_required_fields": (["group", "field"], ["present", "present_rows"]),
+    "price_required_fields": (["group", "field"], ["present", "present_rows"]),
+    "numeric_profile": (["dataset", "column"], ["min", "median", "mean", "p95", "p99", "max"]),
+    "date_profile": (["min", "max"], ["present_rows"]),
+    "top_product_lists": (["column", "value"], ["count"]),
+    "top_scalars": (["dataset", "column", "value"], ["count"]),
+    "join_coverage": ([], ["unique_product_codes", "unique_price_product_codes", "matched_unique_product_codes",
+                           "price_rows_with_product_code", "matched_price_rows", "matched_unique_price_code_pct",
+                           "matched_price_rows_pct"]),
+    "task_readiness": (["task", "source", "dataset", "metric"], ["position", "value"]),
+    "optional_rows": ([], ["rows"]),
+}
+FILTER_AUDIT_LAYOUT = {
+    "ladder": (["level"], ["count", "pct", "price_matched_count", "price_matched_pct_total",
+                           "price_matched_pct_filter"]),
+    "level_profile": ([], ["rows", "unique_codes", "nutriscore_score_median", "nova_group_median",
+                           "completeness_median", "completeness_mean"]),
+    "level_top_lists": (["column", "value"], ["count"]),
+    "level_nutriscore_dist": (["value"], ["count"]),
+    "level_nova_dist": (["value"], ["count"]),
+}
+PREPROCESSING_LAYOUT = {
+    "preprocess_counters": ([], ["total_raw_product_rows", "preprocessed_product_rows",
+                                 "preprocessed_product_pct_total", "products_with_price", "products_with_price_pct"]),
+    "selected_tags": (["column", "tag"], ["position", "rows"]),
+    "alignment_counters": ([], ["aligned_price_rows", "unique_products_with_price", "products_with_price_pct",
+                                "same_market_rows", "same_market_rows_pct", "same_market_non_null_currency_rows",
+                                "same_market_non_null_currency_rows_pct", "unique_products_with_same_market_price",
+                                "unique_products_with_same_market_price_pct", "price_summary_rows"]),
+    "aligned_currencies": (["value"], ["count"]),
+    "aligned_price_countries": (["value"], ["count"]),
+    "product_countries": (["value"], ["count"]),
+    "product_categories": (["value"], ["count"]),
+    "median_price_by_currency": (["currency"], ["rows", "median_price", "mean_price"]),
+}
+
+
+def written_report(spark: SparkSession, tables: Mapping[str, DataFrame], base: str,
+                   layout: Mapping[str, tuple[Sequence[str], Sequence[str]]]) -> DataFrame:
+    """A7 read back: the JSON tables that a job wrote under ``base`` as one
+    table (report, item, figure, value)."""
+    read = {name: spark.read.schema(tables[name].schema).json(f"{base.rstrip('/')}/{name}") for name in layout}
+    return io.tidy_report(read, layout)

@@ -229,15 +229,17 @@ def q_price_currency_medians(spark, sf_dir):
 @query("alignment_counters")
 def q_alignment_counters(spark, sf_dir):
     """B14, E12."""
-    _, _, products, aligned, summary = _summary(spark, sf_dir)
-    return J.alignment_counters(products, aligned, summary)
+    known: dict[str, int] = {}
+    _, _, products, aligned, summary = fixture_prices(spark, sf_dir, known=known)
+    return J.alignment_counters(products, aligned, summary, known)
 
 
 @query("preprocess_counters")
 def q_preprocess_counters(spark, sf_dir):
     """E13 (counters)."""
-    raw, _, products, _, summary = _summary(spark, sf_dir)
-    return J.preprocess_counters(raw, products, summary)
+    known: dict[str, int] = {}
+    raw, _, products, _, summary = fixture_prices(spark, sf_dir, known=known)
+    return J.preprocess_counters(raw, products, summary, known)
 
 
 @query("selected_tag_counts")
@@ -492,14 +494,7 @@ def q_country_overview(spark, sf_dir):
 @query("nutrition_structure")
 def q_nutrition_structure(spark, sf_dir):
     """K3 by (country, category) and (country, brand)."""
-    an = _analysis(spark, sf_dir, reused=True)
-    by_cat = R.nutrition_structure(an, ["analysis_country_tag", "analysis_category_tag"]).select(
-        F.lit("category").alias("view"), "analysis_country_tag",
-        F.col("analysis_category_tag").alias("member"), "measure", "n", "mean", "median", "p25", "p75", "p95")
-    by_brand = R.nutrition_structure(an, ["analysis_country_tag", "primary_brand_tag"]).select(
-        F.lit("brand").alias("view"), "analysis_country_tag",
-        F.col("primary_brand_tag").alias("member"), "measure", "n", "mean", "median", "p25", "p75", "p95")
-    return by_cat.unionByName(by_brand)
+    return R.nutrition_structure(_analysis(spark, sf_dir))
 
 
 @query("anomaly_feed")
@@ -528,3 +523,76 @@ def q_task_readiness(spark, sf_dir):
     """The audited figures behind each analysis task."""
     raw, prices = load_fixtures(spark, sf_dir)
     return J.task_readiness(raw, prices)
+
+
+# ------------------------------------------------------------------- jobs
+# The jobs read files and write files, so the fixture tables are written first.
+
+from larder.plans import jobs as W  # noqa: E402
+from larder.sources import io  # noqa: E402
+
+
+def _files(spark, sf_dir) -> tuple[str, str]:
+    """Paths of the catalogue and the price log as files."""
+    raw, prices = load_fixtures(spark, sf_dir)
+    paths = io.new_folder(spark, "catalogue"), io.new_folder(spark, "prices")
+    io.write_table(raw, paths[0])
+    io.write_table(prices, paths[1])
+    return paths
+
+
+@query("job_dataset_audit")
+def q_job_dataset_audit(spark, sf_dir):
+    """J5 (A2-A4, A7, E2-E7, E14, E16, G2, G3): the whole job from files to
+    written reports, with an optional third input that is absent, read back."""
+    out = io.new_folder(spark, "dataset-audit")
+    tables = W.dataset_audit(spark, *_files(spark, sf_dir), out, optional_path=io.new_folder(spark, "absent"))
+    return W.written_report(spark, tables, out, W.DATASET_AUDIT_LAYOUT)
+
+
+@query("job_filter_audit")
+def q_job_filter_audit(spark, sf_dir):
+    """J6 (A7, B12, E8-E10, G1): the whole job, its written reports read back."""
+    out = io.new_folder(spark, "filter-audit")
+    tables = W.filter_audit(spark, *_files(spark, sf_dir), out)
+    return W.written_report(spark, tables, out, W.FILTER_AUDIT_LAYOUT)
+
+
+@query("job_preprocess")
+def q_job_preprocess(spark, sf_dir):
+    """J1-J3 and J7 (A5, A7, A8, E10-E13): the whole job, its written reports
+    read back."""
+    out = io.new_folder(spark, "preprocess")
+    done = W.preprocess(spark, *_files(spark, sf_dir), out, FIXTURE_SPEC)
+    return W.written_report(spark, done.reports, f"{out}/reports/preprocessing", W.PREPROCESSING_LAYOUT)
+
+
+@query("job_analysis_csv")
+def q_job_analysis_csv(spark, sf_dir):
+    """Preprocess files, build the analysis table, export it as CSV
+    with row numbers in code order, and read the CSV back."""
+    base = io.new_folder(spark, "analysis-job")
+    W.preprocess(spark, *_files(spark, sf_dir), base, FIXTURE_SPEC)
+    table = W.analysis_table(spark, f"{base}/products_main", f"{base}/price_summary_by_product", f"{base}/analysis")
+    W.export_analysis_csv(spark, f"{base}/analysis", f"{base}/csv", index=True)
+    kinds = ", ".join(["index bigint", *(f"{n} {t}" for n, t in table.dtypes)])
+    return (spark.read.schema(kinds).option("header", True).option("escape", '"').csv(f"{base}/csv"))
+
+
+@query("parquet_round_trip")
+def q_parquet_round_trip(spark, sf_dir):
+    """A1, A5: products_main written in code order and read with a narrow
+    schema."""
+    _, _, products = fixture_products_main(spark, sf_dir, materialize=False)
+    path = io.new_folder(spark, "round-trip")
+    io.write_table(products, path, sort_within=["code"])
+    return io.read_table(spark, path, "code string, brands_tags array<string>, fat_100g double, labels_count int",
+                         ["code", "brands_tags", "fat_100g", "labels_count"])
+
+
+@query("row_counts")
+def q_row_counts(spark, sf_dir):
+    """A4: row counts of both files and of an optional input that is absent."""
+    paths = {"products": None, "prices": None, "absent": io.new_folder(spark, "absent")}
+    paths["products"], paths["prices"] = _files(spark, sf_dir)
+    return A.stack_metrics([_tagged(io.optional_row_count(spark, p), dataset=d) for d, p in paths.items()])
