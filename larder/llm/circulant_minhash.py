@@ -12,9 +12,11 @@ Documents with equal sets are one node, so exact copies cost nothing beyond the
 first.  What shares a key is confirmed on the full sets, in two steps that make
 no table of all pairs:
 
-1. Every node of a key meets the key's smallest node only, in slices of a pivot
-   with at most about ``SLICE_ROWS`` others.  One large group of near copies is
-   one component after this step, in time that grows with its rows.
+1. Every node of a key meets one pivot only, in slices of a pivot with at most
+   about ``SLICE_ROWS`` others.  This is repeated with another pivot, from the
+   key's largest component, for the nodes outside of it, while blocks of what
+   is left would copy rows many times: one large group of near copies becomes
+   one component in time that grows with its rows.
 2. Keys whose nodes are still in several components are compared in blocks: the
    nodes outside of the key's largest component among each other and with the
    largest one, in parts of at most about ``SLICE_ROWS``; pairs inside of one
@@ -40,7 +42,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.frames import WordNumbers, id_and_text, slices, stage
@@ -50,6 +52,9 @@ from larder.llm.frames import WordNumbers, id_and_text, slices, stage
 WORDS, PERCENT, BANDS, BAND_ROWS = 2, 80, 40, 6
 #: Nodes that meet one pivot, or make one part of a block, at most about.
 SLICE_ROWS = 256
+#: Steps with a pivot before blocks at most, and copies of a row that blocks
+#: may make on average before another such step is worth it.
+STARS, MOST_COPIES = 8, 3
 #: Shingles whose coordinates are found at a time.
 AT_ONCE = 1 << 15
 #: Odd multipliers of the permutations.
@@ -212,7 +217,7 @@ def confirmed(groups: DataFrame, texts: DataFrame, words: int, percent: int) ->
         if held:
             yield done()
 
-    dealt = groups.join(texts, "node").repartition(*keys).sortWithinPartitions(*keys)
+    dealt = groups.join(texts.hint("merge"), "node").repartition(*keys).sortWithinPartitions(*keys)
     return dealt.select(*keys, "node", "role", "component", "text").mapInArrow(compare, "a long, b long")
 
 
@@ -263,9 +268,9 @@ def pivot_groups(members: DataFrame, slice_rows: int) -> DataFrame:
     return others.unionByName(own)
 
 
-def open_groups(members: DataFrame, labels: DataFrame, slice_rows: int) -> DataFrame:
-    """Groups of step 2: blocks of the nodes of each key whose nodes are in
-    several components."""
+def open_members(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, node, component) of the keys whose nodes are in several
+    components, and (key, main, n_main, n): their largest component."""
     known = labels.withColumnRenamed("root", "component")
     placed = (members.join(known, "node", "left")
               .select("key", "node", F.coalesce("component", "node").alias("component")))
@@ -277,28 +282,75 @@ def open_groups(members: DataFrame, labels: DataFrame, slice_rows: int) -> DataF
                     "several")
     placed = stage(placed.join(several, "key"), "open")
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = Window.partitionBy("key").orderBy(F.desc("n"), "component")
-    main = (sizes.withColumn("k", F.row_number().over(largest))
-            .groupBy("key").agg(F.max(F.when(F.col("k") == 1, F.col("component"))).alias("main"),
-                                F.max(F.when(F.col("k") == 1, F.col("n"))).alias("n_main"), F.sum("n").alias("n")))
-    parts = lambda n: F.greatest(F.ceil(n / slice_rows), F.lit(1)).cast("int")
+    main = stage(sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n"))
+                 .select("key", F.col("most.component").alias("main"), F.col("most.n").alias("n_main"), "n"), "main")
+    return placed, main
+
+
+def parts_of(n: Column, slice_rows: int) -> Column:
+    return F.greatest(F.ceil(n / slice_rows), F.lit(1)).cast("int")
+
+
+def block_copies(main: DataFrame, slice_rows: int) -> tuple[int, int]:
+    """(rows of the open keys, rows that their blocks would hold)."""
+    out = F.col("n") - F.col("n_main")
+    p_main, p_out = parts_of(F.col("n_main"), slice_rows), parts_of(out, slice_rows)
+    r = main.agg(F.sum("n").alias("n"), F.sum(out * (p_out + p_main) + F.col("n_main") * p_out).alias("copies")).first()
+    return r["n"] or 0, r["copies"] or 0
+
+
+def star_members(placed: DataFrame, main: DataFrame, number: int) -> DataFrame:
+    """Members (key, node, pivot) of another step like the first: the nodes
+    outside of the largest component, with one node of it, another each time."""
+    dealt = placed.join(main.select("key", "main"), "key")
+    inside = dealt.where("component = main")
+    pivot = stage(inside.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node")).alias("p"))
+                  .select("key", F.col("p.node").alias("pivot")), "pivot")
+    return dealt.where("component <> main").join(pivot, "key").select("key", "node", "pivot")
+
+
+def block_groups(placed: DataFrame, main: DataFrame, slice_rows: int) -> DataFrame:
+    """Groups of step 2: blocks of two parts of the nodes outside of a key's
+    largest component, i <= j, and of one such part with each part of the
+    largest component."""
     dealt = (placed.join(main, "key").withColumn("outside", F.col("component") != F.col("main"))
-             .withColumns({"p_main": parts(F.col("n_main")), "p_out": parts(F.col("n") - F.col("n_main"))})
+             .withColumns({"p_main": parts_of(F.col("n_main"), slice_rows),
+                           "p_out": parts_of(F.col("n") - F.col("n_main"), slice_rows)})
              .withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("outside"), F.col("p_out"))
                                        .otherwise(F.col("p_main"))).cast("int")))
     cells = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    # blocks of two parts of the outside, i <= j, and of one with each part of the largest component
-    among = (dealt.where("outside").select("key", "node", "component", "own", F.explode(cells("p_out")).alias("other"))
+    outside, inside = dealt.where("outside"), dealt.where("not outside")
+    among = (outside.select("key", "node", "component", "own", F.explode(cells("p_out")).alias("other"))
              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                      F.lit(False).alias("main"), "node", F.lit(0).alias("role"), "component"))
-    across = (dealt.where("outside").select("key", F.col("own").alias("i"), F.explode(cells("p_main")).alias("j"),
-                                            F.lit(True).alias("main"), "node", F.lit(0).alias("role"), "component")
-              .unionByName(dealt.where("not outside").select(
-                  "key", F.explode(cells("p_out")).alias("i"), F.col("own").alias("j"), F.lit(True).alias("main"),
-                  "node", F.lit(1).alias("role"), "component")))
+    across = (outside.select("key", F.col("own").alias("i"), F.explode(cells("p_main")).alias("j"),
+                             F.lit(True).alias("main"), "node", F.lit(0).alias("role"), "component")
+              .unionByName(inside.select("key", F.explode(cells("p_out")).alias("i"), F.col("own").alias("j"),
+                                         F.lit(True).alias("main"), "node", F.lit(1).alias("role"), "component")))
     return among.unionByName(across)
 
 
+def connected(members: DataFrame, texts: DataFrame, words: int, percent: int, slice_rows: int,
+              max_stars: int = STARS) -> DataFrame:
+    """(node, root) of all nodes that have a confirmed link."""
+    links = stage(confirmed(stage(pivot_groups(members, slice_rows), "pivots"), texts, words, percent), "found")
+    for star in range(1, max_stars + 1):
+        roots = roots_of(links)
+        placed, main = open_members(members, roots)
+        rows, copies = block_copies(main, slice_rows)
+        if not rows:
+            return roots
+        if copies <= MOST_COPIES * rows or star == max_stars:
+            groups = block_groups(placed, main, slice_rows)
+        else:
+            groups = pivot_groups(star_members(placed, main, star), slice_rows)
+        more = confirmed(stage(groups, "groups"), texts, words, percent)
+        links = stage(links.unionByName(more), "found")
+        if copies <= MOST_COPIES * rows:
+            break
+    return roots_of(links)
+
+
 def texts_of(rows: DataFrame, lent: DataFrame, words: int) -> DataFrame:
     """One text (node, text) for each node of ``lent`` (node, digest, least):
     of the document with the smallest id, or of one without an id."""
@@ -323,7 +375,8 @@ def texts_of(rows: DataFrame, lent: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([marks[k] for k in new], pa.binary()),
                                               batch.column("text").take(pa.array(new, pa.int64()))], ["digest", "text"])
 
-    with_id = (rows.join(lent.select("node", "digest", F.col("least").alias("doc_id")), "doc_id")
+    # one plan at every size: below some size Spark would send the wanted ids to the texts
+    with_id = (rows.hint("merge").join(lent.select("node", "digest", F.col("least").alias("doc_id")), "doc_id")
                .select("node", "digest", "text").mapInArrow(right, "node long, text string"))
     nameless = lent.where("least is null").select("node", "digest")
     without = (rows.where(F.col("doc_id").isNull() & F.col("text").isNotNull()).select("text")
@@ -347,10 +400,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
     members = stage(met.join(shared, "key").select("key", "node", "pivot"), "members")
     lent = nodes.select("node", "digest", "least").join(members.select("node").distinct(), "node")
     texts = stage(texts_of(rows, stage(lent, "lent"), words), "texts")
-    first = stage(confirmed(stage(pivot_groups(members, slice_rows), "pivots"), texts, words, percent), "first")
-    second = stage(confirmed(stage(open_groups(members, roots_of(first), slice_rows), "blocks"), texts, words, percent),
-                   "second")
-    roots = roots_of(first.unionByName(second))
+    roots = connected(members, texts, words, percent, slice_rows)
     # (digest, component): the smallest id among the nodes that are connected
     placed = stage(nodes.select("node", "digest", "least").join(roots, "node", "left")
                    .select("digest", "least", F.coalesce("root", "node").alias("root")), "placed")
