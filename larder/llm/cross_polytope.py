@@ -8,12 +8,19 @@ bucket and into the next ``probes`` - 1 likeliest, in the order of the loss in
 the rotated coordinates.  Candidates are reranked by exact distance in double
 precision on the original vectors.
 
+How many hashes a table concatenates, how many tables there are and how many
+buckets a query looks into are not set by the number of rows alone: a bounded
+set of queries is answered by brute force over all rows first, and the setting
+is the one with the least work that finds ``TARGET`` of their neighbours
+(``choose``).  Fewer hashes, more tables and more probes are tried until one
+does; looking into every bucket finds all, so one always does.
+
 Equal vectors are one entry of the index that carries its smallest ids (k + 1
 of them: no more can be among a query's k nearest), so a vector that a third
 of all rows share fills no bucket.  Distances are taken where a bucket and its
 queries meet, in batches, and only each query's k best of a bucket leave it.
 A query that finds fewer than k candidates is compared with all rows instead,
-queries in blocks.
+queries in blocks and rows in slots, whose number grows with the rows.
 
 Defined cases: vectors that are null, zero, of another length than most, or
 with null or non-finite components take no part, neither as query nor as
@@ -26,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +43,12 @@ from pyspark.sql import functions as F
 from larder.llm.frames import shuffle_partitions, stage
 from larder.llm.jaccard_join import groups
 
-#: Production parameters for one hash a table: tables, buckets a query looks
-#: into in each table; and the vectors that a bucket should hold on average at
-#: most, from which the number of hashes follows.  With h hashes there are h
-#: times as many tables and ``PROBES ** h`` buckets to look into.
-TABLES, PROBES, BUCKET_ROWS = 16, 6, 4096
-QUERY_BLOCK = 256
+#: Production parameters: vectors that a bucket should hold on average at most
+#: (more hashes make smaller buckets), recall that a setting must show, queries
+#: that it is measured on, tables and probes that are tried.
+BUCKET_ROWS, TARGET, MEASURED = 4096, 0.95, 128
+TABLES, PROBES = (8, 16, 24, 32, 48, 64, 96), (2, 4, 6, 9, 12, 18, 27, 36, 54, 81, 128, 216)
+QUERY_BLOCK, BLOCKS_AT_ONCE = 256, 16
 
 
 class Rotations:
@@ -132,8 +140,85 @@ def matrix(lists: list) -> np.ndarray:
     return np.array(lists, np.float64).reshape(len(lists), -1)
 
 
-def nearest(vectors: DataFrame, queries: Column | None = None, k: int = 10, tables: int = TABLES,
-            probes: int = PROBES, bucket_rows: int = BUCKET_ROWS, id_col: str = "vec_id",
+class Setting(NamedTuple):
+    hashes: int
+    tables: int
+    probes: int
+    recall: float
+
+
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def choose(queries: np.ndarray, neighbours: list[np.ndarray], rows: int, bucket_rows: int = BUCKET_ROWS,
+           target: float = TARGET) -> Setting:
+    """The setting with the least expected work that finds ``target`` of the
+    true ``neighbours`` (vectors, for each query).  With h hashes the axes'
+    codes make (2 size)^h buckets; a query's work is the rows that its buckets
+    hold plus what looking into a bucket costs.  h is at most what makes the
+    average bucket hold ``bucket_rows`` rows."""
+    dim = queries.shape[1]
+    axes = 2 << max(1, (dim - 1).bit_length())
+    most = max(1, math.ceil(math.log(max(rows, 1) / bucket_rows, axes)))
+    found: list[tuple[float, Setting]] = []
+    owner = np.repeat(np.arange(len(queries)), [len(n) for n in neighbours])
+    near = unit_rows(np.concatenate(neighbours))
+    unit = unit_rows(queries)
+    for hashes in range(most, 0, -1):
+        turn = Rotations(dim, TABLES[-1], hashes)
+        probes = [p for p in PROBES if p < axes ** hashes] + ([axes] if hashes == 1 else [])
+        hit_after = np.empty((TABLES[-1], len(owner)), np.int64)      # probes until the neighbour's bucket comes up
+        for t in range(TABLES[-1]):
+            own = turn.buckets(turn(near, t), 1)[:, 0]
+            looked = turn.buckets(turn(unit, t), probes[-1])[owner] == own[:, None]
+            hit_after[t] = np.where(looked.any(axis=1), looked.argmax(axis=1), 1 << 40)
+        for tables in TABLES:
+            for p in probes:
+                recall = float((hit_after[:tables] < p).any(axis=0).mean())
+                if recall >= target or (hashes == 1 and p == axes):
+                    work = tables * p * (rows / axes ** hashes + 32)
+                    found.append((work, Setting(hashes, tables, p, recall)))
+                    break
+    return min(found)[1]
+
+
+def measured_queries(wanted: DataFrame, index: DataFrame, k: int, most: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(vectors, their true neighbours' vectors) of at most ``most`` queries,
+    drawn by a hash of their ids, by brute force over all rows: ``most`` vectors
+    go to every task, and ``most`` x k come back from all of them."""
+    drawn = wanted.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).select("vec_id", "vector").collect()
+    if not drawn:
+        return np.zeros((0, 1)), []
+    own, asked = [r["vec_id"] for r in drawn], matrix([r["vector"] for r in drawn])
+
+    def best(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            rows = matrix(b.column("vector").to_pylist())
+            ids = b.column("ids").to_pylist()
+            gap = (rows ** 2).sum(axis=1) - 2 * asked @ rows.T      # in the order of the distances
+            out = []
+            for q, row in enumerate(gap):
+                for r in np.argsort(row, kind="stable")[:k + 1]:
+                    if any(i != own[q] for i in ids[r]):
+                        out.append((q, float(row[r]), rows[r].tolist()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out]),
+                                              pa.array([o[2] for o in out], pa.list_(pa.float64()))],
+                                             ["q", "score", "vector"])
+
+    order = Window.partitionBy("q").orderBy("score")
+    near = (index.mapInArrow(best, "q int, score double, vector array<double>")
+            .withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).collect())
+    lists: list[list] = [[] for _ in drawn]
+    for r in near:
+        lists[r["q"]].append(r["vector"])
+    kept = [q for q, n in enumerate(lists) if n]
+    return asked[kept], [matrix(lists[q]) for q in kept]
+
+
+def nearest(vectors: DataFrame, queries: Column | None = None, k: int = 10, bucket_rows: int = BUCKET_ROWS,
+            target: float = TARGET, measured: int = MEASURED, id_col: str = "vec_id",
             vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest rows found for every
     row of ``vectors`` that ``queries`` (a condition on ``vec_id``) selects."""
@@ -142,9 +227,6 @@ def nearest(vectors: DataFrame, queries: Column | None = None, k: int = 10, tabl
         F.desc("rows"), "n").first()
     dim, total = (lengths["n"], lengths["rows"]) if lengths else (1, 0)
     rows = rows.where(F.size("vector") == dim).dropDuplicates(["vec_id", "vector"])
-    axes = 2 << max(1, (dim - 1).bit_length())
-    hashes = max(1, math.ceil(math.log(max(total, 1) / bucket_rows, axes)))
-    tables, probes = tables * hashes, probes ** hashes
     wanted = rows if queries is None else rows.where(queries)
     parts = shuffle_partitions(vectors.sparkSession)
 
@@ -152,16 +234,16 @@ def nearest(vectors: DataFrame, queries: Column | None = None, k: int = 10, tabl
     index = stage(rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
                   .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "index")
 
-    def unit(batch: pa.RecordBatch) -> np.ndarray:
-        x = matrix(batch.column("vector").to_pylist())
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        return x / np.linalg.norm(x, axis=1, keepdims=True)
+    asked, near = measured_queries(wanted, index, k, measured)
+    if not near:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    hashes, tables, probes, _ = choose(asked, near, total, bucket_rows, target)
 
     def hashed(looks: int, with_vectors: bool):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             turn = Rotations(dim, tables, hashes)
             for b in small(batches):
-                x = unit(b)
+                x = unit_rows(matrix(b.column("vector").to_pylist()))
                 for t in range(tables):
                     code = turn.buckets(turn(x, t), looks)
                     at = np.repeat(np.arange(b.num_rows), code.shape[1])
@@ -220,9 +302,13 @@ def nearest(vectors: DataFrame, queries: Column | None = None, k: int = 10, tabl
     n_short = short.count()
     if not n_short:
         return first.select("query_id", "rank", "vec_id", "score")
-    blocks = (short.withColumn("q", F.pmod(F.xxhash64("query_id"), F.lit(-(-n_short // QUERY_BLOCK))))
+    # every slot of the index meets the query blocks, a bounded number at a time
+    n_slots, n_blocks = max(parts, -(-total // bucket_rows)), -(-n_short // QUERY_BLOCK)
+    rounds = -(-n_blocks // BLOCKS_AT_ONCE)
+    blocks = (short.withColumn("q", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int"))
               .groupBy("q").agg(F.collect_list(F.struct("query_id", "vector")).alias("queries"))
-              .select("queries", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("slot")))
+              .select((F.col("q") % rounds).alias("round"), "queries",
+                      F.explode(F.sequence(F.lit(0), F.lit(n_slots - 1))).alias("slot")))
 
     def scan(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[int, int, float]] = []
@@ -232,8 +318,10 @@ def nearest(vectors: DataFrame, queries: Column | None = None, k: int = 10, tabl
                 out += best_of([q["query_id"] for q in block], matrix([q["vector"] for q in block]), ids, matrix(held), k)
         return pa.Table.from_batches([found_batch(out)])
 
-    slots = index.withColumn("slot", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(parts)).cast("int"))
-    exact = (slots.groupBy("slot").cogroup(blocks.groupBy("slot")).applyInArrow(scan, found_schema)
+    slots = (index.withColumn("slot", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(n_slots)).cast("int"))
+             .withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))))
+    met = ["slot", "round"]
+    exact = (slots.groupBy(*met).cogroup(blocks.groupBy(*met)).applyInArrow(scan, found_schema)
              .groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
              .withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k))
     return (first.join(enough.select("query_id"), "query_id", "left_semi").unionByName(exact)
