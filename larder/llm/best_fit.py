@@ -8,15 +8,18 @@ counts, and the documents are then put in its places by their rank among the
 pieces of their length:
 
 1. large lengths, in descending order, are cut into groups of equal
-   cardinality, and each is rounded up to its group's largest (a group never
-   has more values than needed: with few distinct lengths every length is its
-   own group and nothing is rounded);
-2. configurations of the few rounded sizes are chosen, the fullest first, and
-   each is used as often as its sizes last;
+   cardinality, and each is rounded up to its group's largest, so that a few
+   sizes stand for all of them;
+2. the linear programme over all configurations of the few rounded sizes (what
+   fits into a sequence) is solved by column generation: a knapsack over the
+   sizes' prices finds the configuration that helps most, until none does.
+   Each configuration is used the whole number of times that the solution has
+   it;
 3. the places of a configuration are given to actual lengths, so the slack of
    rounding is known exactly and free again;
-4. small lengths (and whatever large ones no configuration took) go, in
-   descending order, to the fullest open sequences that have room: best fit.
+4. whatever large lengths the whole numbers left over, and then the small
+   ones, go, in descending order, to the fullest open sequences that have room:
+   best fit.
 
 All of this is arithmetic on counts: sequences of the same content are one
 row of the plan, split only where a length runs out.
@@ -139,33 +142,58 @@ def grouped(counts: dict[int, int], groups: int) -> list[list[int]]:
     return out
 
 
-def configurations(sizes: list[int], left: Counter, capacity: int, most: int = 4) -> Iterator[list[int]]:
-    """For the largest size that is left, the fullest configuration with it
-    of at most ``most`` sizes that are left; again until none is left."""
-
-    def fill(room: int, used: Counter, depth: int) -> tuple[int, list[int]]:
-        best: tuple[int, list[int]] = (0, [])
-        if not depth:
-            return best
-        asc = [s for s in sizes if s <= room and left[s] > used[s]]
-        for s in asc:                      # descending: the first exact fill ends it
-            if s * depth <= best[0]:
-                break
-            used[s] += 1
-            rest, more = fill(room - s, used, depth - 1) if depth > 1 else (0, [])
-            used[s] -= 1
-            if s + rest > best[0]:
-                best = s + rest, [s, *more]
-                if best[0] == room:
-                    break
-        return best
-
-    for size in sizes:
-        while left[size]:
-            took = Counter([size])
-            # two more sizes are looked at in full; deeper ones come by best fit
-            rest = fill(capacity - size, took, min(most - 1, 2))[1]
-            yield [size, *rest]
+def dearest(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """The configuration (a number of each size) with the highest total price
+    that fits, and that price: a knapsack by dynamic programming over the room,
+    one step for each copy of a size that could go in."""
+    steps = [k for k in range(len(sizes)) for _ in range(capacity // sizes[k])]
+    best, took = np.zeros(capacity + 1), np.zeros((len(steps), capacity + 1), bool)
+    for step, k in enumerate(steps):
+        value = best[:-sizes[k]] + prices[k]
+        took[step, sizes[k]:] = value > best[sizes[k]:] + 1e-12
+        best[sizes[k]:] = np.maximum(best[sizes[k]:], value)
+    chosen, room = np.zeros(len(sizes)), capacity
+    for step in range(len(steps) - 1, -1, -1):
+        if took[step, room]:
+            chosen[steps[step]] += 1
+            room -= sizes[steps[step]]
+    return float(best[capacity]), chosen
+
+
+def configurations(sizes: list[int], wanted: list[int], capacity: int, gap: float = 1e-3,
+                   most: int = 4000) -> list[tuple[list[int], int]]:
+    """(sizes of a configuration, times) that hold no more than ``wanted`` of
+    each size: the solution of the linear programme min sum x, A x >= wanted
+    over all configurations, rounded down.  The simplex steps end when the
+    solution is within ``gap`` of its lower bound (price of the demand over
+    the dearest configuration's price)."""
+    order = np.argsort(sizes)
+    size, need = np.array(sizes)[order], np.array(wanted, float)[order]
+    if not len(size):
+        return []
+    columns = np.diag((capacity // size).astype(float))
+    inverse = np.diag(1 / np.diag(columns))
+    for _ in range(most):
+        prices = inverse.sum(axis=0)                            # of the basis, whose columns cost 1 each
+        top, entering = dearest(size, prices, capacity)
+        if top <= 1 + gap:
+            break
+        times, change = inverse @ need, inverse @ entering
+        ratio = np.where(change > 1e-9, np.maximum(times, 0) / np.where(change > 1e-9, change, 1), np.inf)
+        out = int(ratio.argmin())
+        columns[:, out] = entering
+        row = inverse[out] / change[out]
+        inverse -= np.outer(change, row)
+        inverse[out] = row
+    times = np.floor(np.maximum(np.linalg.solve(columns, need), 0) + 1e-6).astype(int)
+    left, found = np.array(wanted)[order], []
+    for k in np.argsort(-(size @ columns)):                     # the fullest first
+        own = columns[:, k].astype(int)
+        n = min([int(times[k]), *(left[own > 0] // own[own > 0]).tolist()])
+        if n > 0:
+            left -= n * own
+            found.append(([int(x) for x in np.repeat(size, own)[::-1]], n))
+    return found
 
 
 def make_plan(counts: dict[int, int], capacity: int, groups: int = 128,
@@ -179,13 +207,9 @@ def make_plan(counts: dict[int, int], capacity: int, groups: int = 128,
     for group in grouped(large, groups):
         if group:
             stock[group[0]] = [[x, large[x]] for x in group]
-    left = Counter({s: sum(n for _, n in have) for s, have in stock.items()})
-    sizes = sorted(stock, reverse=True)
-    for config in configurations(sizes, left, capacity):
-        # a single size that nothing of the others fits is left to best fit
+    sizes = sorted(stock)
+    for config, times in configurations(sizes, [sum(n for _, n in stock[s]) for s in sizes], capacity):
         need = Counter(config)
-        times = min(left[s] // n for s, n in need.items())
-        left.subtract({s: n * times for s, n in need.items()})
         # substitute actual lengths; split where one runs out
         while times:
             lengths, most = [], times
@@ -204,19 +228,20 @@ def make_plan(counts: dict[int, int], capacity: int, groups: int = 128,
                     h[1] -= taken[h[0]] * most
                 stock[s] = [h for h in stock[s] if h[1]]
             times -= most
-    for x in sorted((x for x in counts if x <= capacity * small), reverse=True):
-        plan.best_fit(x, counts[x])
+    rest = {x: n for have in stock.values() for x, n in have}
+    for x in sorted((x for x in counts if x < capacity and (x <= capacity * small or rest.get(x))), reverse=True):
+        plan.best_fit(x, counts[x] if x <= capacity * small else rest[x])
     return [(lengths, times) for lengths, times in plan.rows if times]
 
 
-#: Group counts and bounds of small lengths (as shares of a sequence) that
-#: are tried; each try is arithmetic on counts.
-GROUPS, SMALL = (32, 128, 1024), (1 / 16, 1 / 8, 1 / 4, 1 / 2)
+#: Groups of the large lengths, and bounds of small lengths (as shares of a
+#: sequence) that are tried; each try is arithmetic on counts.
+GROUPS, SMALL = 128, (1 / 8, 1 / 4)
 
 
 def best_plan(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
-    """The plan with the fewest sequences over a few group counts."""
-    plans = (make_plan(counts, capacity, g, s) for g in GROUPS for s in SMALL)
+    """The plan with the fewest sequences over a few bounds."""
+    plans = (make_plan(counts, capacity, GROUPS, s) for s in SMALL)
     return min(plans, key=lambda p: sum(n for _, n in p))
 
 

@@ -133,6 +133,34 @@ def test_plans_hold_their_counts():
         assert back == counts
 
 
+def test_configurations_solve_the_programme():
+    rng = np.random.default_rng(4)
+    for sizes in ([512, 341, 200], sorted(rng.choice(np.arange(130, 1000), 40, replace=False).tolist())):
+        wanted = rng.integers(200, 900, len(sizes)).tolist()
+        found = best_fit.configurations(sizes, wanted, 1024)
+        held = {x: 0 for x in sizes}
+        for config, times in found:
+            assert sum(config) <= 1024 and times > 0
+            for x in config:
+                held[x] += times
+        assert all(held[x] <= n for x, n in zip(sizes, wanted))
+        # what rounding down leaves over is less than one sequence for each size
+        rest = sum((n - held[x]) * x for x, n in zip(sizes, wanted))
+        assert rest <= 1024 * len(sizes)
+    # 3 halves fill 1.5 sequences, 6 thirds 2: no configuration is better than full
+    assert sum(t for _, t in best_fit.configurations([341, 512], [600, 300], 1024)) == 350
+
+
+def test_lengths_are_rounded_within_groups():
+    rng = np.random.default_rng(5)
+    counts = dict(zip(*(x.tolist() for x in np.unique(rng.integers(1, 1025, 20_000), return_counts=True))))
+    large = {x: n for x, n in counts.items() if 128 < x < 1024}
+    groups = best_fit.grouped(large, best_fit.GROUPS)
+    assert len(groups) <= best_fit.GROUPS + 1 < len(large) and sorted(sum(groups, [])) == sorted(large)
+    plan = best_fit.best_plan(counts, 1024)
+    assert sum(n for _, n in plan) <= 1.02 * sum(x * n for x, n in counts.items()) / 1024
+
+
 def test_orc_stream(spark, library):
     folder = orc_tokens.new_folder(spark, "orc")
     orc_tokens.write_tokens(spark.read.parquet(f"{SF}/documents.parquet"), folder)
