@@ -12,7 +12,9 @@ from paths import SF_SMALL
 
 TABLES = ["part", "lineitem"]
 CHECKED = ["products_main", "price_summary", "filter_ladder", "numeric_profile", "join_coverage",
-           "peer_percentiles", "robust_z", "primary_price", "anomaly_feed", "nutrition_structure", "products_analysis", "brand_concentration", "top_array_values", "task_readiness", "nested_extract"]
+           "peer_percentiles", "robust_z", "primary_price", "anomaly_feed", "nutrition_structure", "products_analysis", "brand_concentration", "top_array_values", "task_readiness", "nested_extract",
+           "alignment_counters", "job_dataset_audit", "job_filter_audit", "job_preprocess", "job_analysis_csv",
+           "parquet_round_trip", "row_counts"]
 
 
 def _norm(v):

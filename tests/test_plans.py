@@ -7,7 +7,14 @@ import re
 import pytest
 
 from paths import SF_SMALL
+from larder.operators.align import price_counts, summarise_prices
+from larder.operators.dedup import first_of_each, keep_first
+from larder.plans.audits import alignment_counters, preprocess_counters
+from larder.plans.fixture_spec import FIXTURE_SPEC, fixture_prices
+from larder.plans.products import build_products
 from larder.registry import REGISTRY
+from larder.sources.fixtures import load_fixtures
+from larder.sources.io import stage
 
 SOURCE = re.compile(r"Location: InMemoryFileIndex\([0-9]+ paths\)\[file:[^\],]*/([a-z_]+)\.parquet")
 
@@ -25,12 +32,44 @@ def test_plans_have_no_whole_group_step(spark, name):
     assert not re.search(r"\b(percentile|median)\(", plan)
 
 
-def test_plan_scans_each_source_once_per_pass(spark):
-    # numeric profile: one scan for min/mean/max and one for the frequency
-    # table (written once, then read by every later step)
-    plan = _plan(REGISTRY["numeric_profile"](spark, SF_SMALL), run=True)
-    scans = collections.Counter(SOURCE.findall(plan))
-    assert scans["part"] <= 2 and scans["lineitem"] <= 2, scans
+def _folders(df):
+    """Names of the written tables that a DataFrame reads."""
+    return {re.sub(r"-[0-9a-f]{12}$", "", f.split("/")[-2]) for f in df.inputFiles()}
+
+
+def test_profiles_read_their_frequency_table_only(spark):
+    # min, mean, max and quantiles all come from the table that one scan made
+    for name in ("numeric_profile", "price_summary", "price_currency_medians"):
+        assert _folders(REGISTRY[name](spark, SF_SMALL)) == {"stage-freq"}, name
+
+
+def test_price_summary_is_one_shuffle_of_the_aligned_rows(spark):
+    aligned = fixture_prices(spark, SF_SMALL, stage_summary=False)[3]
+    assert _plan(price_counts(aligned)).count("Exchange") == 1
+    plan = _plan(summarise_prices(aligned))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_counters_scan_no_table_that_was_just_written(spark):
+    known = {}
+    raw, _, products, aligned, summary = fixture_prices(spark, SF_SMALL, known=known)
+    assert _folders(alignment_counters(products, aligned, summary, known)) == {"stage-price-summary"}
+    assert _folders(preprocess_counters(raw, products, summary, known)) == {"stage-price-summary"}
+    assert alignment_counters(products, aligned, summary).collect() == alignment_counters(
+        products, aligned, summary, known).collect()
+    assert known["product_rows"] == products.count() and known["price_summary_rows"] == summary.count()
+
+
+def test_unique_rows_pass_keep_first_untouched(spark):
+    rows = [(k % 90 if k < 100 else k, k, f"t{k}") for k in range(300)] + [(None, 400, "x"), (None, 401, "y")]
+    df = stage(spark.createDataFrame(rows, "code long, seq long, t string"), "rows")
+    out = keep_first(df, ["code"], ["seq"])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, first_of_each(df, ["code"], ["seq"]).collect()),
+                                                                key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    unique, several = plan.split("Join LeftAnti")[1].split("Join LeftSemi")
+    assert "Aggregate" not in unique.split("Aggregate [code")[0] and plan.count("Aggregate") == 1
+    assert plan.index("LeftAnti") < plan.index("Aggregate")
 
 
 def test_coverage_audit_is_one_scan_per_table(spark):
@@ -44,11 +83,14 @@ def test_readiness_takes_counts_and_codes_in_one_scan_each(spark):
     assert "Expand" not in plan
 
 
-@pytest.mark.parametrize("name", ["filter_ladder", "products_main"])
-def test_presence_tests_stay_in_codegen(spark, name):
-    assert "exists(" not in _plan(REGISTRY[name](spark, SF_SMALL))
+def test_presence_tests_stay_in_codegen(spark):
+    raw, _ = load_fixtures(spark, SF_SMALL)
+    for df in (REGISTRY["filter_ladder"](spark, SF_SMALL),
+               build_products(raw, ["nation_1"], ["size-1"], FIXTURE_SPEC, dedup=False)):
+        assert "exists(" not in _plan(df)
 
 
 def test_named_values_share_one_list_pass(spark):
-    plan = _plan(REGISTRY["products_main"](spark, SF_SMALL))
+    raw, _ = load_fixtures(spark, SF_SMALL)
+    plan = _plan(build_products(raw, ["nation_1"], ["size-1"], FIXTURE_SPEC, dedup=False))
     assert plan.count("filter(") == 1, plan.count("filter(")
