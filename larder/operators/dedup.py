@@ -49,8 +49,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | s
     written table is written first."""
     t = df if is_staged(df) else stage(df, "keyed")
     keys = list(keys)
-    repeated = stage(t.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*keys),
-                     "repeated")
+    repeated = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*keys)
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from larder.functions.scalars import safe_div
 from larder.operators.ranks import (CUTS, GROUP, RANGE, cuts_below, median_and_mad, range_offsets, split_points,
                                     value_counts, with_group)
-from larder.sources.io import stage
+from larder.sources.io import rows_of, stage
 
 MEASURE = "_m"
 VALUE = "_v"
@@ -73,7 +73,7 @@ def peer_percentiles(df: DataFrame, measures: Mapping[str, MeasureSpec], keys: S
     null.  A measure given as ``(expr, keys)`` uses its own peer keys (F3),
     in the same pass.  ``id_col`` must be unique per row."""
     spec = _split_spec(measures, keys)
-    ranked = _ranked(_stack(df, id_col, spec), id_col, range_rows)
+    ranked = _ranked(_stack(df, id_col, spec), id_col, range_rows, at_most=rows_of(df))
     wide = ranked.groupBy(id_col).agg(
         *[F.max(F.when(F.col(MEASURE) == F.lit(name), F.col("_pct"))).alias(name) for name in spec])
     return df.join(wide, on=id_col, how="left")
@@ -84,7 +84,7 @@ def peer_percentiles(df: DataFrame, measures: Mapping[str, MeasureSpec], keys: S
 SALTS = 256
 
 
-def _ranked(long: DataFrame, id_col: str, range_rows: int | None) -> DataFrame:
+def _ranked(long: DataFrame, id_col: str, range_rows: int | None, at_most: int | None = None) -> DataFrame:
     """(id, _m, _pct) of stacked rows, which are ranked where they lie: one
     exchange by group and measure, sorted by value, and three windows on it
     (smaller rows, equal rows, all rows).
@@ -94,7 +94,7 @@ def _ranked(long: DataFrame, id_col: str, range_rows: int | None) -> DataFrame:
     range of its own: its rows all have one rank, which the ranges' totals
     tell, so they (and the nulls) are salted and no task holds them all."""
     by = [GROUP, MEASURE]
-    cuts = split_points(long, VALUE, by, [id_col, MEASURE], range_rows)
+    cuts = split_points(long, VALUE, by, [id_col, MEASURE], range_rows, at_most)
     v = F.col(VALUE)
     part = by
     if cuts is not None:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.scalars import MEAN_SCALE
-from larder.sources.io import is_staged, stage
+from larder.sources.io import is_staged, rows_of, stage
 
 GROUP = "_g"
 RANGE = "_range"
@@ -85,15 +85,18 @@ def add_counts(tables: Sequence[DataFrame], value: str, by: Sequence[str] = (GRO
 def written(freq: DataFrame) -> DataFrame:
     """A frequency table that is read several times is written once to the
     checkpoint folder, so that its source is scanned once."""
-    return freq if is_staged(freq) else stage(freq, "freq")
+    return freq if is_staged(freq) else stage(freq, "freq", count=True)
 
 
 def split_points(rows: DataFrame, value: str, by: Sequence[str], sample_by: Sequence[str],
-                 range_rows: int | None = None) -> DataFrame | None:
+                 range_rows: int | None = None, at_most: int | None = None) -> DataFrame | None:
     """(by..., _cuts): ascending cut values of the groups that have more than
     about ``range_rows`` rows; None if there is none.  ``sample_by`` tells the
-    rows apart: the share that the cuts are taken from is drawn by its hash."""
+    rows apart: the share that the cuts are taken from is drawn by its hash.
+    ``at_most`` is a known bound of a group's rows, e.g. the table's."""
     range_rows = range_rows or RANGE_ROWS
+    if at_most is not None and at_most <= range_rows:
+        return None
     every = max(1, range_rows // SAMPLE_ROWS)
     share = rows.filter(F.col(value).isNotNull())
     if every > 1:
@@ -128,7 +131,7 @@ def prefix_counts(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
     Without a cut the result is partitioned by ``by``."""
     by = list(by)
     t = written(freq)
-    cuts = split_points(t, value, by, [*by, value], range_rows)
+    cuts = split_points(t, value, by, [*by, value], range_rows, at_most=rows_of(t))
     part = by
     if cuts is not None:
         part = [*by, RANGE]

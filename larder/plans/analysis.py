@@ -110,7 +110,7 @@ def build_analysis(products: DataFrame, summary: DataFrame,
         # a pass reads its input several times (group sizes, stacked
         # measures, join back by code): a written table keeps that from
         # re-running the whole lineage and survives executor loss
-        return stage(df, name) if spec.materialize else df
+        return stage(df, name, count=True) if spec.materialize else df
 
     df = cut(df, "analysis-base")
 

@@ -96,7 +96,7 @@ def _analysis(spark, sf_dir, spec: AnalysisSpec = AnalysisSpec(), reused: bool =
 def _base(spark, sf_dir):
     """The base table, written once: the statistics read it several times."""
     _, _, products, _, summary = _summary(spark, sf_dir)
-    return stage(base_table(products, summary), "base")
+    return stage(base_table(products, summary), "base", count=True)
 
 
 def _tagged(df, **cols):

@@ -179,8 +179,9 @@ def tidy_report(tables: Mapping[str, DataFrame], layout: Mapping[str, tuple[Sequ
     return out
 
 
-def stage(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, base: str | None = None, count: bool = False) -> DataFrame:
     """Persist a stage as Parquet and continue from the written copy.
+    ``count`` also counts its rows while they are written (:func:`rows_of`).
 
     ``base`` defaults to the session's checkpoint folder (shared storage on a
     cluster), so downstream stages read files instead of recomputing the
@@ -188,13 +189,22 @@ def stage(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     spark = df.sparkSession
     root = base or ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
+    schema, seen = df.schema, None
+    if count:
+        df, seen = observed(df, {"rows": F.count(F.lit(1))})
     df.write.mode("overwrite").parquet(path)
     # the schema is known: reading it back needs no footer-scanning job
-    out = spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
     out.__dict__["_larder_staged"] = True
+    out.__dict__["_larder_rows"] = seen.get["rows"] if seen else None
     return out
 
 
+def rows_of(df: DataFrame) -> int | None:
+    """The rows of a table that :func:`stage` counted (None of any other)."""
+    return df.__dict__.get("_larder_rows")
+
+
 def is_staged(df: DataFrame) -> bool:
     """True for the DataFrame returned by :func:`stage` itself (not for
     frames derived from it)."""
