@@ -8,9 +8,9 @@ again.
 A row with a null id is judged by the quality rules like any other (all such
 rows stay if one of them does); the stages that compare documents pass it on
 unchanged.  A document of which line or substring dedup leaves less than half
-of its words, and fewer words than the quality rules ask for, is judged again
-with what is left and goes: such remainders are mostly those of copies.  One
-that loses its last word goes in any case.  Rows that share an id stay or go
+of its text, and less than 300 code points, is judged again with what is left
+and goes: such remainders are mostly those of copies.  One that loses its last
+word goes in any case.  Rows that share an id stay or go
 together in the other stages.  A text of any length is read whole; columns are
 told from an operator's by name, so a column of the documents may be called
 like one of them; an empty table passes every stage as one.
@@ -18,26 +18,22 @@ like one of them; an empty table passes every stage as one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import best_fit, chunk_dedup, jaccard_join, line_dedup, quality_ratio
 from larder.llm.frames import stage
 
 
-#: Least words of a document that lost more than half of its words: the quality
-#: rules' own bound.
-LEAST_WORDS = 50
-#: A column that carries a text's number of words through an operator.
-WORDS = "__words_before"
-
-
-def words(text: str) -> Column:
-    return F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+"))
+#: Least code points of a document that lost more than half of them: about the
+#: 50 words that the quality rules ask for.
+LEAST_CHARS = 300
+#: A column that carries a text's length through an operator.
+CHARS = "__chars_before"
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(WORDS, words("text"))
+    return docs.withColumn(CHARS, F.length("text"))
 
 
 def with_texts(docs: DataFrame, found: DataFrame, dropped: str) -> DataFrame:
@@ -45,9 +41,9 @@ def with_texts(docs: DataFrame, found: DataFrame, dropped: str) -> DataFrame:
     :func:`counted` documents: the text is the operator's, ``n_chars`` its
     length, the rest as it was.  Remainders go."""
     new = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    left, had = (F.coalesce(n, F.lit(0)) for n in (words("text"), F.col("rest").getField(WORDS)))
-    remainder = (left < LEAST_WORDS) & (2 * left < had)
-    gone = (F.col(dropped) > 0) & (remainder | (left == 0))
+    left, had = (F.coalesce(n, F.lit(0)) for n in (F.length("text"), F.col("rest").getField(CHARS)))
+    remainder = (left < LEAST_CHARS) & (2 * left < had)
+    gone = (F.col(dropped) > 0) & (remainder | ~F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return found.where(~gone).select(*(new.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns))
 
 
