@@ -15,7 +15,7 @@ sum doesn't depend on the order of anything.
 
 Defined cases: a null or empty text has no words and score 0; null ids and
 repeated rows are scored row by row, and each row counts in the corpus; other
-columns are ignored; texts of any length are scored whole.
+columns are ignored; texts of any length are scored whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -19,7 +19,7 @@ whole, and no chunk has more than ``MOST_WORDS`` words; ``n_dropped_chunks``
 counts the chunks that lost a word.  A passage of n words is found if one of
 the cuts in it leaves ``min_words`` of it on either side: with 28 words and
 n = 51 it is missed with a chance of about 3e-6, a passage of fewer than 28
-words is never found.
+words is never found.  An empty table gives no rows.
 """
 
 from __future__ import annotations

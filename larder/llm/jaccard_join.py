@@ -23,7 +23,7 @@ Defined cases: a text of fewer than five words is one shingle of all its
 words; a text without words (or null) has no shingles, no links and is its own
 class; rows that share an id are one document, with the set of the smallest digest;
 a row with a null id takes no part and has no class; other columns are
-ignored.
+ignored; a text of any length is shingled whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ key repeats meet the documents again, as a list of positions to leave out.
 
 Defined cases: a null or empty text is one empty line; a row with a null id is
 not counted and loses nothing; rows that share an id count as one document;
-extra columns are ignored by :func:`dedup_lines` and kept by the caller's join.
+extra columns are ignored, or with ``carry`` kept as a struct; a text of any
+length is split whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

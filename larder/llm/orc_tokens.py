@@ -11,7 +11,8 @@ row per file, never per document.
 
 Defined cases: a null text is empty (its end id alone); rows that share an id
 are written each, by text hash; rows with a null id are written first; extra
-columns are not written.
+columns are not written; a text of any length is written whole; an empty table is
+read back without rows.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ The ids and the decoded text are those of the sentencepiece library.
 
 Defined cases: a null text counts as empty (the end id alone); null ids and
 repeated rows are encoded row by row; other columns are ignored; texts of any
-length are encoded whole.
+length are encoded whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ pieces whose counts a worker remembers (a bounded table), so each worker
 encodes a frequent piece once.
 
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); a null id is
-returned as it is; repeated rows are counted each; other columns are ignored.
+returned as it is; repeated rows are counted each; other columns are ignored; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
