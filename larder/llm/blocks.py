@@ -1,7 +1,7 @@
 """Look-ups of hashed keys for blocks of documents.
 
-Documents are dealt by a hash of their id into blocks of a few megabytes of
-text.  A block asks about each of its distinct keys once, in one cell per key
+Documents are dealt by a hash of their id and text into blocks of a few
+megabytes of text, so rows that share an id don't share a block.  A block asks about each of its distinct keys once, in one cell per key
 bucket; the cells of a bucket meet in one group, which answers every block;
 and the answers meet their block's documents again.  So a key that a third of
 the corpus holds is one entry per block, no row ever stands for a single
@@ -39,7 +39,7 @@ def sizes(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[int, int]:
 
 
 def dealt(rows: DataFrame, blocks: int) -> DataFrame:
-    return rows.withColumn("block", F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(blocks)))
+    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
 
 def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -48,21 +48,25 @@ def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def packed(values: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of 64-bit values, byte by byte of all values:
-    planes of sorted keys and of small counts compress in the shuffle."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    """The low ``width`` bytes of 64-bit values, or of rows of two of them, byte
+    by byte of all values: planes of sorted keys and of small counts compress
+    in the shuffle."""
+    whole = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8 * values[:1].size or 8)
+    return np.ascontiguousarray(whole[:, :width].T).tobytes()
 
 
 def unpacked(data: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), np.uint8)
+    """The values that :func:`packed` wrote; rows of two beyond eight bytes."""
+    out = np.zeros((len(data) // width, 8 if width <= 8 else 16), np.uint8)
     out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
-    return out.view("<u8").ravel()
+    return out.view("<u8").ravel() if width <= 8 else out.view("<u8")
 
 
 def requests(block: int, keys: np.ndarray, payload: np.ndarray, buckets: int, key_width: int,
              payload_width: int) -> pa.Table:
-    """One row per key bucket of a block's sorted distinct keys."""
-    which = buckets_of(keys, buckets)
+    """One row per key bucket of a block's sorted distinct keys, of 64 bits or
+    rows of two such halves."""
+    which = buckets_of(keys if keys.ndim == 1 else keys[:, 0], buckets)
     cuts = np.flatnonzero(np.diff(which, prepend=which[:1] + np.uint64(1))) if len(keys) else []
     ends = [*cuts[1:], len(keys)]
     return pa.table([pa.array([block] * len(cuts), pa.int64()),

@@ -78,9 +78,10 @@ def test_near_duplicates(tables):
     assert texts(tables[3]) == {i: t for i, t in texts(tables[2]).items() if group[i] == i}
 
 
-def plain_windows(text, n=28, most=64):
-    """(first word, words) of the windows of n words that start or end at a cut
-    or end with the text, by a rolling hash that goes byte by byte."""
+def plain_chunks(text, n=28, most=64):
+    """(first word, words) of the chunks that run from a cut to the first cut
+    n words on, and from the last of these cuts to the end, by a rolling hash
+    that goes byte by byte."""
     gear = [xxhash.xxh32_intdigest(bytes([b]), seed=7) for b in range(256)]
     data, h, state = text.encode(), 0, []
     for b in data:
@@ -89,24 +90,25 @@ def plain_windows(text, n=28, most=64):
     spots = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
     cuts = [0]
     for k, (begin, _) in enumerate(spots):
-        if k and (state[begin - 1] < 2 ** 30 or k - cuts[-1] == most):
+        if k and (state[begin - 1] < 2 ** 31 or k - cuts[-1] == most):
             cuts.append(k)
     cuts.append(len(spots))
-    at = sorted({c for c in cuts if c + n <= len(spots)} | {c - n for c in cuts if c >= n})
+    spans = [(c, next(d for d in cuts if d >= c + n)) for c in cuts if c + n <= len(spots)]
+    spans += [(spans[-1][0], len(spots))] if spans else []
     words = [data[a:b] for a, b in spots]
-    return spots, [(k, tuple(words[k:k + n])) for k in at]
+    return spots, [(c, tuple(words[c:d])) for c, d in spans]
 
 
 def test_repeated_passages(tables):
     given, owner = texts(tables[3]), {}
-    found = {i: plain_windows(t) for i, t in given.items()}
+    found = {i: plain_chunks(t) for i, t in given.items()}
     for i in sorted(given):
         for _, words in found[i][1]:
             owner.setdefault(words, i)
     expected = {}
     for i, t in given.items():
-        spots, windows = found[i]
-        gone = {k + d for k, words in windows if owner[words] < i for d in range(28)}
+        spots, chunks = found[i]
+        gone = {k + d for k, words in chunks if owner[words] < i for d in range(len(words))}
         data = t.encode()
         ends = [b for b, _ in spots[1:]] + [len(data)]
         kept = data[:spots[0][0]] if spots else data
