@@ -1,9 +1,11 @@
 """Language-model scores by stupid backoff.
 
-Words and word n-grams of the whole corpus are counted in tables partitioned
-by hash: every block of documents sends its distinct n-grams with their counts
-to the n-grams' buckets, where they are summed.  The sums are joined back to
-the n-grams of each block, and scores are summed per document:
+Words and word n-grams of the whole corpus are counted in a table partitioned
+by their hash.  Every block of documents counts its own n-grams first and
+explodes to one row per distinct n-gram; those rows take one exchange by
+n-gram, are grouped to corpus counts and joined to the counts on the same
+partitioning; the counts of n-grams that other blocks hold as well return to
+the block, and scores are summed per document:
 
     S(w | context) = count(context w) / count(context)   if the n-gram was kept
                      0.4 * S(w | shorter context)        otherwise
@@ -24,16 +26,17 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from larder.llm import blocks as B
 from larder.llm.frames import WordNumbers, id_and_text
 
 #: Production parameters.
 ORDER, MIN_COUNT, BACKOFF, SCALE = 2, 2, 0.4, 1_000_000
-#: Bytes of a key within its bucket and of a count.
-KEY_BYTES, COUNT_BYTES = 6, 5
-LOW = np.uint64((1 << 48) - 1)
+#: N-grams of a row before it is exploded; the key that counts all words.
+GRAMS = 1 << 15
 TOTAL = np.uint64(0)
+GRAM = pa.struct([("gram", pa.int64()), ("n", pa.int64())])
 SCHEMA = "doc_id long, n_words long, n_backed_off long, score_millionths long"
 
 
@@ -63,23 +66,6 @@ def distinct(docs: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[TOTAL], keys]), np.concatenate([[words], counts]).astype(np.uint64)
 
 
-def summed(table: pa.Table) -> pa.Table:
-    """For the cells of a key bucket: the corpus count of each of their keys."""
-    cells = [B.unpacked(k.as_py(), KEY_BYTES) for k in table.column("keys")]
-    counts = np.concatenate([B.unpacked(p.as_py(), COUNT_BYTES) for p in table.column("payload")])
-    keys = np.concatenate(cells)
-    order = np.argsort(keys, kind="stable")
-    new = np.append(True, keys[order][1:] != keys[order][:-1])[:len(keys)]
-    sums = np.add.reduceat(counts[order], np.flatnonzero(new)) if len(keys) else counts
-    total = np.empty_like(counts)
-    total[order] = sums[np.cumsum(new) - 1]
-    ends = np.cumsum([0, *map(len, cells)])
-    return pa.table([table.column("block").combine_chunks(), table.column("bucket").combine_chunks(),
-                     pa.array([b""] * len(cells), pa.binary()),
-                     pa.array([B.packed(total[a:b], COUNT_BYTES) for a, b in zip(ends[:-1], ends[1:])], pa.binary())],
-                    schema=B.REQUEST_ARROW)
-
-
 def document_score(keys: list[np.ndarray], count, words: int, min_count: int, backoff: float
                    ) -> tuple[int, int]:
     """(positions scored by a shorter context than they have, summed score)."""
@@ -106,23 +92,29 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COU
     """(doc_id, n_words, n_backed_off, score_millionths) for every row, under
     the counts of all rows."""
     rows = id_and_text(docs, id_col, text_col)
-    n_blocks, n_buckets = B.sizes(rows)
+    own = B.dealt(rows, B.sizes(rows)[0]).groupBy("block")
 
-    def ask(table: pa.Table) -> pa.Table:
+    def gather(table: pa.Table) -> pa.Table:
         keys, counts = distinct(block_grams(table, order))
-        return B.requests(table.column("block")[0].as_py(), keys, counts, n_buckets, KEY_BYTES, COUNT_BYTES)
+        found = pa.StructArray.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.view(np.int64))],
+                                           fields=list(GRAM))
+        ends = [*range(0, len(keys), GRAMS), len(keys)]
+        return pa.table([pa.array([table.column("block")[0].as_py()] * (len(ends) - 1), pa.int64()),
+                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], names=["block", "grams"])
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
         grams = block_grams(left, order)
         keys, counts = distinct(grams)
-        which = B.buckets_of(keys, n_buckets)
-        for b, p in zip(right.column("bucket").to_pylist(), right.column("payload")):
-            a, z = np.searchsorted(which, [b, b + 1])
-            counts[a:z] = B.unpacked(p.as_py(), COUNT_BYTES)
+        counts[np.searchsorted(keys, right.column("gram").to_numpy().view(np.uint64))] = right.column("count").to_numpy()
         count = lambda k: counts[np.searchsorted(keys, k)]
         got = [document_score(g, count, int(counts[0]), min_count, backoff) for g in grams]
         return pa.table([left.column("doc_id").combine_chunks(), pa.array([len(g[0]) for g in grams], pa.int64()),
                          pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64())],
                         names=["doc_id", "n_words", "n_backed_off", "score_millionths"])
 
-    return B.exchanged(B.dealt(rows, n_blocks), ask, summed, settle, SCHEMA)
+    exploded = (own.applyInArrow(gather, "block long, grams array<struct<gram:long,n:long>>")
+                .select("block", F.inline("grams")).repartition("gram"))
+    # a block knows the count of an n-gram that no other block holds
+    counts = exploded.groupBy("gram").agg(F.sum("n").alias("count"), F.count("block").alias("blocks")).where("blocks > 1")
+    answers = exploded.join(counts, "gram").where("count > n").select("block", "gram", "count")
+    return own.cogroup(answers.groupBy("block")).applyInArrow(settle, SCHEMA)
