@@ -3,8 +3,7 @@
 Words and word n-grams of the whole corpus are counted in a table partitioned
 by their hash.  Every block of documents counts its own n-grams first and
 explodes to one row per distinct n-gram; those rows take one exchange by
-n-gram, are grouped to corpus counts and joined to the counts on the same
-partitioning; the counts of n-grams that other blocks hold as well return to
+n-gram, where a window sums them to corpus counts beside each row; the counts of n-grams that other blocks hold as well return to
 the block, and scores are summed per document:
 
     S(w | context) = count(context w) / count(context)   if the n-gram was kept
@@ -25,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm import blocks as B
@@ -33,6 +32,8 @@ from larder.llm.frames import WordNumbers, id_and_text
 
 #: Production parameters.
 ORDER, MIN_COUNT, BACKOFF, SCALE = 2, 2, 0.4, 1_000_000
+#: Bytes of text of a block: the larger, the fewer rows hold an n-gram.
+BLOCK_BYTES = 24 << 20
 #: N-grams of a row before it is exploded; the key that counts all words.
 GRAMS = 1 << 15
 TOTAL = np.uint64(0)
@@ -92,7 +93,7 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COU
     """(doc_id, n_words, n_backed_off, score_millionths) for every row, under
     the counts of all rows."""
     rows = id_and_text(docs, id_col, text_col)
-    own = B.dealt(rows, B.sizes(rows)[0]).groupBy("block")
+    own = B.dealt(rows, B.sizes(rows, BLOCK_BYTES)[0]).groupBy("block")
 
     def gather(table: pa.Table) -> pa.Table:
         keys, counts = distinct(block_grams(table, order))
@@ -113,8 +114,9 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COU
                         names=["doc_id", "n_words", "n_backed_off", "score_millionths"])
 
     exploded = (own.applyInArrow(gather, "block long, grams array<struct<gram:long,n:long>>")
-                .select("block", F.inline("grams")).repartition("gram"))
-    # a block knows the count of an n-gram that no other block holds
-    counts = exploded.groupBy("gram").agg(F.sum("n").alias("count"), F.count("block").alias("blocks")).where("blocks > 1")
-    answers = exploded.join(counts, "gram").where("count > n").select("block", "gram", "count")
+                .select("block", F.inline("grams")))
+    # the count table and its join as one window, so the rows move once; a
+    # block knows the count of an n-gram that no other block holds
+    answers = (exploded.withColumn("count", F.sum("n").over(Window.partitionBy("gram"))).where("count > n")
+               .select("block", "gram", "count"))
     return own.cogroup(answers.groupBy("block")).applyInArrow(settle, SCHEMA)
