@@ -99,3 +99,12 @@ def test_pipeline_edges(spark, tmp_path):
                 assert docs.columns == columns
         ids = [r["doc_id"] for r in docs.collect()]
         assert sorted(ids, key=str) == ([1, None] if given else [])
+
+
+def test_every_trusted_document_is_fitted_on(spark):
+    """However many labels there are, the target is counted on all of them."""
+    docs = frame(spark, [(i, f"w{i % 7} w{i % 5} w{i} " * 20) for i in range(60)])
+    few = spark.range(60).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    many = spark.range(400_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    got = [by_id(quality_ratio.quality_verdicts(docs, x)) for x in (few, many)]
+    assert got[0] == got[1] and any(r["log_ratio_millionths"] for r in got[0])
