@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.predicates import same_market
-from larder.operators.ranks import Carried, describe, group_columns, value_counts, with_group
+from larder.operators.ranks import (GROUP, Carried, describe, describe_rows, group_columns, split_points, value_counts,
+                                    with_group)
 
 # Product columns brought to each price row (key + 18 attributes).
 PRODUCT_JOIN_COLS = [
@@ -89,18 +90,41 @@ def summary_of_counts(counts: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
     """The price summary cut from its frequency table."""
     out = describe(counts, "price_value", median="price_median", mean="price_mean", carry=price_carried(),
                    range_rows=range_rows)
-    return out.select(*group_columns(keys), F.col("n").cast("int").alias("price_record_count"),
+    return _summary_columns(out, group_columns(keys))
+
+
+def _summary_columns(out: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
+    return out.select(*keys, F.col("n").cast("int").alias("price_record_count"),
                       F.col("min").alias("price_min"), "price_median", "price_mean", F.col("max").alias("price_max"),
                       F.coalesce("any_same_market_match", F.lit(False)).alias("any_same_market_match"),
                       "first_price_date", "last_price_date")
 
 
+# Columns of the price table alone that tell its rows apart: a share drawn by
+# their hash is drawn before the join with the products.
+ROW_COLS = ("id", "price_value", "date")
+
+
 def summarise_prices(aligned: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
-                     range_rows: int | None = None) -> DataFrame:
+                     range_rows: int | None = None, from_rows: bool = False) -> DataFrame:
     """Per key tuple: count, min, exact median, mean, max, any
     same-market match (all-null gives false), first and last date, all eight
     from one weighted ``(keys, price)`` frequency table, so no task holds a
-    whole group."""
+    whole group.
+
+    With ``from_rows``, and where no product has more than about ``range_rows``
+    rows, no table is written: the rows take one exchange by product and two
+    windows on it, and the result stays partitioned by product, so the choice of
+    one row per product moves little."""
+    keys = list(keys)
+    if from_rows:
+        marks = [c for c in ROW_COLS if c in aligned.columns]
+        near = with_group(aligned, keys[:1])
+        if split_points(near, "price_value", [GROUP], marks, range_rows) is None:
+            out = describe_rows(aligned, "price_value", keys, keys[:1], median="price_median", mean="price_mean",
+                                carry={"any_same_market_match": ("same_market_as_analysis_country", F.bool_or),
+                                       "first_price_date": ("date", F.min), "last_price_date": ("date", F.max)})
+            return _summary_columns(out, keys)
     return summary_of_counts(price_counts(aligned, keys), keys, range_rows)
 
 

@@ -123,6 +123,15 @@ def range_offsets(counts: DataFrame, by: Sequence[str], total: str) -> DataFrame
                          F.sum(total).over(Window.partitionBy(*by)).alias("_all"))
 
 
+def running_counts(t: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """``t`` with ``below``, the total ``c`` of the rows before it in order of
+    the value, and ``n``, the total of the non-null values: two windows."""
+    whole = Window.partitionBy(*by)
+    smaller = whole.orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    counted = F.when(F.col(value).isNotNull(), F.col("c")).otherwise(F.lit(0))
+    return t.withColumns({"below": F.coalesce(F.sum("c").over(smaller), F.lit(0)), "n": F.sum(counted).over(whole)})
+
+
 def prefix_counts(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
                   range_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``below``, the total ``c`` of the strictly smaller values of the
@@ -139,10 +148,7 @@ def prefix_counts(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
         totals = (t.filter(F.col(CUTS).isNotNull()).groupBy(*part)
                   .agg(F.sum(F.when(F.col(value).isNotNull(), F.col("c")).otherwise(F.lit(0))).alias("_total")))
         offsets = range_offsets(totals, by, "_total")
-    smaller = Window.partitionBy(*part).orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    counted = F.when(F.col(value).isNotNull(), F.col("c")).otherwise(F.lit(0))
-    t = t.withColumns({"below": F.coalesce(F.sum("c").over(smaller), F.lit(0)),
-                       "n": F.sum(counted).over(Window.partitionBy(*part))})
+    t = running_counts(t, value, part)
     if cuts is not None:
         t = (t.join(offsets, on=part, how="left")
              .withColumns({"below": F.col("below") + F.coalesce("_lower", F.lit(0)), "n": F.coalesce("_all", "n")})
@@ -173,6 +179,12 @@ def describe(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,), median:
     0-based sorted index ``floor((n - 1) * q + 0.5)``) and the carried
     aggregates, all from one frequency table."""
     pref, _ = prefix_counts(freq, value, by, range_rows)
+    return _figures(pref, value, by, median, mean, qs, carry)
+
+
+def _figures(pref: DataFrame, value: str, by: Sequence[str], median: str | None, mean: str | None,
+             qs: Mapping[str, float] | None, carry: Carried | None) -> DataFrame:
+    """The figures of :func:`describe` from running counts."""
     v, n = F.col(value), F.col("n")
     aggs = [F.max("n").alias("n"), F.min(value).alias("min"), F.max(value).alias("max")]
     if median:
@@ -184,6 +196,23 @@ def describe(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,), median:
     return pref.groupBy(*by).agg(*aggs, *[merge(name).alias(name) for name, (_, merge) in (carry or {}).items()])
 
 
+def describe_rows(rows: DataFrame, value: str, by: Sequence[str], near: Sequence[str], median: str | None = None,
+                  mean: str | None = None, carry: Mapping[str, tuple[str, Callable[[str], Column]]] | None = None
+                  ) -> DataFrame:
+    """:func:`describe` of rows instead of a frequency table, for groups that
+    :func:`split_points` found to be of a bounded size: one exchange by
+    ``near`` (some of the keys ``by``), no table written, and the result is
+    partitioned by ``near``.  ``carry`` names the column that each carried
+    aggregate merges."""
+    carried = (carry or {}).items()
+    ones = (rows.select(*by, value, *[F.col(c).alias(name) for name, (c, _) in carried]).repartition(*near)
+            .withColumn("c", F.lit(1).cast("long")))
+    if mean:
+        ones = ones.withColumn("_sum", F.col(value).cast(f"decimal(38,{MEAN_SCALE})"))
+    return _figures(running_counts(ones, value, by), value, by, median, mean, None,
+                    {name: (F.col(c), merge) for name, (c, merge) in carried})
+
+
 def group_median(freq: DataFrame, value: str, by: Sequence[str] = (GROUP,),
                  range_rows: int | None = None, out: str = "median") -> DataFrame:
     """Exact median of each group from its frequency table -> (by..., out)."""

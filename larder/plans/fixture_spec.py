@@ -50,17 +50,19 @@ def fixture_products_main(spark: SparkSession, sf_dir: str, materialize: bool =
 
 
 def fixture_prices(spark: SparkSession, sf_dir: str, materialize: bool = True,
-                   stage_summary: bool = True, known: dict[str, int] | None = None):
+                   stage_summary: bool = True, known: dict[str, int] | None = None, stage_aligned: bool = True):
     """(products_fx, prices_fx, products_main, prices_aligned, summary); the
     aligned table is written once and the summary reads the written copy, so
     the join is not evaluated twice.  ``stage_summary=False`` leaves the
-    summary as a plan (for a caller that reads it once).  ``known`` is filled
+    summary as a plan (for a caller that reads it once), ``stage_aligned=False``
+    the aligned table (for one that reads nothing but the summary or a few of its
+    columns, which then are all that the join carries).  ``known`` is filled
     with the counts of the written tables."""
     raw, prices, products = fixture_products_main(spark, sf_dir, materialize, known)
     aligned = align_prices(prices, products)
-    if materialize:
+    if materialize and stage_aligned:
         aligned = _staged(aligned, "prices-aligned", aligned_metrics(), known)
-    summary = summarise_prices(aligned)
+    summary = summarise_prices(aligned, from_rows=not stage_aligned)
     if materialize and stage_summary:
         summary = _staged(summary, "price-summary", row_metrics("price_summary_rows"), known)
     return raw, prices, products, aligned, summary

@@ -88,7 +88,7 @@ def preprocess(spark: SparkSession, catalogue_path: str, prices_path: str, out_d
     countries, categories = select_allow_lists(raw, spec)
     products = written(build_products(raw, countries, categories, spec), "products_main", J.row_metrics("product_rows"))
     aligned = written(align_prices(prices, products), "prices_aligned", J.aligned_metrics())
-    summary = written(summarise_prices(aligned), "price_summary_by_product", J.row_metrics("price_summary_rows"))
+    summary = written(summarise_prices(aligned, from_rows=True), "price_summary_by_product", J.row_metrics("price_summary_rows"))
     reports = J.audit_alignment(raw, products, aligned, summary,
                                 {"analysis_country_tag": countries, "analysis_category_tag": categories}, known)
     io.write_report(reports, f"{out}/reports/preprocessing")

@@ -71,6 +71,7 @@ def q_nested_extract(spark, sf_dir):
 from larder.operators import audit as A  # noqa: E402
 from larder.operators import rollups as R  # noqa: E402
 from larder.operators import scores as SC  # noqa: E402
+from larder.operators.align import align_prices  # noqa: E402
 from larder.operators.dedup import keep_first  # noqa: E402
 from larder.operators.ladder import ladder_counts, level_profile  # noqa: E402
 from larder.operators.peers import peer_percentiles, robust_z  # noqa: E402
@@ -85,17 +86,24 @@ def _summary(spark, sf_dir):
     return fixture_prices(spark, sf_dir)
 
 
+def _summary_once(spark, sf_dir):
+    """Products and their price summary, which is read once: neither it nor
+    the aligned rows are written."""
+    _, _, products, _, summary = fixture_prices(spark, sf_dir, stage_summary=False, stage_aligned=False)
+    return products, summary
+
+
 def _analysis(spark, sf_dir, spec: AnalysisSpec = AnalysisSpec(), reused: bool = False):
     """The analysis table; written once when the caller reads it more than
     once (roll-ups with several aggregates over it)."""
-    _, _, products, _, summary = _summary(spark, sf_dir)
+    products, summary = _summary_once(spark, sf_dir)
     an = build_analysis(products, summary, spec)
     return stage(an, "analysis") if reused else an
 
 
 def _base(spark, sf_dir):
     """The base table, written once: the statistics read it several times."""
-    _, _, products, _, summary = _summary(spark, sf_dir)
+    products, summary = _summary_once(spark, sf_dir)
     return stage(base_table(products, summary), "base", count=True)
 
 
@@ -222,8 +230,8 @@ def q_value_distribution(spark, sf_dir):
 @query("price_currency_medians")
 def q_price_currency_medians(spark, sf_dir):
     """E11."""
-    _, _, _, aligned, _ = _summary(spark, sf_dir)
-    return R.currency_medians(aligned)
+    _, prices, products = fixture_products_main(spark, sf_dir)
+    return R.currency_medians(align_prices(prices, products))
 
 
 @query("alignment_counters")
@@ -341,8 +349,7 @@ def q_dedup_keep_first(spark, sf_dir):
 @query("primary_price")
 def q_primary_price(spark, sf_dir):
     """Top-1 summary row per product."""
-    _, _, _, _, summary = _summary(spark, sf_dir)
-    return primary_price(summary)
+    return primary_price(_summary_once(spark, sf_dir)[1])
 
 
 @query("products_left_price")

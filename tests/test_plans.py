@@ -50,6 +50,31 @@ def test_price_summary_is_one_shuffle_of_the_aligned_rows(spark):
     assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
+def test_summary_read_once_writes_no_rows(spark):
+    products, aligned, summary = fixture_prices(spark, SF_SMALL, stage_summary=False, stage_aligned=False)[2:]
+    assert not _folders(summary) & {"stage-prices-aligned", "stage-freq"}
+    # one exchange by product serves the summary and the choice of one row per product
+    assert _plan(summary, run=True).count("REPARTITION_BY_COL") >= 1
+    written = fixture_prices(spark, SF_SMALL)[4]
+    assert sorted(map(tuple, summary.collect()), key=str) == sorted(map(tuple, written.collect()), key=str)
+
+
+def test_summary_of_rows_is_the_summary_of_their_counts(spark):
+    import datetime
+    days = [None, datetime.date(2020, 1, 2), datetime.date(2021, 1, 2)]
+    rows = [(i // 3, f"p{i % 4}" if i % 11 else None, "t" if i % 5 else None, "c", "g", f"N{i % 2}" if i % 7 else None,
+             "E" if i % 3 else None, None if i % 13 == 0 else float(i % 6), None if i % 4 == 0 else i % 8 == 1, days[i % 3])
+            for i in range(200)] + [(None, "alone", "t", "c", "g", "N1", "E", None, None, None)] * 2
+    df = spark.createDataFrame(rows, "id long, product_code string, analysis_country_tag string, "
+                               "analysis_country_code string, analysis_category_tag string, "
+                               "location_osm_address_country_code string, currency string, price_value double, "
+                               "same_market_as_analysis_country boolean, date date")
+    want = sorted(map(tuple, summarise_prices(df).collect()), key=str)
+    for limit in (None, 60, 2):
+        got = summarise_prices(df, range_rows=limit, from_rows=True)
+        assert sorted(map(tuple, got.collect()), key=str) == want, limit
+
+
 def test_counters_scan_no_table_that_was_just_written(spark):
     known = {}
     raw, _, products, aligned, summary = fixture_prices(spark, SF_SMALL, known=known)
