@@ -66,10 +66,30 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = (GROUP,), carry:
     """(by..., value, c, ...): multiplicity of every value, nulls included;
     ``mean`` adds the exact sum ``_sum`` that a mean is cut from."""
     aggs = [F.count(F.lit(1)).alias("c")]
+    v = F.col(value)
     if mean:
-        aggs.append(F.sum(F.col(value).cast(f"decimal(38,{MEAN_SCALE})")).alias("_sum"))
+        aggs.append(F.sum(F.when(F.abs(v) >= F.lit(PRODUCT_BELOW), v.cast(f"decimal(38,{MEAN_SCALE})"))).alias("_sum"))
     aggs += [agg.alias(name) for name, (agg, _) in (carry or {}).items()]
-    return df.groupBy(*by, value).agg(*aggs)
+    counts = df.groupBy(*by, value).agg(*aggs)
+    return counts.withColumn("_sum", F.coalesce("_sum", times(v, F.col("c")))) if mean else counts
+
+
+#: Values below it are summed as a product with their number, larger ones (and
+#: what is no number) row by row.
+PRODUCT_BELOW = 1e17
+
+
+def times(value: Column, c: Column) -> Column:
+    """The exact sum of ``c`` equal values: two products, of types that lose no
+    digit, where ``c`` has ten digits or more."""
+    billion, whole = F.lit(10**9), f"decimal(37,{MEAN_SCALE})"
+
+    def product(n: Column) -> Column:
+        return value.cast(f"decimal(28,{MEAN_SCALE})") * n.cast("decimal(9,0)")
+
+    many = product(F.call_function("div", c, billion)).cast(f"decimal(27,{MEAN_SCALE})") * billion.cast("decimal(10,0)")
+    return (F.when(c < billion, product(c))
+            .otherwise(product(F.pmod(c, billion)).cast(whole) + many.cast(whole)).cast(f"decimal(38,{MEAN_SCALE})"))
 
 
 def add_counts(tables: Sequence[DataFrame], value: str, by: Sequence[str] = (GROUP,),
@@ -125,9 +145,11 @@ def range_offsets(counts: DataFrame, by: Sequence[str], total: str) -> DataFrame
 
 def running_counts(t: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """``t`` with ``below``, the total ``c`` of the rows before it in order of
-    the value, and ``n``, the total of the non-null values: two windows."""
-    whole = Window.partitionBy(*by)
-    smaller = whole.orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    the value, and ``n``, the total of the non-null values: two frames of one
+    window."""
+    ordered = Window.partitionBy(*by).orderBy(F.col(value).asc_nulls_last())
+    smaller = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counted = F.when(F.col(value).isNotNull(), F.col("c")).otherwise(F.lit(0))
     return t.withColumns({"below": F.coalesce(F.sum("c").over(smaller), F.lit(0)), "n": F.sum(counted).over(whole)})
 
@@ -209,7 +231,10 @@ def describe_rows(rows: DataFrame, value: str, by: Sequence[str], near: Sequence
             .withColumn("c", F.lit(1).cast("long")))
     if mean:
         ones = ones.withColumn("_sum", F.col(value).cast(f"decimal(38,{MEAN_SCALE})"))
-    return _figures(running_counts(ones, value, by), value, by, median, mean, None,
+    # the keys last named come first after ``near``: those that tell rows of one
+    # ``near`` apart end most of the sort's comparisons
+    sort_keys = [*near, *[k for k in reversed(by) if k not in near]]
+    return _figures(running_counts(ones, value, sort_keys), value, sort_keys, median, mean, None,
                     {name: (F.col(c), merge) for name, (c, merge) in carried})
 
 

@@ -168,3 +168,36 @@ def test_counts_of_batches_add_up(spark):
     whole = out(value_counts(df, "x", carry=carry, mean=True))
     parts = [value_counts(df.filter(F.col("code").rlike(p)), "x", carry=carry, mean=True) for p in ("[0-4]$", "[^0-4]$")]
     assert out(add_counts(parts, "x", carry=carry)) == whole
+
+
+def test_sums_of_equal_values_are_exact(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from larder.operators.ranks import times, value_counts
+    pairs = [(0.1, 3), (-2.5, 10**9), (99999999.123, 7 * 10**9 + 5), (9e16, 999_999_999), (0.00000000015, 2), (None, 4)]
+    got = spark.createDataFrame(pairs, "v double, c long").select(times(F.col("v"), F.col("c")).alias("s")).collect()
+    step = Decimal(1).scaleb(-10)
+    want = [None if v is None else Decimal(repr(v)).quantize(step, "ROUND_HALF_UP") * c for v, c in pairs]
+    assert [r.s for r in got] == want
+    rows = [(v,) for v in (1.1, 1.1, None, 2e17, 2e17, 3.3333333333333) for _ in range(3)]
+    counts = value_counts(spark.createDataFrame(rows, "v double"), "v", by=[], mean=True)
+    assert {r.v: (r.c, r._sum) for r in counts.collect()} == {
+        1.1: (6, Decimal("6.6")), None: (3, None), 2e17: (6, Decimal("1.2e18")), 3.3333333333333: (3, Decimal("9.9999999999"))}
+
+
+def test_thousandths_are_the_cast(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from larder.sources.fixtures import _thousandths
+    random.seed(5)
+    x = [0.0, -0.0, 1.0005, 2.0015, -1.0005, 0.0005, 999999.9995, 1e6 + 0.0005, 9999999.999, None, 1e-9]
+    x += [random.uniform(-1e6, 1e6) for _ in range(3000)] + [random.randrange(10**9) / 10**4 + 0.00005 for _ in range(3000)]
+    x += [round(random.uniform(0, 2000), 4) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    far = df.filter(~_thousandths(F.col("x")).eqNullSafe(F.col("x").cast("decimal(10,3)")))
+    assert _thousandths(F.col("x")) is not None and far.collect() == []
+    assert df.select(_thousandths(F.col("x")).alias("p")).schema["p"].dataType.simpleString() == "decimal(10,3)"
