@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from larder.operators.align import align_prices, summarise_prices
 from larder.plans.audits import aligned_metrics, row_metrics
 from larder.plans.products import ProductSpec, build_products, select_allow_lists
-from larder.sources.fixtures import FIXTURE_COUNTRY_CODES, load_fixtures
+from larder.sources.fixtures import FIXTURE_COUNTRY_CODES, load_fixtures, whole_rows
 from larder.sources.io import observed, stage
 
 # Fixed values for the fixture run: "nation_0" plays the catch-all country
@@ -42,8 +42,9 @@ def fixture_products_main(spark: SparkSession, sf_dir: str, materialize: bool =
     every later stage reads the table instead of re-running the filter,
     the allow-list selection and the nested extraction."""
     raw, prices = load_fixtures(spark, sf_dir)
-    countries, categories = select_allow_lists(raw, FIXTURE_SPEC)
-    products = build_products(raw, countries, categories, FIXTURE_SPEC)
+    rows = whole_rows(raw)
+    countries, categories = select_allow_lists(rows, FIXTURE_SPEC)
+    products = build_products(rows, countries, categories, FIXTURE_SPEC)
     if materialize:
         products = _staged(products, "products-main", row_metrics("product_rows"), known)
     return raw, prices, products

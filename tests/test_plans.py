@@ -7,13 +7,16 @@ import re
 import pytest
 
 from paths import SF_SMALL
+from pyspark.sql import functions as F
+
 from larder.operators.align import price_counts, summarise_prices
 from larder.operators.dedup import first_of_each, keep_first
+from larder.operators.peers import percentile_table
 from larder.plans.audits import alignment_counters, preprocess_counters
 from larder.plans.fixture_spec import FIXTURE_SPEC, fixture_prices
 from larder.plans.products import build_products
 from larder.registry import REGISTRY
-from larder.sources.fixtures import load_fixtures
+from larder.sources.fixtures import load_fixtures, whole_rows
 from larder.sources.io import stage
 
 SOURCE = re.compile(r"Location: InMemoryFileIndex\([0-9]+ paths\)\[file:[^\],]*/([a-z_]+)\.parquet")
@@ -119,3 +122,24 @@ def test_named_values_share_one_list_pass(spark):
     raw, _ = load_fixtures(spark, SF_SMALL)
     plan = _plan(build_products(raw, ["nation_1"], ["size-1"], FIXTURE_SPEC, dedup=False))
     assert plan.count("filter(") == 1, plan.count("filter(")
+
+
+def test_catalogue_columns_are_made_once_for_each_row(spark):
+    rows = whole_rows(load_fixtures(spark, SF_SMALL)[0])
+    plan = build_products(rows, ["nation_1"], ["size-1"], FIXTURE_SPEC, dedup=False)._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("struct(name, carbohydrates, 100g") == 1
+
+
+def test_ranks_take_one_window(spark):
+    rows = stage(spark.createDataFrame([(i, i % 2, float(i % 5)) for i in range(20)], "code long, g long, x double"), "r",
+                 count=True)
+    table = percentile_table(rows, {"x": F.col("x"), "y": -F.col("x")}, ["g"])
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1, plan
+
+
+def test_analysis_writes_its_wide_rows_once(spark):
+    table = REGISTRY["products_analysis"](spark, SF_SMALL)
+    assert {"stage-analysis-base", "stage-analysis-percentiles", "stage-analysis-score-pct"} <= _folders(table)
+    read = re.findall(r"FileScan parquet \[([^\]]*)\]", _plan(table.select("code", "price_nutrition_value_index")))
+    assert read and not any("..." in r or "product_name" in r or "fiber_100g" in r for r in read), read
